@@ -159,21 +159,28 @@ def alert_islands(
     severity: str,
     ts: str = "ts",
     by: Sequence[str] = (),
+    step_seconds: float | None = None,
 ) -> DataFrame:
     """Evaluations at which an alert fires: its condition has held for `hold_seconds`.
 
     Series have one row per evaluation time, so a window per series is bounded by the calendar.
-    A null condition counts as not met.
+    A null condition counts as not met; with `step_seconds`, so does a longer gap between
+    evaluations.
     """
     anchor = list(by) if by else [F.lit(0)]
     line = Window.partitionBy(*anchor).orderBy(ts)
-    met = F.coalesce(condition, F.lit(False))
-    marked = series.withColumn("__met", met).withColumn(
-        "__island", F.sum(F.when(F.col("__met"), 0).otherwise(1)).over(line.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = series.withColumn("__met", F.coalesce(condition, F.lit(False)))
+    marked = marked.withColumn("__s", F.unix_micros(F.col(ts).cast("timestamp")).cast("double") / 1e6)
+    gap = F.lit(False)
+    if step_seconds is not None:
+        gap = F.coalesce(F.col("__s") - F.lag("__s").over(line) > step_seconds, F.lit(False))
+    marked = marked.withColumn("__cut", F.when(F.col("__met") & ~gap, 0).otherwise(1))
+    marked = marked.withColumn("__island", F.sum("__cut").over(upto))
     hits = marked.where("__met")
-    start = F.min(ts).over(Window.partitionBy(*anchor, "__island"))
-    held = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(start.cast("timestamp"))).cast("double") / 1e6
+    island = Window.partitionBy(*anchor, "__island")
+    start = F.min(ts).over(island)
+    held = F.col("__s") - F.min("__s").over(island)
     return (
         hits.withColumn("pending_since", start)
         .withColumn("held_seconds", held)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -45,19 +45,23 @@ def batch_sink(
     return writer.start()
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """One folder per micro-batch: a replayed batch replaces its own output."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/batch={batch_id}")
 
 
-def read_sink(spark: SparkSession, path: str) -> DataFrame | None:
-    """Sink table without its batch column, or None before the first write."""
+def read_batches(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
+    """Sink table, optionally only of batches before `below`; None before the first write."""
     try:
-        return spark.read.parquet(path).drop("batch")
+        df = spark.read.parquet(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
+    return (df if below is None else df.where(F.col("batch") < below)).drop("batch")
 
 
 def finish(query: StreamingQuery) -> None:

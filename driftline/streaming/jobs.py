@@ -137,31 +137,41 @@ def drift_stream(
 ) -> StreamingQuery:
     """Monitor record per closed event-time window of a scored, labelled stream.
 
-    Rows are staged per micro-batch under their window; a window is reported once the highest
-    staged event time has passed its end by the allowed delay, and never again. Rows that arrive
-    after their window was reported are not staged. Reference cuts are computed once.
+    Rows are staged per micro-batch, partitioned by window. A window is closed once the highest
+    event time seen has passed its end by the allowed delay; each batch reports exactly the
+    windows closed since the batch before, so only their partitions are read. Rows of a window
+    closed earlier are late and dropped. Reference cuts are computed once.
     """
     spark = stream.sparkSession
     cuts = drift.reference_cuts(ref, list(spec.numeric))
+    progress = f"{staged}_progress"
+
+    def line_before(batch_id: int):
+        seen = core.read_batches(spark, progress, batch_id)
+        return None if seen is None else seen.agg(F.max("line")).first()[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = core.read_sink(spark, history)
-        if done is not None:
-            # A replayed batch must not see its own earlier report.
-            done = spark.read.parquet(history).where(F.col("batch") < batch_id).select("window_start").distinct()
+        earlier = line_before(batch_id)
         rows = batch.withColumn(ts, F.col(ts).cast("timestamp"))
         rows = rows.withColumn("window_start", F.window(ts, width)["start"])
-        if done is not None:
-            rows = rows.join(done, "window_start", "left_anti")
-        core.write_batch(rows, staged, batch_id)
-        pool = spark.read.parquet(staged).where(F.col("batch") <= batch_id).drop("batch")
-        line = pool.agg((F.max(ts) - F.expr(f"INTERVAL {delay}")).alias("line"))
-        closed = pool.crossJoin(F.broadcast(line)).where(
-            F.col("window_start") + F.expr(f"INTERVAL {width}") <= F.col("line")
-        )
-        closed = closed.drop("line")
-        if done is not None:
-            closed = closed.join(done, "window_start", "left_anti")
+        end = F.col("window_start") + F.expr(f"INTERVAL {width}")
+        if earlier is not None:
+            rows = rows.where(end > F.lit(earlier))
+        rows = rows.persist()
+        try:
+            core.write_batch(rows, staged, batch_id, ["window_start"])
+            line_now = rows.agg((F.max(ts) - F.expr(f"INTERVAL {delay}")).alias("line"))
+            core.write_batch(line_now, progress, batch_id)
+        finally:
+            rows.unpersist()
+        line = line_before(batch_id + 1)
+        if line is None or line == earlier:
+            return
+        closed = core.read_batches(spark, staged, batch_id + 1).where(end <= F.lit(line))
+        if earlier is not None:
+            closed = closed.where(end > F.lit(earlier))
+        if closed.isEmpty():
+            return
         report = drift.monitor_windows(ref, closed, spec, ["window_start"], threshold, second=second, cuts=cuts)
         core.write_batch(report, history, batch_id)
 
