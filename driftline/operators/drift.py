@@ -18,7 +18,7 @@ from driftline.functions import columns as X
 from driftline.functions.columns import ratio
 from driftline.operators import metrics as M
 from driftline.operators.ingest import unpivot_text
-from driftline.operators.ordered import exact_quantiles, join_on, range_edges, range_id, sql_double
+from driftline.operators.ordered import exact_quantiles, join_on, passed_sql, range_edges, range_id, sql_double
 from driftline.spec import TableSpec
 
 # Limits of the drift and retrain rules.
@@ -54,28 +54,29 @@ def reference_cuts(ref: DataFrame, cols: Sequence[str], bins: int = BINS) -> Cut
 def _bin_counts(df: DataFrame, cuts: Cuts, by: Sequence[str], bins: int, prefix: str) -> DataFrame:
     """Per window and column: non-null count and one counter per bin.
 
-    Bins are [a, b) with the last one closed; values outside the cuts are counted in n only.
+    Bins are [a, b) with the last one closed; values outside the cuts are counted in n only. A
+    window without any value of a column still gets its row.
     """
-    entries = []
-    for i, (c, edges) in enumerate(cuts.edges.items()):
-        v = f"CAST(`{c}` AS DOUBLE)"
-        if len(edges) < 2:
-            cell = "-1"
-        else:
-            passed = " + ".join(f"CAST({v} >= {sql_double(x)} AS INT)" for x in edges)
-            cell = (
-                f"CASE WHEN {v} > {sql_double(edges[-1])} THEN -1 "
-                f"ELSE least({passed}, {len(edges) - 1}) - 1 END"
-            )
-        entries.append(f"struct({i} AS ordinal, '{c}' AS column, {v} AS v, {cell} AS bin)")
-    long = df.select(*by, F.expr(f"inline(array({', '.join(entries)}))"))
-    return (
-        long.where("v IS NOT NULL AND NOT isnan(v)")
-        .groupBy(*by, "ordinal", "column")
-        .agg(
-            F.count("*").alias(f"{prefix}n"),
-            *[F.count_if(F.col("bin") == k).alias(f"{prefix}{k}") for k in range(bins)],
+    edges = [e if len(e) > 1 else [] for e in cuts.edges.values()]
+    number = "CASE WHEN NOT isnan(CAST(`{c}` AS DOUBLE)) THEN CAST(`{c}` AS DOUBLE) END"
+    entries = ", ".join(
+        f"struct({i} AS ordinal, '{c}' AS column, {number.format(c=c)} AS v)" for i, c in enumerate(cuts.edges)
+    )
+    long = df.select(*by, F.expr(f"inline(array({entries}))"))
+    if any(edges):
+        top = ", ".join(sql_double(e[-1]) if e else "double('NaN')" for e in edges)
+        last = ", ".join(str(len(e) - 1) for e in edges)
+        passed = passed_sql(edges, "ordinal", "v")
+        cell = (
+            f"CASE WHEN v <= get(array({top}), ordinal) "
+            f"THEN least({passed}, get(array({last}), ordinal)) - 1 ELSE -1 END"
         )
+    else:
+        cell = "-1"
+    long = long.withColumn("bin", F.expr(cell))
+    return long.groupBy(*by, "ordinal", "column").agg(
+        F.count("v").alias(f"{prefix}n"),
+        *[F.count_if(F.col("bin") == k).alias(f"{prefix}{k}") for k in range(bins)],
     )
 
 
@@ -95,20 +96,12 @@ def psi(
     cols = list(cols)
     cuts = cuts or reference_cuts(ref, cols, bins)
     spark = cur.sparkSession
-    base = _bin_counts(ref, cuts, (), bins, "r")
     grid = spark.createDataFrame(
-        [(i, c, cuts.bins(c)) for i, c in enumerate(cols)], "ordinal int, `column` string, n_bins int"
+        [(i, cuts.bins(c)) for i, c in enumerate(cols)], "ordinal int, n_bins int"
     )
     # One row per column, so these two sides are always small.
-    base = F.broadcast(grid.join(F.broadcast(base), ["ordinal", "column"], "left").na.fill(0))
-    counts = _bin_counts(cur, cuts, by, bins, "c")
-    if by:
-        windows = cur.groupBy(*by).agg(F.count("*").alias("__rows")).drop("__rows")
-        full = windows.crossJoin(base)
-        joined = join_on(full, counts, [*by, "ordinal", "column"], "left")
-    else:
-        joined = base.join(F.broadcast(counts), ["ordinal", "column"], "left")
-    joined = joined.na.fill(0, subset=["cn", *[f"c{k}" for k in range(bins)]])
+    base = F.broadcast(_bin_counts(ref, cuts, (), bins, "r").drop("column"))
+    joined = _bin_counts(cur, cuts, by, bins, "c").join(base, "ordinal").join(F.broadcast(grid), "ordinal")
     terms = []
     for k in range(bins):
         r = F.greatest(ratio(F.col(f"r{k}"), F.col("rn")), F.lit(SHARE_FLOOR))
@@ -133,10 +126,11 @@ def _category_shares(
     """
     r = unpivot_text(ref, cols).groupBy("column", "value").agg(F.count("*").alias("rc"))
     c = unpivot_text(cur, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cc"))
-    rn = ref.agg(F.count("*").alias("rn"))
-    cn = cur.groupBy(*by).agg(F.count("*").alias("cn"))
-    joined = join_on(c, r, ["column", "value"], "left").crossJoin(F.broadcast(rn))
-    joined = join_on(joined, cn, list(by)) if by else joined.crossJoin(F.broadcast(cn))
+    # Totals come from the counts (same shuffle), not from another scan; one row per column.
+    rn = r.groupBy("column").agg(F.sum("rc").alias("rn"))
+    cn = c.groupBy(*by, "column").agg(F.sum("cc").alias("cn"))
+    joined = join_on(join_on(c, r, ["column", "value"], "left"), F.broadcast(rn), ["column"])
+    joined = join_on(joined, cn, [*by, "column"])
     return joined.select(
         *by,
         "column",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import ratio
 from driftline.functions.grid import GRID_POINTS, grid_cell, grid_value
-from driftline.operators.ordered import range_edges, running_sums
+from driftline.operators.ordered import range_count, running_sums, unit_cell
 
 # Cost of a missed positive and of a false alarm, recall floor of the search.
 FN_COST = 5.0
@@ -27,7 +27,8 @@ def _threshold(threshold: float | str) -> Column:
 
 
 def _scored(df: DataFrame, label: str, proba: str) -> DataFrame:
-    return df.where(F.col(label).isNotNull() & F.col(proba).isNotNull())
+    known = F.col(label).isNotNull() & F.col(proba).isNotNull()
+    return df.where(known & ~F.isnan(F.col(proba)))
 
 
 def confusion_aggs(hit: Column, positive: Column) -> list[Column]:
@@ -96,17 +97,12 @@ def score_counts(
 
 
 def ranked_scores(
-    df: DataFrame,
-    by: Sequence[str] = (),
-    label: str = "label",
-    proba: str = "proba",
-    edges: Sequence[float] | None = None,
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba"
 ) -> DataFrame:
     """Score counts with cumulative positives/negatives from the highest score down."""
-    if edges is None:
-        edges = range_edges(_scored(df, label, proba).select(F.col(proba).alias("proba")), ["proba"])["proba"]
     counts = score_counts(df, by, label, proba)
-    return running_sums(counts, by, "proba", ["pos", "neg"], edges, descending=True)
+    cells = unit_cell(F.col("proba"), range_count(df.sparkSession))
+    return running_sums(counts, by, "proba", ["pos", "neg"], cells, descending=True)
 
 
 def _rank_aggs() -> list[Column]:
@@ -150,7 +146,6 @@ def binary_metrics(
     by: Sequence[str] = (),
     label: str = "label",
     proba: str = "proba",
-    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """All metrics of a group from one ranked score table.
 
@@ -160,7 +155,7 @@ def binary_metrics(
     if isinstance(threshold, str) and threshold not in keys:
         keys.append(threshold)
     t = _threshold(threshold)
-    ranked = ranked_scores(df, keys, label, proba, edges)
+    ranked = ranked_scores(df, keys, label, proba)
     hit = F.col("proba") >= t
     table = ranked.groupBy(*keys).agg(
         *_rank_aggs(),

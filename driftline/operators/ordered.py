@@ -11,13 +11,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 1024
 SKETCH_ACCURACY = 10000
 SLICES = 512
 FINE = 256
+MIN_RANGES = 32
+FINEST = 1048576.0
+MAX_RANGES = 4096
 
 
 def sql_double(x: float) -> str:
@@ -32,13 +34,14 @@ def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy
     task spreads that merge. Per column and probability one row comes back: total count, minimum,
     maximum, and the smallest, largest and mean slice quantile.
     """
+    points = ", ".join(sql_double(p) for p in probs)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [
             F.count(c).alias(f"n{i}"),
             F.min(c).alias(f"lo{i}"),
             F.max(c).alias(f"hi{i}"),
-            F.percentile_approx(c, list(probs), accuracy).alias(f"q{i}"),
+            F.expr(f"percentile_approx(`{c}`, array({points}), {accuracy})").alias(f"q{i}"),
         ]
     slices = df.withColumn("__slice", F.spark_partition_id() % SLICES).groupBy("__slice").agg(*aggs)
     entries = ", ".join(
@@ -64,12 +67,19 @@ def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy
     return out
 
 
-def range_edges(df: DataFrame, cols: Sequence[str], ranges: int = DEFAULT_RANGES) -> dict[str, list[float]]:
+def range_count(spark: SparkSession) -> int:
+    """Value ranges per ordered column: a few per shuffle partition, so they follow the cluster."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(4 * partitions, MIN_RANGES), MAX_RANGES)
+
+
+def range_edges(df: DataFrame, cols: Sequence[str], ranges: int | None = None) -> dict[str, list[float]]:
     """Per column, at most ranges-1 increasing edges from one sketch pass."""
     cols = list(cols)
+    ranges = ranges or range_count(df.sparkSession)
     probs = [i / ranges for i in range(1, ranges)]
     data = df.select(*[_finite(F.col(c)).alias(c) for c in cols])
-    sketch = _sketch(data, cols, probs, SKETCH_ACCURACY)
+    sketch = _sketch(data, cols, probs, min(4 * ranges, SKETCH_ACCURACY))
     return {c: sorted({r["mid"] for r in sketch[c] if math.isfinite(r["mid"])}) for c in cols}
 
 
@@ -78,6 +88,19 @@ def _finite(c: Column) -> Column:
     return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
+def passed_sql(edges: Sequence[Sequence[float]], index: str, value: str) -> str:
+    """SQL counting the edges of column number `index` that `value` has reached.
+
+    One lookup per edge position, whatever the number of columns, so the generated code stays
+    small enough to be compiled. Short lists are padded with NaN, which no number reaches.
+    """
+    terms = []
+    for k in range(max(len(e) for e in edges)):
+        row = ", ".join(sql_double(e[k]) if k < len(e) else "double('NaN')" for e in edges)
+        terms.append(f"CAST({value} >= get(array({row}), {index}) AS INT)")
+    return " + ".join(terms)
+
+
 def range_id(value: str, edges: Sequence[float]) -> Column:
     """Index of the value range: a two-level search, about 2*sqrt(n) comparisons per row."""
     if not edges:
@@ -116,23 +139,33 @@ def join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*names.values())
 
 
+def unit_cell(value: Column, cells: int) -> Column:
+    """Value range of a probability without a sketch pass: equal steps of its logarithm.
+
+    Scores crowd towards 0, so ranges shrink with the score, down to about 1/FINEST. The JVM's
+    logarithm never decreases, so ranges follow value order for any double; outside [0, 1] they
+    only get less even.
+    """
+    scaled = F.greatest(value.cast("double"), F.lit(0.0)) * F.lit(FINEST)
+    return F.floor(F.log1p(scaled) * F.lit(float(cells))).cast("bigint")
+
+
 def running_sums(
     grouped: DataFrame,
     by: Sequence[str],
     value: str,
     sums: Sequence[str],
-    edges: Sequence[float],
+    place: Column,
     *,
     descending: bool = False,
 ) -> DataFrame:
     """Add, per group, cumulative and total sums over `value` order.
 
-    `grouped` has one row per (by, value). For every column s in `sums` the result has `s_cum`
-    (inclusive) and `s_total`; `__range` and `__last` (last row of its range) are kept for callers
-    that need the neighbouring range.
+    `grouped` has one row per (by, value); `place` numbers value ranges in value order. For every
+    column s in `sums` the result has `s_cum` (inclusive) and `s_total`.
     """
     by = list(by)
-    cells = grouped.withColumn("__range", range_id(value, edges))
+    cells = grouped.withColumn("__range", place)
     totals = cells.groupBy(*by, "__range").agg(*[F.sum(s).alias(f"{s}_in") for s in sums])
     # At most one row per group and range, so a window per group is bounded by the range count.
     anchor = by if by else [F.lit(0)]
@@ -151,7 +184,6 @@ def running_sums(
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.select(
         *grouped.columns,
-        "__range",
         *[(F.col(f"{s}_before") + F.sum(s).over(upto)).alias(f"{s}_cum") for s in sums],
         *[F.col(f"{s}_total") for s in sums],
     )
@@ -244,18 +276,15 @@ def _values_at_ranks(
     if not active:
         return {}
     # Bracket ends in order: an odd number of ends passed means inside a bracket.
-    ends, entries = [], []
-    for i, c in enumerate(active):
-        mine = [sql_double(x) for pair in brackets[c] for x in pair]
-        ends.append("array(" + ", ".join(mine) + ")")
-        passed = " + ".join(f"CAST(`{c}` >= {x} AS INT)" for x in mine)
-        entries.append(f"struct({i} AS c, `{c}` AS v, {passed} AS passed)")
-    at = f"get(array({', '.join(ends)}), c)"
+    ends = [[x for pair in brackets[c] for x in pair] for c in active]
+    at = "get(array(" + ", ".join("array(" + ", ".join(map(sql_double, e)) + ")" for e in ends) + "), c)"
     a, b = f"get({at}, passed - 1)", f"get({at}, passed)"
     part = f"least(CAST(floor((v - {a}) / ({b} - {a}) * {FINE}) AS INT), {FINE - 1})"
+    entries = ", ".join(f"struct({i} AS c, `{c}` AS v)" for i, c in enumerate(active))
     counts = (
-        data.select(F.expr(f"inline(array({', '.join(entries)}))"))
+        data.select(F.expr(f"inline(array({entries}))"))
         .where("v IS NOT NULL")
+        .select("c", "v", F.expr(passed_sql(ends, "c", "v")).alias("passed"))
         .select(
             "c",
             F.expr(f"passed * {FINE} + CASE WHEN passed % 2 = 1 THEN {part} ELSE 0 END").alias("cell"),
@@ -296,7 +325,7 @@ def grouped_quantiles(
     if edges is None:
         edges = range_edges(data, [col])[col]
     counts = data.groupBy(*by, F.col(col).cast("double").alias("__v")).agg(F.count("*").alias("n"))
-    ranked = running_sums(counts, by, "__v", ["n"], edges)
+    ranked = running_sums(counts, by, "__v", ["n"], range_id("__v", edges))
     aggs = [F.max("n_total").alias("n")]
     for name, p in probs.items():
         h = (F.col("n_total") - 1).cast("double") * F.lit(float(p))
