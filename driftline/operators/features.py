@@ -155,24 +155,23 @@ def feature_pipeline(df: DataFrame, spec: TableSpec, params: FeatureParams) -> P
     stages = [SQLTransformer(statement="SELECT *, " + ", ".join(numeric_sql() + texts) + " FROM __THIS__")]
     inputs = [f"z_{n}" for n in _numeric_names(spec)]
     if spec.categorical:
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [params.categories[c] for c in spec.categorical],
-            inputCols=[f"c_{c}" for c in spec.categorical],
-            outputCols=[f"i_{c}" for c in spec.categorical],
-            handleInvalid="keep",
-        )
-        stages.append(indexer)
+        # One indexer per column: a joint one would need category lists of equal length.
+        for c in spec.categorical:
+            stages.append(
+                StringIndexerModel.from_labels(
+                    params.categories[c], inputCol=f"c_{c}", outputCol=f"i_{c}", handleInvalid="keep"
+                )
+            )
         # The extra "keep" slot is the one dropped, so an unseen value is all zeros.
         encoder = OneHotEncoder(
             inputCols=[f"i_{c}" for c in spec.categorical],
             outputCols=[f"o_{c}" for c in spec.categorical],
             dropLast=True,
-            handleInvalid="keep",
         )
         probe = df.limit(0)
         for stage in stages:
             probe = stage.transform(probe)
-        stages.append(encoder.setHandleInvalid("error").fit(probe))
+        stages.append(encoder.fit(probe))
         inputs += [f"o_{c}" for c in spec.categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     return PipelineModel(stages)

@@ -194,48 +194,48 @@ def cost_curve(
     """
     cells = (
         _scored(df, label, proba)
-        .groupBy(*by, grid_cell(F.col(proba)).alias("cell"))
+        .groupBy(*by, grid_cell(F.col(proba)).alias("__cell"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     )
     anchor = list(by) if by else [F.lit(0)]
     whole = Window.partitionBy(*anchor)
-    above = whole.orderBy(F.col("cell").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    above = whole.orderBy(F.col("__cell").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = whole.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     # A cell c is hit by thresholds 0..c-1; between two occupied cells the counts do not change,
     # so each occupied cell emits the thresholds from the previous occupied cell up to its own.
     spread = cells.select(
         *by,
-        "cell",
-        F.coalesce(F.max("cell").over(below), F.lit(0)).alias("from_cell"),
+        "__cell",
+        F.coalesce(F.max("__cell").over(below), F.lit(0)).alias("__from"),
         F.sum("pos").over(above).alias("tp"),
         F.sum("neg").over(above).alias("fp"),
         F.sum("pos").over(whole).alias("positives"),
         F.sum("neg").over(whole).alias("negatives"),
-        F.max("cell").over(whole).alias("top"),
+        F.max("__cell").over(whole).alias("__top"),
     )
     inside = F.when(
-        F.col("from_cell") < F.col("cell"),
+        F.col("__from") < F.col("__cell"),
         F.transform(
-            F.sequence(F.col("from_cell"), F.col("cell") - 1),
+            F.sequence(F.col("__from"), F.col("__cell") - 1),
             lambda i: F.struct(i.alias("i"), F.col("tp").alias("tp"), F.col("fp").alias("fp")),
         ),
     )
     beyond = F.when(
-        (F.col("cell") == F.col("top")) & (F.col("top") < GRID_POINTS),
+        (F.col("__cell") == F.col("__top")) & (F.col("__top") < GRID_POINTS),
         F.transform(
-            F.sequence(F.col("top"), F.lit(GRID_POINTS - 1)),
+            F.sequence(F.col("__top"), F.lit(GRID_POINTS - 1)),
             lambda i: F.struct(i.alias("i"), F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("fp")),
         ),
     )
     empty = F.array().cast("array<struct<i:int,tp:bigint,fp:bigint>>")
     points = F.concat(F.coalesce(inside, empty), F.coalesce(beyond, empty))
-    grid = spread.select(*by, "positives", "negatives", F.explode(points).alias("g"))
-    tp, fp = F.col("g.tp"), F.col("g.fp")
+    grid = spread.select(*by, "positives", "negatives", F.explode(points).alias("__g"))
+    tp, fp = F.col("__g.tp"), F.col("__g.fp")
     fn = F.col("positives") - tp
     return grid.select(
         *by,
-        F.col("g.i").alias("grid_index"),
-        grid_value(F.col("g.i")).alias("threshold"),
+        F.col("__g.i").alias("grid_index"),
+        grid_value(F.col("__g.i")).alias("threshold"),
         fp.alias("fp"),
         fn.alias("fn"),
         ratio(tp, F.col("positives")).alias("recall"),
@@ -258,17 +258,17 @@ def choose_threshold(
     ok = F.col("recall") >= F.lit(float(floor))
     point = F.struct("grid_index", "threshold", "cost", "recall", "fp", "fn")
     best = curve.groupBy(*by).agg(
-        F.min_by(point, F.when(ok, F.struct(F.col("cost"), F.col("grid_index")))).alias("best"),
-        F.min_by(point, F.struct(-F.col("recall"), F.col("grid_index"))).alias("fallback"),
+        F.min_by(point, F.when(ok, F.struct(F.col("cost"), F.col("grid_index")))).alias("__best"),
+        F.min_by(point, F.struct(-F.col("recall"), F.col("grid_index"))).alias("__fallback"),
     )
-    return best.withColumn("pick", F.coalesce("best", "fallback")).select(
+    return best.withColumn("__pick", F.coalesce("__best", "__fallback")).select(
         *by,
-        F.col("pick.threshold").alias("threshold"),
-        F.col("pick.cost").alias("cost"),
-        F.col("pick.recall").alias("recall"),
-        F.col("pick.fp").alias("fp"),
-        F.col("pick.fn").alias("fn"),
-        F.col("best").isNotNull().alias("floor_met"),
+        F.col("__pick.threshold").alias("threshold"),
+        F.col("__pick.cost").alias("cost"),
+        F.col("__pick.recall").alias("recall"),
+        F.col("__pick.fp").alias("fp"),
+        F.col("__pick.fn").alias("fn"),
+        F.col("__best").isNotNull().alias("floor_met"),
     )
 
 

@@ -45,24 +45,23 @@ def train_run(
     Every stage writes its table once and the next stage reads it. Returns the run summary.
     """
     clean, _ = tables.drop_leaks(raw, spec.leak)
-    tables.write_stage(ingest.dedup_exact(clean), paths.stage(run, "examples"))
-    examples = tables.read_stage(spark, paths.stage(run, "examples"))
-    coerced = tables.coerce(examples, spec)
+    # Coerced once and stored: later stages read typed columns and can push filters to the scan.
+    tables.write_stage(tables.coerce(ingest.dedup_exact(clean), spec), paths.stage(run, "examples"))
+    coerced = tables.read_stage(spark, paths.stage(run, "examples"))
     numeric = [c for c in spec.numeric if c in coerced.columns]
     text = [c for c in (*spec.categorical, spec.target) if c in coerced.columns]
     tables.write_stage(ingest.profile_numeric(coerced, numeric), paths.stage(run, "profile_numeric"))
     tables.write_stage(ingest.profile_top_values(coerced, text), paths.stage(run, "profile_values"))
     tables.write_stage(contract.contract_table(spark, spec), paths.stage(run, "contract"))
-    validated = validate_or_alert(spark, coerced, spec, paths, run, event_seq)
-    tables.write_stage(validated, paths.stage(run, "validated"))
-    valid = tables.read_stage(spark, paths.stage(run, "validated"))
+    # The validated table is the stored one: passing the gate changes no row.
+    valid = validate_or_alert(spark, coerced, spec, paths, run, event_seq)
     split.check_split(valid, spec.date, spec.target)
     parts = split.time_split(valid, spec.date, target=spec.target)
     tables.write_stage(parts, paths.stage(run, "split"), ["split"])
     parts = spark.read.parquet(paths.stage(run, "split"))
     info = split.split_info(parts, spec.date, F.col(spec.target) == spec.positive)
     records.append_record(info.withColumn("run_id", F.lit(run)), paths.table("split_info"))
-    version = ingest.fingerprint(examples).withColumns({"run_id": F.lit(run), "code_version": F.lit(code_version)})
+    version = ingest.fingerprint(coerced).withColumns({"run_id": F.lit(run), "code_version": F.lit(code_version)})
     records.append_record(version, paths.table("data_versions"))
     versions, metric_rows, _ = models.train_candidates(parts, spec, only, overrides=overrides)
     sizes = {}
