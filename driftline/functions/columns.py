@@ -22,10 +22,6 @@ CSV_NULLS = (
 # Fixed value: characters stripped from both ends of a text cell.
 BLANKS = " \t\n\r\x0b\x0c"
 
-# Fixed value: texts that may be read as a number. Java would also take "1.0d"; we do not.
-NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
-
-
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
@@ -45,7 +41,11 @@ def to_double(c: Column, *, is_text: bool = True) -> Column:
     if not is_text:
         return nan_to_null(c.cast("double"))
     text = strip(c)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    value = text.try_cast("double")
+    # The JVM also reads "1.0d", "1f" and hexadecimal numbers; these are not numbers here.
+    low = F.lower(text)
+    suffix = low.endswith("d") | (low.endswith("f") & ~low.endswith("inf"))
+    return F.when(~F.isnan(value) & ~suffix & ~low.contains("x"), value)
 
 
 def to_date(c: Column, fmt: str = "yyyy-MM-dd", *, is_text: bool = True) -> Column:
@@ -112,7 +112,12 @@ def rounded(c: Column, places: int = 6) -> Column:
     return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
 
 
-def unit_hash(parts: Sequence[Column], seed: int) -> Column:
-    """Deterministic number in [0, 1) from the key and a seed, independent of partitioning."""
+def key_hash(parts: Sequence[Column], seed: int) -> Column:
+    """32-bit hash of the key and a seed as a bigint, independent of partitioning."""
     text = F.concat_ws("|", *[p.cast("string") for p in parts], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def unit_hash(parts: Sequence[Column], seed: int) -> Column:
+    """The key hash as a number in [0, 1)."""
+    return key_hash(parts, seed).cast("double") / F.lit(4294967296.0)

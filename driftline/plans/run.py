@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions import columns as X
 from driftline.operators import contract, drift, ingest, models, registry, split
+from driftline.session import ensure_checkpoint_dir
 from driftline.sources import records, tables
 from driftline.spec import TableSpec
 
@@ -214,9 +215,12 @@ def monitor_exercise(
 
     `score` adds `proba` to a table (a fitted model or an expression).
     """
+    ensure_checkpoint_dir(test.sparkSession)
     ref, windows = demo_windows(test, spec, recipe, size)
     label = X.encode_label(F.col(spec.target), spec.positive, spec.negative)
-    scored = score(windows).withColumn("label", label)
+    # Small samples read by several detectors: sampled and scored once, lineage cut.
+    ref = ref.checkpoint()
+    scored = score(windows).withColumn("label", label).checkpoint()
     history = drift.monitor_windows(ref, scored, spec, ["window_id", "window_seq"], threshold, second)
     return drift.retrain_decision(history, "window_seq")
 

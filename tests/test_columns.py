@@ -12,9 +12,9 @@ def values(spark, data, expr, ddl="v string"):
 
 
 def test_to_double(spark):
-    data = ["1.5", " -2e3 ", "abc", "", "NaN", "nan", "1.0d", "inf", "-inf", "1_0", None, ".5", "5."]
+    data = ["0x1p3", "1f", "1.5", " -2e3 ", "abc", "", "NaN", "nan", "1.0d", "inf", "-inf", "1_0", None, ".5", "5."]
     got = values(spark, data, X.to_double)
-    assert got == [1.5, -2000.0, None, None, None, None, None, math.inf, -math.inf, None, None, 0.5, 5.0]
+    assert got == [None, None, 1.5, -2000.0, None, None, None, None, None, math.inf, -math.inf, None, None, 0.5, 5.0]
 
 
 def test_to_date(spark):

@@ -65,5 +65,5 @@ def test_class_weights(spark):
     got = {r["label"]: r for r in FT.class_weight_table(df, "label").collect()}
     assert got[1]["balanced"] == 2.0 and math.isclose(got[0]["balanced"], 2 / 3)
     assert got[1]["positive"] == 3.0 and got[0]["positive"] == 1.0
-    w = {r["label"]: r["weight"] for r in FT.with_weight(df, "label", "positive").collect()}
+    w = {r["label"]: r["weight"] for r in FT.with_weight(df, "label", "positive")[0].collect()}
     assert w == {1: 3.0, 0: 1.0}
