@@ -112,8 +112,8 @@ def range_id(value: str, edges: Sequence[float]) -> Column:
         "array(" + ", ".join(sql_double(x) for x in chunk) + ")" for chunk in chunks
     )
     v = f"CAST(`{value}` AS DOUBLE)"
-    chunk = f"size(filter(array({tops}), x -> x <= {v}))"
-    inner = f"coalesce(size(filter(get(array({nested}), {chunk}), x -> x <= {v})), 0)"
+    chunk = f"size(filter(array({tops}), __edge -> __edge <= {v}))"
+    inner = f"coalesce(size(filter(get(array({nested}), {chunk}), __edge -> __edge <= {v})), 0)"
     # size(NULL) is -1 or NULL depending on the session, so past-the-end is spelled out.
     return F.expr(
         f"CASE WHEN {chunk} >= {len(chunks)} THEN {len(chunks) * width} ELSE {chunk} * {width} + {inner} END"
