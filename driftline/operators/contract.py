@@ -143,10 +143,15 @@ def with_reasons(df: DataFrame, spec: TableSpec, require_target: bool = False) -
 
 
 def gate_rows(df: DataFrame, spec: TableSpec, require_target: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, quarantined rows with their reasons)."""
-    marked = with_reasons(df, spec, require_target)
-    accepted = marked.where(F.size("reasons") == 0).drop("reasons")
-    return accepted, marked.where(F.size("reasons") > 0)
+    """(accepted rows, quarantined rows with their reasons).
+
+    One compiled boolean decides; reasons are only built for the rows that fail. A declared
+    column that is absent rejects every row.
+    """
+    if missing_columns(df, spec, require_target):
+        return df.where(F.lit(False)), with_reasons(df, spec, require_target)
+    bad = any_violation(present_rules(df, spec, require_target))
+    return df.where(~bad), with_reasons(df.where(bad), spec, require_target)
 
 
 def contract_table(spark: SparkSession, spec: TableSpec) -> DataFrame:

@@ -24,12 +24,14 @@ def gate_stream(
     """Row gate on a stream: accepted rows and quarantined rows with reasons go to two tables."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = contract.with_reasons(batch, spec, require_target).persist()
+        # Parsed once for the two writes.
+        rows = batch.persist()
         try:
-            core.write_batch(marked.where(F.size("reasons") == 0).drop("reasons"), accepted, batch_id)
-            core.write_batch(marked.where(F.size("reasons") > 0), quarantine, batch_id)
+            good, bad = contract.gate_rows(rows, spec, require_target)
+            core.write_batch(good, accepted, batch_id)
+            core.write_batch(bad, quarantine, batch_id)
         finally:
-            marked.unpersist()
+            rows.unpersist()
 
     return core.batch_sink(stream, write, checkpoint)
 
