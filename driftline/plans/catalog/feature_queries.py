@@ -37,7 +37,8 @@ def parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_part(spark: SparkSession, sf: str) -> DataFrame:
-    return parts(spark, sf).where(F.col("split") == "train")
+    rows = split.labeled(B.lines(spark, sf), "outcome")
+    return split.take(rows, "ship_date", split.find_cuts(rows, "ship_date"), "train")
 
 
 def _param_sql(name: str) -> str:
