@@ -32,6 +32,18 @@ RETRAIN_WINDOWS = 2
 MIN_SCALE = 0.001
 MAX_WINDOWS = 10_000  # Guard on the window list of the second detector.
 
+# Column names the detectors use themselves; a window column of that name would be shadowed.
+RESERVED = frozenset(
+    "ordinal column value v bin n_bins score reason p q r c w rc cc rn cn gap fr fc area sd first_v".split()
+)
+
+
+def _window_columns(by: Sequence[str]) -> list[str]:
+    clash = RESERVED.intersection(by)
+    if clash:
+        raise ValueError(f"window columns may not be named {sorted(clash)}")
+    return list(by)
+
 
 @dataclass(frozen=True)
 class Cuts:
@@ -93,7 +105,7 @@ def psi(
     A column is 0 when either side has fewer than `bins` values or the reference has fewer than
     three distinct cuts.
     """
-    cols = list(cols)
+    cols, by = list(cols), _window_columns(by)
     cuts = cuts or reference_cuts(ref, cols, bins)
     spark = cur.sparkSession
     grid = spark.createDataFrame(
@@ -124,6 +136,7 @@ def _category_shares(
     p is the reference share (0 if absent there). Categories only the reference has are recovered
     by the callers from 1 - sum(p), so the reference is never repeated per window.
     """
+    by = _window_columns(by)
     r = unpivot_text(ref, cols).groupBy("column", "value").agg(F.count("*").alias("rc"))
     c = unpivot_text(cur, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cc"))
     # Totals come from the counts (same shuffle), not from another scan; one row per column.
@@ -212,7 +225,7 @@ def wasserstein(ref: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequenc
     (window lists are short and checked); cumulative shares are formed range by range, and the
     gap to the next value crosses range borders through the ranges' smallest values.
     """
-    cols, by = list(cols), list(by)
+    cols, by = list(cols), _window_columns(by)
     edges = range_edges(ref, cols)
 
     def long(df: DataFrame, keep: Sequence[str]) -> DataFrame:

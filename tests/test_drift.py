@@ -120,3 +120,9 @@ def test_retrain_rule(spark, history, reasons):
 def test_scheduled_without_history(spark):
     row = D.scheduled_only(spark.range(1)).first()
     assert row["retrain"] and row["reasons"] == ["scheduled_weekly"]
+
+
+def test_shadowed_window_name_is_refused(spark):
+    df = spark.createDataFrame([(1, 2.0)], "v int, x double")
+    with pytest.raises(ValueError, match="may not be named"):
+        D.wasserstein(df, df, ["x"], ["v"])
