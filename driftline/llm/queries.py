@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import chat, packing, quality
+from driftline.llm import chat, packing, quality, secrets
 from driftline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(HOSTILE).alias("text"),
     )
     return chat.digests(chat.format_log(chat.log_of(rows.unionByName(hostile))))
+
+
+@query("op9_secret_scans")
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(documents(spark, sf_dir)))
