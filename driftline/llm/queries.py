@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import chat, packing, quality, secrets
+from driftline.llm import chat, packing, quality, secrets, toxicity
 from driftline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,13 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_scans")
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(documents(spark, sf_dir)))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    ids = toxicity.score(docs, model)
+    return ids.select(
+        "row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "toxicity.score", "toxicity.predicted"
+    )
