@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import chat, packing, quality, secrets, toxicity
+from driftline.llm import chat, licenses, packing, quality, secrets, toxicity
 from driftline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select(
         "row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "toxicity.score", "toxicity.predicted"
     )
+
+
+@query("op10_license_scans")
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(documents(spark, sf_dir)))
