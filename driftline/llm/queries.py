@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import chat, licenses, packing, quality, secrets, toxicity
+from driftline.llm import bpe, chat, licenses, packing, quality, secrets, toxicity
 from driftline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scans")
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(documents(spark, sf_dir)))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
