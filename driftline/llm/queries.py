@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, chat, licenses, packing, quality, secrets, toxicity
+from driftline.llm import bpe, chat, licenses, neardup, packing, quality, secrets, toxicity
 from driftline.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_minhash_neardup")
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(documents(spark, sf_dir))
