@@ -31,8 +31,6 @@ OPEN_WINDOWS = 16
 #: Partitions whose leftovers one task merges: at most 16 * OPEN_WINDOWS windows.
 MERGED_PARTITIONS = 16
 END_ID = 1
-#: Distinct words whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 600_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -45,9 +43,7 @@ def byte_symbols() -> dict[str, int]:
 class ByteIds:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, equal to those of the tokenizers library.
 
-    Text is cut at single spaces, where a byte-level token can never span, and each distinct piece is
-    encoded once per worker. A space beside other white space, or a special token's string, makes the
-    whole text go through the encoder at once.
+    The library's own file is read; a special token's string in a text is that token, as there.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,30 +53,9 @@ class ByteIds:
         special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         ranks = {bytes(symbols[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
         self.coder = tiktoken.Encoding("byte", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special = tuple(special)
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return pa.array(self.coder.encode(text, allowed_special="all"), pa.uint32()).to_numpy().tobytes()
-
-    def piece(self, word: str) -> bytes:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        found = self.known[word] = self.whole(" " + word)
-        return found
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special) or _touching(text):
-            return self.whole(text)
-        head, *words = text.split(" ")
-        known, piece = self.known.get, self.piece
-        return self.whole(head) + b"".join([known(w) or piece(w) for w in words])
-
-
-def _touching(text: str) -> bool:
-    """Whether a space stands beside other white space (any Unicode kind)."""
-    words = text.split(" ")
-    return any(not w or w[0].isspace() or w[-1].isspace() for w in words) if len(words) > 1 else False
+        return self.coder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 @cache
@@ -168,9 +143,9 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, window: int, limit: int, schema: T.StructType):
-    part = TaskContext.get().partitionId()
+    number = TaskContext.get().partitionId()
     coder, end = byte_ids(path), END_ID.to_bytes(4, "little")
-    rows = _Rows(_arrow(schema), part << 32, part=part)
+    rows = _Rows(_arrow(schema), number << 32, part=number)
     windows = Windows(window, limit, partial(rows.add, open=False))
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
