@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, chat, licenses, neardup, packing, quality, secrets, toxicity
-from driftline.llm.common import documents
+from driftline.llm import bpe, chat, fingerprints, licenses, neardup, packing, quality, secrets, toxicity
+from driftline.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,21 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_minhash_neardup")
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(documents(spark, sf_dir))
+
+
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = stored(fingerprints.compare(documents(spark, sf_dir)), "fingerprints")
+    counts = fingerprints.near_counts(told.select("doc_id", F.col("own").alias("f")))
+    asked = F.when(F.col("doc_id") % 20 == 0, F.col("own"))
+    told = told.withColumn("asked", asked).join(counts, F.col("asked") == F.col("q"), "left")
+    return told.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.hexed(F.col("own")).alias("fingerprint"),
+        fingerprints.hexed(F.col("changed")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        fingerprints.likeness(F.col("own"), F.col("following")).alias("near_next"),
+        "n_near",
+    )
