@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, chat, fingerprints, licenses, neardup, packing, quality, secrets, toxicity
+from driftline.llm import bpe, chat, fingerprints, licenses, lm, neardup, packing, quality, secrets, toxicity
 from driftline.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,8 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("own"), F.col("following")).alias("near_next"),
         "n_near",
     )
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
