@@ -314,5 +314,6 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document of smallest id of each component, and rows with a null id; columns as they came."""
-    gone = link(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(gone, col(id_col) == F.col("id"), "left_anti")
+    gone = link(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct(*(col(c) for c in docs.columns)).alias("row"), col(id_col).alias("key"))
+    return rows.join(gone, F.col("key") == F.col("gone"), "left_anti").select("row.*")
