@@ -17,9 +17,20 @@ from driftline.spec import Rule, TableSpec
 PREVIEW = 20  # Fixed value: failures listed in a report before the total.
 
 
+ABSENT = "column_in_dataframe"  # Fixed value: check that a declared column without data fails.
+
+
 class ContractError(RuntimeError):
     """A batch broke its contract; it must not be trained on or scored."""
 
+    def __init__(self, message: str, total_failures: int = 0) -> None:
+        super().__init__(message)
+        self.total_failures = total_failures
+
+
+def _ordinal(spec: TableSpec, column: str) -> int:
+    return next((i for i, r in enumerate(spec.rules) if r.column == column), len(spec.rules))
+
 
 def present_rules(df: DataFrame, spec: TableSpec, require_target: bool) -> list[tuple[int, Rule]]:
     return [(i, r) for i, r in spec.rules_for(require_target) if r.column in df.columns]
@@ -61,12 +72,11 @@ def violations(
     bad = df.where(any_violation(rules))
     out = bad.select(*ids, F.explode(_failures(rules)).alias("__f")).select(*ids, "__f.*")
     for c in missing_columns(df, spec, require_target):
-        ordinal = next((i for i, r in enumerate(spec.rules) if r.column == c), len(spec.rules))
         row = df.sparkSession.range(1).select(
             *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in ids],
-            F.lit(ordinal).alias("ordinal"),
+            F.lit(_ordinal(spec, c)).alias("ordinal"),
             F.lit(c).alias("column"),
-            F.lit("column_in_dataframe").alias("check"),
+            F.lit(ABSENT).alias("check"),
             F.lit(None).cast("string").alias("value"),
         )
         out = out.unionByName(row)
@@ -76,7 +86,10 @@ def violations(
 def violation_summary(
     df: DataFrame, spec: TableSpec, require_target: bool = True, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Failure count of every rule (zero included), one aggregation over the table."""
+    """Failure count of every rule (zero included), one aggregation over the table.
+
+    A declared column that is absent counts once for every group.
+    """
     rules = present_rules(df, spec, require_target)
     counts = df.groupBy(*by).agg(*[F.count_if(r.violated()).alias(f"r{i}") for i, r in rules])
     entries = F.array(
@@ -88,7 +101,16 @@ def violation_summary(
                 F.col(f"r{i}").alias("failures"),
             )
             for i, r in rules
-        ]
+        ],
+        *[
+            F.struct(
+                F.lit(_ordinal(spec, c)).alias("ordinal"),
+                F.lit(c).alias("column"),
+                F.lit(ABSENT).alias("check"),
+                F.lit(1).cast("bigint").alias("failures"),
+            )
+            for c in missing_columns(df, spec, require_target)
+        ],
     )
     return counts.select(*by, F.explode(entries).alias("__e")).select(*by, "__e.*")
 
@@ -113,20 +135,26 @@ def report_text(report: DataFrame, key: Sequence[str]) -> str:
 
 def gate_batch(df: DataFrame, spec: TableSpec, require_target: bool = True) -> DataFrame:
     """Return the batch unchanged, or raise: one bad cell rejects the whole batch."""
-    found = violations(df, spec, require_target)
-    if found.isEmpty():
+    total = violation_summary(df, spec, require_target).agg(F.sum("failures")).first()[0] or 0
+    if not total:
         return df
-    raise ContractError(report_text(failure_report(found, spec.key), spec.key))
+    found = violations(df, spec, require_target).orderBy("ordinal", *spec.key).limit(PREVIEW)
+    report = found.withColumn("total_failures", F.lit(total))
+    raise ContractError(report_text(report, spec.key), total)
 
 
 def gate_batches(df: DataFrame, spec: TableSpec, batch: Sequence[str], require_target: bool = True) -> DataFrame:
-    """Accept/reject verdict per batch when many batches share one table."""
+    """Accept/reject verdict per batch when many batches share one table.
+
+    Every declared column that is absent is one failure of every batch.
+    """
     rules = present_rules(df, spec, require_target)
-    faults = reduce(lambda a, b: a + b, [r.violated().cast("int") for _, r in rules])
+    absent = len(missing_columns(df, spec, require_target))
+    faults = reduce(lambda a, b: a + b, [r.violated().cast("int") for _, r in rules], F.lit(0))
     return df.groupBy(*batch).agg(
         F.count("*").alias("n_rows"),
-        F.sum(faults).cast("bigint").alias("total_failures"),
-        (F.max(faults) == 0).alias("accepted"),
+        (F.sum(faults) + absent).cast("bigint").alias("total_failures"),
+        ((F.max(faults) == 0) & F.lit(absent == 0)).alias("accepted"),
     )
 
 
@@ -138,7 +166,7 @@ def with_reasons(df: DataFrame, spec: TableSpec, require_target: bool = False) -
     rules = present_rules(df, spec, require_target)
     cases = [F.when(r.violated(), F.lit(f"{r.column} {r.check}")) for _, r in rules]
     for c in missing_columns(df, spec, require_target):
-        cases.append(F.lit(f"{c} column_in_dataframe"))
+        cases.append(F.lit(f"{c} {ABSENT}"))
     return df.withColumn("reasons", F.array_compact(F.array(*cases)))
 
 

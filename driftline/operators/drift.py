@@ -1,14 +1,15 @@
 """Distribution drift against a reference, window classification and the retrain rule.
 
-Reference cut points are exact deciles computed once. Each window is then read once: values fall
-into at most `bins` counters per column, categories into one counter each, so shuffles carry
-aggregates only. `by` columns name the windows.
+The reference is reduced once to a `Profile`: exact deciles, counts per bin, category and distinct
+value. Every detector takes a profile or a reference table (which it profiles itself). Each window is
+read once: values fall into at most `bins` counters per column, categories into one counter each, so
+shuffles carry aggregates only. `by` columns name the windows; without them a side may be empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +19,16 @@ from driftline.functions import columns as X
 from driftline.functions.columns import ratio
 from driftline.operators import metrics as M
 from driftline.operators.ingest import unpivot_text
-from driftline.operators.ordered import exact_quantiles, join_on, passed_sql, range_edges, range_id, sql_double
+from driftline.operators.ordered import (
+    exact_quantiles,
+    join_on,
+    passed_sql,
+    range_count,
+    range_edges,
+    range_id,
+    running_sums,
+    sql_double,
+)
 from driftline.spec import TableSpec
 
 # Limits of the drift and retrain rules.
@@ -30,11 +40,10 @@ DRIFT_SHARE_LIMIT = 0.30
 RECALL_RETRAIN = 0.60
 RETRAIN_WINDOWS = 2
 MIN_SCALE = 0.001
-MAX_WINDOWS = 10_000  # Guard on the window list of the second detector.
 
 # Column names the detectors use themselves; a window column of that name would be shadowed.
 RESERVED = frozenset(
-    "ordinal column value v bin n_bins score reason p q r c w rc cc rn cn gap fr fc area sd first_v".split()
+    "ordinal column value v bin n_bins score reason p q r c k rc cc rn cn area sd mean rr rv cr level next".split()
 )
 
 
@@ -69,6 +78,9 @@ def _bin_counts(df: DataFrame, cuts: Cuts, by: Sequence[str], bins: int, prefix:
     Bins are [a, b) with the last one closed; values outside the cuts are counted in n only. A
     window without any value of a column still gets its row.
     """
+    if not cuts.edges:
+        none = df.sparkSession.createDataFrame([], f"ordinal int, column string, {prefix}n bigint")
+        return none.withColumns({f"{prefix}{k}": F.lit(0).cast("bigint") for k in range(bins)})
     edges = [e if len(e) > 1 else [] for e in cuts.edges.values()]
     number = "CASE WHEN NOT isnan(CAST(`{c}` AS DOUBLE)) THEN CAST(`{c}` AS DOUBLE) END"
     entries = ", ".join(
@@ -92,8 +104,124 @@ def _bin_counts(df: DataFrame, cuts: Cuts, by: Sequence[str], bins: int, prefix:
     )
 
 
-def psi(
+@dataclass(frozen=True)
+class Profile:
+    """All that the detectors need of a reference; its size follows the distinct values, not the rows."""
+
+    numeric: tuple[str, ...]
+    text: tuple[str, ...]
+    cuts: Cuts
+    bins: DataFrame  # ordinal, n_bins, rn, r0, r1, ...
+    numbers: DataFrame  # column, v, rr: rows up to v, rv: their sum of values; one row a distinct finite value
+    moments: DataFrame  # column, rn, mean, sd of the finite values; one row a column
+    edges: dict[str, list[float]]  # borders of even value ranges
+    shares: DataFrame  # column, value, p; one row a category
+    is_empty: bool
+
+
+def profile(
     ref: DataFrame,
+    numeric: Sequence[str],
+    text: Sequence[str] = (),
+    cuts: Cuts | None = None,
+    bins: int = BINS,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
+    parts: Sequence[str] = ("bins", "numbers", "shares"),
+) -> Profile:
+    """Reduce a reference. `keep(table, name)` may write each part, so that later uses read it back.
+
+    A detector that profiles a table itself names the parts it reads; the others cost no pass.
+    """
+    keep = keep or (lambda df, name: df)
+    numeric, text = list(numeric), list(text)
+    if cuts is None:
+        cuts = reference_cuts(ref, numeric, bins) if "bins" in parts else Cuts({c: [] for c in numeric})
+    spark = ref.sparkSession
+    grid = spark.createDataFrame([(i, cuts.bins(c)) for i, c in enumerate(numeric)], "ordinal int, n_bins int")
+    counts = grid.join(_bin_counts(ref, cuts, (), bins, "r").drop("column"), "ordinal", "left").na.fill(0)
+    edges = range_edges(ref, numeric) if numeric and "numbers" in parts else {c: [] for c in numeric}
+    values = _long_numbers(ref, numeric).groupBy("column", "v").agg(F.count("*").alias("r"))
+    values = values.withColumn("rv", F.col("v") * F.col("r"))
+    sums = running_sums(values, ["column"], "v", ["r", "rv"], _value_range(numeric, edges))
+    numbers = sums.select("column", "v", F.col("r_cum").alias("rr"), F.col("rv_cum").alias("rv"))
+    numbers = keep(numbers, "numbers")
+    spread = ref.agg(
+        *[f(_finite(F.col(c))).alias(f"{n}{i}") for i, c in enumerate(numeric) for n, f in _MOMENTS.items()],
+        F.count("*").alias("n_rows"),
+    )
+    entries = [f"struct('{c}' AS column, rn{i} AS rn, mean{i} AS mean, sd{i} AS sd)" for i, c in enumerate(numeric)]
+    none = "CAST(array() AS array<struct<column:string,rn:bigint,mean:double,sd:double>>)"
+    moments = spread.select(F.expr(f"inline({'array(' + ', '.join(entries) + ')' if entries else none})"))
+    r = unpivot_text(ref, text).groupBy("column", "value").agg(F.count("*").alias("rc")) if text else None
+    if r is None:
+        shares = spark.createDataFrame([], "column string, value string, p double")
+    else:
+        # One row per column: every row of the reference has one value of each.
+        rn = r.groupBy("column").agg(F.sum("rc").alias("rn"))
+        shares = join_on(r, F.broadcast(rn), ["column"]).select("column", "value", ratio(F.col("rc"), F.col("rn")).alias("p"))
+    return Profile(
+        tuple(numeric),
+        tuple(text),
+        cuts,
+        keep(counts, "bins"),
+        numbers,
+        keep(moments, "moments"),
+        edges,
+        keep(shares, "shares"),
+        "shares" in parts and ref.isEmpty(),
+    )
+
+
+_MOMENTS = {"rn": F.count, "mean": F.avg, "sd": F.stddev_pop}
+
+
+def _profiled(
+    ref: DataFrame | Profile,
+    part: str,
+    numeric: Sequence[str] = (),
+    text: Sequence[str] = (),
+    cuts: Cuts | None = None,
+    bins: int = BINS,
+) -> Profile:
+    """The profile to compare with, its numeric columns numbered as in `numeric`."""
+    if not isinstance(ref, Profile):
+        return profile(ref, numeric, text, cuts, bins, parts=[part])
+    if part != "bins" or list(numeric) == list(ref.numeric):
+        return ref
+    numbers = {ref.numeric.index(c): i for i, c in enumerate(numeric)}
+    places = ref.bins.sparkSession.createDataFrame(list(numbers.items()), "ordinal int, __new int")
+    own = ref.bins.join(F.broadcast(places), "ordinal").drop("ordinal").withColumnRenamed("__new", "ordinal")
+    return replace(ref, cuts=Cuts({c: ref.cuts.edges[c] for c in numeric}), bins=own)
+
+
+def _finite(c: Column) -> Column:
+    d = c.cast("double")
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
+
+
+def _long_numbers(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column, v) of the finite values."""
+    parts = [F.struct(F.lit(c).alias("column"), _finite(F.col(c)).alias("v")) for c in cols]
+    long = F.array(*parts) if parts else F.array().cast("array<struct<column:string,v:double>>")
+    return df.select(*keep, F.explode(long).alias("__e")).select(*keep, "__e.*").where("v IS NOT NULL")
+
+
+def _value_range(cols: Sequence[str], edges: dict[str, list[float]]) -> Column:
+    place = F.lit(0)
+    for name in cols:
+        place = F.when(F.col("column") == name, range_id("v", edges[name])).otherwise(place)
+    return place
+
+
+def _each_column(cur: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(window..., ordinal, column) of every window; without window columns one window, rows or not."""
+    windows = cur.select(*by).distinct() if by else cur.sparkSession.range(1).select()
+    names = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(c).alias("column")) for i, c in enumerate(cols)])
+    return windows.select(*by, F.explode(names).alias("__e")).select(*by, "__e.*")
+
+
+def psi(
+    ref: DataFrame | Profile,
     cur: DataFrame,
     cols: Sequence[str],
     by: Sequence[str] = (),
@@ -102,18 +230,16 @@ def psi(
 ) -> DataFrame:
     """Population stability index per window and numeric column, with the reason of a zero.
 
-    A column is 0 when either side has fewer than `bins` values or the reference has fewer than
-    three distinct cuts.
+    A column is 0 when either side has fewer than `bins` values (an empty side included) or the
+    reference has fewer than three distinct cuts.
     """
     cols, by = list(cols), _window_columns(by)
-    cuts = cuts or reference_cuts(ref, cols, bins)
-    spark = cur.sparkSession
-    grid = spark.createDataFrame(
-        [(i, cuts.bins(c)) for i, c in enumerate(cols)], "ordinal int, n_bins int"
-    )
-    # One row per column, so these two sides are always small.
-    base = F.broadcast(_bin_counts(ref, cuts, (), bins, "r").drop("column"))
-    joined = _bin_counts(cur, cuts, by, bins, "c").join(base, "ordinal").join(F.broadcast(grid), "ordinal")
+    known = _profiled(ref, "bins", cols, (), cuts, bins)
+    counts = _bin_counts(cur, known.cuts, by, bins, "c")
+    if not by:
+        counts = _each_column(cur, (), cols).join(counts.drop("column"), "ordinal", "left").na.fill(0)
+    # One row per column, so this side is always small.
+    joined = counts.join(F.broadcast(known.bins), "ordinal")
     terms = []
     for k in range(bins):
         r = F.greatest(ratio(F.col(f"r{k}"), F.col("rn")), F.lit(SHARE_FLOOR))
@@ -128,40 +254,48 @@ def psi(
     return joined.select(*by, "ordinal", "column", value.alias("score"), reason.alias("reason"))
 
 
-def _category_shares(
-    ref: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequence[str]
-) -> DataFrame:
+def _category_shares(known: Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """(window, column, value, p, q): shares of the categories seen in the window.
 
     p is the reference share (0 if absent there). Categories only the reference has are recovered
-    by the callers from 1 - sum(p), so the reference is never repeated per window.
+    by the callers from 1 - sum(p), so the reference is never repeated per window. A window's rows
+    are counted on their own: every row has one value of each column.
     """
     by = _window_columns(by)
-    r = unpivot_text(ref, cols).groupBy("column", "value").agg(F.count("*").alias("rc"))
     c = unpivot_text(cur, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cc"))
-    # Totals come from the counts (same shuffle), not from another scan; one row per column.
-    rn = r.groupBy("column").agg(F.sum("rc").alias("rn"))
-    cn = c.groupBy(*by, "column").agg(F.sum("cc").alias("cn"))
-    joined = join_on(join_on(c, r, ["column", "value"], "left"), F.broadcast(rn), ["column"])
-    joined = join_on(joined, cn, [*by, "column"])
+    cn = cur.groupBy(*by).agg(F.count("*").alias("cn"))
+    joined = join_on(c, known.shares, ["column", "value"], "left")
+    joined = join_on(joined, cn, by) if by else joined.crossJoin(F.broadcast(cn))
     return joined.select(
-        *by,
-        "column",
-        "value",
-        ratio(F.coalesce("rc", F.lit(0)), F.col("rn")).alias("p"),
-        ratio(F.col("cc"), F.col("cn")).alias("q"),
+        *by, "column", "value", F.coalesce("p", F.lit(0.0)).alias("p"), ratio(F.col("cc"), F.col("cn")).alias("q")
+    )
+
+
+def _per_column(table: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequence[str], empty: float) -> DataFrame:
+    """Scores in contract order; `empty` where a window has no rows at all."""
+    if by:
+        return table.select(*by, _ordinal(cols).alias("ordinal"), "column", "score")
+    return (
+        _each_column(cur, (), cols)
+        .join(table, "column", "left")
+        .select("ordinal", "column", F.coalesce("score", F.lit(empty)).alias("score"))
     )
 
 
 def total_variation(
-    ref: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
+    ref: DataFrame | Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Half the absolute share difference per window and column; null is its own category."""
-    shares = _category_shares(ref, cur, cols, by)
+    """Half the absolute share difference per window and column; null is its own category.
+
+    Against an empty side the shares of the other are compared with zeros.
+    """
+    known = _profiled(ref, "shares", (), cols)
+    whole = 0.0 if known.is_empty else 1.0
+    shares = _category_shares(known, cur, cols, by)
     both = F.sum(F.abs(F.col("p") - F.col("q")))
-    rest = F.lit(1.0) - F.sum("p")
+    rest = F.lit(whole) - F.sum("p")
     table = shares.groupBy(*by, "column").agg((F.lit(0.5) * (both + rest)).alias("score"))
-    return table.select(*by, _ordinal(cols).alias("ordinal"), "column", "score")
+    return _per_column(table, cur, cols, by, 0.5 * whole)
 
 
 def _ordinal(cols: Sequence[str]) -> Column:
@@ -169,12 +303,25 @@ def _ordinal(cols: Sequence[str]) -> Column:
     return (F.array_position(names, F.col("column")) - 1).cast("int")
 
 
+def _compared(ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec) -> tuple[list[str], list[str]]:
+    known = {*ref.numeric, *ref.text} if isinstance(ref, Profile) else set(ref.columns)
+    both = known & set(cur.columns)
+    return [c for c in spec.numeric if c in both], [c for c in spec.categorical if c in both]
+
+
+def reference_profile(
+    ref: DataFrame, spec: TableSpec, cuts: Cuts | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> Profile:
+    """The profile of a reference for all detectors of a contract."""
+    has = set(ref.columns)
+    return profile(ref, [c for c in spec.numeric if c in has], [c for c in spec.categorical if c in has], cuts, keep=keep)
+
+
 def drift_scores(
-    ref: DataFrame, cur: DataFrame, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
+    ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
 ) -> DataFrame:
     """PSI and total variation of every compared column, in contract order."""
-    numeric = [c for c in spec.numeric if c in ref.columns and c in cur.columns]
-    text = [c for c in spec.categorical if c in ref.columns and c in cur.columns]
+    numeric, text = _compared(ref, cur, spec)
     parts = []
     if numeric:
         parts.append(
@@ -213,110 +360,157 @@ def share_of_drifted(scores: DataFrame, by: Sequence[str] = (), name: str = "psi
 
 
 def drift_report(
-    ref: DataFrame, cur: DataFrame, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
+    ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
 ) -> DataFrame:
     return share_of_drifted(drift_scores(ref, cur, spec, by, cuts), by)
 
 
-def wasserstein(ref: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def wasserstein(
+    ref: DataFrame | Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
     """First Wasserstein distance per window and column, divided by the reference std.
 
-    Both sides collapse to counts per distinct value. Reference counts are repeated per window
-    (window lists are short and checked); cumulative shares are formed range by range, and the
-    gap to the next value crosses range borders through the ranges' smallest values.
+    Between two neighbouring values of a window its cumulative share is a constant, the level. The area
+    to the reference's cumulative share then follows from that share's integral at both ends and at the
+    reference quantile of the level. Both are looked up in the profile in value order and in share order,
+    range by range, for all windows at once: the work follows the distinct values of the windows and of
+    the reference, and neither is repeated. Only finite values count; without any on a side the score is 0.
     """
     cols, by = list(cols), _window_columns(by)
-    edges = range_edges(ref, cols)
-
-    def long(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        parts = F.array(
-            *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]
-        )
-        rows = df.select(*keep, F.explode(parts).alias("e")).select(*keep, "e.*")
-        return rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
-
-    r = long(ref, ()).groupBy("column", "v").agg(F.count("*").alias("r"))
-    c = long(cur, by).groupBy(*by, "column", "v").agg(F.count("*").alias("c"))
-    if by:
-        windows = cur.select(*by).distinct().limit(MAX_WINDOWS + 1).collect()
-        if len(windows) > MAX_WINDOWS:
-            raise ValueError(f"more than {MAX_WINDOWS} windows; compare them in batches")
-        fields = [cur.schema[k] for k in by]
-        names = F.array(
-            *[F.struct(*[F.lit(w[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for w in windows]
-        )
-        r = r.select(F.explode(names).alias("w"), "column", "v", "r").select("w.*", "column", "v", "r")
+    known = _profiled(ref, "numbers", cols)
     keys = [*by, "column"]
-    both = (
-        r.withColumn("c", F.lit(0).cast("bigint"))
-        .unionByName(c.withColumn("r", F.lit(0).cast("bigint")))
-        .groupBy(*keys, "v")
-        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    )
-    place = F.lit(0)
-    for name in cols:
-        place = F.when(F.col("column") == name, range_id("v", edges[name])).otherwise(place)
-    cells = both.withColumn("__range", place)
-    totals = cells.groupBy(*keys, "__range").agg(
-        F.sum("r").alias("r_in"), F.sum("c").alias("c_in"), F.min("v").alias("first_v")
+    place = _value_range(cols, known.edges)
+    c = _long_numbers(cur, cols, by).groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    c = _reference_below(c.withColumn("__range", place), known.numbers.withColumn("__range", place))
+    c = join_on(c, F.broadcast(known.moments), ["column"])
+    c = c.withColumn("area", ratio(F.col("v") * F.col("rr") - F.col("rv"), F.col("rn")))
+    steps = _levels(c, keys)
+    pieces = _between(_quantiles(steps, known))
+    area = pieces.groupBy(*keys).agg(F.sum("piece").alias("area"))
+    told = join_on(_each_column(cur, by, cols), area, keys, "left")
+    told = join_on(told, F.broadcast(known.moments.select("column", "rn", "sd")), ["column"], "left")
+    usable = F.when(F.col("rn") > 0, F.col("area"))
+    value = F.coalesce(usable, F.lit(0.0)) / F.greatest(F.coalesce("sd", F.lit(0.0)), F.lit(MIN_SCALE))
+    return told.select(*by, "ordinal", "column", value.alias("score"))
+
+
+def _reference_below(c: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Window values with the reference's rows up to them (rr) and their sum of values (rv)."""
+    nothing = {n: F.lit(None).cast(t) for n, t in c.dtypes if n not in numbers.columns}
+    both = c.withColumns({"rr": F.lit(None).cast("bigint"), "rv": F.lit(None).cast("double"), "__own": F.lit(1)}).unionByName(
+        numbers.withColumns(nothing | {"__own": F.lit(0)}).select(*c.columns, "rr", "rv", "__own")
     )
+    order = Window.partitionBy("column", "__range").orderBy("v", "__own").rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumns({n: F.last(n, ignorenulls=True).over(order) for n in ("rr", "rv")}).where("__own = 1")
+    # One row per column and range: what lies below the range.
+    tops = numbers.groupBy("column", "__range").agg(F.max("rr").alias("rr"), F.max_by("rv", "rr").alias("rv"))
+    ranges = c.select("column", "__range").distinct().withColumn("__own", F.lit(1))
+    line = ranges.unionByName(tops.withColumn("__own", F.lit(0)), allowMissingColumns=True)
+    below = Window.partitionBy("column").orderBy("__range").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = line.withColumns({f"{n}_below": F.last(n, ignorenulls=True).over(below) for n in ("rr", "rv")}).where("__own = 1")
+    joined = join_on(seen.drop("__own"), offsets.select("column", "__range", "rr_below", "rv_below"), ["column", "__range"])
+    return joined.withColumns({n: F.coalesce(n, f"{n}_below", F.lit(0)) for n in ("rr", "rv")}).drop("rr_below", "rv_below")
+
+
+def _levels(c: DataFrame, keys: list[str]) -> DataFrame:
+    """Per distinct window value: the share up to it, whether it is the first, and the next value's figures."""
+    point = F.struct("v", "rr", "area")
+    totals = c.groupBy(*keys, "__range").agg(F.sum("c").alias("c_in"), F.min(point).alias("first"))
     line = Window.partitionBy(*keys).orderBy("__range")
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
     offsets = totals.select(
         *keys,
         "__range",
-        F.coalesce(F.sum("r_in").over(before), F.lit(0)).alias("r_before"),
-        F.coalesce(F.sum("c_in").over(before), F.lit(0)).alias("c_before"),
-        F.sum("r_in").over(whole).alias("rn"),
-        F.sum("c_in").over(whole).alias("cn"),
-        F.lead("first_v").over(line).alias("next_first"),
+        F.coalesce(F.sum("c_in").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("c_before"),
+        F.sum("c_in").over(Window.partitionBy(*keys)).alias("cn"),
+        F.lead("first").over(line).alias("next_first"),
     )
     inside = Window.partitionBy(*keys, "__range").orderBy("v")
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = join_on(cells, offsets, [*keys, "__range"]).select(
+    upto = F.col("c_before") + F.sum("c").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return join_on(c, offsets, [*keys, "__range"]).select(
         *keys,
+        "v",
+        "rr",
         "rn",
-        "cn",
-        (F.coalesce(F.lead("v").over(inside), F.col("next_first")) - F.col("v")).alias("gap"),
-        ratio(F.col("r_before") + F.sum("r").over(upto), F.col("rn")).alias("fr"),
-        ratio(F.col("c_before") + F.sum("c").over(upto), F.col("cn")).alias("fc"),
-    )
-    area = steps.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.abs(F.col("fr") - F.col("fc")) * F.col("gap")), F.lit(0.0)).alias("area"),
-        F.max("rn").alias("rn"),
-        F.max("cn").alias("cn"),
-    )
-    spread = ref.agg(*[F.stddev_pop(F.when(~F.isnan(F.col(k).cast("double")), F.col(k).cast("double"))).alias(f"s{i}") for i, k in enumerate(cols)])
-    entries = ", ".join(f"struct('{k}' AS column, s{i} AS sd)" for i, k in enumerate(cols))
-    scale = F.broadcast(spread.select(F.expr(f"inline(array({entries}))")))
-    usable = (F.col("rn") > 0) & (F.col("cn") > 0)
-    value = F.col("area") / F.greatest(F.coalesce("sd", F.lit(0.0)), F.lit(MIN_SCALE))
-    return area.join(scale, "column").select(
-        *by, _ordinal(cols).alias("ordinal"), "column", F.when(usable, value).otherwise(F.lit(0.0)).alias("score")
+        "area",
+        "mean",
+        (upto == F.col("c")).alias("is_first"),
+        ratio(upto, F.col("cn")).alias("level"),
+        F.coalesce(F.lead(point).over(inside), F.col("next_first")).alias("next"),
     )
 
 
-def jensen_shannon(ref: DataFrame, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Jensen-Shannon distance (base 2) per window and column; a missing value is `Unknown`."""
+def _quantiles(steps: DataFrame, known: Profile) -> DataFrame:
+    """Steps with `q`, the first reference value whose share reaches the level, and the integral there.
 
-    def filled(df: DataFrame) -> DataFrame:
-        return df.select(*[c for c in df.columns if c not in cols], *[X.fill_cat(F.col(c).cast("string")).alias(c) for c in cols])
+    Looked up in ranges of the share; a step only needs it where it lies between the step and the next.
+    """
+    cells = range_count(steps.sparkSession)
 
-    shares = _category_shares(filled(ref), filled(cur), cols, by)
+    def cell(share: Column) -> Column:
+        return F.floor(share * cells).cast("int")
+
+    profile = join_on(known.numbers, F.broadcast(known.moments.select("column", "rn")), ["column"])
+    profile = profile.withColumn("level", ratio(F.col("rr"), F.col("rn")))
+    profile = profile.select(
+        "column", "level", F.struct("v", ratio(F.col("v") * F.col("rr") - F.col("rv"), F.col("rn")).alias("area")).alias("q")
+    )
+    nothing = {n: F.lit(None).cast(t) for n, t in steps.dtypes if n not in profile.columns}
+    both = steps.withColumns({"q": F.lit(None).cast(dict(profile.dtypes)["q"]), "__own": F.lit(0)}).unionByName(
+        profile.withColumns(nothing | {"__own": F.lit(1)}).select(*steps.columns, "q", "__own")
+    )
+    both = both.withColumn("__cell", cell(F.col("level")))
+    ahead = Window.partitionBy("column", "__cell").orderBy("level", "__own").rowsBetween(0, Window.unboundedFollowing)
+    met = both.withColumn("q", F.first("q", ignorenulls=True).over(ahead)).where("__own = 0")
+    firsts = profile.groupBy("column", cell(F.col("level")).alias("__cell")).agg(F.min_by("q", "level").alias("q"))
+    asked = steps.select("column", cell(F.col("level")).alias("__cell")).distinct().withColumn("__own", F.lit(1))
+    line = asked.unionByName(firsts.withColumn("__own", F.lit(0)), allowMissingColumns=True)
+    later = Window.partitionBy("column").orderBy("__cell").rangeBetween(1, Window.unboundedFollowing)
+    after = line.withColumn("q_after", F.first("q", ignorenulls=True).over(later)).where("__own = 1")
+    joined = join_on(met.drop("__own"), after.select("column", "__cell", "q_after"), ["column", "__cell"])
+    return joined.withColumn("q", F.coalesce("q", "q_after"))
+
+
+def _between(steps: DataFrame) -> DataFrame:
+    """Steps with `piece`, their part of the area between the two cumulative shares."""
+    a, ia, k = F.col("v"), F.col("area"), F.col("level")
+    b, ib = F.col("next.v"), F.col("next.area")
+    inner = (F.col("q.v") > a) & (F.col("q.v") < b)
+    q = F.when(inner, F.col("q.v")).when(F.coalesce(F.col("q.v") <= a, F.lit(False)), a).otherwise(b)
+    iq = F.when(inner, F.col("q.area")).when(F.coalesce(F.col("q.v") <= a, F.lit(False)), ia).otherwise(ib)
+    middle = k * (q - a) - (iq - ia) + (ib - iq) - k * (b - q)
+    before = F.when(F.col("is_first"), ia).otherwise(0.0)
+    # above the last value the window's share is 1
+    after = ia - a + F.col("mean")
+    return steps.withColumn("piece", before + F.when(F.col("next").isNotNull(), middle).otherwise(after))
+
+
+def jensen_shannon(
+    ref: DataFrame | Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Jensen-Shannon distance (base 2) per window and column; a missing value is `Unknown`.
+
+    0 where a side is empty.
+    """
+    known = _profiled(ref, "shares", (), cols)
+    filled = known.shares.groupBy("column", X.fill_cat(F.col("value")).alias("value")).agg(F.sum("p").alias("p"))
+    known = replace(known, shares=filled)
+    cur = cur.select(*[c for c in cur.columns if c not in cols], *[X.fill_cat(F.col(c).cast("string")).alias(c) for c in cols])
+    shares = _category_shares(known, cur, cols, by)
     p, q = F.col("p"), F.col("q")
     left = F.when(p > 0, p * F.log2(2.0 * p / (p + q))).otherwise(F.lit(0.0))
     right = F.when(q > 0, q * F.log2(2.0 * q / (p + q))).otherwise(F.lit(0.0))
     # A category only the reference has adds p * log2(2) = p.
     body = F.sum(left + right) + (F.lit(1.0) - F.sum("p"))
-    table = shares.groupBy(*by, "column").agg(F.sqrt(F.greatest(F.lit(0.5) * body, F.lit(0.0))).alias("score"))
-    return table.select(*by, _ordinal(cols).alias("ordinal"), "column", "score")
+    score = F.lit(0.0) if known.is_empty else F.sqrt(F.greatest(F.lit(0.5) * body, F.lit(0.0)))
+    table = shares.groupBy(*by, "column").agg(F.max(F.lit(0.0)).alias("score") if known.is_empty else score.alias("score"))
+    return _per_column(table, cur, cols, by, 0.0)
 
 
-def drift_second(ref: DataFrame, cur: DataFrame, spec: TableSpec, by: Sequence[str] = ()) -> DataFrame:
+def drift_second(
+    ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec, by: Sequence[str] = ()
+) -> DataFrame:
     """Second detector: normalised Wasserstein for numbers, Jensen-Shannon for categories."""
-    numeric = [c for c in spec.numeric if c in ref.columns and c in cur.columns]
-    text = [c for c in spec.categorical if c in ref.columns and c in cur.columns]
+    numeric, text = _compared(ref, cur, spec)
     parts = []
     if numeric:
         parts.append(wasserstein(ref, cur, numeric, by).withColumn("kind", F.lit("wasserstein")))
@@ -363,7 +557,7 @@ def realized(
 
 
 def monitor_windows(
-    ref: DataFrame,
+    ref: DataFrame | Profile,
     windows: DataFrame,
     spec: TableSpec,
     by: Sequence[str],
@@ -375,7 +569,9 @@ def monitor_windows(
 ) -> DataFrame:
     """Monitor record of every window: drift share, realised recall, class."""
     by = list(by)
-    first = drift_report(ref, windows, spec, by, cuts)
+    if not isinstance(ref, Profile):
+        ref = reference_profile(ref, spec, cuts)
+    first = drift_report(ref, windows, spec, by)
     other = share_of_drifted(drift_second(ref, windows, spec, by), by, "second_share") if second else None
     drift = combined_share(first, other, by)
     scores = realized(windows, threshold, by, label, proba)

@@ -1,7 +1,7 @@
 """Features fitted on the training part and applied everywhere with the same parameters.
 
-The fitted parameters are a few hundred numbers and the category lists. They enter plans as
-literals, so a row's features never depend on the batch it arrives in.
+The fitted parameters are a few hundred numbers, which enter plans as literals, and the category
+lists, which are the labels of fitted indexers. A row's features never depend on its batch.
 """
 
 from __future__ import annotations
@@ -20,11 +20,6 @@ from driftline.operators.ordered import exact_quantiles, sql_double
 from driftline.spec import TableSpec
 
 UNKNOWN = "Unknown"  # Fixed value: category that stands for a missing text value.
-MAX_CATEGORIES = 10_000  # One-hot width guard: beyond it the fit fails instead of being cut.
-
-
-class CategoryOverflow(ValueError):
-    """A categorical column has more values than a one-hot block may hold."""
 
 
 @dataclass(frozen=True)
@@ -88,21 +83,12 @@ def category_table(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
-def fit_categories(
-    train: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES
-) -> dict[str, list[str]]:
-    """Sorted categories per column; the size is checked before anything is collected."""
-    if not cols:
-        return {}
-    table = category_table(train, cols).select("column", "value")
-    bound = max_categories * len(cols)
-    rows = table.limit(bound + 1).collect()
+def fit_categories(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted categories per column, all of them: they become the labels of the fitted indexers."""
     out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
-        out[r["column"]].append(r["value"])
-    wide = [c for c, v in out.items() if len(v) > max_categories]
-    if wide or len(rows) > bound:
-        raise CategoryOverflow(f"more than {max_categories} categories in {wide or cols}")
+    if cols:
+        for r in category_table(train, cols).select("column", "value").toLocalIterator():
+            out[r["column"]].append(r["value"])
     return {c: sorted(v) for c, v in out.items()}
 
 
@@ -127,15 +113,24 @@ def scaled(df: DataFrame, spec: TableSpec, params: FeatureParams, keep: Sequence
     )
 
 
+def _indexer(params: FeatureParams, column: str, inputs: str, outputs: str) -> StringIndexerModel:
+    return StringIndexerModel.from_labels(params.categories[column], inputCol=inputs, outputCol=outputs, handleInvalid="keep")
+
+
 def onehot_slots(
     df: DataFrame, spec: TableSpec, params: FeatureParams, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One-hot slot index per categorical column; null for a value unseen in training."""
+    """One-hot slot index per categorical column; null for a value unseen in training.
+
+    The indexer looks categories up in its own table, so a plan does not grow with their number.
+    """
+    rows = df.select(*keep, *[X.fill_cat(F.col(c), UNKNOWN).alias(f"__c_{c}") for c in spec.categorical])
     slots = []
     for c in spec.categorical:
-        index = F.create_map(*[x for i, v in enumerate(params.categories[c]) for x in (F.lit(v), F.lit(i))])
-        slots.append(F.try_element_at(index, X.fill_cat(F.col(c), UNKNOWN)).alias(f"{c}_slot"))
-    return df.select(*keep, *slots)
+        rows = _indexer(params, c, f"__c_{c}", f"__i_{c}").transform(rows)
+        slot = F.col(f"__i_{c}").cast("int")
+        slots.append(F.when(slot < len(params.categories[c]), slot).alias(f"{c}_slot"))
+    return rows.select(*keep, *slots)
 
 
 def feature_pipeline(df: DataFrame, spec: TableSpec, params: FeatureParams) -> PipelineModel:
@@ -157,11 +152,7 @@ def feature_pipeline(df: DataFrame, spec: TableSpec, params: FeatureParams) -> P
     if spec.categorical:
         # One indexer per column: a joint one would need category lists of equal length.
         for c in spec.categorical:
-            stages.append(
-                StringIndexerModel.from_labels(
-                    params.categories[c], inputCol=f"c_{c}", outputCol=f"i_{c}", handleInvalid="keep"
-                )
-            )
+            stages.append(_indexer(params, c, f"c_{c}", f"i_{c}"))
         # The extra "keep" slot is the one dropped, so an unseen value is all zeros.
         encoder = OneHotEncoder(
             inputCols=[f"i_{c}" for c in spec.categorical],

@@ -55,10 +55,15 @@ def profile_shape(df: DataFrame) -> DataFrame:
 
 
 def profile_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column: missing_ratio, min, max, mean, sample std (null when all values are missing)."""
+    """Per column: missing_ratio, min, max, mean, sample std (null when all values are missing).
+
+    NaN counts as missing.
+    """
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c)
+        if df.schema[c].dataType.typeName() in ("double", "float"):
+            v = F.when(~F.isnan(v), v)
         aggs += [
             F.avg(v.isNull().cast("double")).alias(f"m{i}"),
             F.min(v).cast("double").alias(f"lo{i}"),

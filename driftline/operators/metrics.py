@@ -1,7 +1,8 @@
 """Exact classification metrics, grouped by any keys.
 
 Everything starts from score counts (rows per group and distinct score), so repeated scores and
-hot groups collapse before the first shuffle.
+hot groups collapse before the first shuffle. A row is usable when its label is 0 or 1 and its score a
+number; the others take part in no figure, and `binary_metrics` says how many they are.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import ratio
 from driftline.functions.grid import GRID_POINTS, grid_cell, grid_value
-from driftline.operators.ordered import range_count, running_sums, unit_cell
+from driftline.operators.ordered import range_edges, range_id, running_sums
 
 # Cost of a missed positive and of a false alarm, recall floor of the search.
 FN_COST = 5.0
@@ -26,9 +27,13 @@ def _threshold(threshold: float | str) -> Column:
     return F.col(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
 
 
+def _usable(label: str, proba: str) -> Column:
+    known = F.col(label).isin(0, 1) & F.col(proba).isNotNull() & ~F.isnan(F.col(proba))
+    return F.coalesce(known, F.lit(False))
+
+
 def _scored(df: DataFrame, label: str, proba: str) -> DataFrame:
-    known = F.col(label).isNotNull() & F.col(proba).isNotNull()
-    return df.where(known & ~F.isnan(F.col(proba)))
+    return df.where(_usable(label, proba))
 
 
 def confusion_aggs(hit: Column, positive: Column) -> list[Column]:
@@ -88,21 +93,26 @@ def pos_rate(
 def score_counts(
     df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba"
 ) -> DataFrame:
-    """pos/neg counts per group and distinct score."""
-    return (
-        _scored(df, label, proba)
-        .groupBy(*by, F.col(proba).alias("proba"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    """pos/neg counts per group and distinct score; unusable rows are counted beside a null score."""
+    usable = _usable(label, proba)
+    return df.groupBy(*by, F.when(usable, F.col(proba)).alias("proba")).agg(
+        F.count_if(usable & (F.col(label) == 1)).alias("pos"),
+        F.count_if(usable & (F.col(label) == 0)).alias("neg"),
+        F.count_if(~usable).alias("unusable"),
     )
 
 
 def ranked_scores(
     df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba"
 ) -> DataFrame:
-    """Score counts with cumulative positives/negatives from the highest score down."""
+    """Score counts with cumulative positives/negatives from the highest score down.
+
+    The borders of the score ranges come from a sketch of the scores, so ranges are even however
+    closely the scores crowd.
+    """
     counts = score_counts(df, by, label, proba)
-    cells = unit_cell(F.col("proba"), range_count(df.sparkSession))
-    return running_sums(counts, by, "proba", ["pos", "neg"], cells, descending=True)
+    edges = range_edges(df, [proba])[proba]
+    return running_sums(counts, by, "proba", ["pos", "neg"], range_id("proba", edges), descending=True)
 
 
 def _rank_aggs() -> list[Column]:
@@ -111,7 +121,7 @@ def _rank_aggs() -> list[Column]:
     below = F.col("neg_total").cast("double") - fp
     return [
         F.sum(pos * (below + neg / 2.0)).alias("__wins"),
-        F.sum(pos * tp / (tp + fp)).alias("__steps"),
+        F.sum(F.when(pos > 0, pos * tp / (tp + fp)).otherwise(0.0)).alias("__steps"),
         F.max("pos_total").alias("__p"),
         F.max("neg_total").alias("__n"),
     ]
@@ -163,6 +173,7 @@ def binary_metrics(
         F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
         F.sum(F.when(~hit, F.col("pos")).otherwise(0)).alias("fn"),
         F.sum(F.when(~hit, F.col("neg")).otherwise(0)).alias("tn"),
+        F.sum("unusable").alias("n_unusable"),
     )
     rows = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     score = prf_columns()
@@ -181,6 +192,7 @@ def binary_metrics(
         F.col("fn"),
         F.col("tn"),
         ratio(F.col("tp") + F.col("fp"), rows).alias("predicted_positive_rate"),
+        "n_unusable",
     )
 
 

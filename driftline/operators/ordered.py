@@ -15,20 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10000
-SLICES = 512
 FINE = 256
+MIN_SLICES = 512
 MIN_RANGES = 32
-FINEST = 1048576.0
-MAX_RANGES = 4096
 
 
 def sql_double(x: float) -> str:
-    """Exact SQL literal of a finite double."""
+    """Exact SQL literal of a double."""
+    if not math.isfinite(x):
+        return "double('NaN')" if math.isnan(x) else f"double('{'-' if x < 0 else ''}Infinity')"
     return f"{x!r}D" if "e" in repr(x) or "." in repr(x) else f"{x!r}.0D"
 
 
 def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> dict[str, list]:
-    """Quantile sketches of up to SLICES interleaved slices of the input, combined.
+    """Quantile sketches of interleaved slices of the input, combined; slices follow the shuffle partitions.
 
     One sketch over everything would send a buffer per scan task to one reducer; slicing by scan
     task spreads that merge. Per column and probability one row comes back: total count, minimum,
@@ -43,7 +43,8 @@ def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy
             F.max(c).alias(f"hi{i}"),
             F.expr(f"percentile_approx(`{c}`, array({points}), {accuracy})").alias(f"q{i}"),
         ]
-    slices = df.withColumn("__slice", F.spark_partition_id() % SLICES).groupBy("__slice").agg(*aggs)
+    n_slices = max(MIN_SLICES, 4 * _partitions(df.sparkSession))
+    slices = df.withColumn("__slice", F.spark_partition_id() % n_slices).groupBy("__slice").agg(*aggs)
     entries = ", ".join(
         f"struct({i} AS c, n{i} AS n, lo{i} AS lo, hi{i} AS hi, q{i} AS q)" for i in range(len(cols))
     )
@@ -67,10 +68,13 @@ def _sketch(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy
     return out
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def range_count(spark: SparkSession) -> int:
     """Value ranges per ordered column: a few per shuffle partition, so they follow the cluster."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(4 * partitions, MIN_RANGES), MAX_RANGES)
+    return max(4 * _partitions(spark), MIN_RANGES)
 
 
 def range_edges(df: DataFrame, cols: Sequence[str], ranges: int | None = None) -> dict[str, list[float]]:
@@ -139,17 +143,6 @@ def join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*names.values())
 
 
-def unit_cell(value: Column, cells: int) -> Column:
-    """Value range of a probability without a sketch pass: equal steps of its logarithm.
-
-    Scores crowd towards 0, so ranges shrink with the score, down to about 1/FINEST. The JVM's
-    logarithm never decreases, so ranges follow value order for any double; outside [0, 1] they
-    only get less even.
-    """
-    scaled = F.greatest(value.cast("double"), F.lit(0.0)) * F.lit(FINEST)
-    return F.floor(F.log1p(scaled) * F.lit(float(cells))).cast("bigint")
-
-
 def running_sums(
     grouped: DataFrame,
     by: Sequence[str],
@@ -190,7 +183,9 @@ def running_sums(
 
 
 def lerp(low: float, high: float, t: float) -> float:
-    """Linear interpolation, anchored at the nearer end."""
+    """Linear interpolation, anchored at the nearer end; an end itself may be infinite."""
+    if low == high or t == 0.0:
+        return low
     if t >= 0.5:
         return high - (high - low) * (1.0 - t)
     return low + (high - low) * t
@@ -198,7 +193,7 @@ def lerp(low: float, high: float, t: float) -> float:
 
 def lerp_col(low: Column, high: Column, t: Column) -> Column:
     gap = high - low
-    return F.when(t >= 0.5, high - gap * (F.lit(1.0) - t)).otherwise(low + gap * t)
+    return F.when((low == high) | (t == 0.0), low).when(t >= 0.5, high - gap * (F.lit(1.0) - t)).otherwise(low + gap * t)
 
 
 def exact_quantiles(

@@ -18,7 +18,7 @@ MIN_RECALL = 0.70
 MIN_IMPROVEMENT = 0.0
 MAX_MODEL_MB = 25.0
 BASELINE_MODEL = "logreg"
-SKIP_REASON = "no candidate cleared the blessing gates; production alias was left unchanged"
+SKIP_REASON = "every candidate failed a check of the gate, so production stays as it is"
 
 
 def with_baseline(
@@ -165,8 +165,8 @@ def rollback_target(
         *by,
         "current",
         target.alias("target"),
-        F.when(~able, F.lit("need at least two registered versions before rollback"))
-        .when(target.isNull(), F.lit("production is already the oldest version"))
+        F.when(~able, F.lit("rolling back takes two or more versions"))
+        .when(target.isNull(), F.lit("no version is older than the one in production"))
         .alias("problem"),
     )
 

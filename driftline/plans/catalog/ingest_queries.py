@@ -80,13 +80,21 @@ def dedup_count(spark: SparkSession, sf: str) -> DataFrame:
     "data_version",
     """WITH h AS (
          SELECT o_orderstatus, ('0x' || substr(md5(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR,
-           o_orderstatus, o_orderpriority)), 1, 15))::BIGINT AS h FROM orders)
+           o_orderstatus, o_orderpriority, round(o_totalprice * 100)::BIGINT::VARCHAR,
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'))), 1, 15))::BIGINT AS h FROM orders)
        SELECT o_orderstatus, count(*) AS n_rows, bit_xor(h) AS hash_xor, sum(h % 1048576)::BIGINT AS hash_sum
        FROM h GROUP BY 1""",
 )
 def data_version(spark: SparkSession, sf: str) -> DataFrame:
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return ingest.fingerprint(table(spark, sf, "orders"), cols, ["o_orderstatus"], "md5")
+    # Price in cents and date as text: forms that any SQL engine writes alike.
+    rows = table(spark, sf, "orders").withColumns(
+        {
+            "cents": F.round(F.col("o_totalprice") * 100).cast("bigint"),
+            "day": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+        }
+    )
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "cents", "day"]
+    return ingest.fingerprint(rows, cols, ["o_orderstatus"], "md5")
 
 
 @register("fingerprint_fast")
@@ -128,18 +136,18 @@ def stage_sink(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "alert_status",
     f"""WITH {B.FAULTY_SQL}, per AS (
-          SELECT l_returnflag AS source, year(ship_date) AS run,
-                 sum((l_quantity < 1)::INT + (l_discount > 1)::INT
+          SELECT l_returnflag AS source, coalesce(year(ship_date), 0) AS run,
+                 sum((ship_date IS NULL)::INT + (l_quantity < 1)::INT + (l_discount > 1)::INT
                    + coalesce((l_linestatus NOT IN ('O', 'F'))::INT, 0)
                    + coalesce((outcome NOT IN ('Yes', 'No'))::INT, 0))::BIGINT AS total_failures
-          FROM faulty WHERE ship_date IS NOT NULL GROUP BY 1, 2),
+          FROM faulty GROUP BY 1, 2),
         last AS (SELECT source, max(run) AS run FROM per GROUP BY 1)
         SELECT per.source, CAST(per.run AS INTEGER) AS run, 'fail' AS status, per.total_failures
         FROM per JOIN last USING (source, run) WHERE total_failures > 0""",
 )
 def alert_status(spark: SparkSession, sf: str) -> DataFrame:
-    df = B.faulty(spark, sf).where("ship_date IS NOT NULL")
-    df = df.withColumn("source", F.col("l_returnflag")).withColumn("run", F.year("ship_date"))
+    df = B.faulty(spark, sf).withColumn("source", F.col("l_returnflag"))
+    df = df.withColumn("run", F.coalesce(F.year("ship_date"), F.lit(0)))
     verdict = contract.gate_batches(df, B.LINES, ["source", "run"]).withColumn("message", F.lit("validation failed"))
     path = scratch_path(spark, "alerts")
     records.append_record(records.alert_rows(verdict, ["source", "run"]), path)

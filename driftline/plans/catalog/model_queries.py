@@ -11,13 +11,11 @@ from driftline.plans.catalog.base import register
 from driftline.plans.catalog.feature_queries import parts
 from driftline.plans.run import retrain_recent
 
-# Rounds and trees of the catalogue runs; the defaults of `models` are the full settings.
-SMALL = {"gbt": {"maxIter": 10}, "forest": {"numTrees": 20}, "logreg": {"maxIter": 50}}
 METRICS = ["model_name", "weight_mode", "n_rows", "roc_auc", "average_precision", "recall", "precision", "f1", "threshold", "cost"]
 
 
 def _train(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    _, rows, _ = models.train_candidates(parts(spark, sf), B.LINES, [name], overrides=SMALL)
+    _, rows, _ = models.train_candidates(parts(spark, sf), B.LINES, [name])
     return rows.select(*METRICS)
 
 
@@ -39,7 +37,7 @@ def train_score_forest(spark: SparkSession, sf: str) -> DataFrame:
 @register("score_table")
 def score_table(spark: SparkSession, sf: str) -> DataFrame:
     """Gate, score and act on the faulty table with a freshly fitted model."""
-    versions, _, _ = models.train_candidates(parts(spark, sf), B.LINES, ["logreg"], overrides=SMALL)
+    versions, _, _ = models.train_candidates(parts(spark, sf), B.LINES, ["logreg"])
     accepted, _ = contract.gate_rows(B.faulty(spark, sf), B.LINES)
     out = models.score_table(accepted, B.LINES, versions["logreg"], "act", "wait")
     return out.groupBy("action", "model_name").agg(
@@ -50,5 +48,5 @@ def score_table(spark: SparkSession, sf: str) -> DataFrame:
 @register("retrain_recent")
 def retrain_recent_query(spark: SparkSession, sf: str) -> DataFrame:
     """Recent window, one family, gated against the serving AUC."""
-    out = retrain_recent(B.lines(spark, sf), B.LINES, serving_auc=0.5, model_mb=0.6, overrides=SMALL)
+    out = retrain_recent(B.lines(spark, sf), B.LINES, serving_auc=0.5, model_mb=0.6)
     return out.select("model_name", "n_rows", "roc_auc", "recall", "baseline_auc", "improvement", "blessed", "selected")

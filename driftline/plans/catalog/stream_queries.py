@@ -73,9 +73,7 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     truth = (F.col("value") > 50) != (F.col("event_id") % 10 == 0)
     labelled = events.withColumn("outcome", F.when(truth, F.lit("Yes")).otherwise(F.lit("No")))
     third = F.when(F.col("event_id") % 3 == 0, "test").when(F.col("event_id") % 3 == 1, "val").otherwise("train")
-    versions, _, _ = models.train_candidates(
-        labelled.withColumn("split", third), REQUESTS, ["logreg"], overrides={"logreg": {"maxIter": 20}}
-    )
+    versions, _, _ = models.train_candidates(labelled.withColumn("split", third), REQUESTS, ["logreg"])
     out, state = scratch_path(spark, "scored"), scratch_path(spark, "score-state")
     query = jobs.score_stream(
         as_requests(stream(spark, sf)), REQUESTS, lambda: versions["logreg"], out, state, "act", "wait", ["event_id"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,14 +57,20 @@ def train_run(
     tables.write_stage(contract.contract_table(spark, spec), paths.stage(run, "contract"))
     # The validated table is the stored one: passing the gate changes no row.
     valid = validate_or_alert(spark, coerced, spec, paths, run, event_seq)
-    split.check_split(valid, spec.date, spec.target)
     parts = split.time_split(valid, spec.date, target=spec.target)
     tables.write_stage(parts, paths.stage(run, "split"), ["split"])
     parts = spark.read.parquet(paths.stage(run, "split"))
     info = split.split_info(parts, spec.date, F.col(spec.target) == spec.positive)
-    records.append_record(info.withColumn("run_id", F.lit(run)), paths.table("split_info"))
-    version = ingest.fingerprint(coerced).withColumns({"run_id": F.lit(run), "code_version": F.lit(code_version)})
-    records.append_record(version, paths.table("data_versions"))
+    dropped = split.label_counts(coerced, spec.target).select("dropped_unlabeled")
+    records.append_record(
+        info.crossJoin(F.broadcast(dropped)).withColumn("run_id", F.lit(run)), paths.table("split_info")
+    )
+    records.append_record(
+        data_version(spark, coerced, info, paths.stage(run, "examples")).withColumns(
+            {"run_id": F.lit(run), "code_version": F.lit(code_version)}
+        ),
+        paths.table("data_versions"),
+    )
     versions, metric_rows, _ = models.train_candidates(parts, spec, only, overrides=overrides)
     sizes = {}
     for name, v in versions.items():
@@ -72,9 +79,24 @@ def train_run(
         sizes[name] = tables.stored_bytes(spark, target).first()["n_bytes"] / MEGABYTE
     size = F.create_map(*[F.lit(x) for n, mb in sizes.items() for x in (n, mb)])
     cands = metric_rows.withColumns({"run_id": F.lit(run), "model_mb": F.try_element_at(size, "model_name")})
+    settings = {n: json.dumps(models.settings(n, **(overrides or {}).get(n, {}))) for n in versions}
+    params = F.create_map(*[F.lit(x) for pair in settings.items() for x in pair])
+    records.append_record(
+        cands.withColumns({"params": F.try_element_at(params, "model_name"), "code_version": F.lit(code_version)})
+        .join(F.broadcast(spark.read.parquet(paths.table("data_versions")).where(F.col("run_id") == run).select("run_id", "hash_xor")), "run_id")
+        .withColumnRenamed("hash_xor", "data_version"),
+        paths.table("experiments"),
+    )
     return publish(spark, cands, paths, run, event_seq)
 
 
+def data_version(spark: SparkSession, rows: DataFrame, info: DataFrame, path: str) -> DataFrame:
+    """One row: content fingerprint, stored bytes, rows and end date of each part of the split."""
+    wide = info.groupBy().pivot("split", ["train", "val", "test"]).agg(F.max("n_rows").alias("rows"), F.max("end_date").alias("end"))
+    whole = ingest.fingerprint(rows)
+    return whole.crossJoin(F.broadcast(tables.stored_bytes(spark, path))).crossJoin(F.broadcast(wide))
+
+
 def validate_or_alert(
     spark: SparkSession, coerced: DataFrame, spec: TableSpec, paths: Paths, run: str, event_seq: int
 ) -> DataFrame:
@@ -83,8 +105,7 @@ def validate_or_alert(
     try:
         contract.gate_batch(coerced, spec)
     except contract.ContractError as exc:
-        failure, message = exc, str(exc)
-        total = int(message.rsplit("=", 1)[1])
+        failure, message, total = exc, str(exc), exc.total_failures
     row = spark.range(1).select(
         F.lit(spec.name).alias("source"),
         F.lit(run).alias("run_id"),
@@ -117,6 +138,7 @@ def publish(
         "version", "model_name", "run_id", "roc_auc", "threshold", F.lit(event_seq).cast("bigint").alias("event_seq")
     )
     records.append_record(won, paths.table("alias_events"))
+    _extend_history(spark, won, paths, event_seq)
     events = spark.read.parquet(paths.table("alias_events")).where(F.col("run_id") == run)
     routed = registry.route(mine, ["run_id"])
     sizes = records.read_records(spark, paths.table("split_info"))
@@ -135,13 +157,39 @@ def serving_auc(spark: SparkSession, paths: Paths) -> float | None:
     return row["auc"]
 
 
+def history(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Versions that were in production and not left by a rollback: (event_seq, version), latest state."""
+    states = records.read_records(spark, paths.table("production_history"))
+    if states is None:
+        return spark.createDataFrame([], "event_seq bigint, version bigint")
+    last = states.agg(F.max("as_of")).first()[0]
+    return states.where(F.col("as_of") == last).select("event_seq", "version")
+
+
+def _extend_history(spark: SparkSession, won: DataFrame, paths: Paths, event_seq: int) -> None:
+    """A promotion joins the history, unless it repeats the version of its last entry."""
+    old = history(spark, paths)
+    both = old.unionByName(won.select("event_seq", "version"))
+    if won.isEmpty():
+        return
+    state = registry.production_history(both).select("event_seq", "version")
+    records.append_record(state.withColumn("as_of", F.lit(event_seq).cast("bigint")), paths.table("production_history"))
+
+
 def rollback(spark: SparkSession, paths: Paths, event_seq: int) -> DataFrame:
-    """Point the alias at the fallback version; the move itself is an alias event."""
+    """Point the alias at the fallback version; the move itself is an alias event.
+
+    The version left goes from the history, so the next rollback reaches further back.
+    """
     versions = spark.read.parquet(paths.table("versions"))
     events = spark.read.parquet(paths.table("alias_events"))
-    move = registry.rollback_target(
-        versions, registry.production_history(events), registry.production(events)
-    )
+    past = history(spark, paths)
+    move = registry.rollback_target(versions, past, registry.production(events))
+    path = paths.table("rollbacks")
+    records.append_record(move.withColumn("event_seq", F.lit(event_seq).cast("bigint")), path)
+    move = spark.read.parquet(path).where(F.col("event_seq") == event_seq).drop("event_seq")
+    trimmed = registry.trim_history(past, move).withColumn("as_of", F.lit(event_seq).cast("bigint"))
+    records.append_record(trimmed, paths.table("production_history"))
     target = move.join(versions, move.target == versions.version)
     event = target.select(
         "version", "model_name", "run_id", "roc_auc", "threshold", F.lit(event_seq).cast("bigint").alias("event_seq")
@@ -150,6 +198,26 @@ def rollback(spark: SparkSession, paths: Paths, event_seq: int) -> DataFrame:
     return move
 
 
+def serving_metadata(spark: SparkSession, paths: Paths) -> DataFrame:
+    """One row: the version in production with its run, threshold, metrics and the version it was rolled back from."""
+    live = registry.production(spark.read.parquet(paths.table("alias_events"))).select("version")
+    row = spark.read.parquet(paths.table("versions")).join(F.broadcast(live), "version")
+    moves = records.read_records(spark, paths.table("rollbacks"))
+    if moves is None:
+        return row.withColumn("rolled_back_from", F.lit(None).cast("bigint"))
+    last = moves.groupBy(F.col("target").alias("version")).agg(F.max_by("current", "event_seq").alias("rolled_back_from"))
+    return row.join(F.broadcast(last), "version", "left")
+
+
+def serving_version(spark: SparkSession, paths: Paths) -> models.Version:
+    """The saved pipeline that the production alias points at, ready to score."""
+    row = serving_metadata(spark, paths).first()
+    if row is None:
+        raise LookupError("no version is in production")
+    path = paths.stage(row["run_id"], f"model_{row['model_name']}")
+    return models.load_version(path, row["threshold"], row["model_name"], str(row["version"]))
+
+
 def retrain_recent(
     df: DataFrame,
     spec: TableSpec,

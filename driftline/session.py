@@ -32,7 +32,8 @@ def local_session(app: str = "driftline", cores: str = "8", **conf: str) -> Spar
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the session.
 
-    Only where the session names none (a bare local session) a folder of our own is set.
+    A bare local session that names none gets a temporary folder; on a cluster that is an error,
+    because executors would not see each other's files.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
@@ -40,6 +41,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="driftline-")
         spark.sparkContext.setCheckpointDir(root)
     return root

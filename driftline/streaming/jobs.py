@@ -45,14 +45,24 @@ def score_stream(
     yes: str,
     no: str,
     keep: Sequence[str],
+    rejected: str | None = None,
 ) -> StreamingQuery:
-    """Gate, then score accepted rows; the production version is looked up per micro-batch."""
+    """Gate, then score accepted rows; the production version is looked up per micro-batch.
+
+    Rejected requests go to the table `rejected` with their reasons, where one is named.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        accepted, _ = contract.gate_rows(batch, spec)
-        scored = models.score_table(accepted, spec, current(), yes, no)
-        fields = ["proba", "positive", "action", "threshold", "model_name", "model_version"]
-        core.write_batch(scored.select(*keep, *fields), out, batch_id)
+        rows = batch.persist()
+        try:
+            accepted, refused = contract.gate_rows(rows, spec)
+            scored = models.score_table(accepted, spec, current(), yes, no)
+            fields = ["proba", "positive", "action", "threshold", "model_name", "model_version"]
+            core.write_batch(scored.select(*keep, *fields), out, batch_id)
+            if rejected:
+                core.write_batch(refused.select(*keep, "reasons"), rejected, batch_id)
+        finally:
+            rows.unpersist()
 
     return core.batch_sink(stream, write, checkpoint)
 
@@ -142,28 +152,37 @@ def drift_stream(
     Rows are staged per micro-batch, partitioned by window. A window is closed once the highest
     event time seen has passed its end by the allowed delay; each batch reports exactly the
     windows closed since the batch before, so only their partitions are read. Rows of a window
-    closed earlier are late and dropped. Reference cuts are computed once.
+    closed earlier are late: they are counted in the batch's progress row and dropped. The reference
+    is profiled and written once, so a batch reads that profile and its closed windows only.
     """
     spark = stream.sparkSession
-    cuts = drift.reference_cuts(ref, list(spec.numeric))
+
+    def keep(part: DataFrame, name: str) -> DataFrame:
+        path = f"{staged}_profile/{name}"
+        part.write.mode("overwrite").parquet(path)
+        return spark.read.schema(part.schema).parquet(path)
+
+    known = drift.reference_profile(ref, spec, keep=keep)
     progress = f"{staged}_progress"
 
     def line_before(batch_id: int):
-        seen = core.read_batches(spark, progress, batch_id)
-        return None if seen is None else seen.agg(F.max("line")).first()[0]
+        """The line that the batch before left: each batch writes one row that carries it on."""
+        if batch_id == 0:
+            return None
+        return spark.read.parquet(f"{progress}/batch={batch_id - 1}").first()["line"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         earlier = line_before(batch_id)
         rows = batch.withColumn(ts, F.col(ts).cast("timestamp"))
         rows = rows.withColumn("window_start", F.window(ts, width)["start"])
         end = F.col("window_start") + F.expr(f"INTERVAL {width}")
-        if earlier is not None:
-            rows = rows.where(end > F.lit(earlier))
         rows = rows.persist()
         try:
-            core.write_batch(rows, staged, batch_id, ["window_start"])
-            line_now = rows.agg((F.max(ts) - F.expr(f"INTERVAL {delay}")).alias("line"))
-            core.write_batch(line_now, progress, batch_id)
+            late = F.lit(False) if earlier is None else end <= F.lit(earlier)
+            core.write_batch(rows.where(~late), staged, batch_id, ["window_start"])
+            line_now = F.max(ts) - F.expr(f"INTERVAL {delay}")
+            line_now = F.greatest(line_now, F.lit(earlier).cast("timestamp"))
+            core.write_batch(rows.agg(line_now.alias("line"), F.count_if(late).alias("n_late")), progress, batch_id)
         finally:
             rows.unpersist()
         line = line_before(batch_id + 1)
@@ -174,7 +193,7 @@ def drift_stream(
             closed = closed.where(end > F.lit(earlier))
         if closed.isEmpty():
             return
-        report = drift.monitor_windows(ref, closed, spec, ["window_start"], threshold, second=second, cuts=cuts)
+        report = drift.monitor_windows(known, closed, spec, ["window_start"], threshold, second=second)
         core.write_batch(report, history, batch_id)
 
     return core.batch_sink(stream, write, checkpoint)

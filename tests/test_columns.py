@@ -48,3 +48,12 @@ def test_grid_matches_even_spacing(spark):
     df = spark.createDataFrame([(float(x),) for x in probes], "v double")
     for r in df.select("v", grid_cell(F.col("v")).alias("k")).collect():
         assert r["k"] == int((np.array(got) <= r["v"]).sum())
+
+
+def test_profile_takes_nan_for_missing(spark):
+    from driftline.operators import ingest
+
+    df = spark.createDataFrame([(1.0, 1), (float("nan"), None), (3.0, 3)], "x double, k int")
+    got = {r["column"]: r for r in ingest.profile_numeric(df, ["x", "k"]).collect()}
+    for r in got.values():
+        assert (r["min"], r["max"], r["mean"]) == (1.0, 3.0, 2.0) and abs(r["missing_ratio"] - 1 / 3) < 1e-15

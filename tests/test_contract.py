@@ -107,3 +107,14 @@ def test_alert_is_cleared_by_a_pass(spark, tmp_path):
     assert records.open_alerts(records.read_records(spark, path), ["source"], "seq").count() == 1
     records.append_record(records.alert_rows(row(2, 0), ["source", "seq"]), path)
     assert records.open_alerts(records.read_records(spark, path), ["source"], "seq").isEmpty()
+
+
+def test_a_batch_without_a_declared_column_is_rejected(spark):
+    df = weather(spark, 12).drop("Rainfall").withColumn("batch", F.col("Location"))
+    verdicts = C.gate_batches(df, WEATHER, ["batch"]).collect()
+    assert verdicts and all(not r["accepted"] and r["total_failures"] == 1 for r in verdicts)
+    found = {(r["column"], r["check"]): r["failures"] for r in C.violation_summary(df, WEATHER).collect()}
+    assert found["Rainfall", C.ABSENT] == 1 and sum(found.values()) == 1
+    with pytest.raises(C.ContractError) as err:
+        C.gate_batch(df, WEATHER)
+    assert err.value.total_failures == 1

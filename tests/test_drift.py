@@ -126,3 +126,64 @@ def test_shadowed_window_name_is_refused(spark):
     df = spark.createDataFrame([(1, 2.0)], "v int, x double")
     with pytest.raises(ValueError, match="may not be named"):
         D.wasserstein(df, df, ["x"], ["v"])
+
+
+def test_an_empty_side_keeps_every_column(spark):
+    some = spark.createDataFrame([(float(i), "a") for i in range(30)], "x double, c string")
+    none = some.limit(0)
+    for ref, cur in ((some, none), (none, some), (none, none)):
+        (r,) = D.psi(ref, cur, ["x"]).collect()
+        assert (r["score"], r["reason"] is None) == (0.0, False)
+        (r,) = D.wasserstein(ref, cur, ["x"]).collect()
+        assert r["score"] == 0.0
+        (r,) = D.jensen_shannon(ref, cur, ["c"]).collect()
+        assert r["score"] == 0.0
+    scores = [D.total_variation(a, b, ["c"]).first()["score"] for a, b in ((some, none), (none, some), (none, none))]
+    assert scores == [0.5, 0.5, 0.0]
+
+
+def test_infinite_reference_values(spark):
+    ref = [float(i) for i in range(50)] + [math.inf] * 10 + [-math.inf] * 10
+    score, reason = psi(spark, ref, [float(i) for i in range(50)])
+    assert reason is None and score > 0 and math.isfinite(score)
+    assert psi(spark, ref, ref)[0] == 0.0
+
+
+def test_wasserstein_of_many_windows_matches_brute_force(spark):
+    rng = np.random.default_rng(8)
+    ref = np.round(rng.normal(0, 3, 700), 1)
+    sides = {w: np.round(rng.normal(w / 10, 1 + w % 4, 1 + 13 * w), 1) for w in range(25)}
+    sides[25] = np.array([100.0, 100.0, -50.0])
+    sides[26] = np.array([np.inf, 1.0, np.nan])
+    a = spark.createDataFrame([(float(v),) for v in ref], "x double").repartition(3)
+    b = spark.createDataFrame([(w, float(v)) for w, vs in sides.items() for v in vs], "win int, x double").repartition(5)
+    known = D.profile(a, ["x"])
+    got = {r["win"]: r["score"] for r in D.wasserstein(known, b, ["x"], ["win"]).collect()}
+    assert set(got) == set(sides)
+    for w, vs in sides.items():
+        own = vs[np.isfinite(vs)]
+        grid = np.sort(np.concatenate([ref, own]))
+        fr = np.searchsorted(np.sort(ref), grid[:-1], side="right") / len(ref)
+        fc = np.searchsorted(np.sort(own), grid[:-1], side="right") / len(own)
+        want = (np.abs(fr - fc) * np.diff(grid)).sum() / max(ref.std(), 0.001)
+        assert math.isclose(got[w], want, rel_tol=1e-9, abs_tol=1e-9), w
+
+
+def test_more_windows_than_any_list(spark):
+    cur = spark.range(40_002).selectExpr("id div 2 AS win", "cast(id % 7 AS double) AS x")
+    ref = spark.range(100).selectExpr("cast(id % 7 AS double) AS x")
+    out = D.wasserstein(ref, cur, ["x"], ["win"])
+    assert out.where("score IS NOT NULL").count() == 20_001
+
+
+def test_a_profile_serves_every_detector(spark):
+    ref, cur = weather(spark, 300), weather(spark, 200).where("Humidity3pm IS NOT NULL")
+    known = D.reference_profile(ref, WEATHER)
+    for f in (D.drift_scores, D.drift_second):
+        a = {r["column"]: r["score"] for r in f(ref, cur, WEATHER).collect()}
+        b = {r["column"]: r["score"] for r in f(known, cur, WEATHER).collect()}
+        assert a == b
+    less = cur.drop(WEATHER.numeric[0])
+    assert {r["column"]: r["score"] for r in D.drift_scores(known, less, WEATHER).collect()} == {
+        r["column"]: r["score"] for r in D.drift_scores(ref, less, WEATHER).collect()
+    }

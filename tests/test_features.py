@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -53,11 +54,12 @@ def test_weather_width(spark):
     assert FT.FeatureParams.from_json(p.to_json()) == p
 
 
-def test_category_guard(spark):
-    df = tiny(spark, [(i, 1.0, 1.0, f"v{i}") for i in range(6)])
-    with pytest.raises(FT.CategoryOverflow):
-        FT.fit_categories(df, ["c"], max_categories=5)
-    assert len(FT.fit_categories(df, ["c"], max_categories=6)["c"]) == 6
+def test_any_number_of_categories(spark):
+    df = tiny(spark, [(1, 1.0, 1.0, "v0")]).crossJoin(spark.range(20_000)).withColumn("c", F.concat(F.lit("v"), "id"))
+    p = replace(FT.FeatureParams(), categories=FT.fit_categories(df, ["c"]))
+    assert len(p.categories["c"]) == 20_000
+    slots = FT.onehot_slots(df, TINY, p, ["id"]).where("c_slot IS NULL OR c_slot < 3").collect()
+    assert sorted(p.categories["c"][r["c_slot"]] for r in slots) == ["v0", "v1", "v10"]
 
 
 def test_class_weights(spark):

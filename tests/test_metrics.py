@@ -95,3 +95,22 @@ def test_policy_costs(spark):
 def test_decisions_already_made(spark):
     df = frame(spark, [1, 1, 0], [0.9, 0.1, 0.8]).withColumn("predicted", (F.col("proba") >= 0.5).cast("int"))
     assert M.decision_cost(df, "predicted").first()["cost"] == 6.0
+
+
+def test_unusable_rows_are_counted_and_take_part_in_nothing(spark):
+    rows = [(1, 0.9), (0, 0.2), (None, 0.8), (1, None), (0, float("nan")), (2, 0.7), (-1, 0.1)]
+    df = spark.createDataFrame([(*r, "g") for r in rows] + [(None, 0.5, "h")], "label int, proba double, g string")
+    got = {r["g"]: r for r in M.binary_metrics(df, 0.5, ["g"]).collect()}
+    assert (got["g"]["n_rows"], got["g"]["n_unusable"], got["g"]["roc_auc"]) == (2, 5, 1.0)
+    assert (got["h"]["n_rows"], got["h"]["n_unusable"], got["h"]["roc_auc"]) == (0, 1, None)
+    c = M.confusion(df, 0.5).first()
+    assert (c["tp"], c["fp"], c["fn"], c["tn"]) == (1, 0, 0, 1)
+
+
+def test_crowded_scores_match_brute_force(spark):
+    rng = np.random.default_rng(12)
+    p = 0.5 + rng.integers(0, 4000, 3000) / 4e6
+    y = (rng.random(3000) < 0.3 + 0.4 * (p > 0.5005)).astype(int)
+    m = M.binary_metrics(frame(spark, y, p).repartition(6), 0.5005).first()
+    auc, ap = brute(y, p)
+    assert abs(m["roc_auc"] - auc) < 1e-12 and abs(m["average_precision"] - ap) < 1e-12

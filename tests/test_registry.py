@@ -69,5 +69,5 @@ def test_rollback_without_history_takes_next_lower(spark):
 
 
 def test_rollback_impossible(spark):
-    assert rollback(spark, [(1, 1)], [1])[1].first()["problem"].startswith("need at least two")
-    assert rollback(spark, [(1, 1)], [1, 2])[1].first()["problem"] == "production is already the oldest version"
+    assert rollback(spark, [(1, 1)], [1])[1].first()["problem"].startswith("rolling back takes two")
+    assert rollback(spark, [(1, 1)], [1, 2])[1].first()["problem"] == "no version is older than the one in production"

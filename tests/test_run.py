@@ -1,5 +1,7 @@
 """Whole runs on the weather example."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from weather_rows import weather
@@ -45,8 +47,29 @@ def test_full_run_promotes_then_rolls_back(spark, tmp_path):
     third = run.publish(spark, cands.withColumn("run_id", F.lit("r3")), paths, "r3", 3).first()
     assert third["promoted"]
     assert spark.read.parquet(paths.table("versions")).agg(F.max("version")).first()[0] == 9
-    move = run.rollback(spark, paths, 4).first()
-    assert move["current"] == third["promoted_version"] and move["target"] == summary["promoted_version"]
+    # the records of a run say what was trained on what, and how
+    info = spark.read.parquet(paths.table("split_info")).where("run_id = 'r1'").collect()
+    assert {r["dropped_unlabeled"] for r in info} == {0}
+    data = spark.read.parquet(paths.table("data_versions")).first()
+    assert data["n_bytes"] > 0 and (data["train_rows"], data["val_rows"], data["test_rows"]) == (336, 72, 72)
+    made = {r["model_name"]: r for r in spark.read.parquet(paths.table("experiments")).collect()}
+    assert json.loads(made["gbt"]["params"])["maxIter"] == SMALL["gbt"]["maxIter"]
+    assert all(r["data_version"] == data["hash_xor"] for r in made.values())
+    # a fourth promotion, then back step by step; the alias names the pipeline that serves
+    fourth = run.publish(spark, cands.withColumn("run_id", F.lit("r4")), paths, "r4", 4).first()
+    lived = [summary["promoted_version"], third["promoted_version"], fourth["promoted_version"]]
+    first = run.rollback(spark, paths, 5).first()
+    assert (first["current"], first["target"]) == (lived[2], lived[1])
+    meta = run.serving_metadata(spark, paths).first()
+    assert (meta["version"], meta["rolled_back_from"]) == (lived[1], lived[2])
+    second = run.rollback(spark, paths, 6).first()
+    assert (second["current"], second["target"]) == (lived[1], lived[0])
+    assert [r["version"] for r in run.history(spark, paths).collect()] == [lived[0]]
+    live = run.serving_version(spark, paths)
+    assert (live.version, live.model_name, live.threshold) == (str(lived[0]), winner["model_name"], winner["threshold"])
+    examples = spark.read.parquet(paths.stage("r1", "examples")).limit(20)
+    scored = models.score_table(examples, WEATHER, live, ACTION_YES, ACTION_NO).collect()
+    assert len(scored) == 20 and {r["model_version"] for r in scored} == {live.version}
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import unit_hash
-from driftline.operators import contract, drift, telemetry
+from driftline.operators import contract, drift, models, telemetry
 from driftline.plans.catalog.stream_queries import REQUESTS
 from driftline.streaming import core, jobs
 
@@ -122,3 +122,50 @@ def test_drift_reports_each_closed_window_once(spark, source, tmp_path):
     assert got.count() == got.select("window_start").distinct().count() >= 4
     decisions = jobs.retrain_stream(got)
     assert decisions.count() == got.count()
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    folder, staged, history, state = paths(tmp_path, "in", "staged", "history", "state")
+    rows = events(spark).withColumns({"label": (F.col("event_id") % 2).cast("int"), "proba": F.col("value") / 400})
+    last = rows.agg(F.max("ts")).first()[0]
+    ref = events(spark).where("event_id < 150")
+
+    def feed(df):
+        df.coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(rows.schema).parquet(folder)
+        core.finish(jobs.drift_stream(source, ref, REQUESTS, "ts", "2 days", 0.5, staged, history, state))
+
+    feed(rows)
+    first = core.read_batches(spark, history).count()
+    feed(rows.where(F.col("ts") < F.lit(last - dt.timedelta(days=3))).limit(7))
+    assert core.read_batches(spark, f"{staged}_progress").agg(F.sum("n_late")).first()[0] == 7
+    assert core.read_batches(spark, history).count() == first
+
+
+def test_scoring_follows_the_alias_and_keeps_refusals(spark, tmp_path):
+    folder, out, refused, state = paths(tmp_path, "in", "out", "refused", "state")
+    rows = with_day(events(spark)).withColumn("outcome", F.when(F.col("event_id") % 2 == 0, "Yes").otherwise("No"))
+    third = F.when(F.col("event_id") % 3 == 0, "test").when(F.col("event_id") % 3 == 1, "val").otherwise("train")
+    good, _ = contract.gate_rows(rows, REQUESTS)
+    versions, _, _ = models.train_candidates(good.withColumn("split", third), REQUESTS, ["logreg"], overrides={"logreg": {"maxIter": 5}})
+    saved = str(tmp_path / "model")
+    versions["logreg"].pipeline.write().overwrite().save(saved)
+    alias = {"version": "1"}
+
+    def current():
+        return models.load_version(saved, 0.5, "logreg", alias["version"])
+
+    def feed(df):
+        df.coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(rows.schema).parquet(folder)
+        core.finish(jobs.score_stream(source, REQUESTS, current, out, state, "act", "wait", ["event_id"], refused))
+
+    feed(rows.where("event_id < 300"))
+    alias["version"] = "2"
+    feed(rows.where("event_id >= 300"))
+    got = core.read_batches(spark, out)
+    split = {r["model_version"]: (r["lo"], r["hi"]) for r in got.groupBy("model_version").agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).collect()}
+    assert split["1"][1] < 300 <= split["2"][0]
+    bad = core.read_batches(spark, refused)
+    assert got.count() + bad.count() == rows.count()
+    assert bad.where("size(reasons) = 0").isEmpty() and not bad.isEmpty()
