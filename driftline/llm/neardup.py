@@ -6,8 +6,9 @@
    A pair at the threshold shares none with probability (1 - t**ROWS)**BANDS, below one in a million.
 3. In every bucket each class is paired with the smallest one: at most BANDS pairs a class, never all pairs.
    Components of the links so found settle most buckets. Buckets that still hold several components are
-   dealt out in blocks of bounded size, and each pair of blocks compares classes of different components,
-   so nothing is left out and no bucket meets in one task.
+   dealt out in blocks of bounded size, and each pair of blocks compares classes of different components
+   and reports one link for each two components it joins: nothing is left out, no bucket meets in one
+   task, and the pairs inside a group are never written out.
 4. A candidate's signatures are compared batch by batch; it is dropped as soon as the posterior probability
    that its similarity reaches the threshold falls below `miss`. Survivors are confirmed on the full sets.
 
@@ -197,16 +198,21 @@ def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return likely.mapInArrow(_prune, pairs.select("a", "b").schema)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the threshold. `docs` has id and text; pairs must be stored."""
+def sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, found): full shingle sets of distinct nodes, from docs (id, text); written once."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    ids = stored(nodes.select(F.col("node").alias("id")).distinct(), "ids")
     few = ids.count() <= FEW_IDS
     texts = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "text")
-    schema = T.StructType([texts.schema["id"], T.StructField("found", T.BinaryType())])
+    schema = T.StructType([T.StructField("node", texts.schema["id"].dataType), T.StructField("found", T.BinaryType())])
     arrow = to_arrow_schema(schema)
-    sets = stored(texts.mapInArrow(lambda it: _sets(it, arrow), schema), "sets")
+    return stored(texts.mapInArrow(lambda it: _sets(it, arrow), schema), "sets")
+
+
+def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs whose full sets reach the threshold. `docs` has id and text; pairs must be stored."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs)
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(_confirm, pairs.select("a", "b").schema)
 
@@ -231,43 +237,71 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+class _Side:
+    """Classes of one block: ids, components, sizes, signatures and sets as numbers of the two blocks' shingles."""
+
+    def __init__(self, t: pa.Table) -> None:
+        self.ids = t.column("node").to_pylist()
+        self.component = t.column("component").to_pylist()
+        self.sizes = t.column("n").to_numpy()
+        self.signatures = _signatures(t.column("signature"))
+        self.sets = [np.frombuffer(x, np.uint64) for x in t.column("found").to_pylist()]
+
+
 def _cross(table: pa.Table) -> pa.Table:
-    """Likely pairs of different components between two blocks of one bucket (or within one)."""
+    """Links between components within one block of a bucket, or between two: a spanning set of them.
+
+    A class is compared with those of other components only: sizes, then signatures batch by batch, then
+    the full sets of what survives. Linked components count as one from then on, so a block of n classes
+    gives less than n links.
+    """
     left, right = (table.filter(pc.equal(table.column("side"), s)) for s in (0, 1))
-    same = right.num_rows == 0
-    right = left if same else right
-    parts = [_side(t) for t in (left, right)]
-    (ids, comp, sizes, sig), (ids2, comp2, sizes2, sig2) = parts
-    got_a, got_b = [], []
-    for i in range(len(ids)):
-        j = np.flatnonzero(
-            (comp2 != comp[i])
-            & (DENOMINATOR * np.minimum(sizes2, sizes[i]) >= NUMERATOR * np.maximum(sizes2, sizes[i]))
-        )
-        if same:
+    x = _Side(left)
+    y = _Side(right) if right.num_rows else x
+    sides = [x] if y is x else [x, y]
+    known = np.unique(np.concatenate([f for side in sides for f in side.sets]))
+    number = {}
+    roots = [np.array([number.setdefault(c, len(number)) for c in side.component]) for side in sides]
+    flat = np.searchsorted(known, np.concatenate(y.sets))
+    starts = np.concatenate([[0], np.cumsum([len(f) for f in y.sets])])
+    has = np.zeros(len(known), bool)
+    links = []
+    for i in range(len(x.ids)):
+        own, others = roots[0][i], roots[-1]
+        size = x.sizes[i]
+        near = DENOMINATOR * np.minimum(y.sizes, size) >= NUMERATOR * np.maximum(y.sizes, size)
+        j = np.flatnonzero(near & (others != own))
+        if y is x:
             j = j[j > i]
-        if len(j):
-            j = j[surviving(np.broadcast_to(sig[i], (len(j), HASHES)), sig2[j])]
-            got_a += [ids[i]] * len(j)
-            got_b += [ids2[k] for k in j]
+        if not len(j):
+            continue
+        j = j[surviving(np.broadcast_to(x.signatures[i], (len(j), HASHES)), y.signatures[j])]
+        if not len(j):
+            continue
+        mine = np.searchsorted(known, x.sets[i])
+        has[mine] = True
+        both = np.array([np.count_nonzero(has[flat[starts[k] : starts[k + 1]]]) for k in j])
+        has[mine] = False
+        union = len(mine) + (starts[j + 1] - starts[j]) - both
+        for k in j[DENOMINATOR * both >= NUMERATOR * union].tolist():
+            a, b = roots[0][i], roots[-1][k]
+            if a != b:
+                links.append((x.ids[i], y.ids[k]))
+                for side in roots:
+                    side[side == b] = a
     kind = table.schema.field("node").type
-    a, b = pa.array(got_a, kind), pa.array(got_b, kind)
-    return pa.table({"a": pc.min_element_wise(a, b), "b": pc.max_element_wise(a, b)})
-
-
-def _side(t: pa.Table) -> tuple:
-    comp = np.array(t.column("component").to_pylist())
-    return t.column("node").to_pylist(), comp, t.column("n").to_numpy(), _signatures(t.column("signature"))
+    return pa.table({"a": pa.array([a for a, _ in links], kind), "b": pa.array([b for _, b in links], kind)})
 
 
-def unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of different components in buckets of three or more classes, found by pairs of blocks."""
+def unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between components in buckets of three or more classes, found by pairs of blocks."""
     held = members.where("n_nodes > 2").join(labels, "node", "left")
     held = held.withColumn("component", F.coalesce("component", "node"))
     mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    held = held.join(mixed.where("lo <> hi").select("bucket"), "bucket").join(classes.select("node", "n", "signature"), "node")
+    held = stored(held.join(mixed.where("lo <> hi").select("bucket"), "bucket"), "unsettled")
+    full = classes.select("node", "n", "signature").join(sets_of(held.select("node"), docs), "node")
     blocks = F.ceil(F.col("n_nodes") / F.lit(BLOCK)).cast("int")
-    held = held.select("bucket", "node", "component", "n", "signature", blocks.alias("blocks"))
+    held = held.select("bucket", "node", "component", blocks.alias("blocks"))
     held = held.withColumn("own", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
     dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket",
@@ -276,12 +310,10 @@ def unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
         (F.col("own") > F.col("other")).cast("int").alias("side"),
         "node",
         "component",
-        "n",
-        "signature",
     )
     node = classes.schema["node"].dataType
     schema = T.StructType([T.StructField("a", node), T.StructField("b", node)])
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(_cross, schema).distinct()
+    return dealt.join(full, "node").groupBy("bucket", "i", "j").applyInArrow(_cross, schema)
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,10 +331,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(confirm(stored(prune(stars, classes), "pairs"), texts), "links")
     labels = components(links)
-    rest = stored(unsettled(members, labels, classes), "pairs")
+    rest = stored(unsettled(members, labels, classes, texts), "links")
     if not rest.isEmpty():
-        links = links.unionByName(confirm(rest, texts))
-        labels = components(stored(links, "links"))
+        labels = components(links.unionByName(rest))
     of_set = classes.select("set_key", "node").join(labels, "node", "left")
     of_set = of_set.select("set_key", F.coalesce("component", "node").alias("component"))
     rows = found.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")

@@ -84,10 +84,14 @@ def test_blocks_of_a_bucket_find_what_stars_leave(spark, monkeypatch):
     classes = found.select("set_key", F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "signature")
     members = classes.select(F.lit(1).cast("long").alias("bucket"), "node", F.lit(12).cast("long").alias("n_nodes"))
     labels = spark.createDataFrame([(10, 10)], "node long, component long")
-    pairs = {(r.a, r.b) for r in neardup.unsettled(members, labels, classes).collect()}
-    sets, _ = brute(texts)
-    linked = {(x, y) for x, y in combinations(sorted(texts), 2) if 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y])}
-    assert linked <= pairs
+    links = {(r.a, r.b) for r in neardup.unsettled(members, labels, classes, df.select(F.col("doc_id").alias("id"), "text")).collect()}
+    sets, label = brute(texts)
+    assert all(100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]) for x, y in links)
+    joined = {i: i for i in texts}
+    for x, y in links:
+        lo, hi = sorted((joined[x], joined[y]))
+        joined = {i: lo if v == hi else v for i, v in joined.items()}
+    assert joined == label
 
 
 def test_bayesian_bounds_keep_pairs_at_the_threshold():
