@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.operators import drift as D
+from driftline.operators import split
 from driftline.plans import run
 from driftline.plans.catalog import base as B
 from driftline.plans.catalog.base import q6, r6, register
@@ -57,9 +58,9 @@ def _long(source: str, cols: list[str], keep: str = "") -> str:
     return " UNION ALL ".join(f"SELECT {lead}'{c}' AS \"column\", {c} AS v FROM {source}" for c in cols)
 
 
-def cuts_sql() -> str:
+def cuts_sql(num: list[str] = NUM) -> str:
     return f"""
-rl AS (SELECT * FROM ({_long('ref', NUM)}) WHERE v IS NOT NULL),
+rl AS (SELECT * FROM ({_long('ref', num)}) WHERE v IS NOT NULL),
 ro AS (SELECT "column", v, row_number() OVER (PARTITION BY "column" ORDER BY v) - 1 AS i,
               count(*) OVER (PARTITION BY "column") AS n FROM rl),
 rn AS (SELECT "column", max(n) AS n FROM ro GROUP BY 1),
@@ -72,13 +73,13 @@ cuts AS (SELECT "column", cut, row_number() OVER (PARTITION BY "column" ORDER BY
 """
 
 
-def psi_sql(window: str = "") -> str:
+def psi_sql(window: str = "", num: list[str] = NUM) -> str:
     """PSI by joining every value with its bin; `window` names a window column of cur."""
     w, on = (f"{window}, ", f"x.{window} = wn.{window} AND ") if window else ("", "")
     windows = f"SELECT DISTINCT {window} FROM cur" if window else "SELECT 1 AS one"
     wsel = f"wn.{window}, " if window else ""
-    return f"""{cuts_sql()},
-cl AS (SELECT * FROM ({_long('cur', NUM, window)}) WHERE v IS NOT NULL),
+    return f"""{cuts_sql(num)},
+cl AS (SELECT * FROM ({_long('cur', num, window)}) WHERE v IS NOT NULL),
 cn AS (SELECT {w}"column", count(*) AS n FROM cl GROUP BY ALL),
 rb AS (SELECT c."column", c.b, count(*) AS k FROM rl JOIN cuts c ON c."column" = rl."column"
        AND rl.v >= c.cut AND (rl.v < c.hi OR (c.hi = c.top AND rl.v = c.top)) GROUP BY ALL),
@@ -97,7 +98,7 @@ psi AS (SELECT {w}"column", CASE WHEN max(rn) < 10 OR max(cn) < 10 OR max(n_bins
 """
 
 
-def tv_sql(window: str = "", token: str | None = None) -> str:
+def tv_sql(window: str = "", token: str | None = None, txt: list[str] = TXT) -> str:
     """Category shares of both sides, missing ones as zero."""
     w = f"{window}, " if window else ""
     fill = f"coalesce(v, '{token}')" if token else "v"
@@ -106,8 +107,8 @@ def tv_sql(window: str = "", token: str | None = None) -> str:
     on = f"x.{window} = k.{window} AND " if window else ""
     total = f"(SELECT count(*) FROM cur z WHERE z.{window} = k.{window})" if window else "(SELECT count(*) FROM cur)"
     return f"""
-tr AS (SELECT "column", {fill} AS v, count(*) AS n FROM ({_long('ref', TXT)}) GROUP BY ALL),
-tc AS (SELECT {w}"column", {fill} AS v, count(*) AS n FROM ({_long('cur', TXT, window)}) GROUP BY ALL),
+tr AS (SELECT "column", {fill} AS v, count(*) AS n FROM ({_long('ref', txt)}) GROUP BY ALL),
+tc AS (SELECT {w}"column", {fill} AS v, count(*) AS n FROM ({_long('cur', txt, window)}) GROUP BY ALL),
 tk AS (SELECT DISTINCT "column", v FROM (SELECT "column", v FROM tr UNION ALL SELECT "column", v FROM tc)),
 twn AS ({windows}),
 k AS (SELECT {wsel.replace('wn.', 'twn.')}tk."column", tk.v FROM twn CROSS JOIN tk),
@@ -342,6 +343,7 @@ def retrain_decision(spark: SparkSession, sf: str) -> DataFrame:
 @register("monitor_demo")
 def monitor_demo(spark: SparkSession, sf: str) -> DataFrame:
     """Clean, shifted and two relabelled windows sampled from the test part."""
-    rows = B.lines(spark, sf).where("outcome IS NOT NULL").withColumn("proba", B.blend(0.7, 0.3))
+    rows = split.labeled(B.lines(spark, sf), "outcome").withColumn("proba", B.blend(0.7, 0.3))
+    rows = split.take(rows, "ship_date", split.find_cuts(rows, "ship_date"), "test")
     out = run.monitor_exercise(rows, B.LINES, SHIFT, lambda df: df, 0.55)
     return out.select("window_id", "window_seq", "drift_share", "realized_recall", "kind", F.concat_ws(",", "reasons").alias("reasons"), "retrain")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import rounded
 from driftline.operators import models
 from driftline.plans.catalog.base import q6, r6, register, table
+from driftline.plans.catalog.drift_queries import psi_sql, tv_sql
 from driftline.plans.catalog.telemetry_queries import SLIDE_SQL, as_log, ntz, p95_sql
 from driftline.session import scratch_path
 from driftline.spec import TableSpec, between, flatten, isin, not_null
@@ -67,19 +68,37 @@ def stream_gate(spark: SparkSession, sf: str) -> DataFrame:
     return both.groupBy("reasons").agg(F.count("*").alias("n_rows"))
 
 
-@register("stream_score")
-def stream_score(spark: SparkSession, sf: str) -> DataFrame:
+def _scored_stream(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(scored answers, refused requests) of a run over the events."""
     events = as_requests(table(spark, sf, "events"))
     truth = (F.col("value") > 50) != (F.col("event_id") % 10 == 0)
     labelled = events.withColumn("outcome", F.when(truth, F.lit("Yes")).otherwise(F.lit("No")))
     third = F.when(F.col("event_id") % 3 == 0, "test").when(F.col("event_id") % 3 == 1, "val").otherwise("train")
     versions, _, _ = models.train_candidates(labelled.withColumn("split", third), REQUESTS, ["logreg"])
-    out, state = scratch_path(spark, "scored"), scratch_path(spark, "score-state")
+    out, refused, state = (scratch_path(spark, n) for n in ("scored", "refused", "score-state"))
     query = jobs.score_stream(
-        as_requests(stream(spark, sf)), REQUESTS, lambda: versions["logreg"], out, state, "act", "wait", ["event_id"]
+        as_requests(stream(spark, sf)), REQUESTS, lambda: versions["logreg"], out, state, "act", "wait", ["event_id"], refused
     )
     core.finish(query)
-    return core.read_batches(spark, out).groupBy("action", "model_name").agg(F.count("*").alias("n_rows"))
+    return core.read_batches(spark, out), core.read_batches(spark, refused)
+
+
+@register("stream_score")
+def stream_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _scored_stream(spark, sf)[0].groupBy("action", "model_name").agg(F.count("*").alias("n_rows"))
+
+
+@register(
+    "stream_score_gate",
+    """WITH r AS (SELECT concat_ws('; ', CASE WHEN value > 300 THEN 'value less_than_or_equal_to(300)' END,
+          CASE WHEN event_type = 'error' THEN 'event_type isin([''signup'', ''purchase'', ''view'', ''click''])' END) AS reasons FROM events)
+       SELECT reasons, count(*) AS n_rows FROM r GROUP BY 1""",
+)
+def stream_score_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Every request is either scored or refused with its reasons."""
+    scored, refused = _scored_stream(spark, sf)
+    both = scored.select(F.lit("").alias("reasons")).unionByName(refused.select(F.concat_ws("; ", "reasons").alias("reasons")))
+    return both.groupBy("reasons").agg(F.count("*").alias("n_rows"))
 
 
 @register(
@@ -156,19 +175,40 @@ def _drift_history(spark: SparkSession, sf: str) -> DataFrame:
     return core.read_batches(spark, history)
 
 
+DRIFT_SQL = f"""
+p AS (SELECT time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01') AS window_start, value, event_type,
+        {EVENT_LABEL_SQL} AS label, {EVENT_SCORE_SQL} AS proba FROM events), {LINE_SQL},
+ref AS (SELECT value, event_type FROM events WHERE ts < TIMESTAMP '2024-01-11'),
+cur AS (SELECT p.* FROM p, line WHERE window_start + INTERVAL 5 DAY <= line), {psi_sql('window_start', ['value'])},
+{tv_sql('window_start', txt=['event_type'])},
+sc AS (SELECT window_start, score FROM psi
+       UNION ALL SELECT window_start, 0.5 * sum(abs(p - q)) FROM tsh GROUP BY window_start, "column"),
+sh2 AS (SELECT window_start, floor(avg((score >= 0.2::DOUBLE)::INT) * 1e4 + 0.5) / 1e4 AS drift_share FROM sc GROUP BY 1),
+rc AS (SELECT window_start, floor(coalesce(count(*) FILTER (WHERE proba >= 0.5::DOUBLE AND label = 1)
+         / nullif(sum(label), 0)::DOUBLE, 0) * 1e4 + 0.5) / 1e4 AS realized_recall FROM cur GROUP BY 1),
+mon AS (SELECT * FROM sh2 JOIN rc USING (window_start))
+"""
+
+
 @register(
     "stream_drift",
-    f"""WITH p AS (SELECT time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-01') AS window_start,
-                     {EVENT_LABEL_SQL} AS label, {EVENT_SCORE_SQL} AS proba FROM events), {LINE_SQL}
-        SELECT window_start, floor(coalesce(count(*) FILTER (WHERE proba >= 0.5::DOUBLE AND label = 1)
-          / nullif(sum(label), 0)::DOUBLE, 0) * 1e4 + 0.5) / 1e4 AS realized_recall
-        FROM p, line WHERE window_start + INTERVAL 5 DAY <= line GROUP BY 1""",
+    f"""WITH {DRIFT_SQL}
+        SELECT window_start, drift_share, realized_recall, CASE WHEN drift_share >= 0.30::DOUBLE THEN 'data_drift'
+          WHEN realized_recall < 0.60::DOUBLE THEN 'concept_drift' ELSE 'stable' END AS kind FROM mon""",
 )
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return _drift_history(spark, sf).select(ntz("window_start"), "realized_recall")
+    return _drift_history(spark, sf).select(ntz("window_start"), "drift_share", "realized_recall", "kind")
 
 
-@register("stream_retrain")
+@register(
+    "stream_retrain",
+    f"""WITH {DRIFT_SQL}, l AS (SELECT *, lag(realized_recall) OVER (ORDER BY window_start) AS before FROM mon),
+        d AS (SELECT *, CASE WHEN drift_share >= 0.30::DOUBLE THEN 'data_drift' END AS a,
+          CASE WHEN realized_recall < 0.60::DOUBLE AND before < 0.60::DOUBLE THEN 'concept_drift_two_windows' END AS b FROM l)
+        SELECT window_start, drift_share, realized_recall, CASE WHEN drift_share >= 0.30::DOUBLE THEN 'data_drift'
+          WHEN realized_recall < 0.60::DOUBLE THEN 'concept_drift' ELSE 'stable' END AS kind,
+          concat_ws(',', a, b) AS reasons, a IS NOT NULL OR b IS NOT NULL AS retrain FROM d""",
+)
 def stream_retrain(spark: SparkSession, sf: str) -> DataFrame:
     out = jobs.retrain_stream(_drift_history(spark, sf))
     return out.select(ntz("window_start"), "drift_share", "realized_recall", "kind", F.concat_ws(",", "reasons").alias("reasons"), "retrain")

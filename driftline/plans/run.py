@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -227,15 +228,44 @@ def retrain_recent(
 ) -> DataFrame:
     """Fit the retrain family on the latest dates and gate it against the serving model.
 
-    Duplicates are dropped here as in a full run.
+    A dry run: the size is given, nothing is saved. Duplicates are dropped here as in a full run.
     """
+    valid = contract.gate_batch(_coerced(df, spec), spec)
+    _, metric_rows = _fit_recent(valid, spec, overrides)
+    cands = metric_rows.withColumn("model_mb", F.lit(model_mb))
+    return registry.with_selected(registry.bless(cands, forced=serving_auc))
+
+
+def _coerced(df: DataFrame, spec: TableSpec) -> DataFrame:
     clean, _ = tables.drop_leaks(df, spec.leak)
-    valid = contract.gate_batch(tables.coerce(ingest.dedup_exact(clean), spec), spec)
+    return tables.coerce(ingest.dedup_exact(clean), spec)
+
+
+def _fit_recent(valid: DataFrame, spec: TableSpec, overrides: dict[str, dict] | None) -> tuple[models.Version, DataFrame]:
     recent = split.recent_window(split.labeled(valid, spec.target), spec.date)
     parts = split.time_split(recent, spec.date)
-    _, metric_rows, _ = models.train_candidates(parts, spec, [RETRAIN_MODEL], overrides=overrides)
-    cands = metric_rows.withColumn("model_mb", F.lit(model_mb))
-    return registry.with_selected(registry.bless(cands, forced=serving_auc))
+    versions, metric_rows, _ = models.train_candidates(parts, spec, [RETRAIN_MODEL], overrides=overrides)
+    return versions[RETRAIN_MODEL], metric_rows
+
+
+def retrain_run(
+    spark: SparkSession,
+    raw: DataFrame,
+    spec: TableSpec,
+    paths: Paths,
+    run: str,
+    event_seq: int,
+    overrides: dict[str, dict] | None = None,
+) -> DataFrame:
+    """Retraining to its end: gate with alert, fit on the latest dates, save, measure, register, promote or skip."""
+    tables.write_stage(_coerced(raw, spec), paths.stage(run, "examples"))
+    valid = validate_or_alert(spark, tables.read_stage(spark, paths.stage(run, "examples")), spec, paths, run, event_seq)
+    version, metric_rows = _fit_recent(valid, spec, overrides)
+    target = paths.stage(run, f"model_{RETRAIN_MODEL}")
+    version.pipeline.write().overwrite().save(target)
+    size = tables.stored_bytes(spark, target).first()["n_bytes"] / MEGABYTE
+    cands = metric_rows.withColumns({"run_id": F.lit(run), "model_mb": F.lit(size)})
+    return publish(spark, cands, paths, run, event_seq, forced_baseline=serving_auc(spark, paths))
 
 
 def demo_windows(
@@ -293,7 +323,13 @@ def monitor_exercise(
     return drift.retrain_decision(history, "window_seq")
 
 
-def retrain_cycle(decisions: DataFrame) -> bool:
-    """True when both triggers fired: after the shifted window and after both relabelled ones."""
-    rows = {r["window_id"]: r["retrain"] for r in decisions.select("window_id", "retrain").collect()}
-    return bool(rows.get("data_drift")) and bool(rows.get("concept_2"))
+def retrain_cycle(decisions: DataFrame, start: Callable[[], DataFrame] | None = None) -> bool:
+    """True when both triggers fired: after the shifted window and after both relabelled ones.
+
+    `start` (a retrain run) is then called.
+    """
+    fired = decisions.where(F.col("window_id").isin("data_drift", "concept_2") & F.col("retrain"))
+    both = fired.agg(F.count_distinct("window_id")).first()[0] == 2
+    if both and start:
+        start()
+    return both

@@ -146,6 +146,7 @@ def drift_stream(
     checkpoint: str,
     delay: str = core.WATERMARK,
     second: bool = False,
+    on_report: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Monitor record per closed event-time window of a scored, labelled stream.
 
@@ -154,6 +155,8 @@ def drift_stream(
     windows closed since the batch before, so only their partitions are read. Rows of a window
     closed earlier are late: they are counted in the batch's progress row and dropped. The reference
     is profiled and written once, so a batch reads that profile and its closed windows only.
+    `on_report` gets the whole history after each batch that closed a window: `retrain_trigger` makes one
+    that starts a retrain run.
     """
     spark = stream.sparkSession
 
@@ -195,10 +198,23 @@ def drift_stream(
             return
         report = drift.monitor_windows(known, closed, spec, ["window_start"], threshold, second=second)
         core.write_batch(report, history, batch_id)
+        if on_report:
+            on_report(core.read_batches(spark, history, batch_id + 1))
 
     return core.batch_sink(stream, write, checkpoint)
 
 
+def retrain_trigger(start: Callable[[list[str]], None]) -> Callable[[DataFrame], None]:
+    """Calls `start(reasons)` when the latest closed window asks for retraining."""
+
+    def check(history: DataFrame) -> None:
+        last = retrain_stream(history).orderBy(F.col("window_start").desc()).first()
+        if last is not None and last["retrain"]:
+            start(last["reasons"])
+
+    return check
+
+
 def retrain_stream(history: DataFrame, scheduled: bool = False) -> DataFrame:
     """Retrain decision after every closed window of the drift sink."""
     return drift.retrain_decision(history, "window_start", scheduled=scheduled)

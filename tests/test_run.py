@@ -105,6 +105,33 @@ def test_retrain_recent(spark):
     assert out["model_name"] == "gbt" and out["baseline_auc"] == 0.99999 and not out["selected"]
 
 
+def test_retraining_ends_in_a_decision(spark, tmp_path):
+    paths = run.Paths(str(tmp_path / "p"))
+    first = run.retrain_run(spark, weather(spark, 480), WEATHER, paths, "n1", 1, overrides=SMALL).first()
+    assert first["promoted"] and first["winner"] == "gbt"
+    versions = spark.read.parquet(paths.table("versions")).first()
+    assert versions["model_mb"] > 0 and run.serving_version(spark, paths).version == "1"
+    # the same table again can't improve on the version that serves unless it is at least as good
+    again = run.retrain_run(spark, weather(spark, 480), WEATHER, paths, "n2", 2, overrides=SMALL).first()
+    assert again["n_candidates"] == 1 and again["next"] in ("push", "skip")
+    bad = weather(spark, 60).withColumn("Humidity3pm", F.lit(140.0))
+    with pytest.raises(ContractError):
+        run.retrain_run(spark, bad, WEATHER, paths, "n3", 3, overrides=SMALL)
+    alerts = records.open_alerts(records.read_records(spark, paths.table("alerts")), ["source"], "event_seq")
+    assert alerts.first()["run_id"] == "n3"
+
+
+def test_the_cycle_starts_a_retrain_when_both_triggers_fired(spark):
+    def decisions(*fired):
+        rows = [(w, w in fired) for w in ("clean", "data_drift", "concept_1", "concept_2")]
+        return spark.createDataFrame(rows, "window_id string, retrain boolean")
+
+    started = []
+    assert run.retrain_cycle(decisions("data_drift", "concept_2"), lambda: started.append(1))
+    assert not run.retrain_cycle(decisions("data_drift"), lambda: started.append(2))
+    assert started == [1]
+
+
 def test_candidate_subset():
     assert models.candidates(["forest"]) == ["forest"]
     assert models.candidates() == ["logreg", "gbt", "forest"]

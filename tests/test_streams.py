@@ -110,7 +110,11 @@ def test_drift_reports_each_closed_window_once(spark, source, tmp_path):
     staged, history, state = paths(tmp_path, "staged", "history", "state")
     scored = lambda df: df.withColumns({"label": (F.col("event_id") % 2).cast("int"), "proba": F.col("value") / 400})
     ref = events(spark).where("event_id < 150")
-    query = jobs.drift_stream(scored(stream(spark, source)), ref, REQUESTS, "ts", "2 days", 0.5, staged, history, state, second=True)
+    started = []
+    query = jobs.drift_stream(
+        scored(stream(spark, source)), ref, REQUESTS, "ts", "2 days", 0.5, staged, history, state,
+        second=True, on_report=jobs.retrain_trigger(started.append),
+    )
     core.finish(query)
     got = core.read_batches(spark, history)
     batch = scored(events(spark)).withColumn("window_start", F.window("ts", "2 days")["start"])
@@ -122,6 +126,8 @@ def test_drift_reports_each_closed_window_once(spark, source, tmp_path):
     assert got.count() == got.select("window_start").distinct().count() >= 4
     decisions = jobs.retrain_stream(got)
     assert decisions.count() == got.count()
+    last = [r["retrain"] for r in decisions.orderBy("window_start").collect()]
+    assert bool(started) >= last[-1] and all(started)
 
 
 def test_late_rows_are_counted(spark, tmp_path):
