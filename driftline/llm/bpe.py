@@ -20,12 +20,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.llm import blocks
-from driftline.llm.common import col, partitions, stored, with_package
+from driftline.llm.common import col, partitions, with_package
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -125,13 +126,20 @@ def _word_ids(rows: list[dict], bucket_of: np.ndarray) -> tuple[np.ndarray, np.n
     return own, blocks.offsets(sizes)
 
 
-def _place(table: pa.Table, path: str, schema: pa.Schema) -> pa.Table:
+def _only_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.select(["block", "bucket", "words"]).filter(pc.greater_equal(batch.column("bucket"), 0))
+
+
+def _place(table: pa.Table, answered: pa.Table, path: str, schema: pa.Schema) -> pa.Table:
     """Ids and decoded texts of a block's documents."""
-    rows = table.to_pylist()
-    (docs,) = (r for r in rows if r["bucket"] < 0)
-    answers = [r for r in rows if r["bucket"] >= 0]
+    (docs,) = table.filter(pc.less(table.column("bucket"), 0)).to_pylist()
+    answers = answered.to_pylist()
     at = blocks.unpack_ints(docs["tokens"]).astype(np.int64)
-    flat, starts = _word_ids(answers, blocks.unpack_ints(docs["bucket_of"]))
+    bucket_of = blocks.unpack_ints(docs["bucket_of"])
+    flat, starts = _word_ids(answers, bucket_of)
+    if len(starts) != len(bucket_of) + 1:
+        raise ValueError("a block got answers for other words than it asked for")
     table_of = pieces(path)
     named = [" ".join([table_of[i] for i in flat[a:b].tolist()]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
     ids, texts = [], []
@@ -170,16 +178,11 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         ]
     )
     cut_arrow = to_arrow_schema(cut)
-    n_buckets = 2 * partitions(spark)
-    table = stored(rows.mapInArrow(lambda it: _cut(it, n_buckets, cut_arrow), cut), "bpe-blocks")
-    answers = (
-        table.where("bucket >= 0")
-        .select("block", "bucket", "words")
-        .groupBy("bucket")
-        .applyInArrow(lambda t: _encode(t, tokenizer), "block long, bucket long, n_ids binary, ids binary")
-    )
-    own = table.where("bucket < 0").drop("words")
-    both = own.unionByName(answers, allowMissingColumns=True)
+    n_buckets = partitions(spark)
+    # Dealt by block once: this exchange feeds the words to the buckets and keeps the texts for the answers.
+    table = rows.mapInArrow(lambda it: _cut(it, n_buckets, cut_arrow), cut).repartition("block")
+    asked = table.mapInArrow(_only_words, "block long, bucket long, words binary").groupBy("bucket")
+    answers = asked.applyInArrow(lambda t: _encode(t, tokenizer), "block long, bucket long, n_ids binary, ids binary")
     out = T.StructType(
         [
             T.StructField("doc_id", id_type),
@@ -188,7 +191,8 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         ]
     )
     out_arrow = to_arrow_schema(out)
-    return both.groupBy("block").applyInArrow(lambda t: _place(t, tokenizer, out_arrow), out)
+    both = table.groupBy("block").cogroup(answers.groupBy("block"))
+    return both.applyInArrow(lambda own, found: _place(own, found, tokenizer, out_arrow), out)
 
 
 def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
