@@ -174,6 +174,18 @@ def total_variation(spark: SparkSession, sf: str) -> DataFrame:
     return D.total_variation(ref, cur, TXT).select("column", r6("score"))
 
 
+@register(
+    "drift_empty_window",
+    f"""WITH {SIDES_SQL} SELECT {ORD} AS ordinal, "column", score FROM (
+          SELECT unnest({NUM}) AS "column", 0.0::DOUBLE AS score FROM (SELECT count(*) FROM ref)
+          UNION ALL SELECT unnest({TXT}), CASE WHEN n > 0 THEN 0.5 ELSE 0 END FROM (SELECT count(*) AS n FROM ref))""",
+)
+def drift_empty_window(spark: SparkSession, sf: str) -> DataFrame:
+    """A window without rows keeps every column."""
+    ref, cur = sides(spark, sf)
+    return D.drift_scores(ref, cur.where("l_orderkey < 0"), B.LINES).select("ordinal", "column", "score")
+
+
 @register(
     "drift_scores",
     f"""WITH {SIDES_SQL}, {psi_sql()}, {tv_sql()}, {TV},

@@ -414,6 +414,29 @@ def profile_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("column", r6("missing_ratio"), "min", "max", r6("mean"), r6("std"))
 
 
+@register(
+    "profile_nan",
+    f"WITH {B.LINES_SQL} " + " UNION ALL ".join(_profile_sql(c) for c in ("l_tax", "l_quantity")),
+)
+def profile_nan(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of a column whose missing values are NaN is that of one where they are null."""
+    rows = B.lines(spark, sf).withColumn("l_tax", F.coalesce("l_tax", F.lit(float("nan"))))
+    p = ingest.profile_numeric(rows, ["l_tax", "l_quantity"])
+    return p.select("column", r6("missing_ratio"), "min", "max", r6("mean"), r6("std"))
+
+
+@register(
+    "gate_missing_column",
+    f"""WITH {B.FAULTY_SQL}
+        SELECT l_returnflag, count(*) AS n_rows, (sum((ship_date IS NULL)::INT + (l_discount > 1)::INT
+          + coalesce((l_linestatus NOT IN ('O', 'F'))::INT, 0) + coalesce((outcome NOT IN ('Yes', 'No'))::INT, 0)) + 1)::BIGINT
+          AS total_failures, false AS accepted FROM faulty GROUP BY 1""",
+)
+def gate_missing_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches that lack a declared column: one failure more each, none accepted."""
+    return contract.gate_batches(B.faulty(spark, sf).drop("l_quantity"), B.LINES, ["l_returnflag"])
+
+
 @register(
     "profile_top_values",
     f"""WITH {B.LINES_SQL}, long AS (
