@@ -13,7 +13,7 @@ SECTION = [
     "contract_violations", "violation_summary", "failure_report", "quarantine_rows", "profile_numeric",
     "profile_top_values", "time_split", "split_info", "sample_n", "fit_params", "onehot_slots", "class_weights",
     "binary_metrics", "choose_threshold", "cost_curve", "slice_by_month", "pick_winner", "rollback_target", "psi",
-    "total_variation", "drift_second", "slo_report", "alerts_hold", "stream_gate", "stream_rate",
+    "total_variation", "drift_second", "profile_nan", "gate_missing_column", "drift_empty_window", "slo_report", "alerts_hold", "stream_gate", "stream_rate",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables are absent")
