@@ -108,7 +108,44 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_log(chat.log_of(rows.unionByName(hostile))))
 
 
-@query("op9_secret_scans")
+def _found_sql(k: int) -> str:
+    kind, pattern, group, least = secrets.KINDS[k]
+    pattern = pattern.replace("'", "''")
+    return f"""SELECT r, doc_id, source, {k} AS k, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, '{pattern}') AS found,
+      regexp_extract_all(t, '{pattern}', {group}) AS vals, string_split_regex(t, '{pattern}') AS gaps FROM d"""
+
+
+_OPAQUE = " AND ".join(f"regexp_matches(v, '{c}')" for c in ("[0-9]", "[a-z]", "[A-Z]"))
+
+SECRETS_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+e AS ({" UNION ALL ".join(_found_sql(k) for k in range(len(secrets.KINDS)))}),
+i AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM e WHERE len(found) > 0),
+x AS (
+  SELECT r, doc_id, source, k, kind, least, vals[i] AS v, length(found[i]) AS n,
+    list_sum(list_transform(gaps[1:i], lambda s: length(s)))
+      + coalesce(list_sum(list_transform(found[1:i - 1], lambda s: length(s))), 0) AS start
+  FROM i
+), c AS (SELECT * FROM x WHERE length(v) >= least AND (k < {len(secrets.BASE)} OR ({_OPAQUE}))),
+o AS (SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners FROM c GROUP BY v),
+s AS (
+  SELECT r, k, start, kind || ':' || start::BIGINT || ':' || (start + n)::BIGINT AS span, owners
+  FROM c JOIN o USING (v) WHERE k < {len(secrets.BASE)} OR owners = 1
+), g AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, k) FILTER (k < {len(secrets.BASE)}) AS base,
+    string_agg(span, ',' ORDER BY start, k) AS spans, count(*) FILTER (owners = 1) AS n_live,
+    count(*) FILTER (owners >= {secrets.EXAMPLE_OWNERS}) AS n_example
+  FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+  coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+@query("op9_secret_scans", SECRETS_SQL)
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(documents(spark, sf_dir)))
 
