@@ -176,7 +176,28 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_minhash_neardup")
+NEARDUP_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {neardup.SHINGLE - 1}), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {neardup.SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE {neardup.DENOMINATOR} * common >= {neardup.NUMERATOR} * (x.n + y.n - common)
+), ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT b, c FROM reach JOIN ends ON a = doc_id),
+comp AS (SELECT doc_id, min(c) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)
+"""
+
+
+@query("op3_minhash_neardup", NEARDUP_SQL)
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(documents(spark, sf_dir))
 
