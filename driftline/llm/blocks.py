@@ -3,8 +3,8 @@
 Per-word work that needs the whole corpus (one encoding a word, corpus counts) would shuffle a row for every
 word of every text. Here a block of neighbouring documents sends each of its distinct words once, to the
 bucket of that word's hash; buckets answer each block with one value a word, and the block puts the answers
-back by position. A word in a third of all rows costs one entry a block. Blocks are bounded in characters and
-written once, so they are the same when they are read again; buckets follow the shuffle partitions.
+back by position. A word in a third of all rows costs one entry a block. Blocks are bounded in characters;
+buckets follow the shuffle partitions.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import zstandard
 from pyspark import TaskContext
 
 #: Characters of a block, unless one document alone has more.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
 
 
 class Numbering(dict):

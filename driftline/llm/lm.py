@@ -72,9 +72,10 @@ def _cut(batches: Iterator[pa.RecordBatch], n_buckets: int, schema: pa.Schema) -
         order = np.lexsort((hashes, bucket))
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
-        kinds = np.fromiter(map(context_class, words), np.int64, len(words))[at]
-        before = np.concatenate([[0], kinds[:-1]])  # every text ends with the end token
-        cells, at = np.unique(rank[at] * CLASSES + before, return_inverse=True)
+        key = rank[at] * CLASSES
+        key[1:] += np.fromiter(map(context_class, words), np.uint8, len(words))[at[:-1]]  # texts end with the end token
+        cells, at = np.unique(key, return_inverse=True)
+        del key
         taught = np.repeat([not _held(i) for i in ids], sizes)
         counts = np.bincount(at[taught], minlength=len(cells))
         n_cells = np.bincount(cells // CLASSES, minlength=len(words))
