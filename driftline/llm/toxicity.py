@@ -84,18 +84,20 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
     if not 0 < toxic < n:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), prior
     make = Features()
-    rows = [make.of(t).astype(np.int32) for t in texts]
     pos, neg = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for at, y in zip(rows, labels, strict=True):
-        (pos if y else neg)[at] += 1
+    for text, y in zip(texts, labels, strict=True):
+        (pos if y else neg)[make.of(text)] += 1
     ratio = np.log((pos + 1) / (toxic + 2)) - np.log((neg + 1) / (n - toxic + 2))
     used = (pos + neg >= LEAST_ROWS) & (np.abs(ratio) >= LEAST_RATIO)
     number = np.flatnonzero(used).astype(np.int32)
     place = np.full(1 << BITS, -1, np.int32)
     place[number] = np.arange(len(number), dtype=np.int32)
-    rows = [p[p >= 0] for p in (place[at] for at in rows)]
+    # Read again rather than kept: only the used features of a text stay in memory.
+    rows = [p[p >= 0] for p in (place[make.of(t)] for t in texts)]
+    sizes = [len(r) for r in rows]
     flat = np.concatenate(rows).astype(np.int64)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    del rows
+    owner = np.repeat(np.arange(n), sizes)
     values = ratio[number][flat]
     w, bias = _logistic(flat, owner, values, labels.astype(np.float64), len(number), prior)
     return number, (w * ratio[number]).astype(np.float32), bias
