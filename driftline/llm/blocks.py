@@ -38,7 +38,7 @@ def unsqueeze(data: bytes) -> bytes:
 
 def pack_ints(values: np.ndarray, kind: str = "<u4") -> bytes:
     """Whole numbers, their bytes grouped by significance and compressed."""
-    raw = np.ascontiguousarray(values, kind).view(np.uint8).reshape(len(values), -1)
+    raw = np.ascontiguousarray(values, kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
     return squeeze(np.ascontiguousarray(raw.T).tobytes())
 
 

@@ -1,13 +1,14 @@
 """LM scoring with a hierarchical Pitman-Yor model, seated by Gibbs sampling.
 
-Restaurants: one for every context class, whose parent is the unigram restaurant, whose parent is uniform over
-the known words and one unknown word. The context of a token is the class of the token before it: the hash of
-its last two bytes into CLASSES - 1 classes, and a class for text starts. Word contexts would make nearly
-every context unseen in a corpus of rare words and three times as many cells; the class count is a parameter.
+Restaurants: one for every context, the previous word (the end token at text starts), whose parent is the
+unigram restaurant, whose parent is uniform over the known words and one unknown word.
 
-Counts come from the whole corpus. Blocks of documents send each distinct (class, word) cell once to the bucket
-of the word's hash (see `blocks`); a bucket holds all cells of its words, so a word's seating needs only its
-own cells and the totals of the restaurants: a few hundred numbers, summed by Spark between rounds.
+Counts come from the whole corpus. Words are numbered first: a block of documents sends each distinct word to
+the bucket of its hash, which gives it a number (bucket, place). The block then sends each distinct (previous
+word, word) cell once to the word's bucket (see `blocks`); a bucket holds all cells of its words. A cell's
+restaurant is spread over buckets: its customers are the count of the previous word, and its tables are summed in
+that word's bucket, which tells them to the buckets that hold cells of it seen more than once; a cell seen once
+has one table whatever the others do. The driver gets a few sums, whatever the input.
 
 Seating: cells of up to SMALL customers keep each customer's table, and a sweep takes every customer out and
 seats it again given the rest. Larger cells are seated anew in a sweep, in batches over which the number of
@@ -23,7 +24,7 @@ other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from zlib import crc32
 
 import numpy as np
@@ -36,7 +37,8 @@ from pyspark.sql import types as T
 from driftline.llm import blocks
 from driftline.llm.common import col, partitions, stored, with_package
 
-CLASSES = 256
+#: Arrays by context have at least this length.
+CLASSES = 4
 STRENGTH = 1.0
 SMALL = 16
 BURN = 2
@@ -59,81 +61,194 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def context_class(word: bytes) -> int:
-    return 0 if word == END else 1 + crc32(word[-2:]) % (CLASSES - 1)
-
-
 def _cut(batches: Iterator[pa.RecordBatch], n_buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """A row for each block (its texts as cell numbers), and one for each bucket with words of it."""
+    """A row for each block (its texts as word numbers), and one for each bucket with words of it."""
     for block, ids, texts in blocks.documents_by_block(batches):
         words, at, sizes = blocks.numbered(texts, tokens)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
         order = np.lexsort((hashes, bucket))
-        rank = np.empty(len(words), np.int64)
+        rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words))
-        key = rank[at] * CLASSES
-        key[1:] += np.fromiter(map(context_class, words), np.uint8, len(words))[at[:-1]]  # texts end with the end token
-        cells, at = np.unique(key, return_inverse=True)
-        del key
-        taught = np.repeat([not _held(i) for i in ids], sizes)
-        counts = np.bincount(at[taught], minlength=len(cells))
-        n_cells = np.bincount(cells // CLASSES, minlength=len(words))
-        rows = [{"block": block, "bucket": -1, "doc_ids": ids, "sizes": sizes.tolist(), "tokens": blocks.pack_ints(at), "n_cells": blocks.pack_ints(n_cells)}]
+        rows = [{"block": block, "bucket": -1, "doc_ids": ids, "sizes": sizes.tolist(), "tokens": blocks.pack_ints(rank[at])}]
         hashes, bucket = hashes[order], bucket[order]
-        starts, cell_starts = np.flatnonzero(np.diff(bucket, prepend=-1)), blocks.offsets(n_cells)
-        for a, b in zip(starts, [*starts[1:], len(words)], strict=True):
-            own = slice(cell_starts[a], cell_starts[b])
-            rows.append(
-                {
-                    "block": block,
-                    "bucket": int(bucket[a]),
-                    "words": blocks.pack_ints(hashes[a:b], "<u8"),
-                    "n_cells": blocks.pack_ints(n_cells[a:b]),
-                    "classes": blocks.pack_ints(cells[own] % CLASSES, "<u1"),
-                    "counts": blocks.pack_ints(counts[own]),
-                }
-            )
+        for a, b in _runs(bucket):
+            rows.append({"block": block, "bucket": int(bucket[a]), "words": blocks.pack_ints(hashes[a:b], "<u8")})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
+def _runs(sorted_values: np.ndarray) -> list[tuple[int, int]]:
+    """First and past-the-last position of each run of equal values."""
+    starts = np.flatnonzero(np.diff(sorted_values, prepend=-1)).tolist()
+    return list(zip(starts, [*starts[1:], len(sorted_values)], strict=False))
+
+
+def _number(table: pa.Table) -> pa.Table:
+    """For each block, the places of its words among all words of a bucket, by hash."""
+    words = [blocks.unpack_ints(x, "<u8") for x in table.column("words").to_pylist()]
+    place = np.unique(np.concatenate(words), return_inverse=True)[1]
+    places = np.split(place, np.cumsum([len(w) for w in words])[:-1])
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "places": [blocks.pack_ints(x) for x in places]})
+
+
+def _cells_of(tokens: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct cells of a block (word * n + previous word), the cell of each token, and n."""
+    word = blocks.unpack_ints(tokens).astype(np.int64)
+    n = int(word.max()) + 1
+    before = np.concatenate([word[-1:], word[:-1]])  # texts end with the end token
+    cells, at = np.unique(word * n + before, return_inverse=True)
+    return cells, at, n
+
+
+def _send(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """A block's cells, for the buckets of their words."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+    docs, answers = rows[0], rows[1:]
+    places = [blocks.unpack_ints(r["places"]) for r in answers]
+    starts = blocks.offsets(np.array([len(x) for x in places]))
+    numbers = np.concatenate([(r["bucket"] << 32) + x.astype(np.int64) for r, x in zip(answers, places, strict=True)])
+    cells, at, n = _cells_of(docs["tokens"])
+    taught = np.repeat([not _held(i) for i in docs["doc_ids"]], docs["sizes"])
+    counts = np.bincount(at[taught], minlength=len(cells))
+    n_cells = np.bincount(cells // n, minlength=n)
+    cell_starts = blocks.offsets(n_cells)
+    sent = []
+    for r, x, a, b in zip(answers, places, starts, starts[1:], strict=False):
+        own = slice(cell_starts[a], cell_starts[b])
+        sent.append(
+            {
+                "block": r["block"],
+                "bucket": r["bucket"],
+                "words": blocks.pack_ints(x),
+                "n_cells": blocks.pack_ints(n_cells[a:b]),
+                "contexts": blocks.pack_ints(numbers[cells[own] % n], "<u8"),
+                "counts": blocks.pack_ints(counts[own]),
+            }
+        )
+    return pa.Table.from_pylist(sent, schema=schema)
+
+
 @dataclass
 class Cells:
-    """All cells of a bucket: cell i is word word[i] after class kind[i], seen count[i] times in training."""
+    """Cells of a bucket: cell i is word word[i] after context kind[i], seen count[i] times in training."""
 
     word: np.ndarray
     kind: np.ndarray
     count: np.ndarray
     n_words: int
-    asked: list  # for each row of the table, the cells it asked for
+    asked: list  # for each block, the cells it asked for
     words_asked: list
-
-
-def gather(table: pa.Table) -> Cells:
-    """The cells of a bucket's blocks, added up."""
-    rows = [{k: table.column(k)[i].as_py() for k in ("words", "n_cells", "classes", "counts")} for i in range(table.num_rows)]
-    words = [blocks.unpack_ints(r["words"], "<u8") for r in rows]
-    per_word = [blocks.unpack_ints(r["n_cells"]) for r in rows]
-    known, place = np.unique(np.concatenate(words), return_inverse=True)
-    word_of = np.repeat(place, np.concatenate(per_word))
-    kinds = np.concatenate([blocks.unpack_ints(r["classes"], "<u1") for r in rows]).astype(np.int64)
-    counts = np.concatenate([blocks.unpack_ints(r["counts"]) for r in rows])
-    keys, cell = np.unique(word_of * CLASSES + kinds, return_inverse=True)
-    total = np.bincount(cell, weights=counts, minlength=len(keys)).astype(np.int64)
-    sizes = np.cumsum([int(n.sum()) for n in per_word])[:-1]
-    return Cells(
-        keys // CLASSES,
-        keys % CLASSES,
-        total,
-        len(known),
-        np.split(cell, sizes),
-        np.split(place, np.cumsum([len(w) for w in words])[:-1]),
+    once: np.ndarray | int = 0  # cells of each word that were seen once and are not listed
+
+
+def _gather(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """A bucket's cells, added up, and what it tells the buckets of their contexts.
+
+    Blocks ask by code: 0 for a cell unseen in training, 1 for one seen once, i + 2 for listed cell i.
+    """
+    rows = table.to_pylist()
+    words = [blocks.unpack_ints(r["words"]) for r in rows]
+    n_words = int(max(w.max() for w in words)) + 1
+    word = np.concatenate([np.repeat(w, blocks.unpack_ints(r["n_cells"])) for w, r in zip(words, rows, strict=True)])
+    kinds = [blocks.unpack_ints(r["contexts"], "<u8") for r in rows]
+    sizes = np.cumsum([len(k) for k in kinds])[:-1]
+    kind = np.concatenate(kinds)
+    order = np.lexsort((kind, word))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(word[order].astype(np.int64)) != 0) | (np.diff(kind[order]) != 0)
+    cell = np.empty(len(order), np.int64)
+    cell[order] = np.cumsum(new) - 1
+    word, kind = word[order[new]], kind[order[new]]
+    count = np.bincount(cell, weights=np.concatenate([blocks.unpack_ints(r["counts"]) for r in rows])).astype(np.int64)
+    listed = count > 1
+    code = np.minimum(count, 1)
+    code[listed] = 2 + np.arange(listed.sum())
+    seen = count > 0
+    widths = np.bincount(word[seen], minlength=n_words)
+    of_word = np.bincount(word, weights=count, minlength=n_words).astype(np.int64)
+    bucket = rows[0]["bucket"]
+    out = [
+        {
+            "bucket": bucket,
+            "role": "cells",
+            "word_counts": blocks.pack_ints(of_word, "<u8"),
+            "once": blocks.pack_ints(np.bincount(word[count == 1], minlength=n_words)),
+            "words": blocks.pack_ints(word[listed]),
+            "contexts": blocks.pack_ints(kind[listed], "<u8"),
+            "counts": blocks.pack_ints(count[listed], "<u8"),
+            "asked": [
+                {"block": r["block"], "words": blocks.pack_ints(w), "codes": blocks.pack_ints(c)}
+                for r, w, c in zip(rows, words, np.split(code[cell], sizes), strict=True)
+            ],
+            "sums": [
+                float(x)
+                for x in (of_word.sum(), (of_word > 0).sum(), widths.sum(), *(n for k in (1, 2) for n in ((count == k).sum(), (widths == k).sum())))
+            ],
+        }
+    ]
+    contexts, at = np.unique(kind[seen], return_inverse=True)
+    asks = np.zeros(len(contexts), bool)
+    asks[at[listed[seen]]] = True
+    out += _to_homes(bucket, "types", contexts, np.bincount(at, minlength=len(contexts)), asks)
+    return pa.Table.from_pylist(out, schema=schema)
+
+
+def _to_homes(source: int, role: str, contexts: np.ndarray, values: np.ndarray, asks: np.ndarray | None = None) -> list[dict]:
+    """For the bucket of each of the contexts: their places and values there, and which of them must be answered."""
+    home = (contexts >> np.uint64(32)).astype(np.int64)
+    place = contexts & np.uint64(0xFFFFFFFF)
+    return [
+        {
+            "bucket": int(home[a]),
+            "source": source,
+            "role": role,
+            "words": blocks.pack_ints(place[a:b]),
+            "counts": blocks.pack_ints(values[a:b], "<u8"),
+            "once": None if asks is None else blocks.pack_ints(asks[a:b], "<u1"),
+        }
+        for a, b in _runs(home)
+    ]
+
+
+def _totals(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """Tables of a bucket's words as contexts, kept and told to the buckets that asked."""
+    rows = table.to_pylist()
+    told = [(r, blocks.unpack_ints(r["words"]), blocks.unpack_ints(r["counts"], "<u8")) for r in rows if r["role"] != "totals"]
+    before = [blocks.unpack_ints(r["counts"], "<u8").astype(np.int64) for r in rows if r["role"] == "totals"]
+    size = max([CLASSES, *(len(x) for x in before), *(int(w.max()) + 1 for _, w, _ in told)])
+    total = sum((np.pad(x, (0, size - len(x))) for x in before), np.zeros(size, np.int64))
+    for _, w, n in told:
+        total[w] += n.astype(np.int64)
+    bucket = rows[0]["bucket"]
+    out = [{"bucket": bucket, "role": "totals", "counts": blocks.pack_ints(total, "<u8")}]
+    for r, w, _ in told:
+        if r["once"] is not None:
+            w = w[blocks.unpack_ints(r["once"], "<u1") > 0]
+        if len(w):
+            out.append({"bucket": r["source"], "source": bucket, "role": "answer", "counts": blocks.pack_ints(total[w], "<u8")})
+    return pa.Table.from_pylist(out, schema=schema)
+
+
+def _listed(table: pa.Table) -> tuple[dict | None, Cells | None, np.ndarray, np.ndarray, dict]:
+    """The bucket's row, its listed cells, their contexts and the tables of these, and the bucket's totals."""
+    rows = table.to_pylist()
+    by_role = {r["role"]: r for r in rows if r["role"] != "answer"}
+    row = by_role.get("cells")
+    if row is None:
+        return None, None, np.zeros(0), np.zeros(0), by_role
+    contexts, kind = np.unique(blocks.unpack_ints(row["contexts"], "<u8"), return_inverse=True)
+    answers = sorted((r for r in rows if r["role"] == "answer"), key=lambda r: r["source"])
+    tables = np.concatenate([np.zeros(0), *(blocks.unpack_ints(r["counts"], "<u8") for r in answers)])
+    once = blocks.unpack_ints(row["once"]).astype(np.int64)
+    cells = Cells(
+        blocks.unpack_ints(row["words"]).astype(np.int64), kind, blocks.unpack_ints(row["counts"], "<u8").astype(np.int64), len(once), [], [], once
     )
+    return row, cells, contexts, tables, by_role
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What every restaurant has in all: customers and tables of each class, and of the unigram restaurant."""
+    """What restaurants have in all: customers and tables of contexts, and of the unigram restaurant."""
 
     train_tokens: int
     n_words: int
@@ -202,13 +317,13 @@ def seatings(cells: Cells, totals: Totals, seed: int, burn: int, samples: int) -
     """After the burn-in, (tables of each cell, customers and tables of each word in the unigram restaurant)."""
     rng = np.random.default_rng(seed)
     leaf = Seating(cells.count, totals.discount, rng)
-    customers = np.bincount(cells.word, weights=leaf.tables, minlength=cells.n_words).astype(np.int64)
+    customers = np.bincount(cells.word, weights=leaf.tables, minlength=cells.n_words).astype(np.int64) + cells.once
     tables = np.minimum(customers, 1)
     weight = STRENGTH + totals.discount * totals.tables[cells.kind]
     opening = np.full(cells.n_words, (STRENGTH + totals.root_discount * totals.root_tables) / (totals.n_words + 1))
     for k in range(burn + samples):
         leaf.sweep(weight * totals.root(customers, tables)[cells.word])
-        customers = np.bincount(cells.word, weights=leaf.tables, minlength=cells.n_words).astype(np.int64)
+        customers = np.bincount(cells.word, weights=leaf.tables, minlength=cells.n_words).astype(np.int64) + cells.once
         root = Seating(customers, totals.root_discount, rng)
         root.sweep(opening)
         tables = root.tables
@@ -216,72 +331,63 @@ def seatings(cells: Cells, totals: Totals, seed: int, burn: int, samples: int) -
             yield leaf.tables, customers, tables
 
 
-_SUMS = "pos int, kind string, value double"
-
-
-def _sums(named: dict[str, np.ndarray]) -> pa.Table:
-    rows = [(i, k, float(x)) for k, v in named.items() for i, x in enumerate(np.atleast_1d(v))]
-    pos, kind, value = zip(*rows, strict=True)
-    return pa.table({"pos": pa.array(pos, pa.int32()), "kind": list(kind), "value": pa.array(value, pa.float64())})
-
-
-def _count(table: pa.Table) -> pa.Table:
-    cells = gather(table)
-    seen = cells.count > 0
-    widths = np.bincount(cells.word[seen], minlength=cells.n_words)
-    by_class = np.bincount(cells.kind, weights=cells.count, minlength=CLASSES)
-    return _sums(
-        {
-            "customers": by_class,
-            "tables": np.bincount(cells.kind[seen], minlength=CLASSES),
-            "words": np.array([(widths > 0).sum()]),
-            "ones": np.array([(cells.count == 1).sum(), (widths == 1).sum()]),
-            "twos": np.array([(cells.count == 2).sum(), (widths == 2).sum()]),
-        }
-    )
-
-
-def _first_round(table: pa.Table, totals: Totals) -> pa.Table:
-    cells = gather(table)
-    seed = int(table.column("bucket")[0].as_py())
-    for leaf, customers, tables in seatings(cells, totals, seed, BURN, 1):
-        return _sums(
+def _first_round(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
+    """Further tables of the contexts beside one for each cell, and those of the unigram restaurant."""
+    row, cells, contexts, tables, _ = _listed(table)
+    out = []
+    if row is not None:
+        bucket = row["bucket"]
+        for leaf, customers, root in seatings(cells, replace(totals, tables=tables), bucket, BURN, 1):
+            out.append({"bucket": bucket, "role": "sums", "sums": [float(customers.sum()), float(root.sum())]})
+            more = np.bincount(cells.kind, weights=leaf - 1, minlength=len(contexts))
+            out += _to_homes(bucket, "more", contexts, more)
+    return pa.Table.from_pylist(out, schema=schema)
+
+
+_ANSWER = "block long, bucket long, counts binary, tables binary, root binary, seated binary"
+
+
+def _answer(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
+    """For each block, its words' training counts, tables as contexts and unigram probabilities, and what its cells hold."""
+    row, cells, _, tables, by_role = _listed(table)
+    if row is None:
+        return schema.empty_table()
+    root, held = np.zeros(cells.n_words), np.zeros(len(cells.count))
+    for leaf, customers, root_tables in seatings(cells, replace(totals, tables=tables), 1_000_003 + row["bucket"], BURN, SAMPLES):
+        root += totals.root(customers, root_tables) / SAMPLES
+        held += (cells.count - totals.discount * leaf) / SAMPLES
+    held = np.concatenate([[0.0, 1 - totals.discount], held]).astype("<f4").view("<u4")
+    root = root.astype("<f4").view("<u4")
+    counts = blocks.unpack_ints(row["word_counts"], "<u8")
+    own = blocks.unpack_ints(by_role["totals"]["counts"], "<u8") if "totals" in by_role else np.zeros(0, np.uint64)
+    own = np.pad(own, (0, max(0, cells.n_words - len(own))))
+    out = []
+    for asked in row["asked"]:
+        w = blocks.unpack_ints(asked["words"])
+        out.append(
             {
-                "tables": np.bincount(cells.kind, weights=leaf, minlength=CLASSES),
-                "root": np.array([customers.sum(), tables.sum()]),
+                "block": asked["block"],
+                "bucket": row["bucket"],
+                "counts": blocks.pack_ints(counts[w], "<u8"),
+                "tables": blocks.pack_ints(own[w], "<u8"),
+                "root": blocks.pack_ints(root[w]),
+                "seated": blocks.pack_ints(held[blocks.unpack_ints(asked["codes"])]),
             }
         )
-
-
-def _answer(table: pa.Table, totals: Totals) -> pa.Table:
-    """For each block, the training counts of its words and log10 probabilities of its cells."""
-    cells = gather(table)
-    seed = 1_000_003 + int(table.column("bucket")[0].as_py())
-    chance = np.zeros(len(cells.count))
-    weight = STRENGTH + totals.discount * totals.tables[cells.kind]
-    below = STRENGTH + totals.customers[cells.kind]
-    for leaf, customers, tables in seatings(cells, totals, seed, BURN, SAMPLES):
-        word = totals.root(customers, tables)[cells.word]
-        chance += (cells.count - totals.discount * leaf + weight * word) / below
-    logs = np.log10(chance / SAMPLES).astype("<f4").view("<u4")
-    counts = np.bincount(cells.word, weights=cells.count, minlength=cells.n_words).astype(np.int64)
-    return pa.table(
-        {
-            "block": table.column("block"),
-            "bucket": table.column("bucket"),
-            "counts": pa.array([blocks.pack_ints(counts[w], "<u8") for w in cells.words_asked], pa.binary()),
-            "logs": pa.array([blocks.pack_ints(logs[c]) for c in cells.asked], pa.binary()),
-        }
-    )
+    return pa.Table.from_pylist(out, schema=schema)
 
 
 def _score(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
     rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
     docs, answers = rows[0], rows[1:]
-    at = blocks.unpack_ints(docs["tokens"]).astype(np.int64)
-    n_cells = blocks.unpack_ints(docs["n_cells"])
-    counts = np.repeat(np.concatenate([blocks.unpack_ints(r["counts"], "<u8") for r in answers]), n_cells).astype(np.float64)
-    logs = np.concatenate([blocks.unpack_ints(r["logs"]) for r in answers]).view("<f4").astype(np.float64)
+    cells, at, n = _cells_of(docs["tokens"])
+    word, context = cells // n, cells % n
+    counts, tables = (np.concatenate([blocks.unpack_ints(r[k], "<u8") for r in answers]).astype(np.float64) for k in ("counts", "tables"))
+    root, seated = (np.concatenate([blocks.unpack_ints(r[k]) for r in answers]).view("<f4").astype(np.float64) for k in ("root", "seated"))
+    # a context was seen as often as its word: texts start after the end token, and end with it
+    chance = (seated + (STRENGTH + totals.discount * tables[context]) * root[word]) / (STRENGTH + counts[context])
+    logs = np.log10(chance)
+    counts = counts[word]
     base = np.log10((counts + 1) / (totals.train_tokens + totals.n_words + 1))
     sizes = np.array(docs["sizes"], np.int64)
     starts = blocks.offsets(sizes)[:-1]
@@ -300,12 +406,10 @@ def _score(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
     )
 
 
-def _collected(sums: DataFrame) -> dict[str, np.ndarray]:
-    """Sums over buckets: at most a few hundred numbers, whatever the input."""
-    found: dict[str, dict[int, float]] = {}
-    for r in sums.groupBy("kind", "pos").agg(F.sum("value").alias("value")).collect():
-        found.setdefault(r["kind"], {})[r["pos"]] = r["value"]
-    return {k: np.array([v[i] for i in sorted(v)]) for k, v in found.items()}
+def _collected(rows: DataFrame, n: int) -> list[float]:
+    """The sums of all buckets: n numbers."""
+    found = rows.agg(*(F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(n))).first()
+    return [x or 0.0 for x in found]
 
 
 def _discount(ones: float, twos: float) -> float:
@@ -313,6 +417,16 @@ def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / (ones + 2 * twos), 0.05, 0.95)) if ones else 0.5
 
 
+_TOLD = (
+    "bucket long, source long, role string, words binary, contexts binary, counts binary, once binary, word_counts binary,"
+    " asked array<struct<block: long, words: binary, codes: binary>>, sums array<double>"
+)
+
+
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -321,50 +435,45 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     with_package(spark)
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType
-    binary = ("tokens", "n_cells", "words", "classes", "counts")
     cut = T.StructType(
         [
             T.StructField("block", T.LongType()),
             T.StructField("bucket", T.LongType()),
             T.StructField("doc_ids", T.ArrayType(id_type)),
             T.StructField("sizes", T.ArrayType(T.LongType())),
-            *(T.StructField(n, T.BinaryType()) for n in binary),
+            T.StructField("tokens", T.BinaryType()),
+            T.StructField("words", T.BinaryType()),
         ]
     )
     cut_arrow = to_arrow_schema(cut)
     n_buckets = 2 * partitions(spark)
     table = stored(rows.mapInArrow(lambda it: _cut(it, n_buckets, cut_arrow), cut), "lm-blocks")
-    asked = table.where("bucket >= 0").select("block", "bucket", "words", "n_cells", "classes", "counts").groupBy("bucket")
-
-    first = _collected(asked.applyInArrow(_count, _SUMS))
-    none = np.zeros(CLASSES)
-    ones, twos = first.get("ones", [0, 0]), first.get("twos", [0, 0])
-    customers, tables = first.get("customers", none), first.get("tables", none)
+    texts = table.where("bucket < 0").drop("words")
+    numbers = table.where("bucket >= 0").select("block", "bucket", "words").groupBy("bucket")
+    numbers = numbers.applyInArrow(_number, "block long, bucket long, places binary")
+    sent = _schema("block long, bucket long, words binary, n_cells binary, contexts binary, counts binary")
+    sent_arrow = to_arrow_schema(sent)
+    cells = texts.unionByName(numbers, allowMissingColumns=True).groupBy("block").applyInArrow(lambda t: _send(t, sent_arrow), sent)
+    told = _schema(_TOLD)
+    told_arrow = to_arrow_schema(told)
+    gathered = stored(cells.groupBy("bucket").applyInArrow(lambda t: _gather(t, told_arrow), told), "lm-cells")
+    held = gathered.where("role = 'cells'")
+
+    train_tokens, n_words, types, ones, words_once, twos, words_twice = _collected(held, 7)
     start = Totals(
-        int(customers.sum()),
-        int(first.get("words", [0])[0]),
-        _discount(ones[0], twos[0]),
-        _discount(ones[1], twos[1]),
-        customers,
-        tables,
-        float(tables.sum()),
-        float(first.get("words", [0])[0]),
-    )
-    second = _collected(asked.applyInArrow(lambda t: _first_round(t, start), _SUMS))
-    root = second.get("root", [0.0, 0.0])
-    totals = Totals(
-        start.train_tokens,
-        start.n_words,
-        start.discount,
-        start.root_discount,
-        customers,
-        second.get("tables", none),
-        float(root[0]),
-        float(root[1]),
+        int(train_tokens), int(n_words), _discount(ones, twos), _discount(words_once, words_twice), np.zeros(0), np.zeros(0), types, n_words
     )
-    answers = asked.applyInArrow(lambda t: _answer(t, totals), "block long, bucket long, counts binary, logs binary")
-    own = table.where("bucket < 0").select("block", "bucket", "doc_ids", "sizes", "tokens", "n_cells")
-    both = own.unionByName(answers, allowMissingColumns=True)
+    first = stored(gathered.where("role = 'types'").groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow), told), "lm-tables")
+    to_seat = held.withColumn("asked", F.lit(None).cast(told["asked"].dataType)).unionByName(first.where("role = 'answer'"))
+    second = stored(to_seat.groupBy("bucket").applyInArrow(lambda t: _first_round(t, start, told_arrow), told), "lm-tables")
+    root = _collected(second.where("role = 'sums'"), 2)
+    totals = replace(start, root_customers=root[0], root_tables=root[1])
+    both = first.where("role = 'totals'").unionByName(second.where("role = 'more'"))
+    last = both.groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow), told)
+    answer = _schema(_ANSWER)
+    answer_arrow = to_arrow_schema(answer)
+    answers = held.unionByName(last).groupBy("bucket").applyInArrow(lambda t: _answer(t, totals, answer_arrow), answer)
+    both = texts.unionByName(answers, allowMissingColumns=True)
     out = T.StructType(
         [
             T.StructField("doc_id", id_type),

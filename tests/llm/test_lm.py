@@ -84,6 +84,41 @@ def test_held_out_texts_of_one_kind_gain(spark):
     assert {r.held_out: r.perplexity < r.base_perplexity for r in lm.perplexity(got).collect()} == {True: True, False: True}
 
 
+def test_contexts_are_words_not_their_endings(spark):
+    docs = [(i, ("onezz red", "twozz blue")[i % 2]) for i in range(200)]
+    held = [i for i in range(200, 300) if lm._held(i)][:2]
+    docs += [(held[0], "onezz red"), (held[1], "onezz blue")]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert got[held[0]].base_score - got[held[1]].base_score < 0.1
+    assert got[held[0]].score - got[held[1]].score > 1
+
+
+def test_predictions_match_counts_where_no_seating_is_random(spark):
+    """Each cell but one seen once: one table each, whatever is drawn."""
+    docs = [(i, t) for i, t in zip([i for i in range(60) if not lm._held(i)], ("a b", "b c", "c a", "d e f"))]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    pairs, words, types = Counter(), Counter(), Counter()
+    for _, t in docs:
+        w = [b"\n", *lm.tokens(t)]
+        pairs.update(zip(w, w[1:]))
+        words.update(w[1:])
+    assert set(pairs.values()) == {1}
+    types.update(a for a, _ in pairs)
+    followed = Counter(b for _, b in pairs)
+    n, v = len(pairs), len(words)
+    widths = Counter(followed.values())
+    d, e = lm._discount(n, 0), lm._discount(widths[1], widths[2])
+    for i, t in docs:
+        w, lo, hi = [b"\n", *lm.tokens(t)], 0.0, 0.0
+        for a, b in zip(w, w[1:]):
+            # a word's root tables lie between one and its customers
+            some = [(1, sum(followed.values())), (followed[b], v)]
+            p = [(followed[b] - e * t + (lm.STRENGTH + e * all_tables) / (v + 1)) / (lm.STRENGTH + n) for t, all_tables in some]
+            x, y = [(1 - d + (lm.STRENGTH + d * types[a]) * q) / (lm.STRENGTH + words[a]) for q in p]
+            lo, hi = lo + math.log10(min(x, y)), hi + math.log10(max(x, y))
+        assert lo - 1e-6 <= got[i].score <= hi + 1e-6
+
+
 def test_empty_table(spark):
     assert lm.score(R.table(spark).limit(0)).count() == 0
 
