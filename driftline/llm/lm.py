@@ -7,14 +7,17 @@ Counts come from the whole corpus. Words are numbered first: a block of document
 the bucket of its hash, which gives it a number (bucket, place). The block then sends each distinct (previous
 word, word) cell once to the word's bucket (see `blocks`); a bucket holds all cells of its words. A cell's
 restaurant is spread over buckets: its customers are the count of the previous word, and its tables are summed in
-that word's bucket, which tells them to the buckets that hold cells of it seen more than once; a cell seen once
+that word's group of buckets, which tells them to the buckets that hold cells of it seen more than once; a cell seen once
 has one table whatever the others do. The driver gets a few sums, whatever the input.
 
-Seating: cells of up to SMALL customers keep each customer's table, and a sweep takes every customer out and
-seats it again given the rest. Larger cells are seated anew in a sweep, in batches over which the number of
-tables is held. Tables of a cell are the customers of its word in the unigram restaurant, seated alike. A
-first round finds the restaurants' table totals, a second draws SAMPLES seatings after BURN sweeps; predictive
-probabilities are averaged over them. Random numbers depend on the bucket only, so a lost task repeats itself.
+Seating: only numbers of tables matter. A Gibbs sweep draws each cell's number given all other cells, its
+customers' seats summed out: t tables of c customers have weight (weight of a new table) ** t times the
+generalised Stirling number of c and t. One rule holds for all sizes; the numbers come from their recursion up to
+LIMIT customers, beyond from rows interpolated in c, and for cells of more than some LIMIT / 2 tables from their normal
+limit. Tables of a cell are the customers of its word in the unigram restaurant, whose tables are drawn alike
+given these. During a sweep the totals of restaurants are held. A first round finds
+the restaurants' table totals, a second draws SAMPLES seatings after BURN sweeps; predictive probabilities are
+averaged over them. Random numbers depend on the bucket only, so a lost task repeats itself.
 
 Words are told apart by 64-bit hashes. Defined cases: a null or empty text is its end token; without training
 tokens every probability is 1; a null id counts as training text; repeated rows are scored and counted each;
@@ -23,8 +26,10 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -37,14 +42,17 @@ from pyspark.sql import types as T
 from driftline.llm import blocks
 from driftline.llm.common import col, partitions, stored, with_package
 
-#: Arrays by context have at least this length.
+#: Length of arrays by context in small examples.
 CLASSES = 4
 STRENGTH = 1.0
-SMALL = 16
 BURN = 2
 SAMPLES = 3
-#: A large cell seats one customer in so many of those present at a time.
-BATCH_SHARE = 8
+#: Customers of a cell up to which each number's distribution is tabled, and the tables looked at beyond.
+LIMIT = 1024
+_GRID = tuple(round(LIMIT * 2 ** (k / 8)) for k in range(33))
+_LOG_FACTORIAL = np.concatenate([[0.0], np.log(np.arange(1, LIMIT + 1)).cumsum()])
+#: Numbers drawn from at a time.
+_DRAWN = 1 << 20
 END = b"\n"
 
 
@@ -141,7 +149,7 @@ class Cells:
     once: np.ndarray | int = 0  # cells of each word that were seen once and are not listed
 
 
-def _gather(table: pa.Table, schema: pa.Schema) -> pa.Table:
+def _gather(table: pa.Table, per: int, schema: pa.Schema) -> pa.Table:
     """A bucket's cells, added up, and what it tells the buckets of their contexts.
 
     Blocks ask by code: 0 for a cell unseen in training, 1 for one seen once, i + 2 for listed cell i.
@@ -189,20 +197,19 @@ def _gather(table: pa.Table, schema: pa.Schema) -> pa.Table:
     contexts, at = np.unique(kind[seen], return_inverse=True)
     asks = np.zeros(len(contexts), bool)
     asks[at[listed[seen]]] = True
-    out += _to_homes(bucket, "types", contexts, np.bincount(at, minlength=len(contexts)), asks)
+    out += _to_homes(bucket, "types", per, contexts, np.bincount(at, minlength=len(contexts)), asks)
     return pa.Table.from_pylist(out, schema=schema)
 
 
-def _to_homes(source: int, role: str, contexts: np.ndarray, values: np.ndarray, asks: np.ndarray | None = None) -> list[dict]:
-    """For the bucket of each of the contexts: their places and values there, and which of them must be answered."""
-    home = (contexts >> np.uint64(32)).astype(np.int64)
-    place = contexts & np.uint64(0xFFFFFFFF)
+def _to_homes(source: int, role: str, per: int, contexts: np.ndarray, values: np.ndarray, asks: np.ndarray | None = None) -> list[dict]:
+    """For each group of `per` buckets, the contexts at home there with their values, and which must be answered."""
+    home = (contexts >> np.uint64(32)).astype(np.int64) // per
     return [
         {
             "bucket": int(home[a]),
             "source": source,
             "role": role,
-            "words": blocks.pack_ints(place[a:b]),
+            "contexts": blocks.pack_ints(contexts[a:b], "<u8"),
             "counts": blocks.pack_ints(values[a:b], "<u8"),
             "once": None if asks is None else blocks.pack_ints(asks[a:b], "<u1"),
         }
@@ -210,22 +217,24 @@ def _to_homes(source: int, role: str, contexts: np.ndarray, values: np.ndarray,
     ]
 
 
-def _totals(table: pa.Table, schema: pa.Schema) -> pa.Table:
-    """Tables of a bucket's words as contexts, kept and told to the buckets that asked."""
-    rows = table.to_pylist()
-    told = [(r, blocks.unpack_ints(r["words"]), blocks.unpack_ints(r["counts"], "<u8")) for r in rows if r["role"] != "totals"]
-    before = [blocks.unpack_ints(r["counts"], "<u8").astype(np.int64) for r in rows if r["role"] == "totals"]
-    size = max([CLASSES, *(len(x) for x in before), *(int(w.max()) + 1 for _, w, _ in told)])
-    total = sum((np.pad(x, (0, size - len(x))) for x in before), np.zeros(size, np.int64))
-    for _, w, n in told:
-        total[w] += n.astype(np.int64)
-    bucket = rows[0]["bucket"]
-    out = [{"bucket": bucket, "role": "totals", "counts": blocks.pack_ints(total, "<u8")}]
-    for r, w, _ in told:
+def _totals(table: pa.Table, schema: pa.Schema, last: bool = False) -> pa.Table:
+    """Tables of the contexts of a group of buckets, told to the buckets that asked, and kept or told to their own."""
+    told = [(r, blocks.unpack_ints(r["contexts"], "<u8"), blocks.unpack_ints(r["counts"], "<u8")) for r in table.to_pylist()]
+    contexts, at = np.unique(np.concatenate([c for _, c, _ in told]), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate([n for _, _, n in told])).astype(np.int64)
+    group = told[0][0]["bucket"]
+    out = [{"bucket": group, "role": "kept", "contexts": blocks.pack_ints(contexts, "<u8"), "counts": blocks.pack_ints(total, "<u8")}]
+    if last:
+        home, place = (contexts >> np.uint64(32)).astype(np.int64), contexts & np.uint64(0xFFFFFFFF)
+        out = [
+            {"bucket": int(home[a]), "role": "totals", "words": blocks.pack_ints(place[a:b]), "counts": blocks.pack_ints(total[a:b], "<u8")}
+            for a, b in _runs(home)
+        ]
+    for (r, c, _), n in zip(told, np.split(total[at], np.cumsum([len(c) for _, c, _ in told])[:-1]), strict=True):
         if r["once"] is not None:
-            w = w[blocks.unpack_ints(r["once"], "<u1") > 0]
-        if len(w):
-            out.append({"bucket": r["source"], "source": bucket, "role": "answer", "counts": blocks.pack_ints(total[w], "<u8")})
+            n = n[blocks.unpack_ints(r["once"], "<u1") > 0]
+        if r["role"] != "kept" and len(n):
+            out.append({"bucket": r["source"], "source": group, "role": "answer", "counts": blocks.pack_ints(n, "<u8")})
     return pa.Table.from_pylist(out, schema=schema)
 
 
@@ -265,52 +274,89 @@ class Totals:
         return (customers - self.root_discount * tables + back) / (STRENGTH + self.root_customers)
 
 
-def _large(count: np.ndarray, opening: np.ndarray, discount: float, rng) -> np.ndarray:
-    """Tables of freshly seated cells; `opening` is each cell's weight for a new table."""
-    tables, seated = np.minimum(count, 1).astype(np.float64), np.minimum(count, 1)
-    left = np.flatnonzero(seated < count)
-    while len(left):
-        there, t = seated[left], tables[left]
-        come = np.minimum(np.maximum(there // BATCH_SHARE, 1), count[left] - there)
-        chance = opening[left] / (opening[left] + np.maximum(there - discount * t, 1e-9))
-        tables[left] = t + rng.binomial(come, chance)
-        seated[left] = there + come
-        left = left[seated[left] < count[left]]
-    return tables.astype(np.int64)
+@cache
+def _log_chances(discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row c, column t: log of the chance that t tables have c customers, up to LIMIT; and rows of `_GRID`, less column 1.
+
+    Sizes of tables are independent, with generating function 1 - (1 - x) ** discount. The generalised Stirling
+    number of c and t is c! / (t! discount ** t) times the chance.
+    """
+    t = np.arange(LIMIT + 1)
+    row = np.full(LIMIT + 1, -np.inf)
+    row[1] = np.log(discount)
+    rows, grid, wanted = [np.full(LIMIT + 1, -np.inf), row], [], set(_GRID)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        join = np.log(t * discount)
+        for c in range(1, _GRID[-1]):
+            stay = np.log(np.maximum(c - discount * t, 1e-300)) + row
+            row = np.logaddexp(stay, join + np.concatenate([[-np.inf], row[:-1]])) - np.log(c + 1)
+            if c < LIMIT:
+                rows.append(row)
+            if c + 1 in wanted:
+                grid.append(row - row[1])
+    return np.array(rows), np.array(grid)
 
 
 class Seating:
-    """Tables of cells; `sweep` seats them again given each cell's weight for a new table."""
+    """Tables of cells; `sweep` draws each cell's number of tables given its customers and its weight for a new table.
+
+    The draw is from the number's distribution given all other cells, the customers' seats summed out.
+    """
 
     def __init__(self, count: np.ndarray, discount: float, rng) -> None:
-        self.count, self.discount, self.rng = count, discount, rng
-        self.tables = np.minimum(count, 1).astype(np.int64)
-        self.large = np.flatnonzero(count > SMALL)
-        self.small = {}
-        for c in range(2, SMALL + 1):
-            at = np.flatnonzero(count == c)
-            if len(at):
-                sizes = np.zeros((len(at), c), np.int16)
-                sizes[:, 0] = c
-                self.small[c] = (at, sizes, np.zeros((len(at), c), np.int8))
+        self.count, self.discount, self.rng = count.astype(np.int64), discount, rng
+        self.tables = np.minimum(self.count, 1)
+        order = np.argsort(self.count, kind="stable")
+        edges = np.searchsorted(self.count[order], np.arange(2, LIMIT + 2))
+        self.alike = [(c, order[a:b]) for c, a, b in zip(range(2, LIMIT + 1), edges, edges[1:], strict=False) if a < b]
+        self.large = order[edges[-1] :]
 
     def sweep(self, opening: np.ndarray) -> None:
-        if len(self.large):
-            self.tables[self.large] = _large(self.count[self.large], opening[self.large], self.discount, self.rng)
-        for c, (at, sizes, seat) in self.small.items():
-            row = np.arange(len(at))
-            new = opening[at]
-            for customer in range(c):
-                sizes[row, seat[:, customer]] -= 1
-                taken = sizes > 0
-                weight = np.where(taken, sizes - self.discount, 0.0).cumsum(axis=1)
-                draw = self.rng.random(len(at)) * (weight[:, -1] + new)
-                chosen = (weight <= draw[:, None]).sum(axis=1)  # tables passed over
-                empty = (~taken).argmax(axis=1)
-                chosen = np.where(draw >= weight[:, -1], empty, np.minimum(chosen, c - 1))
-                seat[:, customer] = chosen
-                sizes[row, chosen] += 1
-            self.tables[at] = (sizes > 0).sum(axis=1)
+        rows, grid = _log_chances(self.discount)
+        with np.errstate(divide="ignore"):
+            rate = np.log(opening / self.discount)
+        for c, cells in self.alike:
+            for at in np.array_split(cells, -(-len(cells) * c // _DRAWN)):
+                self._draw(at, rate[at], rows[c, 1 : c + 1])
+        many = opening[self.large] > self.discount * LIMIT / 2
+        self._draw_many(self.large[many], opening[self.large[many]])
+        few = self.large[~many]
+        for at in np.array_split(few, -(-len(few) * LIMIT // _DRAWN)) if len(few) else ():
+            self._draw(at, rate[at], self._beyond(self.count[at], grid))
+
+    def _draw(self, cells: np.ndarray, rate: np.ndarray, chances: np.ndarray) -> None:
+        t = np.arange(1, chances.shape[-1] + 1)
+        log = rate[:, None] * t + (chances - _LOG_FACTORIAL[t])
+        total = np.exp(log - log.max(axis=1, keepdims=True)).cumsum(axis=1)
+        draw = self.rng.random(len(cells)) * total[:, -1]
+        self.tables[cells] = 1 + np.minimum((total <= draw[:, None]).sum(axis=1), len(t) - 1)
+
+    def _beyond(self, count: np.ndarray, grid: np.ndarray) -> np.ndarray:
+        """Rows for counts beyond LIMIT: nearly linear in count ** -discount, and t times a constant in the end."""
+        x, known = count.astype(np.float64) ** -self.discount, np.array(_GRID, np.float64) ** -self.discount
+        end = np.log(np.arange(1, LIMIT + 1))
+        known, grid = np.append(known, 0.0), np.vstack([grid[:, 1:], end])
+        after = np.clip(np.searchsorted(-known, -x), 1, len(known) - 1)
+        share = ((known[after - 1] - x) / (known[after - 1] - known[after]))[:, None]
+        return (1 - share) * grid[after - 1] + share * grid[after]
+
+    def _draw_many(self, cells: np.ndarray, opening: np.ndarray) -> None:
+        """Cells of many customers and tables: by the normal law that the number of tables follows in the limit.
+
+        Sizes tilted to the cell's customers: opening * (1 - y) * y ** (discount - 1) = customers gives y.
+        """
+        if not len(cells):
+            return
+        d, count = self.discount, self.count[cells]
+        low, high = np.full(len(cells), -700.0), np.zeros(len(cells))
+        for _ in range(60):
+            log_y = (low + high) / 2
+            over = np.log(opening) + np.log1p(-np.exp(log_y)) + (d - 1) * log_y > np.log(count)
+            low, high = np.where(over, log_y, low), np.where(over, high, log_y)
+        y = np.exp(log_y)
+        mean = opening / d * (1 - y**d)
+        spread = np.sqrt(np.maximum(mean - count * y / (1 - d * (1 - y)), 0))
+        self.tables[cells] = np.clip(np.rint(self.rng.normal(mean, spread)), 1, count)
 
 
 def seatings(cells: Cells, totals: Totals, seed: int, burn: int, samples: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -331,7 +377,7 @@ def seatings(cells: Cells, totals: Totals, seed: int, burn: int, samples: int) -
             yield leaf.tables, customers, tables
 
 
-def _first_round(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
+def _first_round(table: pa.Table, totals: Totals, per: int, schema: pa.Schema) -> pa.Table:
     """Further tables of the contexts beside one for each cell, and those of the unigram restaurant."""
     row, cells, contexts, tables, _ = _listed(table)
     out = []
@@ -340,7 +386,7 @@ def _first_round(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table
         for leaf, customers, root in seatings(cells, replace(totals, tables=tables), bucket, BURN, 1):
             out.append({"bucket": bucket, "role": "sums", "sums": [float(customers.sum()), float(root.sum())]})
             more = np.bincount(cells.kind, weights=leaf - 1, minlength=len(contexts))
-            out += _to_homes(bucket, "more", contexts, more)
+            out += _to_homes(bucket, "more", per, contexts, more)
     return pa.Table.from_pylist(out, schema=schema)
 
 
@@ -359,8 +405,9 @@ def _answer(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
     held = np.concatenate([[0.0, 1 - totals.discount], held]).astype("<f4").view("<u4")
     root = root.astype("<f4").view("<u4")
     counts = blocks.unpack_ints(row["word_counts"], "<u8")
-    own = blocks.unpack_ints(by_role["totals"]["counts"], "<u8") if "totals" in by_role else np.zeros(0, np.uint64)
-    own = np.pad(own, (0, max(0, cells.n_words - len(own))))
+    own = np.zeros(cells.n_words, np.uint64)
+    if "totals" in by_role:
+        own[blocks.unpack_ints(by_role["totals"]["words"])] = blocks.unpack_ints(by_role["totals"]["counts"], "<u8")
     out = []
     for asked in row["asked"]:
         w = blocks.unpack_ints(asked["words"])
@@ -447,6 +494,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
     cut_arrow = to_arrow_schema(cut)
     n_buckets = 2 * partitions(spark)
+    per = math.isqrt(n_buckets)  # buckets whose contexts are summed by one task: messages grow less than with the square
     table = stored(rows.mapInArrow(lambda it: _cut(it, n_buckets, cut_arrow), cut), "lm-blocks")
     texts = table.where("bucket < 0").drop("words")
     numbers = table.where("bucket >= 0").select("block", "bucket", "words").groupBy("bucket")
@@ -456,7 +504,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     cells = texts.unionByName(numbers, allowMissingColumns=True).groupBy("block").applyInArrow(lambda t: _send(t, sent_arrow), sent)
     told = _schema(_TOLD)
     told_arrow = to_arrow_schema(told)
-    gathered = stored(cells.groupBy("bucket").applyInArrow(lambda t: _gather(t, told_arrow), told), "lm-cells")
+    gathered = stored(cells.groupBy("bucket").applyInArrow(lambda t: _gather(t, per, told_arrow), told), "lm-cells")
     held = gathered.where("role = 'cells'")
 
     train_tokens, n_words, types, ones, words_once, twos, words_twice = _collected(held, 7)
@@ -465,11 +513,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
     first = stored(gathered.where("role = 'types'").groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow), told), "lm-tables")
     to_seat = held.withColumn("asked", F.lit(None).cast(told["asked"].dataType)).unionByName(first.where("role = 'answer'"))
-    second = stored(to_seat.groupBy("bucket").applyInArrow(lambda t: _first_round(t, start, told_arrow), told), "lm-tables")
+    second = stored(to_seat.groupBy("bucket").applyInArrow(lambda t: _first_round(t, start, per, told_arrow), told), "lm-tables")
     root = _collected(second.where("role = 'sums'"), 2)
     totals = replace(start, root_customers=root[0], root_tables=root[1])
-    both = first.where("role = 'totals'").unionByName(second.where("role = 'more'"))
-    last = both.groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow), told)
+    both = first.where("role = 'kept'").unionByName(second.where("role = 'more'"))
+    last = both.groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow, True), told)
     answer = _schema(_ANSWER)
     answer_arrow = to_arrow_schema(answer)
     answers = held.unionByName(last).groupBy("bucket").applyInArrow(lambda t: _answer(t, totals, answer_arrow), answer)

@@ -76,6 +76,42 @@ def test_small_cells_reach_the_restaurant_process():
     assert abs(seats.tables.mean() - mean) < 0.1
 
 
+def mean_tables(c, discount, opening):
+    """The mean by the recursion over customers, in full."""
+    t = np.arange(c + 1)
+    log = np.full(c + 1, -np.inf)
+    log[1] = 0.0
+    with np.errstate(divide="ignore"):
+        for seated in range(1, c):
+            joined = log + np.log(np.maximum(seated - discount * t, 0))
+            log = np.logaddexp(joined, np.concatenate([[-np.inf], log[:-1] + np.log(opening)]))
+            log -= log.max()
+    return (np.exp(log) * t).sum() / np.exp(log).sum()
+
+
+@pytest.mark.parametrize(
+    "c, discount, opening",
+    [(8, 0.7, 0.8), (16, 0.7, 0.8), (40, 0.5, 1.5), (200, 0.6, 3.0), (1024, 0.9, 40.0), (1500, 0.3, 9.0), (9000, 0.8, 100.0), (20000, 0.2, 5.0), (9000, 0.7, 900.0)],
+)
+def test_cells_of_all_sizes_reach_the_restaurant_process(c, discount, opening):
+    seats = lm.Seating(np.full(3000, c), discount, np.random.default_rng(c))
+    found = []
+    for _ in range(4):
+        seats.sweep(np.full(3000, opening))
+        found.append(seats.tables.mean())
+    assert abs(np.mean(found) / mean_tables(c, discount, opening) - 1) < 0.015
+
+
+def test_root_tables_of_a_round_are_not_left_near_one():
+    """Every word is the only customer of eight contexts: eight customers in the unigram restaurant."""
+    n = 4000
+    cells = lm.Cells(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), n, [], [], np.full(n, 8))
+    totals = lm.Totals(8 * n, n, 0.8, 0.7, np.zeros(0), np.zeros(0), 8.0 * n, 2.36 * n)
+    opening = (lm.STRENGTH + 0.7 * 2.36 * n) / (n + 1)
+    ((_, _, tables),) = lm.seatings(cells, totals, 1, 0, 1)
+    assert abs(tables.mean() / mean_tables(8, 0.7, opening) - 1) < 0.02
+
+
 def test_held_out_texts_of_one_kind_gain(spark):
     docs = [(i, " ".join(R.words(i % 4, 60))) for i in range(60)]
     got = lm.score(spark.createDataFrame(docs, "doc_id long, text string"))
