@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from driftline.llm.common import col, partitions, words_of
 
 BITS = 64
-BLOCKS = 6
-RADIUS = 3
+#: Texts at 5-shingle similarity 0.85 differ in up to 7 bits; two blocks more than that leave two to agree on.
+BLOCKS = 9
+RADIUS = 7
 _PAIR = (1 << 32) + 1
 
 
@@ -139,27 +140,40 @@ def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
 
 
 def near(queries: DataFrame, classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(q, f, n, distance): classes (f, n) within the radius of distinct query fingerprints (q)."""
+    """(q, f, n, first, distance): classes (f, n, first) within the radius of distinct query fingerprints (q)."""
     masks = block_masks(radius, blocks)
 
     def tables(f: Column) -> Column:
         return F.explode(F.array(*(F.struct(F.lit(i).alias("i"), f.bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks))))
 
     left = queries.select("q", tables(F.col("q")).alias("t")).select("q", "t.i", "t.key")
-    right = classes.select("f", "n", tables(F.col("f")).alias("t")).select("f", "n", "t.i", "t.key")
+    right = classes.select("f", "n", "first", tables(F.col("f")).alias("t")).select("f", "n", "first", "t.i", "t.key")
     differ = F.col("q").bitwiseXOR(F.col("f"))
     first = reduce(
         lambda rest, i: F.when(differ.bitwiseAND(F.lit(masks[i])) == 0, i).otherwise(rest), reversed(range(len(masks))), F.lit(-1)
     )
     met = left.join(right, ["i", "key"]).where((F.bit_count(differ) <= radius) & (F.col("i") == first))
-    return met.select("q", "f", "n", F.bit_count(differ).alias("distance"))
+    return met.select("q", "f", "n", "first", F.bit_count(differ).alias("distance"))
 
 
 def near_counts(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(q, n_near) for the fingerprints of rows (doc_id, f) whose id is divisible by 20: other rows within the radius."""
-    classes = rows.groupBy("f").agg(F.count("*").alias("n"), F.max(F.col("doc_id") % 20 == 0).alias("asked"))
+    """For the fingerprints q of rows (doc_id, f) whose id is divisible by 20: other rows within the radius.
+
+    (q, n_near, copy_id, near_id, near_distance): their number, the smallest id with q itself, and the smallest id
+    of the nearest other fingerprint with its distance (null if there is none).
+    """
+    classes = rows.groupBy("f").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max(F.col("doc_id") % 20 == 0).alias("asked")
+    )
     queries = classes.where("asked").select(F.col("f").alias("q"))
-    return near(queries, classes.select("f", "n"), radius).groupBy("q").agg((F.sum("n") - 1).alias("n_near"))
+    met = near(queries, classes.select("f", "n", "first"), radius, max(BLOCKS, radius + 2))
+    nearest = F.min(F.when(F.col("distance") > 0, F.struct("distance", "first")))
+    found = met.groupBy("q").agg(
+        (F.sum("n") - 1).alias("n_near"), F.min(F.when(F.col("distance") == 0, F.col("first"))).alias("copy_id"), nearest.alias("nearest")
+    )
+    return found.select(
+        "q", "n_near", "copy_id", F.col("nearest.first").alias("near_id"), F.col("nearest.distance").alias("near_distance")
+    )
 
 
 def hexed(f: Column) -> Column:

@@ -66,5 +66,26 @@ def test_block_tables_find_the_whole_radius(spark, radius):
     assert got == want
 
 
+def test_near_copies_are_found_with_their_partners(spark):
+    """Texts of 150 words with one or two replaced, at 5-shingle similarity 0.87 to 0.93."""
+    docs = []
+    for k in range(40):
+        text = R.prose(3000 + k, 150)
+        docs += [(20 * k, text), (20 * k + 1, R.changed(text, 50) if k % 2 else R.changed(R.changed(text, 20), 70))]
+    rows = spark.createDataFrame(docs, "doc_id long, t string").selectExpr("doc_id", "doc_id AS h", "t")
+    prints = S.fingerprints(rows).select("doc_id", "f")
+    of = {r.doc_id: r.f for r in prints.collect()}
+    got = {r.q: r for r in S.near_counts(prints).collect()}
+    near = [bin((of[i] ^ of[i + 1]) & (2**64 - 1)).count("1") for i in range(0, 800, 20)]
+    for i, distance in zip(range(0, 800, 20), near):
+        r = got[of[i]]
+        if 0 < distance <= S.RADIUS:
+            assert r.n_near >= 1 and r.near_distance <= distance
+        assert r.copy_id == i
+    partners = sum(got[of[i]].near_id == i + 1 or of[i] == of[i + 1] for i in range(0, 800, 20))
+    assert partners >= 34, sorted(near)
+    assert sum(d > 3 for d in near) >= 8  # the former radius
+
+
 def test_empty_table(spark):
     assert S.compare(R.table(spark).limit(0)).count() == 0
