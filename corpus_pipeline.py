@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from driftline.llm import neardup, packing, quality, secrets, toxicity
 from driftline.llm.common import documents, stored
 
+#: Hundredths of the 5-word shingles of two documents from which on they are near copies; op3 has its own contract.
+NEAR = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current quality policy keeps."""
@@ -27,8 +30,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near copies."""
-    return neardup.keep_one(docs)
+    """The document of smallest id of each group of near copies, alike to NEAR hundredths or more."""
+    return neardup.keep_one(docs, numerator=NEAR)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

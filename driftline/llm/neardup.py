@@ -2,9 +2,10 @@
 
 1. A document's set is its distinct 5-word shingles (64-bit hashes); equal sets form one class, so exact copies
    cost one row from here on. A class is named by its smallest id.
-2. Signatures of BANDS * ROWS minimum hashes are cut into bands; classes that agree in a band share a bucket.
-   A pair at the threshold shares none with probability (1 - t**ROWS)**BANDS, below one in a million.
-3. In every bucket each class is paired with the smallest one: at most BANDS pairs a class, never all pairs.
+2. Signatures of HASHES minimum hashes are cut into bands; classes that agree in a band share a bucket.
+   A pair at the threshold t shares none with probability (1 - t**rows)**bands, below one in a million: 24 bands of
+   5 hashes at 0.85, 30 of 4 at 0.80.
+3. In every bucket each class is paired with the smallest one: at most as many pairs as bands a class, never all pairs.
    Components of the links so found settle most buckets. Buckets that still hold several components are
    dealt out in blocks of bounded size, and each pair of blocks compares classes of different components
    and reports one link for each two components it joins: nothing is left out, no bucket meets in one
@@ -34,9 +35,8 @@ from pyspark.sql import types as T
 from driftline.llm.common import col, stored, with_package
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
-HASHES = BANDS * ROWS
-#: Similarity of linked documents, as a fraction: 100 * intersection >= 85 * union.
+HASHES = 120
+#: Similarity of linked documents unless another numerator is given: 100 * intersection >= 85 * union.
 NUMERATOR, DENOMINATOR = 85, 100
 MISS = 1e-6
 BATCH = 24
@@ -143,11 +143,19 @@ def least_matches(threshold: float, miss: float = MISS) -> tuple[int, ...]:
     return tuple(needed)
 
 
-def surviving(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+@cache
+def banding(numerator: int) -> tuple[int, int]:
+    """(bands, rows): the most hashes a band that still miss a pair at the threshold less than once in 1 / MISS."""
+    t = numerator / DENOMINATOR
+    rows = max(r for r in range(1, HASHES + 1) if HASHES % r == 0 and (r == 1 or (1 - t**r) ** (HASHES // r) <= MISS))
+    return HASHES // rows, rows
+
+
+def surviving(a: np.ndarray, b: np.ndarray, numerator: int = NUMERATOR) -> np.ndarray:
     """Numbers of the rows of signatures that pass every batch."""
     alive = np.arange(len(a))
     matches = np.zeros(len(a), np.int64)
-    for k, least in enumerate(least_matches(NUMERATOR / DENOMINATOR)):
+    for k, least in enumerate(least_matches(numerator / DENOMINATOR)):
         cut = slice(k * BATCH, (k + 1) * BATCH)
         matches[alive] += (a[alive, cut] == b[alive, cut]).sum(axis=1)
         alive = alive[matches[alive] >= least]
@@ -158,20 +166,20 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, HASHES)
 
 
-def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prune(batches: Iterator[pa.RecordBatch], numerator: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            alive = surviving(_signatures(batch.column(2)), _signatures(batch.column(3)))
+            alive = surviving(_signatures(batch.column(2)), _signatures(batch.column(3)), numerator)
             yield batch.select([0, 1]).take(pa.array(alive))
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], numerator: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         good = []
         for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(DENOMINATOR * both >= NUMERATOR * (len(x) + len(y) - both))
+            good.append(DENOMINATOR * both >= numerator * (len(x) + len(y) - both))
         yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
 
@@ -181,21 +189,22 @@ def _sets(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], schema=schema)
 
 
-def buckets(classes: DataFrame) -> DataFrame:
+def buckets(classes: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     """(bucket, node, first) for each class in a band bucket that others share; `first` is the smallest."""
-    width = 4 * ROWS
-    bands = F.array(*(F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(BANDS)))
+    n_bands, rows = banding(numerator)
+    width = 4 * rows
+    bands = F.array(*(F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(n_bands)))
     each = classes.select("node", F.explode(bands).alias("bucket"))
     shared = each.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n_nodes")).where("n_nodes > 1")
     return each.join(shared, "bucket")
 
 
-def prune(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def prune(pairs: DataFrame, classes: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     """Candidate pairs (a, b) that similar sizes and the signatures leave possible."""
     of = classes.select("node", "n", "signature")
     both = pairs.join(of.toDF("a", "na", "sa"), "a").join(of.toDF("b", "nb", "sb"), "b")
-    likely = both.where(f"{DENOMINATOR} * least(na, nb) >= {NUMERATOR} * greatest(na, nb)").select("a", "b", "sa", "sb")
-    return likely.mapInArrow(_prune, pairs.select("a", "b").schema)
+    likely = both.where(f"{DENOMINATOR} * least(na, nb) >= {numerator} * greatest(na, nb)").select("a", "b", "sa", "sb")
+    return likely.mapInArrow(lambda it: _prune(it, numerator), pairs.select("a", "b").schema)
 
 
 def sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -210,11 +219,11 @@ def sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(texts.mapInArrow(lambda it: _sets(it, arrow), schema), "sets")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, docs: DataFrame, numerator: int = NUMERATOR) -> DataFrame:
     """Pairs whose full sets reach the threshold. `docs` has id and text; pairs must be stored."""
     sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs)
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(_confirm, pairs.select("a", "b").schema)
+    return both.select("a", "b", "sa", "sb").mapInArrow(lambda it: _confirm(it, numerator), pairs.select("a", "b").schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -248,7 +257,7 @@ class _Side:
         self.sets = [np.frombuffer(x, np.uint64) for x in t.column("found").to_pylist()]
 
 
-def _cross(table: pa.Table) -> pa.Table:
+def _cross(table: pa.Table, numerator: int = NUMERATOR) -> pa.Table:
     """Links between components within one block of a bucket, or between two: a spanning set of them.
 
     A class is compared with those of other components only: sizes, then signatures batch by batch, then
@@ -269,13 +278,13 @@ def _cross(table: pa.Table) -> pa.Table:
     for i in range(len(x.ids)):
         own, others = roots[0][i], roots[-1]
         size = x.sizes[i]
-        near = DENOMINATOR * np.minimum(y.sizes, size) >= NUMERATOR * np.maximum(y.sizes, size)
+        near = DENOMINATOR * np.minimum(y.sizes, size) >= numerator * np.maximum(y.sizes, size)
         j = np.flatnonzero(near & (others != own))
         if y is x:
             j = j[j > i]
         if not len(j):
             continue
-        j = j[surviving(np.broadcast_to(x.signatures[i], (len(j), HASHES)), y.signatures[j])]
+        j = j[surviving(np.broadcast_to(x.signatures[i], (len(j), HASHES)), y.signatures[j], numerator)]
         if not len(j):
             continue
         mine = np.searchsorted(known, x.sets[i])
@@ -283,7 +292,7 @@ def _cross(table: pa.Table) -> pa.Table:
         both = np.array([np.count_nonzero(has[flat[starts[k] : starts[k + 1]]]) for k in j])
         has[mine] = False
         union = len(mine) + (starts[j + 1] - starts[j]) - both
-        for k in j[DENOMINATOR * both >= NUMERATOR * union].tolist():
+        for k in j[DENOMINATOR * both >= numerator * union].tolist():
             a, b = roots[0][i], roots[-1][k]
             if a != b:
                 links.append((x.ids[i], y.ids[k]))
@@ -293,7 +302,9 @@ def _cross(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in links], kind), "b": pa.array([b for _, b in links], kind)})
 
 
-def unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def unsettled(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, numerator: int = NUMERATOR
+) -> DataFrame:
     """Links (a, b) between components in buckets of three or more classes, found by pairs of blocks."""
     held = members.where("n_nodes > 2").join(labels, "node", "left")
     held = held.withColumn("component", F.coalesce("component", "node"))
@@ -313,11 +324,11 @@ def unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: D
     )
     node = classes.schema["node"].dataType
     schema = T.StructType([T.StructField("a", node), T.StructField("b", node)])
-    return dealt.join(full, "node").groupBy("bucket", "i", "j").applyInArrow(_cross, schema)
+    return dealt.join(full, "node").groupBy("bucket", "i", "j").applyInArrow(lambda t: _cross(t, numerator), schema)
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: doc_id, n_shingles, component_id, kept."""
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", numerator: int = NUMERATOR) -> DataFrame:
+    """One row per row: doc_id, n_shingles, component_id, kept; linked are documents alike to numerator / DENOMINATOR."""
     found = features(docs, id_col, text_col)
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     named = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -327,11 +338,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         .select("set_key", F.col("c.doc_id").alias("node"), F.col("c.n_shingles").alias("n"), "c.signature"),
         "classes",
     )
-    members = stored(buckets(classes), "buckets")
+    members = stored(buckets(classes, numerator), "buckets")
     stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(confirm(stored(prune(stars, classes), "pairs"), texts), "links")
+    links = stored(confirm(stored(prune(stars, classes, numerator), "pairs"), texts, numerator), "links")
     labels = components(links)
-    rest = stored(unsettled(members, labels, classes, texts), "links")
+    rest = stored(unsettled(members, labels, classes, texts, numerator), "links")
     if not rest.isEmpty():
         labels = components(links.unionByName(rest))
     of_set = classes.select("set_key", "node").join(labels, "node", "left")
@@ -343,8 +354,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", numerator: int = NUMERATOR) -> DataFrame:
     """The document of smallest id of each component, and rows with a null id; columns as they came."""
-    gone = link(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    gone = link(docs, id_col, text_col, numerator).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
     rows = docs.select(F.struct(*(col(c) for c in docs.columns)).alias("row"), col(id_col).alias("key"))
     return rows.join(gone, F.col("key") == F.col("gone"), "left_anti").select("row.*")

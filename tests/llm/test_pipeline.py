@@ -82,6 +82,17 @@ def test_neardup_keeps_one_of_each_group(stages):
     assert not {r.doc_id for r in after} & {301, 303, 311}
 
 
+def test_neardup_drops_near_copies_from_four_fifths_on(spark):
+    """One word of 60 changed: 51 of 61 shingles shared (0.836); two: 46 of 66 (0.70)."""
+    out = {}
+    for k in range(20):
+        text = R.prose(4000 + k, 60)
+        out |= {k: text, 100 + k: R.changed(text, 30), 200 + k: R.changed(R.changed(text, 15), 45)}
+    docs = spark.createDataFrame(list(out.items()), "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in P.neardup_stage(spark, docs, "").collect()}
+    assert kept == {*range(20), *range(200, 220)}
+
+
 def test_secrets_are_masked_and_nothing_else_changes(stages):
     before, after = stages["secrets"]
     assert {r.doc_id for r in after} == set(before)
