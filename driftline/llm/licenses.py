@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
 
 import ahocorasick
 import pyarrow as pa
@@ -133,16 +134,34 @@ class Scanner:
         found = words(text)
         line = " " + b" ".join(found).decode("latin-1") + " "
         spans = [(a, b, label, 0, True, 1.0) for a, b, label in self.exact(line)]
-        best: dict[tuple, tuple] = {}
-        for a, b, n, errors in self.fuzzy(line):
-            key = (n.label, a // max(1, len(n.text)))
-            row = (a, b, n.label, errors, False, 1.0 - errors / len(n.text))
-            if key not in best or errors < best[key][3]:
-                best[key] = row
-        spans = sorted([*spans, *best.values()])
+        kept: list[tuple] = []
+        # matches of one notice that overlap are one place: the one with the fewest errors stays
+        matches = sorted(self.fuzzy(line), key=lambda m: (m[2].text, m[0]))
+        for _, group in groupby(matches, lambda m: m[2].text):
+            kept += _apart(group)
+        spans = sorted([*spans, *((a, b, n.label, errors, False, 1.0 - errors / len(n.text)) for a, b, n, errors in kept)])
         return len(found), list(_in_words(line, spans))
 
 
+def _apart(matches: Iterator[tuple]) -> Iterator[tuple]:
+    """Of matches of one notice by start, those that overlap no better one; better is fewer errors, then earlier."""
+    place: list[tuple] = []
+    for m in matches:
+        if place and m[0] >= max(x[1] for x in place):
+            yield from _best(place)
+            place = []
+        place.append(m)
+    yield from _best(place)
+
+
+def _best(place: list[tuple]) -> list[tuple]:
+    taken: list[tuple] = []
+    for m in sorted(place, key=lambda x: (x[3], x[0])):
+        if all(m[1] <= x[0] or m[0] >= x[1] for x in taken):
+            taken.append(m)
+    return taken
+
+
 def _in_words(line: str, spans: list[tuple]) -> Iterator[tuple]:
     """Spans of characters as spans of words; the line is walked once."""
     at, seen = 1, 0

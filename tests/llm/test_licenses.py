@@ -57,6 +57,18 @@ def test_notices_are_found_up_to_their_errors_and_not_beyond(k):
     assert not spans
 
 
+def test_every_notice_in_a_text_is_a_span():
+    short, long = (text for label, text in licenses.NOTICES if label == "mit")
+    scanner = licenses.Scanner()
+    _, spans = scanner.scan(f"{short} {long}")
+    assert [s[:4] for s in spans] == [("mit", 0, 4, 0), ("mit", 5, 20, 0)]
+    _, spans = scanner.scan(f"{short} {R.prose(1, 3)} {short} {short}")
+    assert [(s[1], s[2]) for s in spans] == [(0, 4), (8, 12), (13, 17)]
+    cut = long.replace("charge", "chrg").replace("person", "prsn")  # two copies start less than the notice's length apart
+    _, spans = scanner.scan(f"{cut} {cut}")
+    assert [s[:4] for s in spans] == [("mit", 0, 15, 4), ("mit", 16, 31, 4)]
+
+
 def test_spans_count_words_past_other_scripts():
     n, spans = licenses.Scanner().scan("É日本 - word, All Rights Reserved! all  rights\nreserved")
     exact = [s[:3] for s in spans if s[4]]
