@@ -459,13 +459,15 @@ def _quantiles(steps: DataFrame, known: Profile) -> DataFrame:
         profile.withColumns(nothing | {"__own": F.lit(1)}).select(*steps.columns, "q", "__own")
     )
     both = both.withColumn("__cell", cell(F.col("level")))
-    ahead = Window.partitionBy("column", "__cell").orderBy("level", "__own").rowsBetween(0, Window.unboundedFollowing)
-    met = both.withColumn("q", F.first("q", ignorenulls=True).over(ahead)).where("__own = 0")
+    # From the highest level down: a growing frame is updated row by row, one that shrinks is read anew for each.
+    ahead = Window.partitionBy("column", "__cell").orderBy(F.desc("level"), F.desc("__own"))
+    ahead = ahead.rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("q", F.last("q", ignorenulls=True).over(ahead)).where("__own = 0")
     firsts = profile.groupBy("column", cell(F.col("level")).alias("__cell")).agg(F.min_by("q", "level").alias("q"))
     asked = steps.select("column", cell(F.col("level")).alias("__cell")).distinct().withColumn("__own", F.lit(1))
     line = asked.unionByName(firsts.withColumn("__own", F.lit(0)), allowMissingColumns=True)
-    later = Window.partitionBy("column").orderBy("__cell").rangeBetween(1, Window.unboundedFollowing)
-    after = line.withColumn("q_after", F.first("q", ignorenulls=True).over(later)).where("__own = 1")
+    later = Window.partitionBy("column").orderBy(F.desc("__cell")).rangeBetween(Window.unboundedPreceding, -1)
+    after = line.withColumn("q_after", F.last("q", ignorenulls=True).over(later)).where("__own = 1")
     joined = join_on(met.drop("__own"), after.select("column", "__cell", "q_after"), ["column", "__cell"])
     return joined.withColumn("q", F.coalesce("q", "q_after"))
 
