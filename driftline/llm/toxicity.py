@@ -6,11 +6,14 @@ the presences scaled by those ratios, so that n-grams alike in both classes hard
 bounded vector; scoring is a map over whole texts without a shuffle.
 
 Training sees at most `train_rows` labelled rows (those of the smallest key hash) and `train_chars` characters
-of them (in the same order), because it runs in one task; scoring covers every row.
+of them, because it runs in one task; scoring covers every row. Texts of more than a hundredth of `train_chars`
+come after the others, and the first row of each class is taken whatever its length, so that a long text
+never displaces the sample.
 
 Defined cases: a null or empty text has no n-gram and scores the model's prior; rows without a label, or with
-a label other than 0 and 1, are not trained on; with no training row of one class every score is the smoothed
-share of the other; repeated rows are scored each; other columns are not read.
+a label other than 0 and 1, are not trained on; without a training row of either class there is nothing to tell
+apart, and every score is `UNTAUGHT`, below the threshold: a classifier that has learnt nothing rejects nothing;
+repeated rows are scored each; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ TRAIN_CHARS = 64_000_000
 NGRAMS = (3, 4, 5, 6)
 BITS = 20
 THRESHOLD = 0.3
+#: Score of every text where no two classes were seen in training.
+UNTAUGHT = 0.05
+#: Training texts of more than this share of the bound on characters come last.
+LONG_SHARE = 100
 #: Features in fewer training rows, or with a smaller ratio (log), stay out of the model.
 LEAST_ROWS = 3
 LEAST_RATIO = 1.0
@@ -77,12 +84,16 @@ class Model:
         return 1.0 / (1.0 + float(np.exp(-(self.bias + float(self.weights[features].sum(dtype=np.float64))))))
 
 
+def untaught_bias() -> float:
+    return float(np.log(UNTAUGHT / (1 - UNTAUGHT)))
+
+
 def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Feature numbers, their weights (ratio times coefficient) and the bias."""
     n, toxic = len(labels), float(labels.sum())
-    prior = float(np.log((toxic + 1) / (n - toxic + 1)))
     if not 0 < toxic < n:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32), prior
+        return np.zeros(0, np.int32), np.zeros(0, np.float32), untaught_bias()
+    prior = float(np.log((toxic + 1) / (n - toxic + 1)))
     make = Features()
     pos, neg = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for text, y in zip(texts, labels, strict=True):
@@ -125,17 +136,21 @@ def training_rows(
     train_rows: int,
     train_chars: int,
 ) -> DataFrame:
-    """The bounded sample (text, y, turn): the first labelled rows by key hash, up to the two bounds."""
+    """The bounded sample (text, y, turn, id): the first labelled rows by key hash, up to the two bounds."""
     known = labels.where(F.col("y").isin(0, 1) & ~held_out(F.col("id")))
     first = known.select("id", "y", F.xxhash64("id").alias("turn")).orderBy("turn", "id", "y").limit(train_rows)
     texts = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     # at most train_rows small rows: the only table that is sent to every task
-    picked = texts.join(F.broadcast(first), "id")
-    lengths = Window.orderBy("turn", "id", "text").rowsBetween(Window.unboundedPreceding, 0)
-    sized = picked.select("turn", "id", F.xxhash64("text").alias("text"), F.length("text").alias("size"))
-    so_far = sized.orderBy("turn", "id", "text").limit(train_rows).withColumn("sum", F.sum("size").over(lengths))
-    last = so_far.where(F.col("sum") <= train_chars).agg(F.max("turn").alias("last"))
-    return picked.join(F.broadcast(last), F.col("turn") <= F.col("last")).select("text", "y", "turn", "id")
+    picked = texts.join(F.broadcast(first), "id").withColumn("text_hash", F.xxhash64("text"))
+    sized = picked.select("turn", "id", "text_hash", "y", F.length("text").alias("size"))
+    sized = sized.withColumn("long", F.col("size") > train_chars // LONG_SHARE)
+    order = ["long", "turn", "id", "text_hash"]
+    so_far = sized.orderBy(*order).limit(train_rows)
+    total = F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    in_class = F.row_number().over(Window.partitionBy("y").orderBy(*order))
+    taken = so_far.select("id", "text_hash", "y", total.alias("total"), in_class.alias("nth"))
+    taken = taken.where((F.col("total") <= train_chars) | (F.col("nth") == 1)).select("id", "text_hash", "y").distinct()
+    return picked.join(F.broadcast(taken), ["id", "text_hash", "y"]).select("text", "y", "turn", "id")
 
 
 _MODEL = "number binary, weight binary, bias double"
@@ -163,7 +178,7 @@ def train(
     fitted = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_fit_rows, _MODEL).collect()
     weights = np.zeros(1 << BITS, np.float32)
     if not fitted:
-        return Model(weights, 0.0)
+        return Model(weights, untaught_bias())
     weights[np.frombuffer(fitted[0]["number"], np.int32)] = np.frombuffer(fitted[0]["weight"], np.float32)
     return Model(weights, fitted[0]["bias"])
 
