@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, chat, fingerprints, licenses, lm, neardup, packing, quality, secrets, toxicity
+from driftline.llm import bpe, chat, collocations, exactdedup, fingerprints, licenses, lm, merkle, neardup, packing, quality, secrets, toxicity
 from driftline.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,106 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lm_scoring")
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
+
+
+EXACT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
+), g AS (
+  SELECT doc_id, t, row_number() OVER w AS nth, first(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size
+  FROM d WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
+)
+SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(t) AS text_sha256 FROM g
+"""
+
+
+@query("op12_exact_dedup", EXACT_SQL)
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.digests(exactdedup.dedup(documents(spark, sf_dir)))
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = [n_chars if f == "n_chars" else f for f in merkle.FIELDS]
+    parts = [f"coalesce(octet_length(encode({f}::VARCHAR)) || ':' || {f}::VARCHAR, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+#: crc32, eight shifts a byte; ids are decimal, so a character is a byte.
+_CRC_SQL = """xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+    lambda crc, c: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, c)), 4294967295::BIGINT))"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaf AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS k, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS found
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf, found) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM leaf
+), low AS (
+  SELECT 0 AS lv, k, i, n, leaf AS d FROM placed
+  UNION ALL
+  SELECT lv + 1, k, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY lv, k, i // 2
+), subroots AS (
+  SELECT k, d, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS lv, '' AS k, i, n, d FROM subroots
+  UNION ALL
+  SELECT lv + 1, k, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY lv, k, i // 2
+), up AS (
+  SELECT r, 0 AS lv, k, i, n, found AS d, '' AS proof FROM placed
+  UNION ALL
+  SELECT r, up.lv + 1, up.k, up.i // 2, (up.n + 1) // 2,
+    sha256(CASE WHEN s.i < up.i THEN s.d ELSE '' END || up.d || CASE WHEN s.i > up.i THEN s.d ELSE '' END), proof || coalesce(s.d, '')
+  FROM up LEFT JOIN low s ON s.lv = up.lv AND s.k = up.k AND s.i = xor(up.i, 1) WHERE up.n > 1
+), top AS (
+  SELECT r, 0 AS lv, s.i, s.n, up.d, proof, s.d AS subroot FROM up JOIN subroots s USING (k) WHERE up.n = 1
+  UNION ALL
+  SELECT r, top.lv + 1, top.i // 2, (top.n + 1) // 2,
+    sha256(CASE WHEN s.i < top.i THEN s.d ELSE '' END || top.d || CASE WHEN s.i > top.i THEN s.d ELSE '' END), proof || coalesce(s.d, ''), subroot
+  FROM top LEFT JOIN high s ON s.lv = top.lv AND s.i = xor(top.i, 1) WHERE top.n > 1
+)
+SELECT doc_id, leaf, subroot, h.d AS root, sha256(proof) AS proof_sha256, top.d AS folded_root, top.d = h.d AS verified
+FROM top JOIN placed USING (r) CROSS JOIN (SELECT d FROM high WHERE n = 1) h WHERE top.n = 1
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(documents(spark, sf_dir))
+
+
+PHRASES_SQL = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), q AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+  FROM q, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
+), f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= {collocations.LEAST}),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT cuts.lang, cuts.k, cuts.phrase, a, x.f AS l, y.f AS r, cut,
+    ({collocations.SCALE}::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(w, 1, cut), ' ') AND x.k = cut
+    JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(w, cut + 1, len(w)), ' ') AND y.k = cuts.k - cut
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), kept AS (
+  SELECT * FROM low WHERE k = 3 OR NOT EXISTS (
+    SELECT 1 FROM (SELECT lang, array_to_string(list_slice(w, i, i + 1), ' ') AS part, max(a) AS longest
+      FROM c, (SELECT unnest([1, 2]) AS i) WHERE k = 3 GROUP BY ALL) t
+    WHERE t.lang = low.lang AND t.part = low.phrase AND 100 * t.longest >= {collocations.COVERED} * low.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= {collocations.TOP}
+"""
+
+
+@query("op11_collocations", PHRASES_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
