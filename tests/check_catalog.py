@@ -57,7 +57,7 @@ def compare(spark, con, name: str, sf: str) -> str:
 def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args else "/root/testdata/sf0.01"
-    spark = local_session("check")
+    spark = local_session("check", spark__ui__showConsoleProgress="false")
     con = connect(sf)
     con.execute("SET TimeZone='UTC'")
     bad = 0
