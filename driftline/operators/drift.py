@@ -3,7 +3,8 @@
 The reference is reduced once to a `Profile`: exact deciles, counts per bin, category and distinct
 value. Every detector takes a profile or a reference table (which it profiles itself). Each window is
 read once: values fall into at most `bins` counters per column, categories into one counter each, so
-shuffles carry aggregates only. `by` columns name the windows; without them a side may be empty.
+shuffles carry aggregates only. `by` columns name the windows; without them a side may be empty. Windows
+may come as rows or already counted (`Tally`), as the drift stream has them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from driftline.operators.ordered import (
     running_sums,
     sql_double,
 )
+from driftline.operators.tally import Tally
 from driftline.spec import TableSpec
 
 # Limits of the drift and retrain rules.
@@ -222,7 +224,7 @@ def _each_column(cur: DataFrame, by: Sequence[str], cols: Sequence[str]) -> Data
 
 def psi(
     ref: DataFrame | Profile,
-    cur: DataFrame,
+    cur: DataFrame | Tally,
     cols: Sequence[str],
     by: Sequence[str] = (),
     bins: int = BINS,
@@ -235,7 +237,7 @@ def psi(
     """
     cols, by = list(cols), _window_columns(by)
     known = _profiled(ref, "bins", cols, (), cuts, bins)
-    counts = _bin_counts(cur, known.cuts, by, bins, "c")
+    counts = cur.bins(cols, bins) if isinstance(cur, Tally) else _bin_counts(cur, known.cuts, by, bins, "c")
     if not by:
         counts = _each_column(cur, (), cols).join(counts.drop("column"), "ordinal", "left").na.fill(0)
     # One row per column, so this side is always small.
@@ -254,7 +256,7 @@ def psi(
     return joined.select(*by, "ordinal", "column", value.alias("score"), reason.alias("reason"))
 
 
-def _category_shares(known: Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _category_shares(known: Profile, cur: DataFrame | Tally, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     """(window, column, value, p, q): shares of the categories seen in the window.
 
     p is the reference share (0 if absent there). Categories only the reference has are recovered
@@ -262,8 +264,11 @@ def _category_shares(known: Profile, cur: DataFrame, cols: Sequence[str], by: Se
     are counted on their own: every row has one value of each column.
     """
     by = _window_columns(by)
-    c = unpivot_text(cur, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cc"))
-    cn = cur.groupBy(*by).agg(F.count("*").alias("cn"))
+    if isinstance(cur, Tally):
+        c, cn = cur.categories(cols), cur.rows()
+    else:
+        c = unpivot_text(cur, cols, by).groupBy(*by, "column", "value").agg(F.count("*").alias("cc"))
+        cn = cur.groupBy(*by).agg(F.count("*").alias("cn"))
     joined = join_on(c, known.shares, ["column", "value"], "left")
     joined = join_on(joined, cn, by) if by else joined.crossJoin(F.broadcast(cn))
     return joined.select(
@@ -283,7 +288,7 @@ def _per_column(table: DataFrame, cur: DataFrame, cols: Sequence[str], by: Seque
 
 
 def total_variation(
-    ref: DataFrame | Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
+    ref: DataFrame | Profile, cur: DataFrame | Tally, cols: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Half the absolute share difference per window and column; null is its own category.
 
@@ -303,7 +308,7 @@ def _ordinal(cols: Sequence[str]) -> Column:
     return (F.array_position(names, F.col("column")) - 1).cast("int")
 
 
-def _compared(ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec) -> tuple[list[str], list[str]]:
+def _compared(ref: DataFrame | Profile, cur: DataFrame | Tally, spec: TableSpec) -> tuple[list[str], list[str]]:
     known = {*ref.numeric, *ref.text} if isinstance(ref, Profile) else set(ref.columns)
     both = known & set(cur.columns)
     return [c for c in spec.numeric if c in both], [c for c in spec.categorical if c in both]
@@ -318,7 +323,7 @@ def reference_profile(
 
 
 def drift_scores(
-    ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
+    ref: DataFrame | Profile, cur: DataFrame | Tally, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
 ) -> DataFrame:
     """PSI and total variation of every compared column, in contract order."""
     numeric, text = _compared(ref, cur, spec)
@@ -360,13 +365,13 @@ def share_of_drifted(scores: DataFrame, by: Sequence[str] = (), name: str = "psi
 
 
 def drift_report(
-    ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
+    ref: DataFrame | Profile, cur: DataFrame | Tally, spec: TableSpec, by: Sequence[str] = (), cuts: Cuts | None = None
 ) -> DataFrame:
     return share_of_drifted(drift_scores(ref, cur, spec, by, cuts), by)
 
 
 def wasserstein(
-    ref: DataFrame | Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
+    ref: DataFrame | Profile, cur: DataFrame | Tally, cols: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """First Wasserstein distance per window and column, divided by the reference std.
 
@@ -380,14 +385,17 @@ def wasserstein(
     known = _profiled(ref, "numbers", cols)
     keys = [*by, "column"]
     place = _value_range(cols, known.edges)
-    c = _long_numbers(cur, cols, by).groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    if isinstance(cur, Tally):
+        c, windows = cur.values(cols), cur.rows()
+    else:
+        c, windows = _long_numbers(cur, cols, by).groupBy(*keys, "v").agg(F.count("*").alias("c")), cur
     c = _reference_below(c.withColumn("__range", place), known.numbers.withColumn("__range", place))
     c = join_on(c, F.broadcast(known.moments), ["column"])
     c = c.withColumn("area", ratio(F.col("v") * F.col("rr") - F.col("rv"), F.col("rn")))
     steps = _levels(c, keys)
     pieces = _between(_quantiles(steps, known))
     area = pieces.groupBy(*keys).agg(F.sum("piece").alias("area"))
-    told = join_on(_each_column(cur, by, cols), area, keys, "left")
+    told = join_on(_each_column(windows, by, cols), area, keys, "left")
     told = join_on(told, F.broadcast(known.moments.select("column", "rn", "sd")), ["column"], "left")
     usable = F.when(F.col("rn") > 0, F.col("area"))
     value = F.coalesce(usable, F.lit(0.0)) / F.greatest(F.coalesce("sd", F.lit(0.0)), F.lit(MIN_SCALE))
@@ -487,7 +495,7 @@ def _between(steps: DataFrame) -> DataFrame:
 
 
 def jensen_shannon(
-    ref: DataFrame | Profile, cur: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
+    ref: DataFrame | Profile, cur: DataFrame | Tally, cols: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
     """Jensen-Shannon distance (base 2) per window and column; a missing value is `Unknown`.
 
@@ -496,7 +504,11 @@ def jensen_shannon(
     known = _profiled(ref, "shares", (), cols)
     filled = known.shares.groupBy("column", X.fill_cat(F.col("value")).alias("value")).agg(F.sum("p").alias("p"))
     known = replace(known, shares=filled)
-    cur = cur.select(*[c for c in cur.columns if c not in cols], *[X.fill_cat(F.col(c).cast("string")).alias(c) for c in cols])
+    if isinstance(cur, Tally):
+        cur = cur.filled()
+    else:
+        rest = [c for c in cur.columns if c not in cols]
+        cur = cur.select(*rest, *[X.fill_cat(F.col(c).cast("string")).alias(c) for c in cols])
     shares = _category_shares(known, cur, cols, by)
     p, q = F.col("p"), F.col("q")
     left = F.when(p > 0, p * F.log2(2.0 * p / (p + q))).otherwise(F.lit(0.0))
@@ -509,7 +521,7 @@ def jensen_shannon(
 
 
 def drift_second(
-    ref: DataFrame | Profile, cur: DataFrame, spec: TableSpec, by: Sequence[str] = ()
+    ref: DataFrame | Profile, cur: DataFrame | Tally, spec: TableSpec, by: Sequence[str] = ()
 ) -> DataFrame:
     """Second detector: normalised Wasserstein for numbers, Jensen-Shannon for categories."""
     numeric, text = _compared(ref, cur, spec)
@@ -560,7 +572,7 @@ def realized(
 
 def monitor_windows(
     ref: DataFrame | Profile,
-    windows: DataFrame,
+    windows: DataFrame | Tally,
     spec: TableSpec,
     by: Sequence[str],
     threshold: float,
@@ -569,14 +581,17 @@ def monitor_windows(
     proba: str = "proba",
     cuts: Cuts | None = None,
 ) -> DataFrame:
-    """Monitor record of every window: drift share, realised recall, class."""
+    """Monitor record of every window: drift share, realised recall, class.
+
+    Windows that come counted bring the threshold, label and score they were counted with.
+    """
     by = list(by)
     if not isinstance(ref, Profile):
         ref = reference_profile(ref, spec, cuts)
     first = drift_report(ref, windows, spec, by)
     other = share_of_drifted(drift_second(ref, windows, spec, by), by, "second_share") if second else None
     drift = combined_share(first, other, by)
-    scores = realized(windows, threshold, by, label, proba)
+    scores = windows.realized() if isinstance(windows, Tally) else realized(windows, threshold, by, label, proba)
     joined = join_on(drift, scores, by, "left")
     kind = classify(F.col("drift_share"), F.col("realized_recall"))
     return joined.withColumn("kind", kind).select(

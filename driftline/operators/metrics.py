@@ -91,26 +91,35 @@ def pos_rate(
 
 
 def score_counts(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba"
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", weight: str | None = None
 ) -> DataFrame:
-    """pos/neg counts per group and distinct score; unusable rows are counted beside a null score."""
+    """pos/neg counts per group and distinct score; unusable rows are counted beside a null score.
+
+    `weight` names a column that says how many rows a row stands for.
+    """
     usable = _usable(label, proba)
+
+    def total(condition: Column) -> Column:
+        if weight is None:
+            return F.count_if(condition)
+        return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0))
+
     return df.groupBy(*by, F.when(usable, F.col(proba)).alias("proba")).agg(
-        F.count_if(usable & (F.col(label) == 1)).alias("pos"),
-        F.count_if(usable & (F.col(label) == 0)).alias("neg"),
-        F.count_if(~usable).alias("unusable"),
+        total(usable & (F.col(label) == 1)).alias("pos"),
+        total(usable & (F.col(label) == 0)).alias("neg"),
+        total(~usable).alias("unusable"),
     )
 
 
 def ranked_scores(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba"
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", weight: str | None = None
 ) -> DataFrame:
     """Score counts with cumulative positives/negatives from the highest score down.
 
     The borders of the score ranges come from a sketch of the scores, so ranges are even however
     closely the scores crowd.
     """
-    counts = score_counts(df, by, label, proba)
+    counts = score_counts(df, by, label, proba, weight)
     edges = range_edges(df, [proba])[proba]
     return running_sums(counts, by, "proba", ["pos", "neg"], range_id("proba", edges), descending=True)
 
@@ -136,9 +145,11 @@ def _ap() -> Column:
     return ratio(F.col("__steps"), F.col("__p"), 0.0)
 
 
-def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba") -> DataFrame:
+def roc_auc(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", weight: str | None = None
+) -> DataFrame:
     """Ties count half; a single class gives null."""
-    table = ranked_scores(df, by, label, proba).groupBy(*by).agg(*_rank_aggs())
+    table = ranked_scores(df, by, label, proba, weight).groupBy(*by).agg(*_rank_aggs())
     return table.select(*by, _auc().alias("roc_auc"))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import rounded
 from driftline.operators import models
-from driftline.plans.catalog.base import q6, r6, register, table
+from driftline.operators import telemetry as K
+from driftline.plans.catalog.base import ORACLES, q6, r6, register, table
 from driftline.plans.catalog.drift_queries import psi_sql, tv_sql
 from driftline.plans.catalog.telemetry_queries import SLIDE_SQL, as_log, ntz, p95_sql
 from driftline.session import scratch_path
@@ -43,10 +44,14 @@ def stream(spark: SparkSession, sf: str) -> DataFrame:
     return core.parquet_stream(spark, sf, "events.parquet")
 
 
-def _append(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _sink(spark: SparkSession, df: DataFrame, name: str) -> str:
     path = scratch_path(spark, name)
     core.finish(core.append_sink(df, path, scratch_path(spark, f"{name}-state")))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def _append(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    return spark.read.schema(df.schema).parquet(_sink(spark, df, name))
 
 
 def as_requests(events: DataFrame) -> DataFrame:
@@ -162,14 +167,72 @@ def stream_feedback(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(ntz("window_start"), "tp", "fp", "fn", "tn", r6("recall"))
 
 
+@register(
+    "stream_unmatched",
+    f"""WITH {LINE_SQL} SELECT date_trunc('day', ts) AS window_start, count(*) AS predictions,
+          count(*) FILTER (WHERE event_id % 5 = 0) AS unmatched FROM events, line
+        GROUP BY 1, line HAVING date_trunc('day', ts) + INTERVAL 3 DAY <= line""",
+)
+def stream_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions without a label in time, for days of which every prediction has expired by the end of the run."""
+    predictions = stream(spark, sf).select("event_id", "ts", event_score().alias("proba"))
+    delay = F.when(F.col("event_id") % 5 == 0, F.expr("INTERVAL 3 DAYS")).otherwise(F.expr("INTERVAL 1 DAY"))
+    labels = stream(spark, sf).select("event_id", (F.col("ts") + delay).alias("label_ts"), event_label().alias("label"))
+    joined = jobs.feedback_join(predictions, labels, ["event_id"], "ts", "label_ts", unmatched=True)
+    pairs = _append(spark, joined, "unmatched")
+    line = table(spark, sf, "events").agg((F.max("ts") - F.expr("INTERVAL 10 MINUTES")).alias("line"))
+    out = jobs.coverage_by_window(pairs, "ts", "1 day").withColumn("window_start", ntz("window_start"))
+    closed = F.col("window_start") + F.expr("INTERVAL 3 DAYS") <= F.date_trunc("MILLISECOND", "line").cast("timestamp_ntz")
+    return out.join(F.broadcast(line), closed).drop("line")
+
+
+@register(
+    "stream_late",
+    """WITH b AS (SELECT event_id % 3 AS batch, ts FROM events),
+       m AS (SELECT batch, max(ts) - INTERVAL 10 MINUTE AS line FROM b GROUP BY 1),
+       r AS (SELECT batch, max(line) OVER (ORDER BY batch) AS line,
+               max(line) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m)
+       SELECT batch, any_value(line) AS line, count(*) AS n_rows, count(*) FILTER (WHERE ts < before) AS n_late
+       FROM b JOIN r USING (batch) GROUP BY batch""",
+)
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Events arriving in three parts without order: the rows of each micro-batch that are behind the watermark."""
+    folder, out, state = (scratch_path(spark, n) for n in ("arrivals-in", "arrivals", "arrivals-state"))
+    events = table(spark, sf, "events").select("event_id", "ts")
+    for k in range(3):
+        events.where(F.col("event_id") % 3 == k).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(events.schema).parquet(folder)
+        core.finish(jobs.arrivals_stream(source, "ts", out, state))
+    return spark.read.parquet(out).select(F.col("batch").cast("long").alias("batch"), ntz("line"), "n_rows", "n_late")
+
+
+@register(
+    "stream_alerts",
+    f"""WITH {LINE_SQL} SELECT a.* FROM ({ORACLES['alerts_hold']}) a, line WHERE fired_at <= line""",
+)
+def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts with hold over the sinks of the p95 and rejection streams."""
+    calls = as_log(stream(spark, sf))
+    slow = jobs.p95_stream(calls.where("endpoint = 'predict'"), "ts")
+    refused = jobs.rate_stream(calls.where("status = 'rejected'"), "ts")
+    found = []
+    for df, rule, met, hold in (
+        (slow, "high_latency", F.col("p95_seconds") > K.P95_ALERT_SECONDS, 60.0),
+        (refused, "schema_rejections", F.col("rate") > 0, 0.0),
+    ):
+        series = spark.readStream.schema(df.schema).parquet(_sink(spark, df, f"series-{rule}"))
+        found.append(_append(spark, jobs.alert_stream(series, rule, met, hold, "warning", "window_end"), f"alert-{rule}"))
+    return K.alerts(found).select("alert", "severity", ntz("fired_at"))
+
+
 def _drift_history(spark: SparkSession, sf: str) -> DataFrame:
     def scored(df: DataFrame) -> DataFrame:
         return df.withColumns({"label": event_label(), "proba": event_score()})
 
     ref = table(spark, sf, "events").where(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"))
-    staged, history, state = (scratch_path(spark, n) for n in ("staged", "history", "drift-state"))
+    work, history, state = (scratch_path(spark, n) for n in ("drift-work", "history", "drift-state"))
     query = jobs.drift_stream(
-        scored(stream(spark, sf)), ref, REQUESTS, "ts", "5 days", 0.5, staged, history, state
+        scored(stream(spark, sf)), ref, REQUESTS, "ts", "5 days", 0.5, work, history, state
     )
     core.finish(query)
     return core.read_batches(spark, history)

@@ -1,14 +1,16 @@
-"""The streaming jobs: gate, scoring, rates, feedback, drift, retrain trigger, dedup."""
+"""The streaming jobs: gate, late rows, scoring, rates, alerts, feedback, drift, retrain trigger, dedup."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from driftline.operators import contract, drift, metrics, models, telemetry
+from driftline.operators import contract, drift, metrics, models, tally, telemetry
 from driftline.spec import TableSpec
 from driftline.streaming import core
 
@@ -20,8 +22,14 @@ def gate_stream(
     quarantine: str,
     checkpoint: str,
     require_target: bool = False,
+    ts: str | None = None,
+    arrivals: str | None = None,
+    delay: str = core.WATERMARK,
 ) -> StreamingQuery:
-    """Row gate on a stream: accepted rows and quarantined rows with reasons go to two tables."""
+    """Row gate on a stream: accepted rows and quarantined rows with reasons go to two tables.
+
+    With an event time and a table `arrivals`, each micro-batch also tells how many of its rows are late.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Parsed once for the two writes.
@@ -30,12 +38,47 @@ def gate_stream(
             good, bad = contract.gate_rows(rows, spec, require_target)
             core.write_batch(good, accepted, batch_id)
             core.write_batch(bad, quarantine, batch_id)
+            if ts and arrivals:
+                count_arrivals(rows, ts, arrivals, batch_id, delay)
         finally:
             rows.unpersist()
 
     return core.batch_sink(stream, write, checkpoint)
 
 
+def count_arrivals(
+    rows: DataFrame, ts: str, out: str, batch_id: int, delay: str = core.WATERMARK, width: str | None = None
+) -> None:
+    """Write one row of a micro-batch: its rows, the late ones, and the line that it leaves.
+
+    The line is the highest event time so far less the allowed delay, carried on from the batch before, as the
+    watermark is. Late rows lie before the line that the batch found; with `width`, their window ended by then.
+    """
+    earlier = None
+    if batch_id:
+        earlier = rows.sparkSession.read.parquet(f"{out}/batch={batch_id - 1}").first()["line"]
+    moment = F.col(ts).cast("timestamp")
+    late = F.lit(False)
+    if earlier is not None:
+        late = F.window(moment, width)["end"] <= F.lit(earlier) if width else moment < F.lit(earlier)
+    line = F.greatest(F.max(moment) - F.expr(f"INTERVAL {delay}"), F.lit(earlier).cast("timestamp"))
+    # one pass; the window of a row is computed before the rows are counted
+    flagged = rows.select(moment.alias(ts), late.alias("late"))
+    told = flagged.agg(line.alias("line"), F.count("*").alias("n_rows"), F.count_if("late").alias("n_late"))
+    core.write_batch(told, out, batch_id)
+
+
+def arrivals_stream(
+    stream: DataFrame, ts: str, out: str, checkpoint: str, delay: str = core.WATERMARK, width: str | None = None
+) -> StreamingQuery:
+    """Late rows of every micro-batch in a table, beside a stream whose watermark drops them silently."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        count_arrivals(batch, ts, out, batch_id, delay, width)
+
+    return core.batch_sink(stream.select(ts), write, checkpoint)
+
+
 def score_stream(
     stream: DataFrame,
     spec: TableSpec,
@@ -105,6 +148,60 @@ def dedup_stream(stream: DataFrame, ts: str, key: Sequence[str], delay: str = co
     return core.with_event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+def alert_stream(
+    series: DataFrame,
+    rule: str,
+    condition: Column,
+    hold_seconds: float,
+    severity: str,
+    ts: str,
+    by: Sequence[str] = (),
+    step_seconds: float = 60.0,
+    delay: str = core.WATERMARK,
+) -> DataFrame:
+    """Evaluations of a stream of closed windows at which an alert fires, as `telemetry.alert_islands` finds them.
+
+    State of a series is the time since which its condition has held and the last evaluation. An event-time timer
+    drops it once the series has been silent for longer than a step, so silent series hold no state. Evaluations
+    of a series must arrive in order between micro-batches, as the windows of the rate and p95 sinks do.
+    """
+    key = list(by) if by else ["__all"]
+    told = core.with_event_time(series, ts, delay)
+    told = told.withColumn("__all", F.lit(0)) if not by else told
+    told = told.select(*key, ts, F.coalesce(condition, F.lit(False)).alias("__met"))
+    kinds = {f.name: f.dataType.simpleString() for f in told.schema.fields}
+    out = ", ".join(f"`{k}` {kinds[k]}" for k in key) + f", fired_at {kinds[ts]}, pending_since {kinds[ts]}, held_seconds double"
+
+    def run(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(parts).sort_values(ts)
+        since, last = state.get if state.exists else (None, None)
+        fired = []
+        for moment, met in zip(rows[ts], rows["__met"], strict=True):
+            at = moment.value // 1000
+            if not met:
+                since = None
+            elif since is None or (at - last) / 1e6 > step_seconds:
+                since = at
+            last = at
+            if since is not None and (at - since) / 1e6 >= hold_seconds:
+                fired.append((*group, moment, pd.Timestamp(since, unit="us", tz=moment.tz), (at - since) / 1e6))
+        state.update((since, last))
+        ends = last // 1000 + int(step_seconds * 1000) + 1
+        state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+        if fired:
+            yield pd.DataFrame(fired, columns=[*key, "fired_at", "pending_since", "held_seconds"])
+
+    kept = told.groupBy(*key).applyInPandasWithState(
+        run, out, "since bigint, last bigint", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return kept.select(
+        *by, F.lit(rule).alias("alert"), F.lit(severity).alias("severity"), "fired_at", "pending_since", "held_seconds"
+    )
+
+
 def feedback_join(
     predictions: DataFrame,
     labels: DataFrame,
@@ -113,16 +210,22 @@ def feedback_join(
     label_ts: str,
     within: str = "2 days",
     delay: str = core.WATERMARK,
+    unmatched: bool = False,
 ) -> DataFrame:
     """Pair predictions with labels that arrive later; both watermarks and the time bound let
-    the state of unmatched rows expire."""
+    the state of unmatched rows expire.
+
+    With `unmatched`, a prediction whose label did not come in time is emitted as its state expires, its
+    label columns null.
+    """
     p = core.with_event_time(predictions, pred_ts, delay)
     l = core.with_event_time(labels, label_ts, delay)
     renamed = l.select(*[F.col(k).alias(f"__l_{k}") for k in key], *[c for c in l.columns if c not in key])
     cond = (F.col(label_ts) >= F.col(pred_ts)) & (F.col(label_ts) <= F.col(pred_ts) + F.expr(f"INTERVAL {within}"))
     for k in key:
         cond = cond & (F.col(k) == F.col(f"__l_{k}"))
-    return p.join(renamed, cond, "inner").drop(*[f"__l_{k}" for k in key])
+    how = "left_outer" if unmatched else "inner"
+    return p.join(renamed, cond, how).drop(*[f"__l_{k}" for k in key])
 
 
 def realized_by_window(pairs: DataFrame, ts: str, width: str, threshold: float) -> DataFrame:
@@ -134,6 +237,18 @@ def realized_by_window(pairs: DataFrame, ts: str, width: str, threshold: float)
     )
 
 
+def coverage_by_window(pairs: DataFrame, ts: str, width: str, label: str = "label") -> DataFrame:
+    """Predictions per tumbling window and how many of them got no label in time."""
+    timed = pairs.groupBy(F.window(F.col(ts).cast("timestamp"), width).alias("w"))
+    counts = timed.agg(F.count("*").alias("predictions"), F.count_if(F.col(label).isNull()).alias("unmatched"))
+    return counts.select(F.col("w.start").alias("window_start"), "predictions", "unmatched")
+
+
+#: What the retrain rule reads of a monitor record.
+_TAIL = ["window_start", "drift_share", "realized_recall"]
+_TAIL_SCHEMA = "window_start timestamp, drift_share double, realized_recall double"
+
+
 def drift_stream(
     stream: DataFrame,
     ref: DataFrame,
@@ -141,7 +256,7 @@ def drift_stream(
     ts: str,
     width: str,
     threshold: float,
-    staged: str,
+    work: str,
     history: str,
     checkpoint: str,
     delay: str = core.WATERMARK,
@@ -150,58 +265,46 @@ def drift_stream(
 ) -> StreamingQuery:
     """Monitor record per closed event-time window of a scored, labelled stream.
 
-    Rows are staged per micro-batch, partitioned by window. A window is closed once the highest
-    event time seen has passed its end by the allowed delay; each batch reports exactly the
-    windows closed since the batch before, so only their partitions are read. Rows of a window
-    closed earlier are late: they are counted in the batch's progress row and dropped. The reference
-    is profiled and written once, so a batch reads that profile and its closed windows only.
-    `on_report` gets the whole history after each batch that closed a window: `retrain_trigger` makes one
-    that starts a retrain run.
+    Rows are counted where they arrive (`tally`): the state store holds counters per window, column and bin or
+    category, and with the second detector per distinct value, and drops them once the watermark passes the
+    window's end; rows are never stored. Each batch gets the counters of the windows it closes and compares them
+    with the reference, which is profiled and written once. Later rows of a closed window are dropped;
+    `arrivals_stream` with the same width counts them. Folder `work` holds the profile, the counters of the batch
+    in hand and the last windows, each in a fixed number of slots.
+    `on_report` gets the windows that a batch closed and the few before them that the retrain rule looks back on:
+    `retrain_trigger` makes one that starts a retrain run.
     """
     spark = stream.sparkSession
 
     def keep(part: DataFrame, name: str) -> DataFrame:
-        path = f"{staged}_profile/{name}"
+        path = f"{work}/profile/{name}"
         part.write.mode("overwrite").parquet(path)
         return spark.read.schema(part.schema).parquet(path)
 
     known = drift.reference_profile(ref, spec, keep=keep)
-    progress = f"{staged}_progress"
-
-    def line_before(batch_id: int):
-        """The line that the batch before left: each batch writes one row that carries it on."""
-        if batch_id == 0:
-            return None
-        return spark.read.parquet(f"{progress}/batch={batch_id - 1}").first()["line"]
+    rows = core.with_event_time(stream, ts, delay).withColumn("window", F.window(ts, width))
+    counted = tally.tally(rows, known, ["window"], threshold, values=second)
+    table = counted.table.withColumn("window_start", F.col("window.start")).drop("window")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = line_before(batch_id)
-        rows = batch.withColumn(ts, F.col(ts).cast("timestamp"))
-        rows = rows.withColumn("window_start", F.window(ts, width)["start"])
-        end = F.col("window_start") + F.expr(f"INTERVAL {width}")
-        rows = rows.persist()
-        try:
-            late = F.lit(False) if earlier is None else end <= F.lit(earlier)
-            core.write_batch(rows.where(~late), staged, batch_id, ["window_start"])
-            line_now = F.max(ts) - F.expr(f"INTERVAL {delay}")
-            line_now = F.greatest(line_now, F.lit(earlier).cast("timestamp"))
-            core.write_batch(rows.agg(line_now.alias("line"), F.count_if(late).alias("n_late")), progress, batch_id)
-        finally:
-            rows.unpersist()
-        line = line_before(batch_id + 1)
-        if line is None or line == earlier:
-            return
-        closed = core.read_batches(spark, staged, batch_id + 1).where(end <= F.lit(line))
-        if earlier is not None:
-            closed = closed.where(end > F.lit(earlier))
-        if closed.isEmpty():
-            return
-        report = drift.monitor_windows(known, closed, spec, ["window_start"], threshold, second=second)
-        core.write_batch(report, history, batch_id)
-        if on_report:
-            on_report(core.read_batches(spark, history, batch_id + 1))
-
-    return core.batch_sink(stream, write, checkpoint)
+        slot = f"{work}/counters/slot={batch_id % 2}"
+        batch.write.mode("overwrite").parquet(slot)
+        closed = spark.read.schema(batch.schema).parquet(slot)
+        tail = spark.createDataFrame([], _TAIL_SCHEMA)
+        if batch_id:
+            tail = spark.read.schema(_TAIL_SCHEMA).parquet(f"{work}/tail/slot={(batch_id - 1) % 3}")
+        if not closed.isEmpty():
+            windows = tally.Tally(closed, ("window_start",), counted.numeric, counted.text)
+            report = drift.monitor_windows(known, windows, spec, ["window_start"], threshold, second=second)
+            core.write_batch(report, history, batch_id)
+            report = spark.read.schema(report.schema).parquet(f"{history}/batch={batch_id}")
+            tail = tail.unionByName(report.select(*_TAIL))
+            if on_report:
+                on_report(tail)
+        last = tail.orderBy(F.col("window_start").desc()).limit(drift.RETRAIN_WINDOWS - 1)
+        last.write.mode("overwrite").parquet(f"{work}/tail/slot={batch_id % 3}")
+
+    return core.batch_sink(table, write, checkpoint)
 
 
 def retrain_trigger(start: Callable[[list[str]], None]) -> Callable[[DataFrame], None]:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.functions.columns import unit_hash
-from driftline.operators import contract, drift, models, telemetry
+from driftline.operators import contract, drift, models, tally, telemetry
 from driftline.plans.catalog.stream_queries import REQUESTS
 from driftline.streaming import core, jobs
 
@@ -130,24 +130,97 @@ def test_drift_reports_each_closed_window_once(spark, source, tmp_path):
     assert bool(started) >= last[-1] and all(started)
 
 
+def test_drift_state_holds_counters_and_no_rows(spark, source, tmp_path):
+    work, history, state = paths(tmp_path, "work", "history", "state")
+    scored = lambda df: df.withColumns({"label": (F.col("event_id") % 2).cast("int"), "proba": (F.col("event_id") % 4) / 4.0})
+    query = jobs.drift_stream(scored(stream(spark, source)), events(spark).where("event_id < 150"), REQUESTS, "ts", "2 days", 0.5, work, history, state)
+    core.finish(query)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    # A window: 10 bins, outside, missing; 5 categories; 4 scores. At most a batch's windows and one before are open.
+    assert max(held) <= 4 * (12 + 5 + 4) and held[-1] <= 2 * (12 + 5 + 4)
+    stored = {p.relative_to(work).parts[0] for p in (tmp_path / "work").rglob("*.parquet")}
+    assert stored == {"profile", "counters", "tail"}
+    assert len(list((tmp_path / "work" / "counters").iterdir())) <= 2 and len(list((tmp_path / "work" / "tail").iterdir())) <= 3
+
+
+def test_counted_windows_give_the_same_record(spark):
+    rows = events(spark).withColumns(
+        {
+            "label": F.when(F.col("event_id") % 17 > 0, (F.col("event_id") % 2)).cast("int"),
+            "proba": F.when(F.col("event_id") % 19 > 0, F.col("value") / 400).otherwise(F.lit(float("nan"))),
+            "value": F.when(F.col("event_id") % 7 == 0, None).when(F.col("event_id") % 11 == 0, float("inf")).otherwise(F.col("value")),
+            "event_type": F.when(F.col("event_id") % 5 > 0, F.col("event_type")),
+            "w": F.col("event_id") % 3,
+        }
+    )
+    known = drift.reference_profile(rows.where("event_id < 150"), REQUESTS)
+    want = drift.monitor_windows(known, rows, REQUESTS, ["w"], 0.5)
+    got = drift.monitor_windows(known, tally.tally(rows, known, ["w"], 0.5, values=True), REQUESTS, ["w"], 0.5)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_late_rows_are_counted(spark, tmp_path):
-    folder, staged, history, state = paths(tmp_path, "in", "staged", "history", "state")
+    folder, work, history, state, late, late_state, good, bad, gate_late, gate_state = paths(
+        tmp_path, "in", "work", "history", "state", "late", "late-state", "good", "bad", "gate-late", "gate-state"
+    )
     rows = events(spark).withColumns({"label": (F.col("event_id") % 2).cast("int"), "proba": F.col("value") / 400})
     last = rows.agg(F.max("ts")).first()[0]
     ref = events(spark).where("event_id < 150")
 
     def feed(df):
         df.coalesce(1).write.mode("append").parquet(folder)
-        source = spark.readStream.schema(rows.schema).parquet(folder)
-        core.finish(jobs.drift_stream(source, ref, REQUESTS, "ts", "2 days", 0.5, staged, history, state))
+        source = lambda: spark.readStream.schema(rows.schema).parquet(folder)
+        core.finish(jobs.drift_stream(source(), ref, REQUESTS, "ts", "2 days", 0.5, work, history, state))
+        core.finish(jobs.arrivals_stream(source(), "ts", late, late_state, width="2 days"))
+        core.finish(jobs.gate_stream(with_day(source()), REQUESTS, good, bad, gate_state, ts="ts", arrivals=gate_late))
 
     feed(rows)
     first = core.read_batches(spark, history).count()
     feed(rows.where(F.col("ts") < F.lit(last - dt.timedelta(days=3))).limit(7))
-    assert core.read_batches(spark, f"{staged}_progress").agg(F.sum("n_late")).first()[0] == 7
+    for table in (late, gate_late):
+        told = spark.read.parquet(table).orderBy("batch").collect()
+        assert [(r.n_rows, r.n_late) for r in told] == [(600, 0), (7, 7)]
+        assert {r.line for r in told} == {last - dt.timedelta(minutes=10)}
     assert core.read_batches(spark, history).count() == first
 
 
+def test_unmatched_predictions_are_emitted(spark, source, tmp_path):
+    out, state = paths(tmp_path, "pairs", "state")
+    p = stream(spark, source).select("event_id", "ts", (F.col("value") / 400).alias("proba"))
+    late = F.when(F.col("event_id") % 5 == 0, F.expr("INTERVAL 3 DAYS")).otherwise(F.expr("INTERVAL 1 DAY"))
+    l = stream(spark, source).select("event_id", (F.col("ts") + late).alias("label_ts"), (F.col("event_id") % 2).cast("int").alias("label"))
+    joined = jobs.feedback_join(p, l, ["event_id"], "ts", "label_ts", delay="1 day", unmatched=True)
+    core.finish(core.append_sink(joined, out, state))
+    rows = spark.read.schema(joined.schema).parquet(out).collect()
+    assert sorted(r.event_id for r in rows if r.label is not None) == [i for i in range(600) if i % 5]
+    lost = sorted(r.event_id for r in rows if r.label is None)
+    line = events(spark).agg(F.max("ts")).first()[0] - dt.timedelta(days=3)
+    assert lost == [r.event_id for r in events(spark).where("event_id % 5 = 0").orderBy("event_id").collect() if r.ts < line]
+    told = jobs.coverage_by_window(spark.read.schema(joined.schema).parquet(out), "ts", "1 day").agg(F.sum("predictions"), F.sum("unmatched")).first()
+    assert tuple(told) == (len(rows), len(lost))
+
+
+@pytest.mark.parametrize("hold", [0.0, 60.0, 150.0])
+def test_alerts_on_a_stream_equal_the_batch(spark, tmp_path, hold):
+    folder, out, state = paths(tmp_path, "series", "alerts", "state")
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    gap = F.when(F.col("id") > 40, 300).otherwise(0)  # an hour's silence in the middle would drop the state
+    series = spark.range(80).select(
+        (F.col("id") % 2).alias("host"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.floor(F.col("id") / 2) * 60 + gap).cast("decimal(18,6)"))).alias("at"),
+        F.when(F.col("id") % 23 > 0, unit_hash([F.col("id")], 5)).alias("v"),
+    )
+    met = F.col("v") > 0.35
+    want = telemetry.alert_islands(series, "slow", met, hold, "warning", "at", ["host"], 60.0)
+    fired = lambda df: sorted(tuple(r) for r in df.select("host", "alert", "severity", "fired_at", "pending_since", "held_seconds").collect())
+    for i in range(4):
+        series.where(f"at >= timestamp'2024-01-01 00:00:00' + INTERVAL {i * 11} MINUTE AND at < timestamp'2024-01-01 00:00:00' + INTERVAL {(i + 1) * 11 if i < 3 else 999} MINUTE").coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(series.schema).parquet(folder)
+        core.finish(core.append_sink(jobs.alert_stream(source, "slow", met, hold, "warning", "at", ["host"]), out, state))
+    got = fired(spark.read.parquet(out))
+    assert got == fired(want) and got
+
+
 def test_scoring_follows_the_alias_and_keeps_refusals(spark, tmp_path):
     folder, out, refused, state = paths(tmp_path, "in", "out", "refused", "state")
     rows = with_day(events(spark)).withColumn("outcome", F.when(F.col("event_id") % 2 == 0, "Yes").otherwise("No"))
