@@ -1,7 +1,8 @@
 """Features fitted on the training part and applied everywhere with the same parameters.
 
-The fitted parameters are a few hundred numbers, which enter plans as literals, and the category
-lists, which are the labels of fitted indexers. A row's features never depend on its batch.
+The fitted numbers are a few hundred, which enter plans as literals. Categories, however many, are a written
+table (column, value, n, slot), numbered by a distributed ranking and looked up by a join; none of it passes through
+the driver. A row's features never depend on its batch.
 """
 
 from __future__ import annotations
@@ -11,27 +12,33 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import columns as X
-from driftline.operators.ordered import exact_quantiles, sql_double
+from driftline.operators.ordered import dense_places, exact_quantiles, sql_double
+from driftline.session import scratch_path
 from driftline.spec import TableSpec
 
 UNKNOWN = "Unknown"  # Fixed value: category that stands for a missing text value.
 
 
+#: Dictionaries of a column with at most this many values are sent to every task; their size is counted.
+BROADCAST_VALUES = 200_000
+
+
 @dataclass(frozen=True)
 class FeatureParams:
     medians: dict[str, float] = field(default_factory=dict)
     means: dict[str, float] = field(default_factory=dict)
     stds: dict[str, float] = field(default_factory=dict)
-    categories: dict[str, list[str]] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)  # categories of each column
+    dictionary: str = ""  # path of the written category table
 
     @property
     def width(self) -> int:
-        return len(self.means) + sum(len(v) for v in self.categories.values())
+        return len(self.means) + sum(self.sizes.values())
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -83,19 +90,32 @@ def category_table(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
-def fit_categories(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted categories per column, all of them: they become the labels of the fitted indexers."""
-    out: dict[str, list[str]] = {c: [] for c in cols}
+def category_dictionary(train: DataFrame, cols: Sequence[str], path: str | None = None) -> tuple[str, dict[str, int]]:
+    """Write (column, value, n, slot) of all categories, slots in value order from 0; its path and sizes by column."""
+    spark = train.sparkSession
+    path = path or scratch_path(spark, "categories")
     if cols:
-        for r in category_table(train, cols).select("column", "value").toLocalIterator():
-            out[r["column"]].append(r["value"])
-    return {c: sorted(v) for c, v in out.items()}
+        placed = dense_places(category_table(train, cols), ["column"], ["value"], "category-ranges")
+        placed = placed.withColumnRenamed("place", "slot")
+    else:
+        placed = spark.createDataFrame([], "column string, value string, n bigint, slot bigint")
+    placed.write.mode("overwrite").parquet(path)
+    sizes = spark.read.parquet(path).groupBy("column").agg(F.count("*").alias("n")).collect()  # a row a column
+    return path, {c: 0 for c in cols} | {r["column"]: r["n"] for r in sizes}
+
 
+def fit_categories(train: DataFrame, cols: Sequence[str], path: str | None = None) -> FeatureParams:
+    """Parameters with the categories alone."""
+    where, sizes = category_dictionary(train, cols, path)
+    return FeatureParams(sizes=sizes, dictionary=where)
 
-def fit(train: DataFrame, spec: TableSpec) -> FeatureParams:
+
+def fit(train: DataFrame, spec: TableSpec, dictionary: str | None = None) -> FeatureParams:
+    """All parameters; the category table goes to `dictionary`, by default below the shared folder."""
     medians = fit_medians(train, spec.numeric)
     means, stds = fit_scaler(train, spec, medians)
-    return FeatureParams(medians, means, stds, fit_categories(train, spec.categorical))
+    where, sizes = category_dictionary(train, spec.categorical, dictionary)
+    return FeatureParams(medians, means, stds, sizes, where)
 
 
 def params_table(spark: SparkSession, params: FeatureParams) -> DataFrame:
@@ -113,23 +133,31 @@ def scaled(df: DataFrame, spec: TableSpec, params: FeatureParams, keep: Sequence
     )
 
 
-def _indexer(params: FeatureParams, column: str, inputs: str, outputs: str) -> StringIndexerModel:
-    return StringIndexerModel.from_labels(params.categories[column], inputCol=inputs, outputCol=outputs, handleInvalid="keep")
+def _lookup_sql(params: FeatureParams, column: str, value: str, out: str, rows: str) -> str:
+    """SQL that adds `out`, the slot of a value; the number of categories for a value unseen in training.
+
+    A plain join beyond BROADCAST_VALUES: adaptive execution splits a partition of frequent values.
+    """
+    size = params.sizes[column]
+    hint = "/*+ BROADCAST(d) */ " if size <= BROADCAST_VALUES else ""
+    name = column.replace("'", "\\'")
+    listed = f"(SELECT value AS __value, slot AS __slot FROM parquet.`{params.dictionary}` WHERE column = '{name}')"
+    return (
+        f"SELECT {hint}t.*, CAST(coalesce(d.__slot, {size}) AS DOUBLE) AS `{out}` "
+        f"FROM {rows} t LEFT JOIN {listed} d ON t.`{value}` = d.__value"
+    )
 
 
 def onehot_slots(
     df: DataFrame, spec: TableSpec, params: FeatureParams, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One-hot slot index per categorical column; null for a value unseen in training.
-
-    The indexer looks categories up in its own table, so a plan does not grow with their number.
-    """
+    """One-hot slot index per categorical column; null for a value unseen in training."""
     rows = df.select(*keep, *[X.fill_cat(F.col(c), UNKNOWN).alias(f"__c_{c}") for c in spec.categorical])
     slots = []
     for c in spec.categorical:
-        rows = _indexer(params, c, f"__c_{c}", f"__i_{c}").transform(rows)
+        rows = df.sparkSession.sql(_lookup_sql(params, c, f"__c_{c}", f"__i_{c}", "{rows}"), rows=rows)
         slot = F.col(f"__i_{c}").cast("int")
-        slots.append(F.when(slot < len(params.categories[c]), slot).alias(f"{c}_slot"))
+        slots.append(F.when(slot < params.sizes[c], slot).alias(f"{c}_slot"))
     return rows.select(*keep, *slots)
 
 
@@ -150,19 +178,20 @@ def feature_pipeline(df: DataFrame, spec: TableSpec, params: FeatureParams) -> P
     stages = [SQLTransformer(statement="SELECT *, " + ", ".join(numeric_sql() + texts) + " FROM __THIS__")]
     inputs = [f"z_{n}" for n in _numeric_names(spec)]
     if spec.categorical:
-        # One indexer per column: a joint one would need category lists of equal length.
         for c in spec.categorical:
-            stages.append(_indexer(params, c, f"c_{c}", f"i_{c}"))
-        # The extra "keep" slot is the one dropped, so an unseen value is all zeros.
+            # Without dictionary columns beside the rows: __THIS__ is the table as it came.
+            stages.append(SQLTransformer(statement=_lookup_sql(params, c, f"c_{c}", f"i_{c}", "__THIS__")))
+        # The extra slot of unseen values is the one dropped, so an unseen value is all zeros.
         encoder = OneHotEncoder(
             inputCols=[f"i_{c}" for c in spec.categorical],
             outputCols=[f"o_{c}" for c in spec.categorical],
             dropLast=True,
         )
-        probe = df.limit(0)
-        for stage in stages:
-            probe = stage.transform(probe)
-        stages.append(encoder.fit(probe))
+        known = [
+            F.lit(0.0).alias(f"i_{c}", metadata={"ml_attr": {"type": "nominal", "num_vals": params.sizes[c] + 1}})
+            for c in spec.categorical
+        ]
+        stages.append(encoder.fit(df.sparkSession.range(0).select(*known)))
         inputs += [f"o_{c}" for c in spec.categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     return PipelineModel(stages)

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from driftline.session import scratch_path
+
 SKETCH_ACCURACY = 10000
 FINE = 256
 MIN_SLICES = 512
@@ -333,3 +335,26 @@ def grouped_quantiles(
         h = (F.col("n") - 1).cast("double") * F.lit(float(p))
         outs.append(lerp_col(F.col(f"{name}_lo"), F.col(f"{name}_hi"), h - F.floor(h)).alias(name))
     return table.select(*by, "n", *outs)
+
+
+_POSITION_BITS = 33  # monotonically_increasing_id() is the partition, shifted by this, plus the position in it
+
+
+def dense_places(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Rows with `place`, their position from 0 inside `by` in the given order, without sorting a group in one task.
+
+    Rows are dealt out by ranges of (by, order), sorted there and written; a place is the position in the partition
+    plus the group's rows in earlier partitions. `by` and `order` together should tell rows apart.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    ranged = df.repartitionByRange(range_count(spark), *by, *order).sortWithinPartitions(*by, *order)
+    ranged.withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    held = spark.read.parquet(path).withColumn("__part", F.shiftright("__at", _POSITION_BITS))
+    runs = held.groupBy(*by, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__rows"))
+    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).drop("__rows")
+    placed = join_on(held, runs, [*by, "__part"])
+    return placed.withColumn("place", F.col("__before") + F.col("__at") - F.col("__first")).drop(
+        "__at", "__part", "__first", "__before"
+    )

@@ -97,8 +97,24 @@ def onehot_categories(spark: SparkSession, sf: str) -> DataFrame:
 def onehot_slots(spark: SparkSession, sf: str) -> DataFrame:
     # Categories are fitted without flag R, so R is an unseen value afterwards.
     rows = B.lines(spark, sf)
-    cats = FT.fit_categories(rows.where("l_returnflag <> 'R'"), B.LINES.categorical)
-    return FT.onehot_slots(rows, B.LINES, FT.FeatureParams(categories=cats), ["l_orderkey", "l_linenumber"])
+    params = FT.fit_categories(rows.where("l_returnflag <> 'R'"), B.LINES.categorical)
+    return FT.onehot_slots(rows, B.LINES, params, ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "category_dictionary",
+    """WITH v AS (SELECT 'flag_supplier' AS "column", coalesce(l_returnflag, 'Unknown') || '-' || l_suppkey AS "value" FROM lineitem
+         UNION ALL SELECT 'part', CASE WHEN l_partkey % 17 <> 0 THEN l_partkey::VARCHAR ELSE 'Unknown' END FROM lineitem),
+       c AS (SELECT "column", "value", count(*) AS n FROM v GROUP BY 1, 2)
+       SELECT "column", "value", n, row_number() OVER (PARTITION BY "column" ORDER BY "value") - 1 AS slot FROM c""",
+)
+def category_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Slots of columns with as many categories as there are keys."""
+    rows = B.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_returnflag", "l_suppkey").alias("flag_supplier"),
+        F.when(F.col("l_partkey") % 17 != 0, F.col("l_partkey").cast("string")).alias("part"),
+    )
+    return spark.read.parquet(FT.category_dictionary(rows, ["flag_supplier", "part"])[0])
 
 
 @register(

@@ -208,7 +208,10 @@ def stream_late(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "stream_alerts",
-    f"""WITH {LINE_SQL} SELECT a.* FROM ({ORACLES['alerts_hold']}) a, line WHERE fired_at <= line""",
+    f"""WITH line AS (SELECT max(ts) FILTER (WHERE event_type <> 'signup') - INTERVAL 10 MINUTE AS calls,
+          max(ts) FILTER (WHERE event_type = 'error') - INTERVAL 10 MINUTE AS refused FROM events)
+        SELECT a.* FROM ({ORACLES['alerts_hold']}) a, line
+        WHERE fired_at <= date_trunc('millisecond', CASE alert WHEN 'high_latency' THEN calls ELSE refused END)""",
 )
 def stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """Alerts with hold over the sinks of the p95 and rejection streams."""
