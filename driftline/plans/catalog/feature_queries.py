@@ -130,7 +130,18 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("label", "n_rows", r6("balanced"), r6("positive"))
 
 
-@register("feature_vectors")
+@register(
+    "feature_vectors",
+    f"""WITH {TRAIN_SQL}, s AS (SELECT {", ".join(f'avg("{n}") AS m_{n}' for n in NAMES)} FROM block WHERE in_train),
+        k AS (SELECT (SELECT count(DISTINCT coalesce(l_returnflag, 'Unknown')) FROM train) + (SELECT count(DISTINCT coalesce(l_linestatus, 'Unknown')) FROM train) AS k),
+        v AS (SELECT CASE WHEN l.ship_date <= (SELECT max(ship_date) FROM train) THEN 'train'
+                WHEN l.ship_date <= (SELECT day FROM ix WHERE i = floor(n * 0.85::DOUBLE)::INT - 1) THEN 'val' ELSE 'test' END AS split,
+              {" + ".join(f"(b.{n} <> s.m_{n})::INT" for n in NAMES)}
+              + (coalesce(l_returnflag, 'Unknown') IN (SELECT coalesce(l_returnflag, 'Unknown') FROM train))::INT
+              + (coalesce(l_linestatus, 'Unknown') IN (SELECT coalesce(l_linestatus, 'Unknown') FROM train))::INT AS nz
+              FROM block b JOIN lab l USING (l_orderkey, l_linenumber, l_partkey, l_suppkey), s)
+        SELECT split, count(*) AS n_rows, any_value(k)::INT + {len(NAMES)} AS width, sum(nz)::BIGINT AS non_zeros FROM v, k GROUP BY split""",
+)
 def feature_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Assembled vectors summarised per split: rows, width, non-zeros."""
     from pyspark.ml.functions import vector_to_array
