@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from driftline.operators import metrics as M
 from driftline.operators import registry as R
+from driftline.plans import run as W
 from driftline.plans.catalog import base as B
 from driftline.plans.catalog.base import q6, r6, register, table
 from driftline.plans.catalog.metric_queries import rank_sql
@@ -239,3 +240,37 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     cands = candidates(spark, sf)
     out = R.run_summary(R.route(judged(cands), RUN), events(cands), sizes, RUN)
     return out.select(*RUN, "n_candidates", "winner", "promoted_version", "promoted", "n_rows")
+
+
+@register(
+    "publish_commit",
+    f"""WITH {CAND_SQL}, first_runs AS (SELECT run_id, row_number() OVER (ORDER BY run_id) AS k FROM (SELECT DISTINCT run_id FROM ver WHERE segment = 'F')),
+        v AS (SELECT ver.*, k FROM ver JOIN first_runs USING (run_id) WHERE segment = 'F' AND k <= 3),
+        stages AS (SELECT * FROM (VALUES ('published', 1), ('killed', 1), ('replayed', 2), ('replayed again', 2), ('published next', 3)) s(stage, upto))
+        SELECT stage, count(*) AS n_versions, max(version) AS last_version, count(*) FILTER (WHERE selected) AS n_promotions,
+          arg_max(version, k) FILTER (WHERE selected) AS in_production FROM stages JOIN v ON k <= upto GROUP BY stage""",
+)
+def publish_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """What readers of the registry see when a publication dies before its commit and is replayed twice."""
+    cands = candidates(spark, sf).where("segment = 'F'").withColumn("threshold", F.lit(B.MODEL_THRESHOLD))
+    runs = [r["run_id"] for r in cands.select("run_id").distinct().orderBy("run_id").limit(3).collect()]
+    paths = W.Paths(scratch_path(spark, "registry"))
+    told = []
+
+    def publish(event: int, finish: bool = True) -> None:
+        mine = cands.where(F.col("run_id") == runs[event - 1]).withColumn("run_id", F.col("run_id").cast("string"))
+        step = W.publish if finish else W.stage_publish
+        step(spark, mine.drop("segment"), paths, str(runs[event - 1]), event, limits=LIMITS)
+
+    def look(stage: str) -> None:
+        versions, events = W.seen(spark, paths, "versions"), W.seen(spark, paths, "alias_events")
+        seen = versions.agg(F.count("*").alias("n_versions"), F.max("version").alias("last_version"))
+        moves = events.agg(F.count("*").alias("n_promotions"), F.max_by("version", "event_seq").alias("in_production"))
+        told.append((stage, *seen.first(), *moves.first()))
+
+    for stage, event, finish in (
+        ("published", 1, True), ("killed", 2, False), ("replayed", 2, True), ("replayed again", 2, True), ("published next", 3, True)
+    ):
+        publish(event, finish)
+        look(stage)
+    return spark.createDataFrame(told, "stage string, n_versions bigint, last_version bigint, n_promotions bigint, in_production bigint")

@@ -120,28 +120,59 @@ def validate_or_alert(
     return coerced
 
 
-def publish(
+def seen(spark: SparkSession, paths: Paths, name: str) -> DataFrame | None:
+    """Committed rows of a table of the registry."""
+    return records.committed(spark, paths.table(name), paths.table("commits"))
+
+
+def stage_publish(
     spark: SparkSession,
     cands: DataFrame,
     paths: Paths,
     run: str,
     event_seq: int,
     forced_baseline: float | None = None,
-) -> DataFrame:
-    """Gate the candidates, register all of them, promote the winner if there is one."""
-    judged = registry.with_selected(registry.bless(cands, ["run_id"], forced_baseline), ["run_id"])
-    known = records.read_records(spark, paths.table("versions"))
+    limits: dict[str, float] | None = None,
+) -> None:
+    """Write what a publication changes, as rows of its event: nothing of it shows before the commit."""
+    judged = registry.bless(cands, ["run_id"], forced_baseline, **(limits or {}))
+    judged = registry.with_selected(judged, ["run_id"])
     # Candidates of one run are a handful of rows; a written table fixes their numbers.
-    numbered = registry.register(judged, ["model_name"], versions=known)
-    records.append_record(numbered, paths.table("versions"))
-    mine = spark.read.parquet(paths.table("versions")).where(F.col("run_id") == run)
+    numbered = registry.register(judged, ["model_name"], versions=seen(spark, paths, "versions"))
+    mine = records.write_event(numbered, paths.table("versions"), event_seq)
     won = mine.where("selected").select(
         "version", "model_name", "run_id", "roc_auc", "threshold", F.lit(event_seq).cast("bigint").alias("event_seq")
     )
-    records.append_record(won, paths.table("alias_events"))
-    _extend_history(spark, won, paths, event_seq)
-    events = spark.read.parquet(paths.table("alias_events")).where(F.col("run_id") == run)
-    routed = registry.route(mine, ["run_id"])
+    won = records.write_event(won, paths.table("alias_events"), event_seq)
+    if won.isEmpty():
+        return
+    # A promotion joins the history, unless it repeats the version of its last entry.
+    both = history(spark, paths).unionByName(won.select("event_seq", "version"))
+    state = registry.production_history(both).select("event_seq", "version")
+    state = state.withColumn("as_of", F.lit(event_seq).cast("bigint"))
+    records.write_event(state, paths.table("production_history"), event_seq)
+
+
+def publish(
+    spark: SparkSession,
+    cands: DataFrame,
+    paths: Paths,
+    run: str,
+    event_seq: int,
+    forced_baseline: float | None = None,
+    limits: dict[str, float] | None = None,
+) -> DataFrame:
+    """Gate the candidates, register all of them, promote the winner if there is one.
+
+    Versions, alias, history and so the serving metadata change together, with the event's commit. A replay of an
+    event that was committed changes nothing; one of an event that was not replaces what the first attempt wrote.
+    """
+    commits = paths.table("commits")
+    if not records.is_committed(spark, commits, event_seq):
+        stage_publish(spark, cands, paths, run, event_seq, forced_baseline, limits)
+        records.commit(spark, commits, event_seq, run, "publish")
+    routed = registry.route(seen(spark, paths, "versions").where(F.col("run_id") == run), ["run_id"])
+    events = seen(spark, paths, "alias_events").where(F.col("run_id") == run)
     sizes = records.read_records(spark, paths.table("split_info"))
     if sizes is None:
         return registry.run_summary(routed, events, routed.select("run_id"), ["run_id"])
@@ -151,7 +182,7 @@ def publish(
 
 def serving_auc(spark: SparkSession, paths: Paths) -> float | None:
     """AUC of the version in production, or None."""
-    events = records.read_records(spark, paths.table("alias_events"))
+    events = seen(spark, paths, "alias_events")
     if events is None:
         return None
     row = events.agg(F.max_by("roc_auc", "event_seq").alias("auc")).first()
@@ -160,50 +191,42 @@ def serving_auc(spark: SparkSession, paths: Paths) -> float | None:
 
 def history(spark: SparkSession, paths: Paths) -> DataFrame:
     """Versions that were in production and not left by a rollback: (event_seq, version), latest state."""
-    states = records.read_records(spark, paths.table("production_history"))
+    states = seen(spark, paths, "production_history")
     if states is None:
         return spark.createDataFrame([], "event_seq bigint, version bigint")
     last = states.agg(F.max("as_of")).first()[0]
     return states.where(F.col("as_of") == last).select("event_seq", "version")
 
 
-def _extend_history(spark: SparkSession, won: DataFrame, paths: Paths, event_seq: int) -> None:
-    """A promotion joins the history, unless it repeats the version of its last entry."""
-    old = history(spark, paths)
-    both = old.unionByName(won.select("event_seq", "version"))
-    if won.isEmpty():
-        return
-    state = registry.production_history(both).select("event_seq", "version")
-    records.append_record(state.withColumn("as_of", F.lit(event_seq).cast("bigint")), paths.table("production_history"))
-
-
 def rollback(spark: SparkSession, paths: Paths, event_seq: int) -> DataFrame:
     """Point the alias at the fallback version; the move itself is an alias event.
 
-    The version left goes from the history, so the next rollback reaches further back.
+    The version left goes from the history, so the next rollback reaches further back. Committed as a publication is.
     """
-    versions = spark.read.parquet(paths.table("versions"))
-    events = spark.read.parquet(paths.table("alias_events"))
+    path, commits = paths.table("rollbacks"), paths.table("commits")
+    if records.is_committed(spark, commits, event_seq):
+        return spark.read.parquet(f"{path}/event={event_seq}").drop("event_seq")
+    versions = seen(spark, paths, "versions")
     past = history(spark, paths)
-    move = registry.rollback_target(versions, past, registry.production(events))
-    path = paths.table("rollbacks")
-    records.append_record(move.withColumn("event_seq", F.lit(event_seq).cast("bigint")), path)
-    move = spark.read.parquet(path).where(F.col("event_seq") == event_seq).drop("event_seq")
+    move = registry.rollback_target(versions, past, registry.production(seen(spark, paths, "alias_events")))
+    move = move.withColumn("event_seq", F.lit(event_seq).cast("bigint"))
+    move = records.write_event(move, path, event_seq).drop("event_seq")
     trimmed = registry.trim_history(past, move).withColumn("as_of", F.lit(event_seq).cast("bigint"))
-    records.append_record(trimmed, paths.table("production_history"))
+    records.write_event(trimmed, paths.table("production_history"), event_seq)
     target = move.join(versions, move.target == versions.version)
     event = target.select(
         "version", "model_name", "run_id", "roc_auc", "threshold", F.lit(event_seq).cast("bigint").alias("event_seq")
     )
-    records.append_record(event, paths.table("alias_events"))
+    records.write_event(event, paths.table("alias_events"), event_seq)
+    records.commit(spark, commits, event_seq, f"rollback-{event_seq}", "rollback")
     return move
 
 
 def serving_metadata(spark: SparkSession, paths: Paths) -> DataFrame:
     """One row: the version in production with its run, threshold, metrics and the version it was rolled back from."""
-    live = registry.production(spark.read.parquet(paths.table("alias_events"))).select("version")
-    row = spark.read.parquet(paths.table("versions")).join(F.broadcast(live), "version")
-    moves = records.read_records(spark, paths.table("rollbacks"))
+    live = registry.production(seen(spark, paths, "alias_events")).select("version")
+    row = seen(spark, paths, "versions").join(F.broadcast(live), "version")
+    moves = seen(spark, paths, "rollbacks")
     if moves is None:
         return row.withColumn("rolled_back_from", F.lit(None).cast("bigint"))
     last = moves.groupBy(F.col("target").alias("version")).agg(F.max_by("current", "event_seq").alias("rolled_back_from"))

@@ -72,6 +72,52 @@ def test_full_run_promotes_then_rolls_back(spark, tmp_path):
     assert len(scored) == 20 and {r["model_version"] for r in scored} == {live.version}
 
 
+@pytest.mark.parametrize("dies_at", ["versions", "alias_events", "production_history", "commits"])
+def test_a_publication_shows_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch, dies_at):
+    paths = run.Paths(str(tmp_path / "p"))
+    rows = [("gbt", 0.9, 0.8, 1.0, 0.4), ("logreg", 0.8, 0.8, 1.0, 0.5)]
+    cands = spark.createDataFrame(rows, "model_name string, roc_auc double, recall double, model_mb double, threshold double")
+
+    def publish(name, event):
+        return run.publish(spark, cands.withColumn("run_id", F.lit(name)), paths, name, event).first()
+
+    def state():
+        seen = [sorted(map(str, run.seen(spark, paths, t).collect())) for t in ("versions", "alias_events", "production_history")]
+        return seen, str(run.serving_metadata(spark, paths).first())
+
+    publish("r1", 1)
+    before = state()
+    write, commit = records.write_event, records.commit
+
+    def dying(df, path, event):
+        if path.endswith(dies_at):
+            raise OSError("lost")
+        return write(df, path, event)
+
+    def no_commit(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(records, "write_event", dying)
+        if dies_at == "commits":
+            m.setattr(records, "commit", no_commit)
+        with pytest.raises(OSError):
+            publish("r2", 2)
+    assert state() == before
+    first = publish("r2", 2)
+    after = state()
+    assert first["promoted_version"] == 3 and len(after[0][0]) == 4 and len(after[0][1]) == 2
+    assert publish("r2", 2) == first and state() == after
+    with monkeypatch.context() as m:
+        m.setattr(records, "commit", no_commit)
+        with pytest.raises(OSError):
+            run.rollback(spark, paths, 3)
+    assert state() == after
+    move = run.rollback(spark, paths, 3).first()
+    assert (move["current"], move["target"]) == (3, 1) and run.rollback(spark, paths, 3).first() == move
+    assert run.serving_metadata(spark, paths).first()["version"] == 1 and commit is records.commit
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     parts = split.time_split(weather(spark, 480), "Date", target="RainTomorrow")
