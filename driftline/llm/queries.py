@@ -179,8 +179,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEARDUP_SQL = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'), lambda x: x <> '') AS w FROM documents
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), g AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {neardup.SHINGLE - 1}), ' ') AS g
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {neardup.SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)

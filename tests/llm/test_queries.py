@@ -36,3 +36,20 @@ def test_every_document_has_its_row(spark, prefix):
     ids = {r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = [r.doc_id for r in Q.QUERIES[name](spark, SF).select("doc_id").collect()]
     assert len(got) == len(ids) and set(got) == ids
+
+
+def test_sql_and_operator_agree_on_every_blank(spark, tmp_path):
+    """Words parted by CR, VT, FF, tabs and line feeds, in the text queries with SQL over documents."""
+    words = [f"word{i}" for i in range(9)]
+    texts = [sep.join(words) for sep in (" ", "\r", "\x0b", "\x0c", "\r\n", "\t ", "\x1c")] + [None, "", " \r"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("op1_quality_rules", "op3_minhash_neardup", "op11_collocations", "op12_exact_dedup", "op13_merkle_manifest"):
+        got = Q.QUERIES[name](spark, str(tmp_path))
+        cur = con.execute(Q.ORACLES[name])
+        names = [d[0] for d in cur.description]
+        assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(tuple(r) for r in cur.fetchall()), name
+    told = Q.QUERIES["op3_minhash_neardup"](spark, str(tmp_path)).where("doc_id < 6").select("component_id").distinct().collect()
+    assert [r.component_id for r in told] == [0]
