@@ -2,19 +2,22 @@
 
 A notice that may differ in k characters is cut into k + 1 seeds: with at most k edits one seed is intact
 (pigeonhole). One automaton finds the seeds of all notices in a text; around each hit the regex library's
-bounded-error matching decides and reports the span. A text without a seed costs one automaton pass.
+bounded-error matching decides and reports the span. A text without a seed costs one automaton pass. The words
+that tell a notice from its rivals (name, variant, version) must stand unchanged, whole and in their place; edits
+are allowed in the rest.
 
 Texts are compared as words: A-Z lower-cased, every run of other ASCII characters than digits and letters one
 separator, characters beyond ASCII part of words. Spans are word numbers, first and last included. The scan is
 a map over whole texts without a shuffle.
 
-Defined cases: a null or empty text has no words and no spans; notices that repeat or overlap are each
-reported; repeated rows are scanned each; only the id and text columns are read.
+Defined cases: a null or empty text has no words and no spans; notices that repeat are each reported; of matches
+of one notice that overlap, and of notices that share more than half of the shorter one, the likeliest is;
+repeated rows are scanned each; only the id and text columns are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 from itertools import groupby
@@ -35,17 +38,32 @@ PHRASES = (
     ("all rights reserved", "reserved"),
 )
 
-#: Notices searched with errors: label and words.
+#: Notices searched with errors: label and words. Words in brackets (name, variant, version) tell a notice from its
+#: rivals and must stand as they are.
 NOTICES = (
-    ("apache-2.0", "licensed under the apache license version 2 0"),
+    ("agpl-3.0", "licensed under the gnu [affero] general public license version [3]"),
+    ("apache-1.1", "licensed under the [apache] license version [1 1]"),
+    ("apache-2.0", "licensed under the [apache] license version [2 0]"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("gpl-3.0", "licensed under the gnu general public license version 3"),
-    ("mit", "released under the mit license"),
+    ("bsd", "released under the [bsd] license"),
+    ("cc-by", "licensed under [cc by 4 0]"),
+    ("cc-by-nc", "licensed under [cc by nc 4 0]"),
+    ("cc-by-nc-nd", "licensed under [cc by nc nd 4 0]"),
+    ("cc-by-nc-sa", "licensed under [cc by nc sa 4 0]"),
+    ("cc-by-nd", "licensed under [cc by nd 4 0]"),
+    ("cc-by-sa", "licensed under [cc by sa 4 0]"),
+    ("gpl-2.0", "licensed under the [gnu] general public license version [2]"),
+    ("gpl-3.0", "licensed under the [gnu] general public license version [3]"),
+    ("isc", "released under the [isc] license"),
+    ("lgpl-2.1", "licensed under the gnu [lesser] general public license version [2 1]"),
+    ("lgpl-3.0", "licensed under the gnu [lesser] general public license version [3]"),
+    ("mit", "released under the [mit] license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1.1", "subject to the terms of the [mozilla] public license v [1 1]"),
+    ("mpl-2.0", "subject to the terms of the [mozilla] public license v [2 0]"),
     ("reserved", "all rights reserved"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("x11", "released under the [x11] license"),
 )
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_ERROR = 10
@@ -77,6 +95,7 @@ class Notice:
     label: str
     text: str
     errors: int
+    required: tuple[str, ...]
     pattern: regex.Pattern
 
     def seeds(self) -> Iterator[tuple[str, int]]:
@@ -86,11 +105,27 @@ class Notice:
             a, b = i * size // parts, (i + 1) * size // parts
             yield self.text[a:b], a
 
+    def search(self, line: str, start: int) -> regex.Match | None:
+        """The best match near a place that keeps the required words and the bound of errors."""
+        low, high = max(0, start - self.errors), start + len(self.text) + self.errors
+        # one character more on the right, for the blank after a required last word
+        if any(line.find(f" {r} ", max(0, low - 1), high + 1) < 0 for r in self.required):
+            return None
+        found = self.pattern.search(line, low, high + 1)
+        return found if found and sum(found.fuzzy_counts) <= self.errors else None
 
-def notice(label: str, text: str) -> Notice:
+
+def notice(label: str, words: str) -> Notice:
+    text = words.replace("[", "").replace("]", "")
     errors = min(MOST_ERRORS, len(text) // CHARS_PER_ERROR)
-    fuzzy = regex.compile(f"(?b)(?:{regex.escape(text)}){{e<={errors}}}")
-    return Notice(label, text, errors, fuzzy)
+    free, required = [], []
+    for i, part in enumerate(words.replace("]", "[").split("[")):
+        if i % 2:
+            required.append(part)
+            free.append(f"(?<= ){regex.escape(part)}(?= )")
+        elif part:
+            free.append(f"(?:{regex.escape(part)}){{e<={errors}}}")
+    return Notice(label, text, errors, tuple(required), regex.compile("(?b)" + "".join(free)))
 
 
 class Scanner:
@@ -123,8 +158,7 @@ class Scanner:
                 if (i, start) in tried:
                     continue
                 tried.add((i, start))
-                low = max(0, start - n.errors)
-                found = n.pattern.search(line, low, start + len(n.text) + n.errors)
+                found = n.search(line, start)
                 if found and (i, found.start(), found.end()) not in seen:
                     seen.add((i, found.start(), found.end()))
                     yield found.start(), found.end(), n, sum(found.fuzzy_counts)
@@ -134,30 +168,33 @@ class Scanner:
         found = words(text)
         line = " " + b" ".join(found).decode("latin-1") + " "
         spans = [(a, b, label, 0, True, 1.0) for a, b, label in self.exact(line)]
-        kept: list[tuple] = []
         # matches of one notice that overlap are one place: the one with the fewest errors stays
         matches = sorted(self.fuzzy(line), key=lambda m: (m[2].text, m[0]))
-        for _, group in groupby(matches, lambda m: m[2].text):
-            kept += _apart(group)
+        places = [m for _, group in groupby(matches, lambda m: m[2].text) for m in _apart(group, 0)]
+        # notices that share more than half of the shorter one are rivals for a place: the likeliest stays
+        kept = _apart(sorted(places, key=lambda m: m[0]), 0.5)
         spans = sorted([*spans, *((a, b, n.label, errors, False, 1.0 - errors / len(n.text)) for a, b, n, errors in kept)])
         return len(found), list(_in_words(line, spans))
 
 
-def _apart(matches: Iterator[tuple]) -> Iterator[tuple]:
-    """Of matches of one notice by start, those that overlap no better one; better is fewer errors, then earlier."""
+def _apart(matches: Iterable[tuple], share: float) -> Iterator[tuple]:
+    """Of matches by start, those that share no more than this part of the shorter one with a better one."""
     place: list[tuple] = []
+    end = 0
     for m in matches:
-        if place and m[0] >= max(x[1] for x in place):
-            yield from _best(place)
+        if place and m[0] >= end:
+            yield from _best(place, share)
             place = []
         place.append(m)
-    yield from _best(place)
+        end = max(end, m[1])
+    yield from _best(place, share)
 
 
-def _best(place: list[tuple]) -> list[tuple]:
+def _best(place: list[tuple], share: float) -> list[tuple]:
+    """Better is fewer errors for the length, then longer, then earlier."""
     taken: list[tuple] = []
-    for m in sorted(place, key=lambda x: (x[3], x[0])):
-        if all(m[1] <= x[0] or m[0] >= x[1] for x in taken):
+    for m in sorted(place, key=lambda x: (x[3] / len(x[2].text), -len(x[2].text), x[0])):
+        if all(min(m[1], x[1]) - max(m[0], x[0]) <= share * min(m[1] - m[0], x[1] - x[0]) for x in taken):
             taken.append(m)
     return taken
 
