@@ -127,15 +127,18 @@ x AS (
       + coalesce(list_sum(list_transform(found[1:i - 1], lambda s: length(s))), 0) AS start
   FROM i
 ), c AS (SELECT * FROM x WHERE length(v) >= least AND (k < {len(secrets.BASE)} OR ({_OPAQUE}))),
-o AS (SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners FROM c GROUP BY v),
+o AS (
+  SELECT v, count(DISTINCT coalesce(source, chr(1))) AS owners, count(DISTINCT (coalesce(source, chr(1)), doc_id)) AS repos
+  FROM c GROUP BY v
+), j AS (SELECT v, owners, owners >= {secrets.EXAMPLE_OWNERS} OR repos >= {secrets.EXAMPLE_REPOS} AS example FROM o),
 s AS (
-  SELECT r, k, start, kind || ':' || start::BIGINT || ':' || (start + n)::BIGINT AS span, owners
-  FROM c JOIN o USING (v) WHERE k < {len(secrets.BASE)} OR owners = 1
+  SELECT r, k, start, kind || ':' || start::BIGINT || ':' || (start + n)::BIGINT AS span, owners, example
+  FROM c JOIN j USING (v) WHERE k < {len(secrets.BASE)} OR NOT example
 ), g AS (
   SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
     string_agg(span, ',' ORDER BY start, k) FILTER (k < {len(secrets.BASE)}) AS base,
-    string_agg(span, ',' ORDER BY start, k) AS spans, count(*) FILTER (owners = 1) AS n_live,
-    count(*) FILTER (owners >= {secrets.EXAMPLE_OWNERS}) AS n_example
+    string_agg(span, ',' ORDER BY start, k) AS spans, count(*) FILTER (owners = 1 AND NOT example) AS n_live,
+    count(*) FILTER (example) AS n_example
   FROM s GROUP BY r
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,

@@ -2,23 +2,28 @@
 
 Every kind is one pattern; spans are leftmost and non-overlapping per kind, in code points. Candidates carry
 a digest of their value, never the value. Digests are counted by distinct owners and repositories: a value
-that several owners share is an `example` (documentation, templates), one that a single owner holds is `live`,
-anything between is `shared`. The `opaque` kind (long tokens that mix digits and both cases) is only reported
-where it is live; the base kinds always are.
+that several owners hold, or very many repositories of one, is an `example` (documentation, templates); any other
+is `live` with a single owner and `shared` with more. The `opaque` kind (long tokens that mix digits and both
+cases) is reported unless it is an example; the base kinds always are.
 
 The texts are read once; what is found goes to the shared folder. Counting is done on distinct (digest, owner,
-repository) rows, which shrink before each shuffle, so a value copied into a third of all rows stays cheap.
+repository) rows, which shrink before each shuffle. Verdicts return to the spans by a join on the digest; the few
+digests that hold more than an even share of all spans (at most as many as there are shares) are broadcast, so no
+task gets all spans of one value.
+
+`masked` cuts out the reported spans' values, no other place of the same characters. It keeps the rows it masks
+below the shared folder while verdicts are found: whole texts, as the table it reads.
 
 Defined cases: a null or empty text has no spans; repeated rows are each reported and count once as owner; a
-null owner or repository is one of its own; only the named columns are read.
+null owner or repository is one of its own; values that overlap are masked as one; only the named columns are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import col, let, stored
+from driftline.llm.common import col, let, partitions, stored
 
 #: kind, pattern, group that holds the value, least characters of the value. Fixed values of the contract.
 BASE = (
@@ -26,13 +31,17 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),
 )
-#: Further kinds, reported where live. The value must also hold a digit and letters of both cases.
+#: Further kinds, reported where they are no examples. The value must also hold a digit and letters of both cases.
 ADDED = (("opaque", r"[A-Za-z0-9+/_-]{20,}", 0, 20),)
 KINDS = BASE + ADDED
 
+#: So many owners, or so many repositories, make a value an example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 100
 MASKED = "[SECRET]"
 _SPAN = "struct<start:bigint,k:int,end:bigint,digest:string>"
+#: Code points of the pieces that a text is cut into, so that taking many stretches stays linear.
+_PIECE = 4096
 #: Matches whose offsets one fold appends; longer lists are folded in such chunks.
 _CHUNK = 256
 
@@ -112,7 +121,7 @@ def _spans(text: Column, k: int) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str, carry: bool = False) -> DataFrame:
-    """One row per row, written once: row_id, doc_id, owner, repo, spans (value digests) [, row, values]."""
+    """One row per row, written once: row_id, doc_id, owner, repo, spans (with digest and size of the value) [, row]."""
     rows = docs.select(
         col(id_col).alias("doc_id"),
         col(owner_col).cast("string").alias("owner"),
@@ -124,33 +133,48 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
     kept = ["doc_id", "owner", "repo", *(["row"] if carry else [])]
     rows = rows.select(*kept, found.alias("found"))
     hidden = F.transform(
-        "found", lambda x: F.struct(x["start"], x["k"], x["end"], F.substring(F.sha2(x["digest"], 256), 1, 32).alias("digest"))
+        "found",
+        lambda x: F.struct(
+            x["start"],
+            x["k"],
+            x["end"],
+            F.substring(F.sha2(x["digest"], 256), 1, 32).alias("digest"),
+            F.length(x["digest"]).cast("long").alias("size"),
+        ),
     )
-    values = [F.transform("found", lambda x: x["digest"]).alias("values")] if carry else []
-    rows = rows.select(F.monotonically_increasing_id().alias("row_id"), *kept, hidden.alias("spans"), *values)
-    return stored(rows, "secrets")
-
-
-def ownership(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """Per value digest: n_owners, n_repos (distinct owner and repository pairs) and the verdict."""
-    seen = found.select(F.explode(F.array_distinct("spans.digest")).alias("digest"), "owner", "repo").distinct()
-    owners = seen.groupBy("digest", "owner").agg(F.count("*").alias("n"))
-    verdict = F.when(F.col("n_owners") == 1, "live").when(F.col("n_owners") >= example_owners, "example")
-    return (
-        owners.groupBy("digest")
-        .agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repos"))
-        .withColumn("verdict", verdict.otherwise("shared"))
+    return stored(rows.select(F.monotonically_increasing_id().alias("row_id"), *kept, hidden.alias("spans")), "secrets")
+
+
+def ownership(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """Per value digest: n_owners, n_repos (distinct owner and repository pairs), n_spans and the verdict."""
+    each = found.select(F.explode("spans.digest").alias("digest"), "owner", "repo")
+    seen = each.groupBy("digest", "owner", "repo").agg(F.count("*").alias("n"))
+    owners = seen.groupBy("digest", "owner").agg(F.count("*").alias("n_repos"), F.sum("n").alias("n"))
+    counts = owners.groupBy("digest").agg(
+        F.count("*").alias("n_owners"), F.sum("n_repos").alias("n_repos"), F.sum("n").alias("n_spans")
+    )
+    wide = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
+    return counts.withColumn(
+        "verdict", F.when(wide, "example").when(F.col("n_owners") == 1, "live").otherwise("shared")
     )
 
 
-def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """Per row with a candidate: row_id and its reported spans in order: (start, k, end, verdict)."""
+def _verdicts(found: DataFrame, owned: DataFrame, shares: int) -> DataFrame:
+    """(row_id, start, k, end, size, digest, verdict) of all spans; digests above an even share are looked up apart."""
     each = found.select("row_id", F.explode("spans").alias("s")).select("row_id", "s.*")
-    told = each.join(ownership(found, example_owners), "digest")
-    told = told.where(F.col("k").isin(list(range(len(BASE)))) | (F.col("verdict") == "live"))
-    return told.groupBy("row_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "k", "end", "verdict", "digest"))).alias("said")
-    )
+    owned = stored(owned.select("digest", "verdict", "n_spans"), "secret-owners")
+    total = owned.agg(F.sum("n_spans").alias("n")).first()["n"] or 0
+    hot = F.broadcast(owned.where(F.col("n_spans") * shares > total).select("digest", "verdict"))
+    cold = owned.where(F.col("n_spans") * shares <= total).select("digest", "verdict")
+    rest = each.join(hot.select("digest"), "digest", "left_anti").join(cold, "digest")
+    return each.join(hot, "digest").unionByName(rest)
+
+
+def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """The reported spans: (row_id, start, k, end, size, digest, verdict)."""
+    owned = ownership(found, example_owners, example_repos)
+    told = _verdicts(found, owned, 4 * partitions(found.sparkSession))
+    return told.where((F.col("k") < len(BASE)) | (F.col("verdict") != "example"))
 
 
 def scan(
@@ -160,10 +184,13 @@ def scan(
     owner_col: str = "source",
     repo_col: str = "doc_id",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
     """One row per row: doc_id and `said`, the reported spans (start, k, end, verdict, digest) in order."""
     found = candidates(docs, id_col, text_col, owner_col, repo_col)
-    said = judged(found, example_owners)
+    said = judged(found, example_owners, example_repos).groupBy("row_id").agg(
+        F.sort_array(F.collect_list(F.struct("start", "k", "end", "verdict", "digest"))).alias("said")
+    )
     rows = found.select("row_id", "doc_id").join(said, "row_id", "left")
     empty = F.array().cast(dict(said.dtypes)["said"])
     return rows.select("doc_id", F.coalesce("said", empty).alias("said"))
@@ -191,6 +218,28 @@ def digests(scanned: DataFrame) -> DataFrame:
     )
 
 
+def _stretch(pieces: Column, a: Column, b: Column) -> Column:
+    """Code points a (included) to b of a text that is cut into pieces of _PIECE."""
+    first = F.floor(a / _PIECE).cast("int")
+    last = F.floor((b - 1) / _PIECE).cast("int")
+    some = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    return F.when(b > a, F.substring(some, (a - first * _PIECE + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+
+def cut_out(text: Column, cuts: Column) -> Column:
+    """The text with MASKED for each of the disjoint places (a, b), given in order; without places as it came."""
+
+    def parted(pieces: Column) -> Column:
+        before = F.transform(
+            cuts, lambda c, i: _stretch(pieces, F.when(i == 0, 0).otherwise(F.get(cuts, i - 1)["b"]).cast("long"), c["a"])
+        )
+        tail = _stretch(pieces, F.get(cuts, F.size(cuts) - 1)["b"], F.length(text).cast("long"))
+        return F.concat(F.array_join(F.transform(before, lambda x: F.concat(x, F.lit(MASKED))), ""), tail)
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    return F.when(F.size(cuts) > 0, let(pieces, parted)).otherwise(text)
+
+
 def masked(
     docs: DataFrame,
     text_col: str = "text",
@@ -198,15 +247,19 @@ def masked(
     owner_col: str = "source",
     repo_col: str = "doc_id",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repos: int = EXAMPLE_REPOS,
 ) -> DataFrame:
-    """The rows with every reported value masked that is not a widely copied example; other columns as they came."""
+    """The rows with the value of every reported span masked that is no widely copied example; other columns as they came."""
     found = candidates(docs, id_col, text_col, owner_col, repo_col, carry=True)
-    said = judged(found, example_owners).select(
-        "row_id", F.transform(F.filter("said", lambda s: s["verdict"] != "example"), lambda s: s["digest"]).alias("bad")
-    )
-    rows = found.join(said, "row_id", "left").withColumn("bad", F.coalesce("bad", F.array().cast("array<string>")))
-    pairs = F.filter(F.arrays_zip("spans.digest", "values"), lambda p: F.array_contains("bad", p["digest"]))
-    texts = F.array_distinct(F.transform(pairs, lambda p: F.struct(-F.length(p["values"]), p["values"].alias("v"))))
-    longest_first = F.transform(F.sort_array(texts), lambda x: x["v"])
-    text = F.aggregate(longest_first, F.col("row")[text_col], lambda t, v: F.replace(t, v, F.lit(MASKED)))
+    bad = judged(found, example_owners, example_repos).where("verdict != 'example'")
+    places = bad.select("row_id", (F.col("end") - F.col("size")).alias("a"), F.col("end").alias("b"))
+    order = Window.partitionBy("row_id").orderBy("a", "b")
+    ended = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    places = places.withColumn("new", F.coalesce(F.col("a") >= ended, F.lit(True)).cast("long"))
+    islands = places.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = islands.groupBy("row_id", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    cuts = islands.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("cuts"))
+    rows = found.select("row_id", "row").join(cuts, "row_id", "left")
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+    text = cut_out(F.col("row")[text_col], F.coalesce("cuts", none))
     return rows.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

@@ -82,7 +82,49 @@ def test_a_hot_value_counts_once_an_owner(spark):
     )
     found = secrets.candidates(rows, "doc_id", "text", "source", "doc_id")
     (r,) = secrets.ownership(found).collect()
-    assert (r.n_owners, r.n_repos, r.verdict) == (2, 2000, "shared")
+    assert (r.n_owners, r.n_repos, r.n_spans, r.verdict) == (2, 2000, 4000, "example")  # assign and hex
+    (r,) = secrets.ownership(found, example_repos=2001).collect()
+    assert r.verdict == "shared"
+    got = secrets.digests(secrets.scan(rows)).groupBy("n_assign", "n_hex", "n_example").count().collect()
+    assert [tuple(r) for r in got] == [(1, 1, 2, 2000)]
+
+
+def opaque(k):
+    return f"Opq{k:05d}wxYZabCDefGH12"
+
+
+def test_opaque_values_of_two_owners_are_reported_and_masked(spark):
+    rows = [(1, f"x {opaque(1)} y", "a"), (2, f"x {opaque(1)} y", "b"), (3, f"{opaque(2)}", "a")]
+    rows += [(10 + k, f"see {opaque(3)}", "hot") for k in range(secrets.EXAMPLE_REPOS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans = {r.doc_id: r.spans for r in secrets.digests(secrets.scan(docs)).collect()}
+    assert [spans[k] for k in (1, 2, 3, 10)] == ["opaque:2:24", "opaque:2:24", "opaque:0:22", ""]
+    got = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    assert [got[k] for k in (1, 2, 3)] == [f"x {secrets.MASKED} y"] * 2 + [secrets.MASKED]
+    assert got[10] == f"see {opaque(3)}"
+
+
+def test_masks_follow_spans_not_characters(spark):
+    text = "password=abcdefghijkl abcdefghijklm xabcdefghijklx é日 password: abcdefghijkl"
+    word, both = "token=" + opaque(4), "secret: Ab0123456789abcdef0123"  # the second holds a hex span inside the assigned value
+    many = "日" * 5000 + " ".join(f"token={opaque(k)}" for k in range(3000)) + "é" * 5000
+    rows = [(1, text, "s"), (2, word, "s"), (3, both, "s"), (4, many, "s"), (5, None, "s"), (6, "", "s"), (6, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    m = secrets.MASKED
+    assert got[1] == f"password={m} abcdefghijklm xabcdefghijklx é日 password: {m}"
+    assert (got[2], got[3]) == (f"token={m}", f"secret: {m}")
+    assert got[4] == "日" * 5000 + " ".join(f"token={m}" for _ in range(3000)) + "é" * 5000
+    assert got[5] is None and got[6] == ""
+
+
+def test_hot_and_cold_digests_get_the_same_verdicts(spark):
+    rows = [(k, f"token={opaque(k % 7 if k % 3 else 0)} " + (f"secret={opaque(1000 + k)}" if k % 5 == 0 else ""), str(k % 2)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.candidates(docs, "doc_id", "text", "source", "doc_id")
+    owned = secrets.ownership(found)
+    some, none = (sorted(secrets._verdicts(found, owned, n).select("row_id", "start", "k", "verdict").collect()) for n in (20, 1))
+    assert some == none and len(some) == found.selectExpr("sum(size(spans)) AS n").first().n
 
 
 def test_empty_table(spark):
