@@ -45,6 +45,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of rows with a table that holds each key once and, in `weight`, how many of the rows have it.
+
+    Keys of more than an even share of the rows, at most as many as there are shares, are broadcast, so no task
+    gets all rows of one key. Both sides are read twice: pass written tables.
+    """
+    shares = 4 * partitions(rows.sparkSession)
+    total = table.agg(F.sum(weight).alias("n")).first()["n"] or 0
+    heavy = F.col(weight) * shares > total
+    hot = F.broadcast(table.where(heavy).drop(weight))
+    cold = table.where(~heavy).drop(weight)
+    rest = rows.join(hot.select(key), key, "left_anti").join(cold, key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def with_package(spark: SparkSession) -> None:
     """Let Python workers import this package where it lies at the same path as on the driver.
 

@@ -1,18 +1,20 @@
 """Document fingerprints: SimHash over weighted terms, and permuted block tables for a Hamming radius.
 
-A term is a word with its successor (the last word stands alone), its weight the characters of the word. Each
-term's 64-bit hash votes with its weight for every bit that it sets; a bit is set when more than half of the
-weight votes for it. Two votes are kept in one long, so a text needs 32 sums, formed in the scan task before
-anything is shuffled, whatever its length (the weights of a text add up to less than 2**31).
+A term is a distinct word of a text, its weight the characters of the word. Each term's 64-bit hash votes with its
+weight for every bit that it sets; a bit is set when more than half of the weight votes for it. Two votes are kept
+in one long, so a text needs 32 sums, formed in the scan task before anything is shuffled, whatever its length (the
+weights of a text add up to less than 2**31). Single words move fewer bits than word pairs do: a changed word is one
+term of the old text and one of the new instead of two each.
 
 `near` cuts a fingerprint into BLOCKS blocks and keeps one table for each choice of BLOCKS - radius blocks:
 two fingerprints within the radius agree on all chosen blocks of some table. Equal fingerprints are one class,
-so copies cost one row; a pair counts in the first table in which it meets.
+so copies cost one row; tables hold a hashed key and the fingerprint, 16 bytes of data, and pairs are made distinct
+after the distance has been checked.
 
 `successors` gives each row the next one by descending id without sorting the table in one task: rows are
 dealt out by id ranges, and only each range's last row looks into the next range.
 
-Defined cases: a null or empty text has fingerprint 0; rows of equal id are ordered by text, null ids come
+Defined cases: ids are numbers; a null or empty text has fingerprint 0; rows of equal id are ordered by text, null ids come
 last; a table of one row is its own successor; an empty table gives no rows; other columns are not read.
 """
 
@@ -24,30 +26,19 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import col, partitions, words_of
+from driftline.llm.common import col, looked_up, partitions, stored, words_of
 
 BITS = 64
-#: Texts at 5-shingle similarity 0.85 differ in up to 7 bits; two blocks more than that leave two to agree on.
-BLOCKS = 9
-RADIUS = 7
+#: Texts at 5-shingle similarity 0.85 mostly differ in up to 6 bits; two blocks more than that leave two to agree on.
+BLOCKS = 8
+RADIUS = 6
 _PAIR = (1 << 32) + 1
 
 
 def fingerprints(texts: DataFrame) -> DataFrame:
     """(doc_id, h, f) for rows (doc_id, h, t): the fingerprint of t. Texts without words give no row."""
-    terms = texts.select("doc_id", "h", words_of(F.col("t")).alias("w")).select(
-        "doc_id",
-        "h",
-        F.explode(
-            F.transform(
-                "w",
-                lambda x, i: F.struct(
-                    F.xxhash64(x, F.get("w", i + 1)).alias("x"), F.length(x).cast("long").alias("n")
-                ),
-            )
-        ).alias("term"),
-    )
-    terms = terms.select("doc_id", "h", F.col("term.x").alias("x"), F.col("term.n").alias("n"))
+    words = texts.select("doc_id", "h", F.explode(F.array_distinct(words_of(F.col("t")))).alias("w"))
+    terms = words.select("doc_id", "h", F.xxhash64("w").alias("x"), F.length("w").cast("long").alias("n"))
     votes = [
         F.sum(F.shiftrightunsigned("x", j).bitwiseAND(F.lit(_PAIR)) * F.col("n")).alias(f"v{j}") for j in range(32)
     ]
@@ -140,40 +131,49 @@ def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
 
 
 def near(queries: DataFrame, classes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(q, f, n, first, distance): classes (f, n, first) within the radius of distinct query fingerprints (q)."""
+    """(q, f, distance): distinct fingerprints (f) within the radius of distinct query fingerprints (q)."""
     masks = block_masks(radius, blocks)
 
     def tables(f: Column) -> Column:
-        return F.explode(F.array(*(F.struct(F.lit(i).alias("i"), f.bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks))))
+        return F.explode(F.array(*(F.xxhash64(F.lit(i), f.bitwiseAND(F.lit(m))) for i, m in enumerate(masks)))).alias("key")
 
-    left = queries.select("q", tables(F.col("q")).alias("t")).select("q", "t.i", "t.key")
-    right = classes.select("f", "n", "first", tables(F.col("f")).alias("t")).select("f", "n", "first", "t.i", "t.key")
-    differ = F.col("q").bitwiseXOR(F.col("f"))
-    first = reduce(
-        lambda rest, i: F.when(differ.bitwiseAND(F.lit(masks[i])) == 0, i).otherwise(rest), reversed(range(len(masks))), F.lit(-1)
-    )
-    met = left.join(right, ["i", "key"]).where((F.bit_count(differ) <= radius) & (F.col("i") == first))
-    return met.select("q", "f", "n", "first", F.bit_count(differ).alias("distance"))
+    left = queries.select("q", tables(F.col("q")))
+    right = classes.select("f", tables(F.col("f")))
+    distance = F.bit_count(F.col("q").bitwiseXOR(F.col("f")))
+    met = left.join(right, "key").where(distance <= radius).select("q", "f").distinct()
+    return met.withColumn("distance", distance)
 
 
 def near_counts(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     """For the fingerprints q of rows (doc_id, f) whose id is divisible by 20: other rows within the radius.
 
-    (q, n_near, copy_id, near_id, near_distance): their number, the smallest id with q itself, and the smallest id
-    of the nearest other fingerprint with its distance (null if there is none).
+    (q, n_asked, n_near, copy_id, near_id, near_distance): how many such rows ask, the number of others, the smallest
+    id with q itself, and the smallest id of the nearest other fingerprint with its distance (null if there is none).
     """
     classes = rows.groupBy("f").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max(F.col("doc_id") % 20 == 0).alias("asked")
+        F.count("*").alias("n"), F.min("doc_id").alias("first"), F.count(F.when(F.col("doc_id") % 20 == 0, 1)).alias("n_asked")
     )
-    queries = classes.where("asked").select(F.col("f").alias("q"))
-    met = near(queries, classes.select("f", "n", "first"), radius, max(BLOCKS, radius + 2))
-    nearest = F.min(F.when(F.col("distance") > 0, F.struct("distance", "first")))
+    classes = stored(classes, "fingerprint-classes")
+    met = near(classes.where("n_asked > 0").select(F.col("f").alias("q")), classes, radius, max(BLOCKS, radius + 2))
+    met = met.join(classes, "f")
+    own = F.col("distance") == 0
+    nearest = F.min(F.when(~own, F.struct("distance", "first")))
     found = met.groupBy("q").agg(
-        (F.sum("n") - 1).alias("n_near"), F.min(F.when(F.col("distance") == 0, F.col("first"))).alias("copy_id"), nearest.alias("nearest")
-    )
-    return found.select(
-        "q", "n_near", "copy_id", F.col("nearest.first").alias("near_id"), F.col("nearest.distance").alias("near_distance")
+        F.max(F.when(own, F.col("n_asked"))).alias("n_asked"),
+        (F.sum("n") - 1).alias("n_near"),
+        F.min(F.when(own, F.col("first"))).alias("copy_id"),
+        nearest.alias("nearest"),
     )
+    told = ("q", "n_asked", "n_near", "copy_id")
+    return found.select(*told, F.col("nearest.first").alias("near_id"), F.col("nearest.distance").alias("near_distance"))
+
+
+def with_near(told: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Rows (a written table with doc_id and own) and what `near_counts` found for those whose id is divisible by 20."""
+    counts = stored(near_counts(told.select("doc_id", F.col("own").alias("f")), radius), "fingerprint-near")
+    asked = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
+    answers = counts.withColumnRenamed("q", "own")
+    return looked_up(told.where(asked), answers, "own", "n_asked").unionByName(told.where(~asked), allowMissingColumns=True)
 
 
 def hexed(f: Column) -> Column:

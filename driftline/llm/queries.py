@@ -208,10 +208,7 @@ def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_fingerprints")
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = stored(fingerprints.compare(documents(spark, sf_dir)), "fingerprints")
-    counts = fingerprints.near_counts(told.select("doc_id", F.col("own").alias("f")))
-    asked = F.when(F.col("doc_id") % 20 == 0, F.col("own"))
-    told = told.withColumn("asked", asked).join(counts, F.col("asked") == F.col("q"), "left")
-    return told.select(
+    return fingerprints.with_near(told).select(
         "doc_id",
         "n_chars",
         "edited_sha256",

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftline.llm.common import col, let, partitions, stored
+from driftline.llm.common import col, let, looked_up, stored
 
 #: kind, pattern, group that holds the value, least characters of the value. Fixed values of the contract.
 BASE = (
@@ -159,21 +159,11 @@ def ownership(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_re
     )
 
 
-def _verdicts(found: DataFrame, owned: DataFrame, shares: int) -> DataFrame:
-    """(row_id, start, k, end, size, digest, verdict) of all spans; digests above an even share are looked up apart."""
-    each = found.select("row_id", F.explode("spans").alias("s")).select("row_id", "s.*")
-    owned = stored(owned.select("digest", "verdict", "n_spans"), "secret-owners")
-    total = owned.agg(F.sum("n_spans").alias("n")).first()["n"] or 0
-    hot = F.broadcast(owned.where(F.col("n_spans") * shares > total).select("digest", "verdict"))
-    cold = owned.where(F.col("n_spans") * shares <= total).select("digest", "verdict")
-    rest = each.join(hot.select("digest"), "digest", "left_anti").join(cold, "digest")
-    return each.join(hot, "digest").unionByName(rest)
-
-
 def judged(found: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """The reported spans: (row_id, start, k, end, size, digest, verdict)."""
-    owned = ownership(found, example_owners, example_repos)
-    told = _verdicts(found, owned, 4 * partitions(found.sparkSession))
+    owned = stored(ownership(found, example_owners, example_repos).select("digest", "verdict", "n_spans"), "secret-owners")
+    each = found.select("row_id", F.explode("spans").alias("s")).select("row_id", "s.*")
+    told = looked_up(each, owned, "digest", "n_spans")
     return told.where((F.col("k") < len(BASE)) | (F.col("verdict") != "example"))
 
 

@@ -118,13 +118,20 @@ def test_masks_follow_spans_not_characters(spark):
     assert got[5] is None and got[6] == ""
 
 
-def test_hot_and_cold_digests_get_the_same_verdicts(spark):
-    rows = [(k, f"token={opaque(k % 7 if k % 3 else 0)} " + (f"secret={opaque(1000 + k)}" if k % 5 == 0 else ""), str(k % 2)) for k in range(300)]
+def test_hot_and_cold_digests_get_their_verdicts(spark):
+    rows = [
+        (k, f"token={opaque(k % 7 if k % 3 else 0)} " + (f"secret={opaque(1000 + k)}" if k % 5 == 0 else ""), str(k % 2)) for k in range(300)
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = secrets.candidates(docs, "doc_id", "text", "source", "doc_id")
-    owned = secrets.ownership(found)
-    some, none = (sorted(secrets._verdicts(found, owned, n).select("row_id", "start", "k", "verdict").collect()) for n in (20, 1))
-    assert some == none and len(some) == found.selectExpr("sum(size(spans)) AS n").first().n
+    owned = {r.digest: r for r in secrets.ownership(found).collect()}
+    total = sum(r.n_spans for r in owned.values())
+    shares = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 0 < sum(r.n_spans * shares > total for r in owned.values()) < len(owned)
+    each = found.selectExpr("row_id", "explode(spans) AS s").selectExpr("row_id", "s.start", "s.k", "s.digest").collect()
+    want = sorted((r.row_id, r.start, r.k, owned[r.digest].verdict) for r in each if r.k < 3 or owned[r.digest].verdict != "example")
+    got = sorted((r.row_id, r.start, r.k, r.verdict) for r in secrets.judged(found).collect())
+    assert got == want
 
 
 def test_empty_table(spark):
