@@ -8,8 +8,8 @@ term of the old text and one of the new instead of two each.
 
 `near` cuts a fingerprint into BLOCKS blocks and keeps one table for each choice of BLOCKS - radius blocks:
 two fingerprints within the radius agree on all chosen blocks of some table. Equal fingerprints are one class,
-so copies cost one row; tables hold a hashed key and the fingerprint, 16 bytes of data, and pairs are made distinct
-after the distance has been checked.
+so copies cost one row; tables hold a hashed key and the fingerprint, 16 bytes of data. A pair counts in the first
+table in which it meets.
 
 `successors` gives each row the next one by descending id without sorting the table in one task: rows are
 dealt out by id ranges, and only each range's last row looks into the next range.
@@ -134,14 +134,22 @@ def near(queries: DataFrame, classes: DataFrame, radius: int = RADIUS, blocks: i
     """(q, f, distance): distinct fingerprints (f) within the radius of distinct query fingerprints (q)."""
     masks = block_masks(radius, blocks)
 
+    def key(f: Column, i: int) -> Column:
+        return F.xxhash64(F.lit(i), f.bitwiseAND(F.lit(masks[i])))
+
     def tables(f: Column) -> Column:
-        return F.explode(F.array(*(F.xxhash64(F.lit(i), f.bitwiseAND(F.lit(m))) for i, m in enumerate(masks)))).alias("key")
+        return F.explode(F.array(*(key(f, i) for i in range(len(masks))))).alias("key")
 
     left = queries.select("q", tables(F.col("q")))
     right = classes.select("f", tables(F.col("f")))
-    distance = F.bit_count(F.col("q").bitwiseXOR(F.col("f")))
-    met = left.join(right, "key").where(distance <= radius).select("q", "f").distinct()
-    return met.withColumn("distance", distance)
+    differ = F.col("q").bitwiseXOR(F.col("f"))
+    first = reduce(
+        lambda rest, i: F.when(differ.bitwiseAND(F.lit(masks[i])) == 0, key(F.col("q"), i)).otherwise(rest),
+        reversed(range(len(masks))),
+        F.lit(None).cast("long"),
+    )
+    met = left.join(right, "key").where((F.bit_count(differ) <= radius) & (F.col("key") == first))
+    return met.select("q", "f", F.bit_count(differ).alias("distance"))
 
 
 def near_counts(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
