@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +50,49 @@ def fingerprint(
     )
 
 
+def refresh_manifest(
+    listing: DataFrame,
+    known: DataFrame | None,
+    read: Callable[[list[str]], DataFrame],
+    columns: Sequence[str] | None = None,
+    algorithm: str = "xxhash64",
+) -> DataFrame:
+    """One row per listed file: file, path, n_bytes, changed_at and the file's n_rows, hash_xor, hash_sum.
+
+    Entries of `known`, an earlier manifest over the same columns, are taken over where name, size and time are
+    unchanged; only other files are read, by `read(paths)`. Files that are gone drop out, a file without rows keeps
+    an entry of zeros. The driver sees the names of files to read, as it does in any scan.
+    """
+    same = ["file", "n_bytes", "changed_at"]
+    fresh = listing.join(known.select(same), same, "left_anti") if known is not None else listing
+    paths = [r["path"] for r in fresh.select("path").collect()]
+    if not paths:
+        return listing.join(known.drop("path"), same) if known is not None else _entries(listing, None)
+    rows = read(paths)
+    hashed = fingerprint(rows.withColumn("file", F.col("_metadata.file_path")), columns or rows.columns, ["file"], algorithm)
+    entries = _entries(fresh, hashed)
+    return listing.join(known.drop("path"), same).select(entries.columns).unionByName(entries) if known is not None else entries
+
+
+def _entries(listing: DataFrame, hashed: DataFrame | None) -> DataFrame:
+    names = ("n_rows", "hash_xor", "hash_sum")
+    zero = F.lit(0).cast("bigint")
+    if hashed is None:
+        return listing.select("file", "n_bytes", "changed_at", "path", *(zero.alias(n) for n in names))
+    return listing.join(hashed, "file", "left").select(
+        "file", "n_bytes", "changed_at", "path", *(F.coalesce(F.col(n), zero).alias(n) for n in names)
+    )
+
+
+def combine_manifest(manifest: DataFrame, by: Sequence[Column] = ()) -> DataFrame:
+    """The fingerprint of all rows of the listed files, from their entries alone."""
+    return manifest.groupBy(*by).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.bit_xor("hash_xor").alias("hash_xor"),
+        F.sum("hash_sum").alias("hash_sum"),
+    )
+
+
 def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
 

@@ -76,25 +76,48 @@ def dedup_count(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.dedup_count(order_copies(spark, sf))
 
 
-@register(
-    "data_version",
-    """WITH h AS (
+VERSION_SQL = """WITH h AS (
          SELECT o_orderstatus, ('0x' || substr(md5(concat_ws('|', o_orderkey::VARCHAR, o_custkey::VARCHAR,
            o_orderstatus, o_orderpriority, round(o_totalprice * 100)::BIGINT::VARCHAR,
            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'))), 1, 15))::BIGINT AS h FROM orders)
        SELECT o_orderstatus, count(*) AS n_rows, bit_xor(h) AS hash_xor, sum(h % 1048576)::BIGINT AS hash_sum
-       FROM h GROUP BY 1""",
-)
-def data_version(spark: SparkSession, sf: str) -> DataFrame:
-    # Price in cents and date as text: forms that any SQL engine writes alike.
-    rows = table(spark, sf, "orders").withColumns(
+       FROM h GROUP BY 1"""
+VERSION_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "cents", "day")
+
+
+def version_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Price in cents and date as text: forms that any SQL engine writes alike."""
+    return table(spark, sf, "orders").withColumns(
         {
             "cents": F.round(F.col("o_totalprice") * 100).cast("bigint"),
             "day": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
         }
     )
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "cents", "day"]
-    return ingest.fingerprint(rows, cols, ["o_orderstatus"], "md5")
+
+
+@register("data_version", VERSION_SQL)
+def data_version(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.fingerprint(version_rows(spark, sf), VERSION_COLUMNS, ["o_orderstatus"], "md5")
+
+
+@register("data_manifest", VERSION_SQL)
+def data_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as files by status: a manifest of those there first, refreshed when the open ones arrive."""
+    rows, folder, kept = version_rows(spark, sf), scratch_path(spark, "orders"), scratch_path(spark, "manifest")
+    rows = rows.select(*VERSION_COLUMNS, F.col("o_orderstatus").alias("status"))
+    schema = rows.schema
+
+    def read(paths: list[str]) -> DataFrame:
+        return spark.read.schema(schema).option("basePath", folder).parquet(*paths)
+
+    def refresh(known: DataFrame | None) -> DataFrame:
+        return ingest.refresh_manifest(tables.file_listing(spark, folder), known, read, VERSION_COLUMNS, "md5")
+
+    rows.where("status <> 'O'").write.partitionBy("status").parquet(folder)
+    refresh(None).write.parquet(kept)
+    rows.where("status = 'O'").write.mode("append").partitionBy("status").parquet(folder)
+    status = F.regexp_extract("file", "/status=([^/]*)/", 1).alias("o_orderstatus")
+    return ingest.combine_manifest(refresh(spark.read.parquet(kept)), [status])
 
 
 @register("fingerprint_fast")

@@ -89,6 +89,17 @@ def read_stage(spark: SparkSession, path: str, split: str | None = None) -> Data
     return df if split is None else df.where(F.col("split") == split)
 
 
+def file_listing(spark: SparkSession, path: str) -> DataFrame:
+    """Data files below a path: file (as `_metadata.file_path` names it), path to read, n_bytes, changed_at."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("file"),
+        "path",
+        F.col("length").alias("n_bytes"),
+        F.col("modificationTime").alias("changed_at"),
+    )
+
+
 def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Files and bytes below a path; only the listing is read (`content` is pruned)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
