@@ -206,6 +206,22 @@ def contract_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     )
 
 
+def contract_document(df: DataFrame, spec: TableSpec, require_target: bool = True) -> DataFrame:
+    """The contract as a table, with the values that each rule judged in `df` and the failures among them.
+
+    A rule that was not applied (its column is absent, or it is a training rule at serving) has null counts.
+    """
+    rules = present_rules(df, spec, require_target)
+    judged = {i: F.count("*") if r.kind == "not_null" else F.count(r.column) for i, r in rules}
+    counts = df.agg(*(c.alias(f"n{i}") for i, c in judged.items()), *(F.count_if(r.violated()).alias(f"f{i}") for i, r in rules))
+    entries = [F.struct(F.lit(i).alias("ordinal"), F.col(f"n{i}").alias("n_judged"), F.col(f"f{i}").alias("failures")) for i, _ in rules]
+    document = contract_table(df.sparkSession, spec)
+    if not entries:
+        return document.withColumns({n: F.lit(None).cast("bigint") for n in ("n_judged", "failures")})
+    told = counts.select(F.inline(F.array(*entries)))
+    return document.join(told, "ordinal", "left")
+
+
 def inject(df: DataFrame, recipe: dict[str, tuple[Column, object]]) -> DataFrame:
     """Overwrite cells where a predicate holds: column -> (predicate, bad value)."""
     out = []

@@ -287,7 +287,7 @@ def windows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return ref, clean.unionByName(shifted).withColumn("label", flipped)
 
 
-MONITOR_SQL = f"""{WINDOWS_SQL}, {psi_sql('window_id')}, {tv_sql('window_id')},
+RECORDS_SQL = f"""{psi_sql('window_id')}, {tv_sql('window_id')},
 tv AS (SELECT window_id, "column", 0.5 * sum(abs(p - q)) AS score FROM tsh GROUP BY 1, 2),
 sc AS (SELECT window_id, {ORD} AS o, "column", score FROM (SELECT * FROM psi UNION ALL SELECT * FROM tv)),
 f AS (SELECT window_id, avg((score >= 0.2::DOUBLE)::INT) AS psi_share,
@@ -307,6 +307,7 @@ mon AS (SELECT window_id, greatest(psi_share, second_share) AS drift_share, psi_
             WHEN recall < 0.60::DOUBLE THEN 'concept_drift' ELSE 'stable' END AS kind
         FROM f JOIN s USING (window_id) JOIN m USING (window_id))
 """
+MONITOR_SQL = f"{WINDOWS_SQL}, {RECORDS_SQL}"
 
 
 def r4_sql(x: str) -> str:
@@ -352,10 +353,63 @@ def retrain_decision(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("window_id", F.concat_ws(",", "reasons").alias("reasons"), "retrain")
 
 
-@register("monitor_demo")
-def monitor_demo(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean, shifted and two relabelled windows sampled from the test part."""
+# Samples of the test part: a reference and four windows, the second shifted, the last two with swapped labels.
+KEY_SQL = "l_orderkey::VARCHAR, l_linenumber::VARCHAR, l_partkey::VARCHAR, l_suppkey::VARCHAR"
+
+
+def _sample_sql(seed: int) -> str:
+    return f"""(SELECT * FROM exam ORDER BY ('0x' || substr(md5(concat_ws('|', {KEY_SQL}, '{seed}')), 1, 8))::BIGINT,
+    l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 4000)"""
+
+
+def _window_sql(name: str, seed: int, outcome: str = "outcome", quantity: str = "l_quantity", price: str = "l_extendedprice") -> str:
+    return f"""SELECT '{name}' AS window_id, {quantity} AS l_quantity, {price} AS l_extendedprice, l_discount, l_tax, l_returnflag,
+    l_linestatus, ({outcome} = 'Yes')::INT AS label, proba FROM {_sample_sql(seed)}"""
+
+
+DEMO_SQL = f"""{B.LINES_SQL},
+lab AS (SELECT *, {B.blend_sql(0.7, 0.3)} AS proba FROM lines WHERE outcome IS NOT NULL),
+lix AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT ship_date AS day FROM lab)),
+lcut AS (SELECT least(greatest(floor(n * (0.70::DOUBLE + 0.15::DOUBLE))::INT, greatest(floor(n * 0.70::DOUBLE)::INT, 1) + 1), n - 1) AS vc
+         FROM lix LIMIT 1),
+exam AS (SELECT * FROM lab WHERE ship_date > (SELECT day FROM lix, lcut WHERE i = vc - 1)),
+ref AS (SELECT * FROM {_sample_sql(1)}),
+cur AS (
+  {_window_sql('clean', 2)}
+  UNION ALL {_window_sql('data_drift', 3, quantity='least(greatest(l_quantity + 5, 1), 50)',
+                         price='least(greatest(l_extendedprice * 0.5::DOUBLE + 30000, 0), 200000)')}
+  UNION ALL {_window_sql('concept_1', 4, flip_sql('0.45', 11))}
+  UNION ALL {_window_sql('concept_2', 5, flip_sql('0.45', 12))}),
+{RECORDS_SQL},
+seq AS (SELECT *, CASE window_id WHEN 'clean' THEN 1 WHEN 'data_drift' THEN 2 WHEN 'concept_1' THEN 3 ELSE 4 END AS window_seq FROM mon),
+bef AS (SELECT *, lag({r4_sql('recall')}) OVER (ORDER BY window_seq) AS before FROM seq),
+dec AS (SELECT *, CASE WHEN {r4_sql('drift_share')} >= 0.30::DOUBLE THEN 'data_drift' END AS a,
+          CASE WHEN {r4_sql('recall')} < 0.60::DOUBLE AND before < 0.60::DOUBLE THEN 'concept_drift_two_windows' END AS b FROM bef)
+"""
+
+
+def exercise(spark: SparkSession, sf: str) -> DataFrame:
     rows = split.labeled(B.lines(spark, sf), "outcome").withColumn("proba", B.blend(0.7, 0.3))
     rows = split.take(rows, "ship_date", split.find_cuts(rows, "ship_date"), "test")
-    out = run.monitor_exercise(rows, B.LINES, SHIFT, lambda df: df, 0.55)
-    return out.select("window_id", "window_seq", "drift_share", "realized_recall", "kind", F.concat_ws(",", "reasons").alias("reasons"), "retrain")
+    return run.monitor_exercise(rows, B.LINES, SHIFT, lambda df: df, THRESHOLD)
+
+
+@register(
+    "monitor_demo",
+    f"""WITH {DEMO_SQL} SELECT window_id, window_seq, {r4_sql('drift_share')} AS drift_share, {r4_sql('recall')} AS realized_recall,
+        kind, concat_ws(',', a, b) AS reasons, a IS NOT NULL OR b IS NOT NULL AS retrain FROM dec""",
+)
+def monitor_demo(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean, shifted and two relabelled windows sampled from the test part."""
+    told = exercise(spark, sf)
+    return told.select("window_id", "window_seq", "drift_share", "realized_recall", "kind", F.concat_ws(",", "reasons").alias("reasons"), "retrain")
+
+
+@register(
+    "retrain_cycle",
+    f"""WITH {DEMO_SQL}, t AS (SELECT window_id, a IS NOT NULL OR b IS NOT NULL AS fired FROM dec WHERE window_id IN ('data_drift', 'concept_2'))
+        SELECT window_id, fired, (SELECT bool_and(fired) FROM t) AS starts FROM t""",
+)
+def retrain_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Both triggers of the exercise, and whether they start a retraining."""
+    return run.cycle_triggers(exercise(spark, sf))

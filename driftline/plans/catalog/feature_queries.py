@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from driftline.operators import features as FT
 from driftline.operators import split
 from driftline.plans.catalog import base as B
 from driftline.plans.catalog.base import q6, r6, register
+from driftline.session import scratch_path
 
 TRAIN_SQL = (
     B.LINES_SQL
@@ -130,9 +133,7 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("label", "n_rows", r6("balanced"), r6("positive"))
 
 
-@register(
-    "feature_vectors",
-    f"""WITH {TRAIN_SQL}, s AS (SELECT {", ".join(f'avg("{n}") AS m_{n}' for n in NAMES)} FROM block WHERE in_train),
+VECTORS_SQL = f"""WITH {TRAIN_SQL}, s AS (SELECT {", ".join(f'avg("{n}") AS m_{n}' for n in NAMES)} FROM block WHERE in_train),
         k AS (SELECT (SELECT count(DISTINCT coalesce(l_returnflag, 'Unknown')) FROM train) + (SELECT count(DISTINCT coalesce(l_linestatus, 'Unknown')) FROM train) AS k),
         v AS (SELECT CASE WHEN l.ship_date <= (SELECT max(ship_date) FROM train) THEN 'train'
                 WHEN l.ship_date <= (SELECT day FROM ix WHERE i = floor(n * 0.85::DOUBLE)::INT - 1) THEN 'val' ELSE 'test' END AS split,
@@ -140,15 +141,27 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
               + (coalesce(l_returnflag, 'Unknown') IN (SELECT coalesce(l_returnflag, 'Unknown') FROM train))::INT
               + (coalesce(l_linestatus, 'Unknown') IN (SELECT coalesce(l_linestatus, 'Unknown') FROM train))::INT AS nz
               FROM block b JOIN lab l USING (l_orderkey, l_linenumber, l_partkey, l_suppkey), s)
-        SELECT split, count(*) AS n_rows, any_value(k)::INT + {len(NAMES)} AS width, sum(nz)::BIGINT AS non_zeros FROM v, k GROUP BY split""",
-)
+        SELECT split, count(*) AS n_rows, any_value(k)::INT + {len(NAMES)} AS width, sum(nz)::BIGINT AS non_zeros FROM v, k GROUP BY split"""
+
+
+@register("feature_vectors", VECTORS_SQL)
 def feature_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Assembled vectors summarised per split: rows, width, non-zeros."""
-    from pyspark.ml.functions import vector_to_array
-
     rows = parts(spark, sf)
     params = FT.fit(rows.where(F.col("split") == "train"), B.LINES)
-    vec = FT.feature_pipeline(rows, B.LINES, params).transform(rows)
+    return _summary(FT.feature_pipeline(rows, B.LINES, params).transform(rows))
+
+
+@register("feature_reload", VECTORS_SQL)
+def feature_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """The same vectors from the pipeline as it was saved and loaded again."""
+    rows = parts(spark, sf)
+    path = scratch_path(spark, "pipeline")
+    FT.feature_pipeline(rows, B.LINES, FT.fit(rows.where(F.col("split") == "train"), B.LINES)).write().overwrite().save(path)
+    return _summary(PipelineModel.load(path).transform(rows))
+
+
+def _summary(vec: DataFrame) -> DataFrame:
     values = vec.select("split", vector_to_array("features").alias("v"))
     return values.groupBy("split").agg(
         F.count("*").alias("n_rows"),

@@ -334,6 +334,37 @@ def contract_violations(spark: SparkSession, sf: str) -> DataFrame:
     return contract.violations(B.faulty(spark, sf), B.LINES)
 
 
+#: The contract of the lines, rule by rule.
+CONTRACT_ROWS = """(VALUES (0, 'ship_date', 'not_nullable', 'not_null', NULL, NULL, false),
+          (1, 'l_quantity', 'greater_than_or_equal_to(1)', 'ge', 1.0, NULL, false),
+          (2, 'l_quantity', 'less_than_or_equal_to(50)', 'le', 50.0, NULL, false),
+          (3, 'l_extendedprice', 'greater_than_or_equal_to(0)', 'ge', 0.0, NULL, false),
+          (4, 'l_extendedprice', 'less_than_or_equal_to(200000)', 'le', 200000.0, NULL, false),
+          (5, 'l_discount', 'greater_than_or_equal_to(0)', 'ge', 0.0, NULL, false),
+          (6, 'l_discount', 'less_than_or_equal_to(1)', 'le', 1.0, NULL, false),
+          (7, 'l_tax', 'greater_than_or_equal_to(0)', 'ge', 0.0, NULL, false),
+          (8, 'l_tax', 'less_than_or_equal_to(1)', 'le', 1.0, NULL, false),
+          (9, 'l_linestatus', 'isin([''O'', ''F''])', 'isin', NULL, 'O|F', false),
+          (10, 'outcome', 'isin([''Yes'', ''No''])', 'isin', NULL, 'Yes|No', true))"""
+
+
+@register(
+    "contract_document",
+    f"""WITH {B.VIOLATIONS_SQL}, n AS (SELECT count(*) AS n_rows, count(l_quantity) AS q, count(l_extendedprice) AS p,
+          count(l_discount) AS d, count(l_tax) AS t, count(l_linestatus) AS s, count(outcome) AS o FROM faulty),
+        f AS (SELECT ordinal, count(*) AS failures FROM viol GROUP BY 1)
+        SELECT 'lines' AS contract, 'v1' AS version, r.ordinal, r."column", r."check", r.kind, r.bound::DOUBLE AS bound,
+          coalesce(r.allowed, '') AS allowed, r.training AS training_only, r."column" = 'outcome' AS is_target,
+          CASE r."column" WHEN 'ship_date' THEN n_rows WHEN 'l_quantity' THEN q WHEN 'l_extendedprice' THEN p
+            WHEN 'l_discount' THEN d WHEN 'l_tax' THEN t WHEN 'l_linestatus' THEN s ELSE o END AS n_judged,
+          coalesce(f.failures, 0) AS failures
+        FROM {CONTRACT_ROWS} r(ordinal, "column", "check", kind, bound, allowed, training) CROSS JOIN n LEFT JOIN f USING (ordinal)""",
+)
+def contract_document(spark: SparkSession, sf: str) -> DataFrame:
+    told = contract.contract_document(B.faulty(spark, sf), B.LINES)
+    return told.withColumn("allowed", F.concat_ws("|", "allowed"))
+
+
 @register(
     "serving_violations",
     f"""WITH {B.VIOLATIONS_SQL} SELECT "column", "check", count(*) AS failures FROM viol

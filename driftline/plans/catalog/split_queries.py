@@ -67,6 +67,24 @@ def sort_labeled(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
 
 
+@register(
+    "split_guards",
+    f"""WITH u AS (SELECT o_custkey, CASE WHEN o_orderpriority < '3' AND o_custkey % 10 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders),
+        c AS (SELECT o_custkey, count(day) AS n_rows, count(DISTINCT day)::INT AS n_dates FROM u GROUP BY 1),
+        t AS (SELECT *, greatest(floor(n_dates * 0.70::DOUBLE)::INT, 1) AS tc, floor(n_dates * (0.70::DOUBLE + 0.15::DOUBLE))::INT AS raw FROM c),
+        v AS (SELECT *, least(greatest(raw, tc + 1), n_dates - 1) AS vc FROM t),
+        g AS (SELECT *, CASE WHEN n_dates = 0 THEN '{split.NO_ROWS}' WHEN n_dates < 3 THEN '{split.FEW_DATES}'
+                WHEN tc >= vc OR vc >= n_dates THEN '{split.EMPTY_PART}' END AS guard FROM v)
+        SELECT o_custkey, n_rows, n_dates, CASE WHEN guard IS NULL THEN tc END AS train_dates,
+          CASE WHEN guard IS NULL THEN vc - tc END AS val_dates, CASE WHEN guard IS NULL THEN n_dates - vc END AS test_dates, guard FROM g""",
+)
+def split_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer's urgent orders as a table of its own; one customer in ten has no label."""
+    usable = (F.col("o_orderpriority") < "3") & (F.col("o_custkey") % 10 != 0)
+    rows = table(spark, sf, "orders").withColumn("outcome", F.when(usable, F.col("o_orderstatus")))
+    return split.split_outcomes(rows, "o_orderdate", ["o_custkey"], "outcome")
+
+
 @register(
     "recent_window",
     f"""WITH {DATES_SQL} SELECT o_orderkey FROM orders

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.functions import columns as X
@@ -346,13 +346,27 @@ def monitor_exercise(
     return drift.retrain_decision(history, "window_seq")
 
 
+#: The windows after which a decision to retrain is expected.
+TRIGGERS = ("data_drift", "concept_2")
+
+
+def cycle_triggers(decisions: DataFrame) -> DataFrame:
+    """A row for each trigger window: whether its decision fired, and whether all did, which starts a retraining.
+
+    A trigger window without a decision has not fired.
+    """
+    fired = decisions.where(F.col("window_id").isin(*TRIGGERS)).groupBy("window_id").agg(F.max("retrain").alias("fired"))
+    wanted = decisions.sparkSession.createDataFrame([(w,) for w in TRIGGERS], "window_id string")
+    told = wanted.join(fired, "window_id", "left").withColumn("fired", F.coalesce("fired", F.lit(False)))
+    return told.withColumn("starts", F.min("fired").over(Window.partitionBy(F.lit(0))))
+
+
 def retrain_cycle(decisions: DataFrame, start: Callable[[], DataFrame] | None = None) -> bool:
     """True when both triggers fired: after the shifted window and after both relabelled ones.
 
     `start` (a retrain run) is then called.
     """
-    fired = decisions.where(F.col("window_id").isin("data_drift", "concept_2") & F.col("retrain"))
-    both = fired.agg(F.count_distinct("window_id")).first()[0] == 2
+    both = cycle_triggers(decisions).first()["starts"]
     if both and start:
         start()
     return both

@@ -118,3 +118,17 @@ def test_a_batch_without_a_declared_column_is_rejected(spark):
     with pytest.raises(C.ContractError) as err:
         C.gate_batch(df, WEATHER)
     assert err.value.total_failures == 1
+
+
+def test_document_counts_what_each_rule_judged(spark):
+    df = faulty(spark)
+    training = {(r["column"], r["check"]): r for r in C.contract_document(df, WEATHER).collect()}
+    assert len(training) == len(WEATHER.rules)
+    summary = {(r["column"], r["check"]): r["failures"] for r in C.violation_summary(df, WEATHER).collect()}
+    assert {k: r["failures"] for k, r in training.items()} == summary and sum(summary.values()) == 4
+    for (column, _), r in training.items():
+        judged = df.count() if r["kind"] == "not_null" else df.where(F.col(column).isNotNull()).count()
+        assert r["n_judged"] == judged
+    serving = C.contract_document(df.drop("Rainfall"), WEATHER, require_target=False).collect()
+    for r in serving:
+        assert (r["failures"] is None) == (r["training_only"] or r["column"] == "Rainfall")

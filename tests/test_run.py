@@ -181,3 +181,15 @@ def test_the_cycle_starts_a_retrain_when_both_triggers_fired(spark):
 def test_candidate_subset():
     assert models.candidates(["forest"]) == ["forest"]
     assert models.candidates() == ["logreg", "gbt", "forest"]
+
+
+def test_a_cycle_starts_only_when_every_trigger_fired(spark):
+    def told(rows):
+        found = run.cycle_triggers(spark.createDataFrame(rows, "window_id string, retrain boolean"))
+        return {r["window_id"]: (r["fired"], r["starts"]) for r in found.collect()}
+
+    both = told([("clean", False), ("data_drift", True), ("concept_1", False), ("concept_2", True)])
+    assert both == {"data_drift": (True, True), "concept_2": (True, True)}
+    assert told([("data_drift", True), ("concept_2", False)]) == {"data_drift": (True, False), "concept_2": (False, False)}
+    assert told([("data_drift", True)]) == {"data_drift": (True, False), "concept_2": (False, False)}
+    assert told([]) == {"data_drift": (False, False), "concept_2": (False, False)}
