@@ -16,8 +16,9 @@ generalised Stirling number of c and t. One rule holds for all sizes; the number
 LIMIT customers, beyond from rows interpolated in c, and for cells of more than some LIMIT / 2 tables from their normal
 limit. Tables of a cell are the customers of its word in the unigram restaurant, whose tables are drawn alike
 given these. During a sweep the totals of restaurants are held. A first round finds
-the restaurants' table totals, a second draws SAMPLES seatings after BURN sweeps; predictive probabilities are
-averaged over them. Random numbers depend on the bucket only, so a lost task repeats itself.
+the restaurants' table totals, a second draws SAMPLES seatings after BURN sweeps and sums each one's own totals. A
+probability is computed whole from each sample and its totals, then averaged: over all known words and the unknown one
+the predictions of a context add up to one. Random numbers depend on the bucket only, so a lost task repeats itself.
 
 Words are told apart by 64-bit hashes. Defined cases: a null or empty text is its end token; without training
 tokens every probability is 1; a null id counts as training text; repeated rows are scored and counted each;
@@ -202,7 +203,7 @@ def _gather(table: pa.Table, per: int, schema: pa.Schema) -> pa.Table:
 
 
 def _to_homes(source: int, role: str, per: int, contexts: np.ndarray, values: np.ndarray, asks: np.ndarray | None = None) -> list[dict]:
-    """For each group of `per` buckets, the contexts at home there with their values, and which must be answered."""
+    """For each group of `per` buckets, the contexts at home there with their values (one or a row each), and which must be answered."""
     home = (contexts >> np.uint64(32)).astype(np.int64) // per
     return [
         {
@@ -210,26 +211,20 @@ def _to_homes(source: int, role: str, per: int, contexts: np.ndarray, values: np
             "source": source,
             "role": role,
             "contexts": blocks.pack_ints(contexts[a:b], "<u8"),
-            "counts": blocks.pack_ints(values[a:b], "<u8"),
+            "counts": blocks.pack_ints(values[a:b].ravel(), "<u8"),
             "once": None if asks is None else blocks.pack_ints(asks[a:b], "<u1"),
         }
         for a, b in _runs(home)
     ]
 
 
-def _totals(table: pa.Table, schema: pa.Schema, last: bool = False) -> pa.Table:
-    """Tables of the contexts of a group of buckets, told to the buckets that asked, and kept or told to their own."""
+def _totals(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """Tables of the contexts of a group of buckets, kept and told to the buckets that asked."""
     told = [(r, blocks.unpack_ints(r["contexts"], "<u8"), blocks.unpack_ints(r["counts"], "<u8")) for r in table.to_pylist()]
     contexts, at = np.unique(np.concatenate([c for _, c, _ in told]), return_inverse=True)
     total = np.bincount(at, weights=np.concatenate([n for _, _, n in told])).astype(np.int64)
     group = told[0][0]["bucket"]
     out = [{"bucket": group, "role": "kept", "contexts": blocks.pack_ints(contexts, "<u8"), "counts": blocks.pack_ints(total, "<u8")}]
-    if last:
-        home, place = (contexts >> np.uint64(32)).astype(np.int64), contexts & np.uint64(0xFFFFFFFF)
-        out = [
-            {"bucket": int(home[a]), "role": "totals", "words": blocks.pack_ints(place[a:b]), "counts": blocks.pack_ints(total[a:b], "<u8")}
-            for a, b in _runs(home)
-        ]
     for (r, c, _), n in zip(told, np.split(total[at], np.cumsum([len(c) for _, c, _ in told])[:-1]), strict=True):
         if r["once"] is not None:
             n = n[blocks.unpack_ints(r["once"], "<u1") > 0]
@@ -377,37 +372,63 @@ def seatings(cells: Cells, totals: Totals, seed: int, burn: int, samples: int) -
             yield leaf.tables, customers, tables
 
 
-def _first_round(table: pa.Table, totals: Totals, per: int, schema: pa.Schema) -> pa.Table:
-    """Further tables of the contexts beside one for each cell, and those of the unigram restaurant."""
+def _seat(table: pa.Table, totals: Totals, per: int, schema: pa.Schema, seed: int, samples: int) -> pa.Table:
+    """Seatings of a bucket: their sums, further tables of the contexts beside one for each cell, and what answers need."""
     row, cells, contexts, tables, _ = _listed(table)
-    out = []
-    if row is not None:
-        bucket = row["bucket"]
-        for leaf, customers, root in seatings(cells, replace(totals, tables=tables), bucket, BURN, 1):
-            out.append({"bucket": bucket, "role": "sums", "sums": [float(customers.sum()), float(root.sum())]})
-            more = np.bincount(cells.kind, weights=leaf - 1, minlength=len(contexts))
-            out += _to_homes(bucket, "more", per, contexts, more)
+    if row is None:
+        return schema.empty_table()
+    bucket, sums, more, customers, at_root = row["bucket"], [], [], [], []
+    held = np.zeros(len(cells.count))
+    for leaf, seated, root in seatings(cells, replace(totals, tables=tables), seed + bucket, BURN, samples):
+        sums += [float(seated.sum()), float(root.sum())]
+        more.append(np.bincount(cells.kind, weights=leaf - 1, minlength=len(contexts)))
+        customers.append(seated)
+        at_root.append(root)
+        held += (cells.count - totals.discount * leaf) / samples
+    out = [
+        {
+            "bucket": bucket,
+            "role": "seated",
+            "sums": sums,
+            "counts": blocks.pack_ints(held.astype("<f4").view("<u4")),
+            "words": blocks.pack_ints(np.stack(customers, axis=1).ravel(), "<u8"),
+            "once": blocks.pack_ints(np.stack(at_root, axis=1).ravel(), "<u8"),
+        }
+    ]
+    out += _to_homes(bucket, "more", per, contexts, np.stack(more, axis=1))
+    return pa.Table.from_pylist(out, schema=schema)
+
+
+def _totals_by_sample(table: pa.Table, schema: pa.Schema) -> pa.Table:
+    """Tables of the contexts of a group of buckets in each sample, told to the buckets that these are words of."""
+    told = [(r["role"], blocks.unpack_ints(r["contexts"], "<u8"), blocks.unpack_ints(r["counts"], "<u8")) for r in table.to_pylist()]
+    contexts, at = np.unique(np.concatenate([c for _, c, _ in told]), return_inverse=True)
+    counts = np.concatenate([n.reshape(-1, SAMPLES) if role == "more" else np.repeat(n[:, None], SAMPLES, axis=1) for role, _, n in told])
+    total = np.stack([np.bincount(at, weights=counts[:, k], minlength=len(contexts)) for k in range(SAMPLES)], axis=1)
+    home, place = (contexts >> np.uint64(32)).astype(np.int64), contexts & np.uint64(0xFFFFFFFF)
+    out = [
+        {"bucket": int(home[a]), "role": "totals", "words": blocks.pack_ints(place[a:b]), "counts": blocks.pack_ints(total[a:b].ravel(), "<u8")}
+        for a, b in _runs(home)
+    ]
     return pa.Table.from_pylist(out, schema=schema)
 
 
 _ANSWER = "block long, bucket long, counts binary, tables binary, root binary, seated binary"
 
 
-def _answer(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
-    """For each block, its words' training counts, tables as contexts and unigram probabilities, and what its cells hold."""
-    row, cells, _, tables, by_role = _listed(table)
-    if row is None:
+def _answer(table: pa.Table, drawn: list[Totals], schema: pa.Schema) -> pa.Table:
+    """For each block, its words' training counts, and by sample their tables as contexts and unigram probabilities; and what its cells hold."""
+    by_role = {r["role"]: r for r in table.to_pylist()}
+    if "cells" not in by_role:
         return schema.empty_table()
-    root, held = np.zeros(cells.n_words), np.zeros(len(cells.count))
-    for leaf, customers, root_tables in seatings(cells, replace(totals, tables=tables), 1_000_003 + row["bucket"], BURN, SAMPLES):
-        root += totals.root(customers, root_tables) / SAMPLES
-        held += (cells.count - totals.discount * leaf) / SAMPLES
-    held = np.concatenate([[0.0, 1 - totals.discount], held]).astype("<f4").view("<u4")
-    root = root.astype("<f4").view("<u4")
+    row, seated = by_role["cells"], by_role["seated"]
+    customers, tables = (blocks.unpack_ints(seated[k], "<u8").reshape(-1, SAMPLES).astype(np.float64) for k in ("words", "once"))
+    root = np.stack([t.root(customers[:, k], tables[:, k]) for k, t in enumerate(drawn)], axis=1).astype("<f4").view("<u4")
+    held = np.concatenate([np.array([0.0, 1 - drawn[0].discount], "<f4").view("<u4"), blocks.unpack_ints(seated["counts"])])
     counts = blocks.unpack_ints(row["word_counts"], "<u8")
-    own = np.zeros(cells.n_words, np.uint64)
+    own = np.zeros((len(counts), SAMPLES), np.uint64)
     if "totals" in by_role:
-        own[blocks.unpack_ints(by_role["totals"]["words"])] = blocks.unpack_ints(by_role["totals"]["counts"], "<u8")
+        own[blocks.unpack_ints(by_role["totals"]["words"])] = blocks.unpack_ints(by_role["totals"]["counts"], "<u8").reshape(-1, SAMPLES)
     out = []
     for asked in row["asked"]:
         w = blocks.unpack_ints(asked["words"])
@@ -416,8 +437,8 @@ def _answer(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
                 "block": asked["block"],
                 "bucket": row["bucket"],
                 "counts": blocks.pack_ints(counts[w], "<u8"),
-                "tables": blocks.pack_ints(own[w], "<u8"),
-                "root": blocks.pack_ints(root[w]),
+                "tables": blocks.pack_ints(own[w].ravel(), "<u8"),
+                "root": blocks.pack_ints(root[w].ravel()),
                 "seated": blocks.pack_ints(held[blocks.unpack_ints(asked["codes"])]),
             }
         )
@@ -431,8 +452,11 @@ def _score(table: pa.Table, totals: Totals, schema: pa.Schema) -> pa.Table:
     word, context = cells // n, cells % n
     counts, tables = (np.concatenate([blocks.unpack_ints(r[k], "<u8") for r in answers]).astype(np.float64) for k in ("counts", "tables"))
     root, seated = (np.concatenate([blocks.unpack_ints(r[k]) for r in answers]).view("<f4").astype(np.float64) for k in ("root", "seated"))
+    # a sample's whole predictive probability, with its own totals, averaged over the samples
+    opening, root = STRENGTH + totals.discount * tables.reshape(-1, SAMPLES), root.reshape(-1, SAMPLES)
+    passed = sum(opening[context, k] * root[word, k] for k in range(SAMPLES)) / SAMPLES
     # a context was seen as often as its word: texts start after the end token, and end with it
-    chance = (seated + (STRENGTH + totals.discount * tables[context]) * root[word]) / (STRENGTH + counts[context])
+    chance = (seated + passed) / (STRENGTH + counts[context])
     logs = np.log10(chance)
     counts = counts[word]
     base = np.log10((counts + 1) / (totals.train_tokens + totals.n_words + 1))
@@ -512,15 +536,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         int(train_tokens), int(n_words), _discount(ones, twos), _discount(words_once, words_twice), np.zeros(0), np.zeros(0), types, n_words
     )
     first = stored(gathered.where("role = 'types'").groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow), told), "lm-tables")
-    to_seat = held.withColumn("asked", F.lit(None).cast(told["asked"].dataType)).unionByName(first.where("role = 'answer'"))
-    second = stored(to_seat.groupBy("bucket").applyInArrow(lambda t: _first_round(t, start, per, told_arrow), told), "lm-tables")
-    root = _collected(second.where("role = 'sums'"), 2)
-    totals = replace(start, root_customers=root[0], root_tables=root[1])
-    both = first.where("role = 'kept'").unionByName(second.where("role = 'more'"))
-    last = both.groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow, True), told)
+    to_seat = held.withColumn("asked", F.lit(None).cast(told["asked"].dataType))
+
+    def seated(answers: DataFrame, totals: Totals, seed: int, samples: int) -> DataFrame:
+        rows = to_seat.unionByName(answers.where("role = 'answer'")).groupBy("bucket")
+        return stored(rows.applyInArrow(lambda t: _seat(t, totals, per, told_arrow, seed, samples), told), "lm-tables")
+
+    kept = first.where("role = 'kept'")
+    second = seated(first, start, 0, 1)
+    root = _collected(second.where("role = 'seated'"), 2)
+    settled = replace(start, root_customers=root[0], root_tables=root[1])
+    both = kept.unionByName(second.where("role = 'more'"))
+    third = seated(both.groupBy("bucket").applyInArrow(lambda t: _totals(t, told_arrow), told), settled, 1_000_003, SAMPLES)
+    roots = _collected(third.where("role = 'seated'"), 2 * SAMPLES)
+    drawn = [replace(start, root_customers=c, root_tables=t) for c, t in zip(roots[::2], roots[1::2], strict=True)]
+    last = kept.unionByName(third.where("role = 'more'")).groupBy("bucket").applyInArrow(lambda t: _totals_by_sample(t, told_arrow), told)
+    asked = held.withColumns({n: F.lit(None).cast("binary") for n in ("words", "contexts", "counts", "once")})
     answer = _schema(_ANSWER)
     answer_arrow = to_arrow_schema(answer)
-    answers = held.unionByName(last).groupBy("bucket").applyInArrow(lambda t: _answer(t, totals, answer_arrow), answer)
+    answers = asked.unionByName(third.where("role = 'seated'")).unionByName(last)
+    answers = answers.groupBy("bucket").applyInArrow(lambda t: _answer(t, drawn, answer_arrow), answer)
     both = texts.unionByName(answers, allowMissingColumns=True)
     out = T.StructType(
         [
@@ -531,7 +566,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         ]
     )
     out_arrow = to_arrow_schema(out)
-    return both.groupBy("block").applyInArrow(lambda t: _score(t, totals, out_arrow), out)
+    return both.groupBy("block").applyInArrow(lambda t: _score(t, start, out_arrow), out)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -163,3 +163,31 @@ def test_without_training_text(spark):
     held = next(i for i in range(100) if crc32(str(i).encode()) % 7 == 2)
     (r,) = lm.score(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).collect()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.score, r.base_score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_scored_predictions_add_up_to_one(spark):
+    """Probabilities read back from scores: with the end token and one unknown word they form a stochastic matrix.
+
+    With a(u) the log chance of u at the start, score(u w) - score(w) is the log chance of w after u plus a(u) - a(w): a
+    similar matrix, whose largest eigenvalue is one exactly if the predictions of every context add up to one.
+    """
+    rng = np.random.default_rng(8)
+    known = [f"w{k}" for k in range(9)]
+    chances = rng.dirichlet(np.full(len(known), 0.4))
+    taught = [(i, " ".join(rng.choice(known, 40, p=chances))) for i in range(400) if not lm._held(i)]
+    seen = sorted({w for _, t in taught for w in t.split()})
+    ids = iter(i for i in range(400, 10_000) if lm._held(i))
+    states = [*seen, "never"]
+    texts = {(u, w): f"{u} {w}" for u in states for w in states} | {(u, ""): u for u in states} | {("", ""): ""}
+    asked = {k: (next(ids), t) for k, t in texts.items()}
+    docs = spark.createDataFrame([*taught, *asked.values()], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in lm.score(docs).collect()}
+    assert all(got[i].held_out for i, _ in asked.values())
+    score = {k: got[i].score for k, (i, _) in asked.items()}
+    matrix = np.ones((len(states) + 1,) * 2)  # the last row and column: the end token
+    for x, u in enumerate(states):
+        for y, w in enumerate(states):
+            matrix[x, y] = 10 ** (score[u, w] - score[w, ""])
+        matrix[x, -1] = 10 ** score[u, ""]
+    matrix[-1, -1] = 10 ** score["", ""]
+    assert abs(np.abs(np.linalg.eigvals(matrix)).max() - 1) < 1e-6
