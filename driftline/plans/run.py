@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions import columns as X
 from driftline.operators import contract, drift, ingest, models, registry, split
-from driftline.session import ensure_checkpoint_dir
+from driftline.session import ensure_checkpoint_dir, scratch_path
 from driftline.sources import records, tables
 from driftline.spec import TableSpec
 
@@ -251,9 +251,12 @@ def retrain_recent(
 ) -> DataFrame:
     """Fit the retrain family on the latest dates and gate it against the serving model.
 
-    A dry run: the size is given, nothing is saved. Duplicates are dropped here as in a full run.
+    A dry run: the size is given, nothing is saved but the examples in scratch. Duplicates are dropped here as in a
+    full run, once: every later pass reads the written table.
     """
-    valid = contract.gate_batch(_coerced(df, spec), spec)
+    path = scratch_path(df.sparkSession, "retrain-examples")
+    tables.write_stage(_coerced(df, spec), path)
+    valid = contract.gate_batch(tables.read_stage(df.sparkSession, path), spec)
     _, metric_rows = _fit_recent(valid, spec, overrides)
     cands = metric_rows.withColumn("model_mb", F.lit(model_mb))
     return registry.with_selected(registry.bless(cands, forced=serving_auc))
