@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftline.functions import columns as X
@@ -31,6 +31,7 @@ from driftline.operators.ordered import (
     sql_double,
 )
 from driftline.operators.tally import Tally
+from driftline.session import scratch_path
 from driftline.spec import TableSpec
 
 # Limits of the drift and retrain rules.
@@ -134,7 +135,11 @@ def profile(
 
     A detector that profiles a table itself names the parts it reads; the others cost no pass.
     """
-    keep = keep or (lambda df, name: df)
+    write = keep or (lambda df, name: df)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return write(df, name) if name in parts or (name == "moments" and "numbers" in parts) else df
+
     numeric, text = list(numeric), list(text)
     if cuts is None:
         cuts = reference_cuts(ref, numeric, bins) if "bins" in parts else Cuts({c: [] for c in numeric})
@@ -177,6 +182,17 @@ def profile(
 _MOMENTS = {"rn": F.count, "mean": F.avg, "sd": F.stddev_pop}
 
 
+def written(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
+    """Writes each part of a profile below the shared folder, so that a reference is reduced once for all its uses."""
+
+    def keep(part: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"profile-{name}")
+        part.write.parquet(path)
+        return spark.read.schema(part.schema).parquet(path)
+
+    return keep
+
+
 def _profiled(
     ref: DataFrame | Profile,
     part: str,
@@ -187,7 +203,7 @@ def _profiled(
 ) -> Profile:
     """The profile to compare with, its numeric columns numbered as in `numeric`."""
     if not isinstance(ref, Profile):
-        return profile(ref, numeric, text, cuts, bins, parts=[part])
+        return profile(ref, numeric, text, cuts, bins, written(ref.sparkSession) if part == "numbers" else None, [part])
     if part != "bins" or list(numeric) == list(ref.numeric):
         return ref
     numbers = {ref.numeric.index(c): i for i, c in enumerate(numeric)}
@@ -386,13 +402,15 @@ def wasserstein(
     keys = [*by, "column"]
     place = _value_range(cols, known.edges)
     if isinstance(cur, Tally):
-        c, windows = cur.values(cols), cur.rows()
+        c, windows, keep = cur.values(cols), cur.rows(), lambda df, name: df
     else:
-        c, windows = _long_numbers(cur, cols, by).groupBy(*keys, "v").agg(F.count("*").alias("c")), cur
+        c, windows, keep = _long_numbers(cur, cols, by).groupBy(*keys, "v").agg(F.count("*").alias("c")), cur, written(cur.sparkSession)
+    # What is used twice is written, so that neither the rows are counted nor the reference is looked up again.
+    c = keep(c, "values")
     c = _reference_below(c.withColumn("__range", place), known.numbers.withColumn("__range", place))
     c = join_on(c, F.broadcast(known.moments), ["column"])
     c = c.withColumn("area", ratio(F.col("v") * F.col("rr") - F.col("rv"), F.col("rn")))
-    steps = _levels(c, keys)
+    steps = keep(_levels(keep(c, "areas"), keys), "steps")
     pieces = _between(_quantiles(steps, known))
     area = pieces.groupBy(*keys).agg(F.sum("piece").alias("area"))
     told = join_on(_each_column(windows, by, cols), area, keys, "left")
@@ -412,7 +430,9 @@ def _reference_below(c: DataFrame, numbers: DataFrame) -> DataFrame:
     seen = both.withColumns({n: F.last(n, ignorenulls=True).over(order) for n in ("rr", "rv")}).where("__own = 1")
     # One row per column and range: what lies below the range.
     tops = numbers.groupBy("column", "__range").agg(F.max("rr").alias("rr"), F.max_by("rv", "rr").alias("rv"))
-    ranges = c.select("column", "__range").distinct().withColumn("__own", F.lit(1))
+    # By a sum of the counts, not a distinct: below a distinct the planner drops the counting and places every row.
+    ranges = c.groupBy("column", "__range").agg(F.sum("c").alias("__n")).where("__n > 0")
+    ranges = ranges.select("column", "__range", F.lit(1).alias("__own"))
     line = ranges.unionByName(tops.withColumn("__own", F.lit(0)), allowMissingColumns=True)
     below = Window.partitionBy("column").orderBy("__range").rangeBetween(Window.unboundedPreceding, -1)
     offsets = line.withColumns({f"{n}_below": F.last(n, ignorenulls=True).over(below) for n in ("rr", "rv")}).where("__own = 1")

@@ -187,3 +187,32 @@ def test_a_profile_serves_every_detector(spark):
     assert {r["column"]: r["score"] for r in D.drift_scores(known, less, WEATHER).collect()} == {
         r["column"]: r["score"] for r in D.drift_scores(ref, less, WEATHER).collect()
     }
+
+
+def test_rows_are_counted_before_they_are_placed(spark, monkeypatch):
+    """Value ranges are looked up once a distinct value, and a reference is read once for all its uses."""
+    read = {"ref": spark.sparkContext.accumulator(0), "cur": spark.sparkContext.accumulator(0)}
+    asked = []
+
+    def tracked(n, side, shift):
+        def mark(part):
+            for batch in part:
+                read[side].add(batch.num_rows)
+                yield batch
+
+        rows = spark.range(n).select(((F.col("id") % 50) + shift).cast("double").alias("x"))
+        return rows.mapInArrow(mark, rows.schema)
+
+    below = D._reference_below
+
+    def looked(c, numbers):
+        # counted rows come from a written table: no plan above them reads the window or the reference again
+        asked.extend([len(c.inputFiles()), len(numbers.inputFiles())])
+        return below(c, numbers)
+
+    monkeypatch.setattr(D, "_reference_below", looked)
+    score = D.wasserstein(tracked(2000, "ref", 0), tracked(1000, "cur", 5), ["x"]).first()["score"]
+    assert score == pytest.approx(5 / (sum((k - 24.5) ** 2 for k in range(50)) / 50) ** 0.5)
+    assert min(asked) > 0
+    assert read["cur"].value == 1000  # the values' counts, once
+    assert read["ref"].value == 3 * 2000  # sketch of the borders, counts, moments
