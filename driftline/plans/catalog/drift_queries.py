@@ -233,8 +233,9 @@ def drift_second(spark: SparkSession, sf: str) -> DataFrame:
 )
 def combined_share(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = sides(spark, sf)
-    other = D.share_of_drifted(D.drift_second(ref, cur, B.LINES), name="second_share")
-    out = D.combined_share(D.drift_report(ref, cur, B.LINES), other)
+    known = D.reference_profile(ref, B.LINES, keep=D.written(spark))
+    other = D.share_of_drifted(D.drift_second(known, cur, B.LINES), name="second_share")
+    out = D.combined_share(D.drift_report(known, cur, B.LINES), other)
     return out.select(r6("psi_share"), r6("second_share"), r6("drift_share"), "method")
 
 
