@@ -607,7 +607,7 @@ def monitor_windows(
     """
     by = list(by)
     if not isinstance(ref, Profile):
-        ref = reference_profile(ref, spec, cuts)
+        ref = reference_profile(ref, spec, cuts, written(ref.sparkSession))
     first = drift_report(ref, windows, spec, by)
     other = share_of_drifted(drift_second(ref, windows, spec, by), by, "second_share") if second else None
     drift = combined_share(first, other, by)
