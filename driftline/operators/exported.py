@@ -54,6 +54,14 @@ class Inputs:
             out = out.when((number >= start) & (number < self.offsets[k + 1]), here)
         return out
 
+    def place(self, number: Column) -> tuple[Column, Column]:
+        """Which column of slots a feature number belongs to, -1 for the numeric block, and its number in there."""
+        kind, local = F.when(number < len(self.numeric), F.lit(-1)), F.when(number < len(self.numeric), number)
+        for k, start in enumerate(self.offsets[:-1]):
+            here = number < self.offsets[k + 1]
+            kind, local = kind.when(here, F.lit(k)), local.when(here, number - start)
+        return kind, local
+
 
 def inputs(df: DataFrame, spec: TableSpec, params: FT.FeatureParams, keep: Sequence[str] = ()) -> DataFrame:
     """Rows with `z`, the scaled numbers, and `slots`, the category of each column; an unseen one has no slot."""
@@ -155,23 +163,47 @@ def nodes(spark: SparkSession, model) -> DataFrame:
     )
 
 
-def step(rows: DataFrame, table: DataFrame, shape: Inputs, small: bool) -> DataFrame:
-    """Rows (.., z, slots, tree, node) one level further down; those in a leaf stay."""
-    next_of = table.select("tree", "node", "feature", "threshold", "left_value", "left", "right")
-    joined = rows.join(F.broadcast(next_of) if small else next_of, ["tree", "node"])
-    joined = joined.withColumn("__value", shape.value(F.col("feature")))
-    goes_left = F.when(F.col("threshold").isNotNull(), F.col("__value") <= F.col("threshold"))
-    goes_left = goes_left.otherwise(F.col("__value") == F.col("left_value"))
+def rules(table: DataFrame, shape: Inputs) -> DataFrame:
+    """What a row needs to know of a node: (tree, node, left, right, kind, local, threshold, left_value, hit, miss).
+
+    A slot is there or not, so for a split on one both outcomes are settled here, not row by row.
+    """
+    kind, local = shape.place(F.col("feature"))
+
+    def settled(value: float) -> Column:
+        return F.coalesce(F.lit(value) <= F.col("threshold"), F.lit(value) == F.col("left_value"))
+
+    return table.select(
+        "tree", "node", "left", "right", kind.alias("kind"), local.alias("local"), "threshold", "left_value",
+        settled(1.0).alias("hit"), settled(0.0).alias("miss"),
+    )
+
+
+def step(rows: DataFrame, known: DataFrame, small: bool) -> DataFrame:
+    """Rows (.., z, slots, tree, node) one level further down by the rules; those in a leaf stay.
+
+    The number is looked up in a lambda, which ends a stage of generated code: fused into one method, the joins of
+    all levels took about six times as long.
+    """
+    joined = rows.join(F.broadcast(known) if small else known, ["tree", "node"])
+    number = F.get(F.transform(F.array("local"), lambda k: F.get("z", k)), F.lit(0))
+    goes_left = (
+        F.when(F.col("kind") < 0, F.coalesce(number <= F.col("threshold"), number == F.col("left_value")))
+        .when(F.get("slots", F.col("kind")) == F.col("local"), F.col("hit"))
+        .otherwise(F.col("miss"))
+    )
     node = F.when(F.col("left") < 0, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right"))
-    return joined.withColumn("node", node).drop("feature", "threshold", "left_value", "left", "right", "__value")
+    # never null, or the next join would test it for that and work it out twice
+    return joined.withColumn("node", F.coalesce(node, F.lit(-1))).drop(*(c for c in known.columns if c not in ("tree", "node")))
 
 
 def routed(rows: DataFrame, table: DataFrame, shape: Inputs, depth: int, trees: int) -> DataFrame:
     """Rows (.., z, slots) with `tree` and `node`, the leaf they fall into, one row a tree."""
     small = table.count() <= BROADCAST_NODES
     out = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("node", F.lit(0))
+    known = rules(table, shape)
     for _ in range(depth):
-        out = step(out, table, shape, small)
+        out = step(out, known, small)
     return out
 
 
@@ -202,25 +234,33 @@ def boosting_statistics(
     leaves = table.select("tree", "node", (F.col("prediction") * F.col("tree_weight")).alias("__p"))
     y = 2.0 * F.col(label) - 1.0
     rows = train.select("z", "slots", F.col(weight).alias("w"), y.alias("y"), F.lit(0.0).alias("m"))
-    places = [f"__at{k}" for k in range(depth + 1)]
+    known = rules(table, shape)
     path, sums = scratch_path(spark, "boosting"), scratch_path(spark, "boosting-sums")
     for tree in range(trees):
         want = F.col("y") if tree == 0 else 4.0 * F.col("y") / (1.0 + F.exp(2.0 * F.col("y") * F.col("m")))
-        here = rows.withColumns({"t": want, "tree": F.lit(tree), "node": F.lit(0), places[0]: F.lit(0)})
-        for place in places[1:]:
-            here = step(here, table, shape, small).withColumn(place, F.col("node"))
-        here = here.withColumn("passed", F.array_distinct(F.array(*places)))
+        here = rows.withColumns({"t": want, "tree": F.lit(tree), "node": F.lit(0)})
+        for _ in range(depth):
+            here = step(here, known, small)
         here = here.join(F.broadcast(leaves) if small else leaves, ["tree", "node"])
-        here = here.select("z", "slots", "w", "y", (F.col("m") + F.col("__p")).alias("m"), "t", "passed")
+        here = here.select("z", "slots", "w", "y", (F.col("m") + F.col("__p")).alias("m"), "t", "node")
         # Written tree by tree, in two slots: a plan never holds more than one tree.
         here.write.mode("overwrite").parquet(f"{path}/{tree % 2}")
         rows = spark.read.schema(here.schema).parquet(f"{path}/{tree % 2}")
         w, t = F.col("w"), F.col("t")
-        told = rows.select(F.explode("passed").alias("node"), "w", "t").groupBy("node")
-        told = told.agg(F.sum("w").alias("weight"), F.sum(w * t).alias("total"), F.sum(w * t * t).alias("squares"))
+        told = rows.groupBy("node").agg(F.sum("w").alias("weight"), F.sum(w * t).alias("total"), F.sum(w * t * t).alias("squares"))
         told.withColumn("tree", F.lit(tree)).write.mode("append").parquet(sums)
-        rows = rows.drop("t", "passed")
-    return spark.read.parquet(sums)
+        rows = rows.drop("t", "node")
+    return _with_ancestors(spark.read.parquet(sums), table, depth)
+
+
+def _with_ancestors(leaves: DataFrame, table: DataFrame, depth: int) -> DataFrame:
+    """Sums (tree, node, weight, total, squares) of every node from those of the leaves: a row passed all nodes above its own."""
+    parents = table.where("left >= 0").select("tree", F.col("node").alias("parent"), F.explode(F.array("left", "right")).alias("node"))
+    level, found = leaves, leaves
+    for _ in range(depth):
+        level = level.join(parents, ["tree", "node"]).select("tree", F.col("parent").alias("node"), "weight", "total", "squares")
+        found = found.unionByName(level)
+    return found.groupBy("tree", "node").agg(*(F.sum(c).alias(c) for c in ("weight", "total", "squares")))
 
 
 def split_gains(table: DataFrame, classes: bool) -> DataFrame:

@@ -1,5 +1,7 @@
 """Exported models against the ML library and against a walk of the same tables in DuckDB."""
 
+import re
+
 import duckdb
 import numpy as np
 import pytest
@@ -113,3 +115,33 @@ def test_boosting_statistics_follow_from_the_rows(spark, fitted):
     wrong = train.withColumn("weight", F.col("weight") * F.when(F.get("z", F.lit(0)) > 0, 1.01).otherwise(1.0))
     other = {(r.tree, r.node): r.weight for r in exported.boosting_statistics(wrong, table, shape, 3, 3).collect()}
     assert any(abs(other[k] - f.weight) > 1e-3 for k, f in found.items())
+
+
+def test_levels_are_compiled_one_by_one(spark, capsys):
+    """Each level is a stage of generated code of its own; the leaves are those of a plain walk."""
+    schema = "tree int, node int, feature int, threshold double, left_value double, left int, right int"
+    inner = [(0, n, n % 4, 0.5 if n % 4 < 2 else None, None if n % 4 < 2 else 1.0, 2 * n + 1, 2 * n + 2) for n in range(31)]
+    listed = inner + [(0, n, -1, None, None, -1, -1) for n in range(31, 63)]
+    table = spark.createDataFrame(listed, schema)
+    shape = exported.Inputs(("a", "b"), ("c",), (2,))
+    given = [([x / 3.0, y / 3.0], [s]) for x in range(4) for y in range(4) for s in (0, 1, None)]
+    rows = spark.createDataFrame(given, "z array<double>, slots array<int>")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = exported.routed(rows, table, shape, 5, 1)
+        out.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert len(sizes) >= 5 and max(sizes) < 8000
+
+    def walk(z, slot):
+        node = 0
+        while node < 31:
+            f = node % 4
+            left = z[f] <= 0.5 if f < 2 else slot == f - 2
+            node = 2 * node + (1 if left else 2)
+        return node
+
+    assert {(tuple(r["z"]), r["slots"][0]): r["node"] for r in out.collect()} == {(tuple(z), s[0]): walk(z, s[0]) for z, s in given}
