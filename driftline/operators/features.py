@@ -229,13 +229,18 @@ def class_weight_table(df: DataFrame, label: str) -> DataFrame:
     return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def class_weights(p: int, n: int, mode: str) -> tuple[float, float]:
+    """Weights of class 0 and class 1, given their rows."""
+    p1, n1 = max(p, 1), max(n, 1)
+    return ((p + n) / (2.0 * n1), (p + n) / (2.0 * p1)) if mode == "balanced" else (1.0, n1 / p1)
+
+
 def with_weight(df: DataFrame, label: str, mode: str) -> tuple[DataFrame, float]:
     """Add `weight`: `balanced` = n/(2*n_class), `positive` = n_neg/n_pos for positives.
 
     Also returns the weight total, which follows from the class counts.
     """
     p, n = class_counts(df, label)
-    p1, n1 = max(p, 1), max(n, 1)
-    pos, neg = ((p + n) / (2.0 * p1), (p + n) / (2.0 * n1)) if mode == "balanced" else (n1 / p1, 1.0)
+    neg, pos = class_weights(p, n, mode)
     weight = F.when(F.col(label) == 1, F.lit(pos)).otherwise(F.lit(neg))
     return df.withColumn("weight", weight), p * pos + n * neg
