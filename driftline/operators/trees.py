@@ -3,11 +3,11 @@
 Spark's own trees keep every row as objects and look at each feature of each row in every pass. Here a row is a few
 bytes: the bins of its numbers and the slots of its categories, small columns packed into one code. A pass over the
 blocks of rows counts them by node and code in numpy, tasks return counts, and the splits follow from their sums. No row
-leaves its partition and no task returns more than nodes times codes.
+leaves its partition and no task returns more than nodes times codes; a forest's counts are summed in a shuffle.
 
 The rules are Spark's, so the outcome is its model class: cuts from weighted quantiles of its bounded sample of rows,
-all rows in every count, variance gain for boosting, the first of equal gains, the same stop rules, leaf values,
-residuals and step.
+all rows in every count, variance gain for boosting, Gini's for a forest with Poisson draws and features drawn a node, the
+first of equal gains, the same stop rules, leaf values, residuals and step. Random draws are numpy's.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +31,11 @@ from driftline.session import ensure_checkpoint_dir, scratch_path
 BLOCK_ROWS = 1 << 17
 #: Columns are packed together while their codes fit a byte.
 PACKED_CODES = 256
+#: Trees of a forest that grow at once, and nodes whose counts are shuffled together: memory follows them, not the rows.
+TREES_A_PASS = 10
+NODES_A_KEY = 32
 #: Settings these trees know; a fit with others is Spark's own.
+FOREST_SETTINGS = {"numTrees", "maxDepth", "maxBins", "minInstancesPerNode", "seed"}
 BOOSTING_SETTINGS = {"maxIter", "stepSize", "maxDepth", "maxBins", "minInstancesPerNode", "seed", "checkpointInterval"}
 
 
@@ -191,6 +195,28 @@ class Tree:
         self.split[node], self.children[node] = split, made
         return made
 
+    def set_classes(self, node: int, rows: np.ndarray, weights: tuple[float, float]) -> None:
+        """A node's statistics are the weights of its classes."""
+        self.stats[node], self.rows[node] = (weights[0] * rows[0], weights[1] * rows[1]), int(rows.sum())
+
+    def prune(self) -> None:
+        """Two leaves of the same class become one, from the bottom up, as in Spark."""
+        for node in reversed(range(len(self.depth))):
+            made = self.children[node]
+            if made and not any(self.children[c] for c in made) and len({self.stats[c][1] > self.stats[c][0] for c in made}) == 1:
+                self.children[node], self.split[node], self.gain[node] = None, None, -1.0
+
+    def level_table(self, nodes: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group, first child or -1, goes right by code) of these nodes; the last entry stands for all others."""
+        group, child = np.zeros(len(nodes) + 1, dtype=np.int64), np.full(len(nodes) + 1, -1, dtype=np.int64)
+        right = np.zeros((len(nodes) + 1, max(self.shape.widths)), dtype=bool)
+        for i, node in enumerate(nodes):
+            if self.split[node] is not None:
+                _, column, _, goes_left = self.split[node]
+                group[i], child[i] = self.shape.place(column)[0], self.children[node][0]
+                right[i, : self.shape.widths[group[i]]] = ~goes_left[self.shape.column_codes(column)]
+        return group, child, right
+
     def walk(self) -> Walk:
         group = np.zeros(len(self.depth), dtype=np.int64)
         following = np.repeat(np.arange(len(self.depth), dtype=np.int64)[:, None], max(self.shape.widths), axis=1)
@@ -203,27 +229,32 @@ class Tree:
         return Walk(group, following)
 
 
-def best_splits(shape: Layout, rows: list[np.ndarray], weight: list[np.ndarray], total: list[np.ndarray], least: int) -> list[tuple | None]:
-    """Best split of each node by variance gain, from (node, code) sums a group; None where none is allowed or gains.
+def best_splits(
+    shape: Layout, rows: list[np.ndarray], weight: list[np.ndarray], totals: Sequence[list[np.ndarray]], least: int,
+    allowed: np.ndarray | None = None,
+) -> list[tuple | None]:
+    """Best split of each node, from (node, code) sums a group; None where none is allowed or gains.
 
     (gain, feature, column, threshold or left value, codes that go left). A slot is a category of its own, there or not.
+    The gain is that of variance, given sums of the target, or of Gini's impurity, given weights of each class.
+    `allowed` are the features a node may use, (node, feature).
     """
     n_nodes = rows[0].shape[0]
-    all_rows, all_w, all_s = (x[0].sum(axis=1, keepdims=True) for x in (rows, weight, total))
+    all_rows, all_w = (x[0].sum(axis=1, keepdims=True) for x in (rows, weight))
+    all_s = [t[0].sum(axis=1, keepdims=True) for t in totals]
     gains, made = [], []
     offset = len(shape.cuts)
     for c, cells in enumerate(shape.cells):
         k = shape.place(c)[0]
-        n, w, s = (shape.column_counts(x[k], c) for x in (rows, weight, total))
-        if c < len(shape.cuts):
-            n, w, s = (np.cumsum(x, axis=1)[:, :-1] for x in (n, w, s))
-        else:
-            n, w, s = (x[:, :-1] for x in (n, w, s))
+        found = [shape.column_counts(x[k], c) for x in (rows, weight, *totals)]
+        n, w, *sums = (np.cumsum(x, axis=1)[:, :-1] if c < len(shape.cuts) else x[:, :-1] for x in found)
         with np.errstate(divide="ignore", invalid="ignore"):
-            rest = (all_s - s) ** 2 / (all_w - w)
-            gain = (s * s / w + rest - all_s**2 / all_w) / all_w
-            lower = s / w < (all_s - s) / (all_w - w)
-        gain = np.where((n >= least) & (all_rows - n >= least), gain, -np.inf)
+            gain = sum((s * s / w + (a - s) ** 2 / (all_w - w) - a * a / all_w) / all_w for s, a in zip(sums, all_s, strict=True))
+            lower = sums[-1] / w < (all_s[-1] - sums[-1]) / (all_w - w)
+        fits = (n >= least) & (all_rows - n >= least)
+        if allowed is not None:
+            fits &= allowed[:, [c]] if c < len(shape.cuts) else allowed[:, offset : offset + cells - 1]
+        gain = np.where(fits, gain, -np.inf)
         gains.append(gain)
         if c < len(shape.cuts):
             made += [(c, c, b, None) for b in range(cells - 1)]
@@ -343,7 +374,7 @@ def boosting(train: DataFrame, numeric: Sequence[str], slots: Sequence[str], siz
                 weight = [w0 * g[0] + w1 * g[2] for g in by_group]
                 total = [w0 * g[1] + w1 * g[3] for g in by_group]
                 following = []
-                for node, best in zip(open_nodes, best_splits(shape, rows, weight, total, params["minInstancesPerNode"]), strict=True):
+                for node, best in zip(open_nodes, best_splits(shape, rows, weight, [total], params["minInstancesPerNode"]), strict=True):
                     tree.stats[node] = (weight[0][slot[node]].sum(), total[0][slot[node]].sum())
                     if best is not None:
                         following += tree.divide(node, best[1:])
@@ -396,6 +427,144 @@ def _finish(tree: Tree, told: np.ndarray, weights: tuple[float, float]) -> None:
     tree.stats, tree.rows = [tuple(s) for s in stats], rows.astype(int).tolist()
 
 
+def _bagged(trees: Sequence[int], seed: int, wide: bool) -> Callable:
+    """Blocks with how often each tree draws each row, Poisson with mean 1, and the node it lies in there."""
+
+    def start(partition: int, part):
+        for ordinal, (codes, n0) in enumerate(part):
+            n = codes.shape[1]
+            drawn = [np.random.default_rng([seed, partition, ordinal, t]).poisson(1.0, n).astype(np.uint8) for t in trees]
+            yield codes, n0, drawn, [np.zeros(n, dtype=np.int32 if wide else np.uint16) for _ in trees]
+
+    return start
+
+
+def _drawn_counts(slots: Sequence[np.ndarray], n_open: Sequence[int], widths: Sequence[int]) -> Callable:
+    """A task's drawn rows by class, open node and code, a group each, as ((tree, first node), arrays)."""
+
+    def count(part):
+        totals: dict[int, list[np.ndarray]] = {}
+        for codes, n0, drawn, nodes in part:
+            n = codes.shape[1]
+            for t, many in enumerate(n_open):
+                if not many:
+                    continue
+                held = totals.setdefault(t, [np.zeros((2, many + 1, width)) for width in widths])
+                place, times = slots[t].take(nodes[t]), drawn[t].astype(float)
+                for k, width in enumerate(widths):
+                    at = place * width + codes[k]
+                    for label, rows in enumerate((slice(0, n0), slice(n0, n))):
+                        held[k][label] += np.bincount(at[rows], weights=times[rows], minlength=(many + 1) * width).reshape(-1, width)
+        for t in list(totals):
+            held = totals.pop(t)
+            for first in range(0, n_open[t], NODES_A_KEY):
+                yield (t, first), [a[:, first : min(first + NODES_A_KEY, n_open[t])].copy() for a in held]
+
+    return count
+
+
+def _chosen(shape: Layout, trees: Sequence[int], open_nodes: Sequence[Sequence[int]], weights: tuple[float, float], params: dict,
+            per_node: int) -> Callable:
+    """From counts ((tree, first node), arrays) the split of each node: (tree, node, split, rows a class, of those left)."""
+    n_features = len(shape.cuts) + sum(shape.sizes)
+
+    def choose(entry):
+        (t, first), counts = entry
+        nodes = open_nodes[t][first : first + counts[0].shape[1]]
+        allowed = np.zeros((len(nodes), n_features), dtype=bool)
+        for i, node in enumerate(nodes):
+            drawn = np.random.default_rng([params["seed"], trees[t], node]).permutation(n_features)[:per_node]
+            allowed[i, drawn] = counts[0][:, i].sum(axis=1).all()  # a node of one class stays a leaf
+        classes = [[w * a[label] for a in counts] for label, w in enumerate(weights)]
+        splits = best_splits(shape, [a.sum(axis=0) for a in counts], [a + b for a, b in zip(*classes, strict=True)], classes,
+                             params["minInstancesPerNode"], allowed)
+        out = []
+        for i, split in enumerate(splits):
+            left = None
+            if split is not None:
+                k, goes_left = shape.place(split[2])[0], split[4][shape.column_codes(split[2])]
+                left = counts[k][:, i][:, goes_left].sum(axis=1)
+            out.append((t, nodes[i], split, counts[0][:, i].sum(axis=1), left))
+        return out
+
+    return choose
+
+
+def _moved(slots: Sequence[np.ndarray], tables: Sequence[tuple | None]) -> Callable:
+    """Blocks with each tree's rows one level further down; `tables` are (group, first child, goes right by code) of open nodes."""
+
+    def step(block):
+        codes, n0, drawn, nodes = block
+        every, out = np.arange(codes.shape[1]), []
+        for t, table in enumerate(tables):
+            if table is None:
+                out.append(nodes[t])
+                continue
+            group, child, right = table
+            place = slots[t].take(nodes[t])
+            seen = codes.reshape(-1).take(group.take(place) * len(every) + every)
+            to = child.take(place)
+            out.append(np.where(to < 0, nodes[t], to + right.reshape(-1).take(place * right.shape[1] + seen)).astype(nodes[t].dtype))
+        return codes, n0, drawn, out
+
+    return step
+
+
+def forest(train: DataFrame, numeric: Sequence[str], slots: Sequence[str], sizes: Sequence[int], weights: tuple[float, float],
+           n_rows: int, params: dict) -> list[tuple[Tree, float]]:
+    """Trees with weight 1, each on its own draw of all rows, with ceil(sqrt(features)) features a node; TREES_A_PASS at once."""
+    sc = train.sparkSession.sparkContext
+    shape = layout(train, numeric, sizes, weights, n_rows, params["maxBins"], params["seed"])
+    n_features = len(numeric) + sum(sizes)
+    per_node = n_features if params["numTrees"] == 1 else math.ceil(math.sqrt(n_features))
+    held = blocks(train, numeric, slots, shape).persist(StorageLevel.MEMORY_AND_DISK)
+    grown: list[Tree] = []
+    alive: list[RDD] = [held]
+    try:
+        for begin in range(0, params["numTrees"], TREES_A_PASS):
+            numbers = range(begin, min(begin + TREES_A_PASS, params["numTrees"]))
+            made = [Tree(shape) for _ in numbers]
+            state = held.mapPartitionsWithIndex(_bagged(numbers, params["seed"], params["maxDepth"] > 14)).persist(StorageLevel.MEMORY_AND_DISK)
+            alive.append(state)
+            open_nodes = [[0] for _ in made]
+            for depth in range(params["maxDepth"]):
+                places = []
+                for tree, nodes in zip(made, open_nodes, strict=True):
+                    place = np.full(len(tree.depth), len(nodes), dtype=np.int64)
+                    place[nodes] = np.arange(len(nodes))
+                    places.append(place)
+                counts = state.mapPartitions(_drawn_counts(places, [len(n) for n in open_nodes], shape.widths))
+                summed = counts.reduceByKey(lambda a, b: [x + y for x, y in zip(a, b, strict=True)], sc.defaultParallelism)
+                found = summed.flatMap(_chosen(shape, numbers, open_nodes, weights, params, per_node)).collect()  # a row a node
+                if depth:
+                    alive.pop(-2).unpersist()
+                following: list[list[int]] = [[] for _ in made]
+                for t, node, split, classes, left in sorted(found, key=lambda f: f[:2]):
+                    tree = made[t]
+                    tree.set_classes(node, classes, weights)
+                    if split is not None:
+                        children = tree.divide(node, split[1:])
+                        tree.gain[node] = split[0]
+                        for child, rows in zip(children, (left, classes - left), strict=True):
+                            tree.set_classes(child, rows, weights)
+                        following[t] += children
+                if depth + 1 == params["maxDepth"] or not any(following):
+                    break
+                tables = [tree.level_table(nodes) if more else None for tree, nodes, more in zip(made, open_nodes, following, strict=True)]
+                state = state.map(_moved(places, tables)).persist(StorageLevel.MEMORY_AND_DISK)
+                alive.append(state)
+                open_nodes = following
+            while len(alive) > 1:
+                alive.pop().unpersist()
+            for tree in made:
+                tree.prune()
+            grown += made
+    finally:
+        for rdd in alive:
+            rdd.unpersist()
+    return [(tree, 1.0) for tree in grown]
+
+
 NODE_SCHEMA = (
     "treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, "
     "gain: double, leftChild: int, rightChild: int, split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>>"
@@ -414,22 +583,30 @@ def _stored(number: int, tree: Tree) -> list[tuple]:
             waiting += reversed(tree.children[node])
     out = []
     for node in order:
-        w, s, q = (float(x) for x in tree.stats[node])
-        impurity = (q - s * s / w) / w if w else 0.0
+        stats = [float(x) for x in tree.stats[node]]
+        if len(stats) == 2:
+            w = sum(stats)
+            impurity = 1.0 - (stats[0] / w) ** 2 - (stats[1] / w) ** 2 if w else 0.0
+            prediction = float(stats[1] > stats[0])
+        else:
+            w, s, q = stats
+            impurity, prediction = ((q - s * s / w) / w, s / w) if w else (0.0, 0.0)
         inner = tree.children[node] is not None
         split = (-1, [], -1)
         if inner:
             feature, column, value, _ = tree.split[node]
             split = (feature, [value], -1 if column < len(tree.shape.cuts) else 2)
         left, right = (ids[c] for c in tree.children[node]) if inner else (-1, -1)
-        prediction = s / w if w else 0.0
-        out.append((number, (ids[node], prediction, impurity, [w, s, q], tree.rows[node], tree.gain[node], left, right, split)))
+        out.append((number, (ids[node], prediction, impurity, stats, tree.rows[node], tree.gain[node], left, right, split)))
     return out
 
 
-def boosted_model(spark: SparkSession, estimator, trees: Sequence[tuple[Tree, float]], n_features: int) -> GBTClassificationModel:
-    """Spark's model of these trees, by its stored form; the estimator gives its settings."""
-    path = scratch_path(spark, "boosted")
+def stored_model(spark: SparkSession, estimator, trees: Sequence[tuple[Tree, float]], n_features: int):
+    """Spark's model of these trees, by its stored form; the estimator gives its settings and tells boosting from a forest."""
+    path = scratch_path(spark, "trees")
+    made, kind, more = GBTClassificationModel, "regression.DecisionTreeRegressionModel", {}
+    if isinstance(estimator, RandomForestClassifier):
+        made, kind, more = RandomForestClassificationModel, "classification.DecisionTreeClassificationModel", {"numClasses": 2}
     set_params = {p.name: v for p, v in estimator.extractParamMap().items() if estimator.isSet(p)}
     defaults = {p.name: v for p, v in estimator.extractParamMap().items() if estimator.hasDefault(p) and not estimator.isSet(p)}
     own = {"checkpointInterval", "featuresCol", "labelCol", "maxBins", "maxDepth", "minInstancesPerNode", "seed", "weightCol"}
@@ -438,11 +615,11 @@ def boosted_model(spark: SparkSession, estimator, trees: Sequence[tuple[Tree, fl
         head = {"class": f"org.apache.spark.ml.{cls}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "uid": uid}
         return json.dumps(head | {"paramMap": params, "defaultParamMap": defaults if more else {}} | more)
 
-    head = told("classification.GBTClassificationModel", estimator.uid, set_params, numFeatures=n_features, numTrees=len(trees))
+    head = told(f"classification.{made.__name__}", estimator.uid, set_params, numFeatures=n_features, numTrees=len(trees), **more)
     spark.createDataFrame([(head,)], "value string").coalesce(1).write.text(f"{path}/metadata")
     one = {k: v for k, v in set_params.items() if k in own}
-    listed = [(i, told("regression.DecisionTreeRegressionModel", f"dtr_{estimator.uid}_{i}", one), w) for i, (_, w) in enumerate(trees)]
+    listed = [(i, told(kind, f"dt_{estimator.uid}_{i}", one), w) for i, (_, w) in enumerate(trees)]
     spark.createDataFrame(listed, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     nodes = [row for i, (tree, _) in enumerate(trees) for row in _stored(i, tree)]
     spark.createDataFrame(nodes, NODE_SCHEMA).coalesce(1).write.parquet(f"{path}/data")
-    return GBTClassificationModel.load(path)
+    return made.load(path)

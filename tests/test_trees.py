@@ -71,7 +71,7 @@ def test_every_split_is_the_best_of_all_rows(spark):
 def test_the_model_scores_as_its_trees(spark):
     df = rows(spark)
     made = grown(df)
-    model = trees.boosted_model(spark, models.estimator("gbt", 1.0, maxIter=4, maxDepth=3), made, 5)
+    model = trees.stored_model(spark, models.estimator("gbt", 1.0, maxIter=4, maxDepth=3), made, 5)
     told = model.transform(features(df)).select("z_a", "z_b", "i_c", models.positive_proba().alias("p")).toPandas()
     codes = made[0][0].shape.codes([told[c].to_numpy() for c in (*NUMERIC, *SLOTS)])
     margin = np.zeros(len(told))
@@ -115,3 +115,48 @@ def test_checkpoints_change_nothing_and_are_dropped(spark):
     root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
     assert not glob.glob(f"{root}/rdd-*")
     df.unpersist()
+
+
+def test_a_forest_holds_its_draws_and_scores_as_its_trees(spark, monkeypatch):
+    monkeypatch.setattr(trees, "TREES_A_PASS", 2)
+    df = rows(spark)
+    params = models.settings("forest", numTrees=5, maxDepth=4)
+    made = trees.forest(df, NUMERIC, SLOTS, SIZES, WEIGHTS, df.count(), params)
+    assert len(made) == 5 and len({t.rows[0] for t, _ in made}) > 1
+    assert all(abs(t.rows[0] - df.count()) < 6 * df.count() ** 0.5 for t, _ in made)
+    for tree, _ in made:
+        for node, children in enumerate(tree.children):
+            if children:
+                assert tree.rows[node] == sum(tree.rows[c] for c in children) and min(tree.rows[c] for c in children) >= 8
+                assert np.allclose(tree.stats[node], np.sum([tree.stats[c] for c in children], axis=0))
+    model = trees.stored_model(spark, models.estimator("forest", 1.0, numTrees=5, maxDepth=4), made, 5)
+    told = model.transform(features(df)).select("z_a", "z_b", "i_c", "label", models.positive_proba().alias("p")).toPandas()
+    codes = made[0][0].shape.codes([told[c].to_numpy() for c in (*NUMERIC, *SLOTS)])
+    share = np.zeros(len(told))
+    for tree, _ in made:
+        node = None
+        for _ in range(4):
+            node = tree.walk().step(codes, node)
+        stats = np.array(tree.stats)
+        share += (stats[:, 1] / stats.sum(axis=1))[node] / 5
+    assert np.allclose(told["p"], share)
+    assert np.mean((told["p"] > 0.5) == (told["label"] == 1)) > 0.8
+
+
+def test_a_split_by_gini_uses_the_allowed_features():
+    shape = trees.Layout.of([np.array([0.5, 1.5]), np.array([0.5])], [2])
+    rng = np.random.default_rng(1)
+    x = [rng.integers(0, 3, 400) * 1.0, rng.integers(0, 2, 400) * 1.0, rng.integers(0, 3, 400) * 1.0]
+    y = (x[0] > 1) ^ (rng.random(400) < 0.1)
+    codes = shape.codes(x)
+    classes = [[np.bincount(codes[k][y == c], minlength=w)[None, :] * 1.0 for k, w in enumerate(shape.widths)] for c in (0, 1)]
+    both = [a + b for a, b in zip(*classes, strict=True)]
+
+    def gini(m):
+        return 1 - np.mean(y[m]) ** 2 - np.mean(~y[m]) ** 2
+
+    for allowed in ([1, 1, 1, 1], [0, 1, 0, 0], [0, 0, 0, 1]):
+        got = trees.best_splits(shape, both, both, classes, 8, np.array([allowed], bool))[0]
+        sides = [(0, x[0] <= 0.5), (0, x[0] <= 1.5), (1, x[1] <= 0.5), (2, x[2] == 0), (3, x[2] == 1)]
+        gains = [(gini(m | True) - m.mean() * gini(m) - (~m).mean() * gini(~m), f) for f, m in sides if allowed[f]]
+        assert (got[0], got[1]) == (pytest.approx(max(gains)[0]), max(gains)[1])
