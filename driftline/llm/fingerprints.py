@@ -9,7 +9,8 @@ term of the old text and one of the new instead of two each.
 `near` cuts a fingerprint into BLOCKS blocks and keeps one table for each choice of BLOCKS - radius blocks:
 two fingerprints within the radius agree on all chosen blocks of some table. Equal fingerprints are one class,
 so copies cost one row; tables hold a hashed key and the fingerprint, 16 bytes of data. A pair counts in the first
-table in which it meets.
+table in which it meets. Spark sizes the tables as if they had a row a class, so their joins are by sorting, whatever it
+makes of the size: a broadcast would pass all of them through the driver.
 
 `successors` gives each row the next one by descending id without sorting the table in one task: rows are
 dealt out by id ranges, and only each range's last row looks into the next range.
@@ -148,7 +149,7 @@ def near(queries: DataFrame, classes: DataFrame, radius: int = RADIUS, blocks: i
         reversed(range(len(masks))),
         F.lit(None).cast("long"),
     )
-    met = left.join(right, "key").where((F.bit_count(differ) <= radius) & (F.col("key") == first))
+    met = left.hint("merge").join(right.hint("merge"), "key").where((F.bit_count(differ) <= radius) & (F.col("key") == first))
     return met.select("q", "f", F.bit_count(differ).alias("distance"))
 
 
@@ -163,7 +164,7 @@ def near_counts(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     classes = stored(classes, "fingerprint-classes")
     met = near(classes.where("n_asked > 0").select(F.col("f").alias("q")), classes, radius, max(BLOCKS, radius + 2))
-    met = met.join(classes, "f")
+    met = met.join(classes.hint("merge"), "f")
     own = F.col("distance") == 0
     nearest = F.min(F.when(~own, F.struct("distance", "first")))
     found = met.groupBy("q").agg(

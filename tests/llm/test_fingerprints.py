@@ -115,3 +115,12 @@ def test_answers_return_to_the_rows_that_ask(spark):
 
 def test_empty_table(spark):
     assert S.compare(R.table(spark).limit(0)).count() == 0
+
+
+def test_block_tables_are_not_broadcast(spark):
+    """Spark takes a table after an explode for as small as before, so its own choice may pass all of it through the driver."""
+    rows = spark.range(60).selectExpr("id AS doc_id", "xxhash64(id div 2) AS f")
+    found = S.near_counts(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.q: r.n_near for r in found.collect()} == {r.f: 1 for r in rows.where("doc_id % 20 = 0").collect()}
