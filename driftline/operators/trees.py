@@ -3,7 +3,8 @@
 Spark's own trees keep every row as objects and look at each feature of each row in every pass. Here a row is a few
 bytes: the bins of its numbers and the slots of its categories, small columns packed into one code. A pass over the
 blocks of rows counts them by node and code in numpy, tasks return counts, and the splits follow from their sums. No row
-leaves its partition and no task returns more than nodes times codes; a forest's counts are summed in a shuffle.
+leaves its partition and no task returns more than nodes times codes; a forest's counts are summed in a shuffle. Boosting
+counts the smaller child of each split only, the other one is the rest of their parent, and the root's rows once for all trees.
 
 The rules are Spark's, so the outcome is its model class: cuts from weighted quantiles of its bounded sample of rows,
 all rows in every count, variance gain for boosting, Gini's for a forest with Poisson draws and features drawn a node, the
@@ -178,6 +179,44 @@ class Walk:
         return self.following.reshape(-1).take(node * self.following.shape[1] + seen)
 
 
+#: Levels of splits whose turns fit a word, a bit a split of a full tree.
+WORD_LEVELS = 6
+
+
+@dataclass(frozen=True)
+class Descent:
+    """Where rows lie some levels below the root: a place each, and the node of every place (-1 where no row comes).
+
+    A code sets the bits of those splits of its group that send it right, in the order of a full tree; the bits of all
+    groups together lead a row down by arithmetic, and below a leaf to the left. Deeper trees walk from node to node.
+    """
+
+    depth: int
+    bits: tuple[tuple[int, np.ndarray], ...]
+    nodes: np.ndarray
+    walk: Walk | None = None
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        if self.walk is not None:
+            node = None
+            for _ in range(self.depth):
+                node = self.walk.step(codes, node)
+            return node
+        if not self.bits:
+            return np.zeros(codes.shape[1], dtype=np.int64)
+        turns = None
+        for k, bits in self.bits:
+            own = bits.take(codes[k])
+            turns = own if turns is None else np.bitwise_or(turns, own, out=turns)
+        place = turns & 1
+        for level in range(1, self.depth):
+            own = turns >> (place + ((1 << level) - 1))
+            own &= 1
+            place <<= 1
+            place |= own
+        return place.view(np.int64) if place.dtype == np.uint64 else place  # an index must fit a signed number
+
+
 class Tree:
     """A tree as it grows: nodes in the order made, each (depth, statistics, split, children)."""
 
@@ -228,6 +267,27 @@ class Tree:
                 following[node, : len(left)] = np.where(left, *self.children[node])
         return Walk(group, following)
 
+    def descent(self, depth: int) -> Descent:
+        if depth > WORD_LEVELS:
+            return Descent(depth, (), np.arange(len(self.depth)), self.walk())
+        word = np.uint32 if depth < WORD_LEVELS else np.uint64
+        bits: dict[int, np.ndarray] = {}
+        nodes = np.full(1 << depth, -1, dtype=np.int64)
+        waiting = [(0, 0)]  # nodes and their place among those of their level
+        while waiting:
+            node, place = waiting.pop()
+            level = self.depth[node]
+            if level == depth or self.split[node] is None:
+                nodes[place << (depth - level)] = node
+                continue
+            _, column, _, goes_left = self.split[node]
+            k = self.shape.place(column)[0]
+            right = (~goes_left[self.shape.column_codes(column)]).astype(word)
+            held = bits.setdefault(k, np.zeros(self.shape.widths[k], dtype=word))
+            held |= right << word((1 << level) - 1 + place)
+            waiting += [(child, 2 * place + i) for i, child in enumerate(self.children[node])]
+        return Descent(depth, tuple(bits.items()), nodes)
+
 
 def best_splits(
     shape: Layout, rows: list[np.ndarray], weight: list[np.ndarray], totals: Sequence[list[np.ndarray]], least: int,
@@ -294,59 +354,103 @@ def _summed(held: RDD, count: Callable) -> list[np.ndarray]:
     return held.mapPartitions(of_task).reduce(lambda a, b: [x + y for x, y in zip(a, b, strict=True)])
 
 
-def _residual(odds: np.ndarray | None, n: int, n0: int) -> np.ndarray:
-    """What the trees so far leave: the label as -1 or 1, then 4y / (1 + exp(2y * margin)); `odds` is that exponential."""
-    y = np.full(n, -1.0)
-    y[n0:] = 1.0
-    return y if odds is None else 4.0 * y / (1.0 + odds)
+def _residual(odds: np.ndarray | None, n: int, n0: int, weights: tuple[float, float] = (1.0, 1.0)) -> np.ndarray:
+    """What the trees so far leave, times the class's weight: the label as -1 or 1, then 4y / (1 + exp(2y * margin)).
+
+    `odds` is that exponential.
+    """
+    signed = -weights[0], weights[1]
+    out = np.empty(n) if odds is None else 1.0 + odds
+    for y, part in zip(signed, (out[:n0], out[n0:]), strict=True):
+        if odds is None:
+            part[:] = y
+        else:
+            np.divide(4.0 * y, part, out=part)
+    return out
+
 
+def _rooted(widths: Sequence[int], weights: tuple[float, float], first: bool) -> Callable:
+    """Weighted residual sums of all rows by code, a group each, after the rows of each class for the first tree.
 
-def _counted(walk: Walk, depth: int, slot: np.ndarray, n_open: int, widths: Sequence[int]) -> Callable:
-    """Rows and residual sums by class, open node and code, a group each; last what the tree before left in its leaves."""
+    Last what the tree before left in its leaves.
+    """
 
     def count(block) -> list[np.ndarray]:
         codes, n0, odds, told = block
-        n = codes.shape[1]
-        node = None
-        for _ in range(depth):
-            node = walk.step(codes, node)
-        r = _residual(odds, n, n0)
-        place = np.zeros(n, dtype=np.int64) if node is None else slot.take(node)
+        r = _residual(odds, codes.shape[1], n0, weights)
         out = []
         for k, width in enumerate(widths):
-            at = place * width + codes[k]
-            size = (n_open + 1) * width
-            for part in (slice(0, n0), slice(n0, n)):
-                out.append(np.bincount(at[part], minlength=size).reshape(-1, width)[:n_open].astype(float))
-                out.append(np.bincount(at[part], weights=r[part], minlength=size).reshape(-1, width)[:n_open])
+            if first:
+                out += [np.bincount(part, minlength=width)[None, :] for part in (codes[k, :n0], codes[k, n0:])]
+            out.append(np.bincount(codes[k], weights=r, minlength=width)[None, :])
         return out if told is None else [*out, told]
 
     return count
 
 
-def _passed(walk: Walk, depth: int, factor: np.ndarray) -> Callable:
+def _counted(descent: Descent, slot: np.ndarray, n_slots: int, widths: Sequence[int], weights: tuple[float, float]) -> Callable:
+    """Rows a class and weighted residual sums by slot and code, a group each, of the rows that lie in a slot.
+
+    `slot` has that of each place, or n_slots where rows are not counted.
+    """
+
+    def count(block) -> list[np.ndarray]:
+        codes, n0, odds, _ = block
+        seats = slot.take(descent.places(codes))
+        here = np.flatnonzero(seats < n_slots)
+        seats, middle = seats.take(here), int(here.searchsorted(n0))
+        r = _residual(None if odds is None else odds.take(here), len(here), middle, weights)
+        out = []
+        for k, width in enumerate(widths):
+            at, size = seats * width, n_slots * width
+            at += codes[k].take(here)
+            for found in (np.bincount(at[:middle], minlength=size), np.bincount(at[middle:], minlength=size),
+                          np.bincount(at, weights=r, minlength=size)):
+                out.append(found.reshape(-1, width))
+        return out
+
+    return count
+
+
+def _passed(descent: Descent, factor: np.ndarray) -> Callable:
     """Blocks after a tree: each row's odds times its leaf's factor, beside rows, sums and squares a class and leaf."""
+    reached = np.flatnonzero(descent.nodes >= 0)
+    leaves = descent.nodes[reached]
+    by_place = np.ones((2, len(descent.nodes)))
+    by_place[:, reached] = factor[:, leaves]
 
     def update(block):
         codes, n0, odds, _ = block
-        n, size = codes.shape[1], factor.shape[1]
-        node = None
-        for _ in range(depth):
-            node = walk.step(codes, node)
-        node = np.zeros(n, dtype=np.int64) if node is None else node
+        n, size = codes.shape[1], by_place.shape[1]
+        place = descent.places(codes).astype(np.int64)
         r = _residual(odds, n, n0)
-        told = np.zeros((2, 3, size))
+        told = np.zeros((2, 3, factor.shape[1]))
         new = np.empty(n)
         for label, part in enumerate((slice(0, n0), slice(n0, n))):
-            here, left = node[part], r[part]
-            told[label] = [np.bincount(here, minlength=size), np.bincount(here, weights=left, minlength=size),
-                           np.bincount(here, weights=left * left, minlength=size)]
-            new[part] = factor[label].take(here)
-        return codes, n0, new if odds is None else new * odds, told
+            here, left = place[part], r[part]
+            found = [np.bincount(here, minlength=size), np.bincount(here, weights=left, minlength=size),
+                     np.bincount(here, weights=left * left, minlength=size)]
+            told[label][:, leaves] = np.array(found)[:, reached]
+            new[part] = by_place[label].take(here)
+        if odds is not None:
+            new *= odds
+        return codes, n0, new, told
 
     return update
 
 
+def _with_rest(found: list[np.ndarray], parents: list[np.ndarray], left_counted: np.ndarray) -> list[np.ndarray]:
+    """A group's rows a class and sums of both children, left before right, from those of the counted child and the parent."""
+    out = []
+    for own, both in zip(found, parents, strict=True):
+        rest = both - own
+        if len(out) == 2:
+            rest[(parents[0] == found[0]) & (parents[1] == found[1])] = 0.0  # no rows, no sum
+        at = left_counted[:, None, None]
+        out.append(np.where(at, np.stack([own, rest], axis=1), np.stack([rest, own], axis=1)).reshape(-1, own.shape[1]))
+    return out
+
+
 def boosting(train: DataFrame, numeric: Sequence[str], slots: Sequence[str], sizes: Sequence[int], weights: tuple[float, float],
              n_rows: int, params: dict) -> list[tuple[Tree, float]]:
     """Trees with their weights. `train` has the label, numbers and slots; `weights` are those of the classes."""
@@ -354,36 +458,53 @@ def boosting(train: DataFrame, numeric: Sequence[str], slots: Sequence[str], siz
     ensure_checkpoint_dir(spark)
     shape = layout(train, numeric, sizes, weights, n_rows, params["maxBins"], params["seed"])
     w0, w1 = weights
-    state = blocks(train, numeric, slots, shape).map(lambda b: (*b, None, None)).persist(StorageLevel.MEMORY_AND_DISK)
+    widths = shape.widths
+    held = StorageLevel.MEMORY_AND_DISK_DESER  # blocks are bytes: a serialized store would copy and compress them in every pass
+    state = blocks(train, numeric, slots, shape).map(lambda b: (*b, None, None)).persist(held)
     made: list[tuple[Tree, float]] = []
     older, kept = None, []
+    roots: list[list[np.ndarray]] = []  # rows a class by code, a group each: the same for every tree
     try:
         for turn in range(params["maxIter"]):
             tree = Tree(shape)
-            open_nodes = [0]
+            open_nodes, counted, left_counted = [0], [0], np.zeros(0, dtype=bool)
+            by_group: list[list[np.ndarray]] = []
             for depth in range(params["maxDepth"]):
-                slot = np.full(len(tree.depth), len(open_nodes), dtype=np.int64)
-                slot[open_nodes] = np.arange(len(open_nodes))
-                found = _summed(state, _counted(tree.walk(), depth, slot, len(open_nodes), shape.widths))
-                if depth == 0 and made:
-                    _finish(made[-1][0], found[-1], weights)
-                    older.unpersist()
-                    kept = _drop_checkpoints(spark, kept, state)
-                by_group = [found[4 * k : 4 * k + 4] for k in range(len(shape.groups))]
-                rows = [g[0] + g[2] for g in by_group]
-                weight = [w0 * g[0] + w1 * g[2] for g in by_group]
-                total = [w0 * g[1] + w1 * g[3] for g in by_group]
-                following = []
-                for node, best in zip(open_nodes, best_splits(shape, rows, weight, [total], params["minInstancesPerNode"]), strict=True):
-                    tree.stats[node] = (weight[0][slot[node]].sum(), total[0][slot[node]].sum())
+                if depth == 0:
+                    found = _summed(state, _rooted(widths, weights, not made))
+                    if made:
+                        _finish(made[-1][0], found[-1], weights)
+                        older.unpersist()
+                        kept = _drop_checkpoints(spark, kept, state)
+                    else:
+                        roots = [[a.astype(float) for a in found[3 * k : 3 * k + 2]] for k in range(len(widths))]
+                    by_group = [[*rows, found[k] if made else found[3 * k + 2]] for k, rows in enumerate(roots)]
+                else:
+                    descent = tree.descent(depth)
+                    seat = np.full(len(tree.depth) + 1, len(counted), dtype=np.int64)  # the last for places without rows
+                    seat[counted] = np.arange(len(counted))
+                    found = _summed(state, _counted(descent, seat[descent.nodes], len(counted), widths, weights))
+                    by_group = [_with_rest(found[3 * k : 3 * k + 3], parents[k], left_counted) for k in range(len(widths))]
+                rows = [g[0] + g[1] for g in by_group]
+                weight = [w0 * g[0] + w1 * g[1] for g in by_group]
+                total = [g[2] for g in by_group]
+                following, counted, left_counted, divided = [], [], [], []
+                splits = best_splits(shape, rows, weight, [total], params["minInstancesPerNode"])
+                for i, (node, best) in enumerate(zip(open_nodes, splits, strict=True)):
+                    tree.stats[node] = (weight[0][i].sum(), total[0][i].sum())
                     if best is not None:
-                        following += tree.divide(node, best[1:])
+                        children = tree.divide(node, best[1:])
+                        following += children
                         tree.gain[node] = best[0]
-                        left = tree.children[node][0]
                         column = best[2]
                         k, goes_left = shape.place(column)[0], best[4][shape.column_codes(column)]
-                        for child, part in ((left, goes_left), (left + 1, ~goes_left)):
-                            tree.stats[child] = tuple(x[k][slot[node], part].sum() for x in (weight, total))
+                        for child, part in zip(children, (goes_left, ~goes_left), strict=True):
+                            tree.stats[child] = tuple(x[k][i, part].sum() for x in (weight, total))
+                        left_counted.append(rows[k][i, goes_left].sum() <= rows[k][i, ~goes_left].sum())
+                        counted.append(children[0] if left_counted[-1] else children[1])
+                        divided.append(i)
+                left_counted = np.array(left_counted, dtype=bool)
+                parents = [[a[divided] for a in g] for g in by_group]
                 open_nodes = following
                 if not open_nodes:
                     break
@@ -391,7 +512,8 @@ def boosting(train: DataFrame, numeric: Sequence[str], slots: Sequence[str], siz
             value = np.array([s / w for w, s in tree.stats])
             with np.errstate(over="ignore"):
                 factor = np.exp(np.array([[-2.0], [2.0]]) * step * value)
-            older, state = state, state.map(_passed(tree.walk(), params["maxDepth"], factor)).persist(StorageLevel.MEMORY_AND_DISK)
+            passed = _passed(tree.descent(params["maxDepth"]), factor)
+            older, state = state, state.map(passed).persist(held)
             done, every = turn + 1, params["checkpointInterval"]
             if every > 0 and done % every == 0 and done < params["maxIter"]:
                 state.checkpoint()

@@ -160,3 +160,54 @@ def test_a_split_by_gini_uses_the_allowed_features():
         sides = [(0, x[0] <= 0.5), (0, x[0] <= 1.5), (1, x[1] <= 0.5), (2, x[2] == 0), (3, x[2] == 1)]
         gains = [(gini(m | True) - m.mean() * gini(m) - (~m).mean() * gini(~m), f) for f, m in sides if allowed[f]]
         assert (got[0], got[1]) == (pytest.approx(max(gains)[0]), max(gains)[1])
+
+
+def test_no_level_counts_more_than_half_of_the_rows(spark, monkeypatch):
+    """The larger child is the rest of its parent, and the root's rows are counted for the first tree only."""
+    seen, summed = [], trees._summed
+
+    def kept(held, count):
+        seen.append(summed(held, count))
+        return seen[-1]
+
+    monkeypatch.setattr(trees, "_summed", kept)
+    df = rows(spark)
+    made = grown(df, maxIter=3)
+    groups, n = len(made[0][0].shape.groups), df.count()
+    first, roots = seen[0], [found for found in seen[1:-1] if len(found) == groups + 1]
+    assert first[0].sum() + first[1].sum() == n and len(roots) == 2
+    levels = [found for found in seen if len(found) == 3 * groups][1:]
+    assert len(levels) == 6 and all(0 < found[0].sum() + found[1].sum() <= n / 2 for found in levels)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 6, 7])
+def test_rows_come_down_where_a_walk_leads_them(depth):
+    """All turns in one word, for trees with early leaves, and node by node below WORD_LEVELS."""
+    shape = trees.Layout.of([np.arange(40.0), np.arange(9.0)], [3, 700])
+    draw = np.random.default_rng(depth)
+    codes = shape.codes([draw.integers(-1, 41, 3000) * 1.0, draw.integers(-1, 10, 3000) * 1.0,
+                         draw.integers(0, 4, 3000) * 1.0, draw.integers(0, 701, 3000) * 1.0])
+    tree, waiting = trees.Tree(shape), [0]
+    while waiting:
+        node = waiting.pop(0)
+        if tree.depth[node] < depth and (node == 0 or draw.random() < 0.8):
+            column = int(draw.integers(0, 4))
+            waiting += tree.divide(node, (column, column, 1.0, draw.random(shape.cells[column]) < 0.5))
+    for down in range(1, depth + 1):
+        node = None
+        for _ in range(down):
+            node = tree.walk().step(codes, node)
+        found = tree.descent(down)
+        assert np.array_equal(found.nodes.take(found.places(codes)), node)
+        assert trees._counted(found, np.zeros(len(found.nodes), dtype=np.int64), 1, shape.widths, (1.0, 2.0))(
+            (codes, 1000, None, None))[0].sum() == 1000
+
+
+def test_a_rest_without_rows_has_no_sum():
+    parents = [np.array([[3.0, 1.0]]), np.array([[2.0, 0.0]]), np.array([[0.1 + 0.2, 0.7]])]
+    left = [np.array([[3, 0]]), np.array([[2, 0]]), np.array([[0.3, 0.0]])]
+    rows0, rows1, total = trees._with_rest(left, parents, np.array([True]))
+    assert rows0.tolist() == [[3, 0], [0, 1]] and rows1.tolist() == [[2, 0], [0, 0]]
+    assert total.tolist() == [[0.3, 0.0], [0.0, 0.7]]
+    other = trees._with_rest(left, parents, np.array([False]))
+    assert other[0].tolist() == [[0, 1], [3, 0]] and other[2].tolist() == [[0.0, 0.7], [0.3, 0.0]]
